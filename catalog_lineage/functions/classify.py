@@ -70,9 +70,9 @@ def attribute_type(c: Column | str) -> Column:
 def _fold_segments(path: Column, absolute: bool) -> Column:
     """Drop empty and '.' segments and apply '..', keeping leading '..' of relative paths."""
     segments = F.filter(F.split(path, r"\\"), lambda x: (x != "") & (x != "."))
-    can_pop = lambda acc: (F.size(acc) > 0) & (F.element_at(acc, -1) != "..")
+    can_pop = lambda acc: F.coalesce(F.try_element_at(acc, F.lit(-1)) != "..", F.lit(False))
     step = lambda acc, x: (
-        F.when((x == "..") & can_pop(F.when(F.size(acc) > 0, acc).otherwise(F.array(F.lit("..")))), F.slice(acc, F.lit(1), F.greatest(F.size(acc) - 1, F.lit(0))))
+        F.when((x == "..") & can_pop(acc), F.slice(acc, F.lit(1), F.greatest(F.size(acc) - 1, F.lit(0))))
         .when((x == "..") & F.lit(absolute), acc)
         .otherwise(F.array_append(acc, x))
     )
