@@ -73,7 +73,7 @@ def canonical_key(df: DataFrame) -> Column:
 def canonical_id(df: DataFrame) -> Column:
     """Supplied node id, else type and display name, else the attribute triple."""
     key = canonical_key(df)
-    kind = F.lower(F.try_element_at(key, F.lit(1)))
+    kind = F.lower(F.get(key, F.lit(0)))
     name = clean(first_nonblank(opt(df, "object_name"), opt(df, "display_value")))
     attribute = F.concat_ws(
         "::", kind, clean(opt(df, "dimension_name")), clean(opt(df, "hierarchy_name")), clean(opt(df, "attribute_name"))

@@ -56,16 +56,18 @@ ORDER = [f"tie{i}" for i in range(len(TIEBREAK))] + ["row_key"]
 def pair(validations: DataFrame, relationships: DataFrame, row_key: str = "row_key") -> tuple[DataFrame, DataFrame]:
     """(pairs, errors). Explicit ids pair first; the rest pair by semantic key and ordinal where both sides have the
     same number of rows, and become errors with both counts where they do not."""
-    val, rel = _ordered(validations, row_key), _ordered(relationships, row_key)
+    # both sides are read several times below, so their keys are computed once
+    val, rel = cut(_ordered(validations, row_key)), cut(_ordered(relationships, row_key))
     by_id = first_wins(rel.where(F.col("explicit_id") != "").select("explicit_id", "row_key"), "explicit_id", "row_key")
     explicit = val.join(by_id.select("explicit_id", F.col("row_key").alias("relationship_key")), "explicit_id").select(
         F.col("row_key").alias("validation_key"), "relationship_key", F.lit("RELATIONSHIP_ID").alias("join_method"),
         F.lit(1).cast("bigint").alias("position"), F.lit(1).cast("bigint").alias("group_size"), "semantic_key",
     )
-    rest = val.join(by_id.select("explicit_id"), "explicit_id", "left_anti")
+    rest = cut(val.join(by_id.select("explicit_id"), "explicit_id", "left_anti"))
     n_val = rest.groupBy("semantic_key").agg(F.count("*").alias("validation_count"))
     n_rel = rel.groupBy("semantic_key").agg(F.count("*").alias("relationship_count"))
     counts = n_val.join(n_rel, "semantic_key", "left").withColumn("relationship_count", F.coalesce("relationship_count", F.lit(0)))
+    counts = cut(counts)
     equal = counts.where(F.col("validation_count") == F.col("relationship_count")).select("semantic_key", F.col("relationship_count").alias("group_size"))
     left = ordinals(rest.join(equal.select("semantic_key"), "semantic_key", "left_semi"), "semantic_key", ORDER, "position")
     right = ordinals(rel.join(equal.select("semantic_key"), "semantic_key", "left_semi"), "semantic_key", ORDER, "position")
@@ -165,6 +167,7 @@ def _claim_round(rows: DataFrame, rels: DataFrame) -> DataFrame:
         .groupBy("row_id", "row_order", "component").agg(F.min(F.struct("tier", "tier_key")).alias("t"))
         .select("row_id", "row_order", "component", "t.*")
     )
+    first = cut(first)
     ranked_rows = ordinals(first, ["tier", "tier_key"], ["row_order", "row_id"], "k")
     used = rel_tiers.join(first.select("tier", "tier_key").distinct(), ["tier", "tier_key"], "left_semi")
     ranked_rels = ordinals(used, ["tier", "tier_key"], ["position", "rel_id"], "k")
@@ -207,12 +210,12 @@ def pair_best(semantic: DataFrame, relationships: DataFrame, row_id: str = "row_
         )
 
     everyone = shape(semantic, row_id, row_order, ("row_id", "row_order"), True)
-    rows = everyone
     rels = shape(relationships, rel_id, position, ("rel_id", "position"), False)
-    rows = rows.join(rels.select("bucket").distinct(), "bucket", "left_semi")
+    everyone, rels = cut(everyone), cut(rels)
+    rows = everyone.join(rels.select("bucket").distinct(), "bucket", "left_semi")
     found = []
     while True:
-        rows, rels = _components(rows, rels)
+        rows, rels = (cut(side) for side in _components(rows, rels))
         won = cut(_claim_round(rows, rels))
         found.append(won)
         rows = rows.join(won.select("row_id"), "row_id", "left_anti")

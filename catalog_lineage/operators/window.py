@@ -63,31 +63,31 @@ def split_duplicates(df: DataFrame, keys, order) -> tuple[DataFrame, DataFrame]:
 def ordinals(df: DataFrame, keys, order, name: str = "ordinal", hot_rows: int = HOT_KEY_ROWS) -> DataFrame:
     """1-based position of every row in its key.
 
-    Keys above ``hot_rows`` are cut into ranges by splitters taken from a hash sample of their own order values,
-    so that no task sorts a whole hot key; positions continue across the ranges. ``order`` must be a total order.
+    Keys above ``hot_rows`` (looked for first, by a count) are cut into ranges by splitters taken from a hash sample of
+    their own order values, so that no task sorts a whole hot key; positions continue across the ranges. ``order``
+    must be a total order without nulls; feed a table that is cheap to read again.
     """
     keys, order = _columns(keys), _columns(order)
-    shape = F.struct(*order)
+    plain = F.row_number().over(W.partitionBy(*keys).orderBy(*order))
     hot = df.groupBy(*keys).agg(F.count("*").alias("_n")).where(F.col("_n") > hot_rows)
-    sampled = df.join(hot, keys).where(
-        F.pmod(F.xxhash64(*order), F.greatest(F.floor(F.col("_n") / SPLITTERS), F.lit(1)).cast("bigint")) == 0
-    )
-    splitters = sampled.groupBy(*keys).agg(F.array_sort(F.collect_set(shape)).alias("_splits"))
-    ranged = df.join(splitters, keys, "left").withColumn(
+    if hot.isEmpty():
+        return df.withColumn(name, plain)
+    shape = F.struct(*order)
+    hot = cut(hot)
+    rows = df.join(hot, keys)
+    step = F.greatest(F.floor(F.col("_n") / SPLITTERS), F.lit(1)).cast("bigint")
+    splitters = rows.where(F.pmod(F.xxhash64(*order), step) == 0).groupBy(*keys).agg(F.array_sort(F.collect_set(shape)).alias("_splits"))
+    ranged = cut(rows.drop("_n").join(splitters, keys, "left").withColumn(
         "_range", F.coalesce(F.size(F.filter("_splits", lambda s: s <= shape)), F.lit(0))
-    ).drop("_splits")
+    ).drop("_splits"))
     before = W.partitionBy(*keys).orderBy("_range").rowsBetween(W.unboundedPreceding, -1)
-    offsets = (
-        ranged.where(F.col("_range") > 0).select(*keys).distinct()
-        .join(ranged.groupBy(*keys, "_range").agg(F.count("*").alias("_n")), keys)
-        .withColumn("_offset", F.coalesce(F.sum("_n").over(before), F.lit(0))).drop("_n")
-    )
+    offsets = ranged.groupBy(*keys, "_range").agg(F.count("*").alias("_n")).withColumn(
+        "_offset", F.coalesce(F.sum("_n").over(before), F.lit(0))
+    ).drop("_n")
     local = ranged.withColumn("_local", F.row_number().over(W.partitionBy(*keys, "_range").orderBy(*order)))
-    return (
-        local.join(offsets, [*keys, "_range"], "left")
-        .withColumn(name, F.col("_local") + F.coalesce(F.col("_offset"), F.lit(0)))
-        .select(*df.columns, name)
-    )
+    placed = local.join(offsets, [*keys, "_range"]).withColumn(name, (F.col("_local") + F.col("_offset")).cast("int"))
+    cold = df.join(hot.select(*keys), keys, "left_anti").withColumn(name, plain)
+    return cold.select(*df.columns, name).unionByName(placed.select(*df.columns, name))
 
 
 def sample_per_group(df: DataFrame, group, order, n: int, salt: int = 32) -> DataFrame:
