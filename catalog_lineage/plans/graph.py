@@ -175,6 +175,7 @@ def project_semantic(domain: str, artifact: str, semantic: DataFrame, relationsh
         "endpoint_state": endpoint_state("target_type", F.col("_status")), "source_relationship_id": F.col("source_record_id"),
         "validation_status": F.col("semantic_validation_status"), "review_required": F.coalesce(opt(semantic, "review_required", "boolean"), F.lit(False)),
     })
+    rows = cut(rows)
     keep, repeated = split_duplicates(rows, "graph_relationship_id", ["semantic_validation_id", "rel_id"])
     lost = lambda df, record: df.select(F.lit(artifact).alias("source_artifact"), record.alias("source_record_id"), F.lit(None).cast("string").alias("graph_relationship_id"), F.lit("ERROR").alias("projection_outcome"))
     errors = _error(unpaired, "PAIR_SEMANTIC_SOURCE", artifact, F.col("semantic_validation_id"), "Unable to pair semantic validation to a compatible source relationship").unionByName(
@@ -216,9 +217,10 @@ class Graph:
     manifest: DataFrame
 
 
-def build_graph(inputs: GraphInputs, snapshot_id: str = "", promote: bool = True, checkpoint: bool = False) -> Graph:
+def build_graph(inputs: GraphInputs, snapshot_id: str = "", promote: bool = True) -> Graph:
     """Nodes, edges, validations, provenance, unresolved targets, outcomes, indexes, coverage and manifest in one build."""
     nodes, node_errors = graph_nodes(inputs.nodes)
+    nodes = cut(nodes)
     parts, expected = [], []
     for domain, (relationships, validations) in inputs.direct.items():
         parts.append(project_direct(domain, domain, relationships, validations))
@@ -228,29 +230,28 @@ def build_graph(inputs: GraphInputs, snapshot_id: str = "", promote: bool = True
         existing = base[0] if base else parts[0].edges.limit(0)
         parts.append(project_overlapping("DataSource", *inputs.sources, existing))
         expected.append(inputs.sources[0].select(F.lit("DataSource").alias("source_artifact")))
-    structural = complete_endpoints(nodes, _all([p.edges for p in parts])) if parts else nodes
+    structural = cut(complete_endpoints(nodes, _all([p.edges for p in parts]))) if parts else nodes
     for domain, (semantic, relationships) in inputs.semantic.items():
         parts.append(project_semantic(domain, domain, semantic, relationships, structural))
         expected.append(semantic.select(F.lit(domain).alias("source_artifact")))
-    edges = _all([p.edges for p in parts])
-    validations, provenance = _all([p.validations for p in parts]), _all([p.provenance for p in parts])
-    outcomes = _all([p.outcomes for p in parts])
+    # the tables of the graph are read by its indexes, checks and counts, so each is computed once
+    edges, validations = cut(_all([p.edges for p in parts])), cut(_all([p.validations for p in parts]))
+    provenance, outcomes = cut(_all([p.provenance for p in parts])), cut(_all([p.outcomes for p in parts]))
     stub_frames = [p.stubs for p in parts if p.stubs is not None]
     unresolved = first_wins(_all(stub_frames), "node_id", "display_value") if stub_frames else structural.limit(0).select("node_id", "node_type")
-    if checkpoint:
-        edges, outcomes = cut(edges), cut(outcomes)
-    everyone = complete_endpoints(structural.unionByName(unresolved, allowMissingColumns=True), edges)
+    unresolved = cut(unresolved)
+    everyone = cut(complete_endpoints(structural.unionByName(unresolved, allowMissingColumns=True), edges))
     coverage = outcomes_by_artifact(_all(expected), outcomes)
     mismatch = sided_counts({"edge": edges.select("graph_relationship_id"), "val": validations.select("graph_relationship_id"),
                              "prov": provenance.select("graph_relationship_id").distinct()}, "graph_relationship_id")
     wrong = mismatch.where((F.col("edge") != 1) | (F.col("val") != 1) | (F.col("prov") != 1))
     checks = reconcile_outcomes(outcomes, edges, everyone, unresolved)
-    errors = _all([
+    errors = cut(_all([
         node_errors, *[p.errors for p in parts],
         _error(wrong, "VALIDATE_GRAPH", "edges", F.col("graph_relationship_id"), "Edge, validation and provenance identities do not reconcile"),
         _error(coverage.where(~F.col("reconciles")), "VALIDATE_GRAPH", "outcomes", F.col("source_artifact"), "Source relationship counts do not reconcile to projection outcomes"),
         _error(checks.where(~F.col("pass")), "VALIDATE_GRAPH", "outcomes", F.lit(None), "Projected outcomes or unresolved targets do not reconcile to the graph"),
-    ])
+    ]))
     outbound, inbound = adjacency(edges)
     summary = distributions(edges, [["relationship_type"], ["endpoint_state"], ["source_type", "target_type"]])
     tables = {"nodes": (everyone, "node_type"), "edges": (edges, "relationship_type"), "validations": (validations, None), "outcomes": (outcomes, "projection_outcome"), "unresolved": (unresolved, None)}

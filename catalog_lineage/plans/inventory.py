@@ -14,7 +14,7 @@ def object_inventory(df: DataFrame, order: str = "seq") -> tuple[DataFrame, Data
     """(objects with scope, counts per type and scope); the first spelling of a name wins."""
     named = df.withColumn("object_name", clean("object_name")).where(clean("object_name") != "")
     objects = with_scope(first_wins_by_name(named, ["object_type", "object_name"], [order, "object_name"]), "object_name")
-    counts = objects.groupBy("object_type").pivot("catalog_scope", ["REGULAR", "CONTROL"]).agg(F.count("*")).na.fill(0, ["REGULAR", "CONTROL"])
+    counts = objects.groupBy("object_type").pivot("catalog_scope", ["REGULAR", "CONTROL"]).agg(F.count(F.lit(1))).na.fill(0, ["REGULAR", "CONTROL"])
     return objects, counts.select(
         "object_type", F.col("REGULAR").alias("regular_count"), F.col("CONTROL").alias("control_count"), (F.col("REGULAR") + F.col("CONTROL")).alias("object_count")
     )

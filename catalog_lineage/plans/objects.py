@@ -12,7 +12,7 @@ from ..functions.ids import canonical_id, canonical_key, configured_source_id, f
 from ..functions.text import blank_to_null, clean, first_nonblank, norm_key, token
 from ..operators.resolve import node_label, resolve_references
 from ..operators.summarize import evidence_counts, signature_conflicts
-from ..operators.window import first_wins, merge_properties
+from ..operators.window import cut, first_wins, merge_properties
 
 
 @dataclass
@@ -81,11 +81,11 @@ def object_graph(nodes: DataFrame, edges: DataFrame, declarations: DataFrame, sh
 
     ``links`` holds each contributing graph edge once per consolidated relationship; its counts are the evidence counts.
     """
-    base = catalog_objects(nodes)
-    refs = declared_references(declarations, shared, prefix)
+    # each of these is read by several of the outputs
+    base, refs = cut(catalog_objects(nodes)), cut(declared_references(declarations, shared, prefix))
     wanted = first_wins(refs.where(F.col("reference_kind").isNotNull()).select(
         "reference_object_id", "reference_kind", "cube_name", "view_name", "dimension_name", "hierarchy_name", "subset_name", "path"), "reference_object_id", ["cube_name", "view_name", "dimension_name", "hierarchy_name", "subset_name", "path"])
-    resolved = resolve_references(wanted, base.select("object_id", "object_type", "properties"))
+    resolved = cut(resolve_references(wanted, base.select("object_id", "object_type", "properties")))
     label = (
         F.when(F.col("reference_kind") == "VIEW", F.concat_ws(" / ", "cube_name", "view_name"))
         .when(F.col("reference_kind") == "SUBSET", F.concat_ws(" / ", "dimension_name", "hierarchy_name", "subset_name")).otherwise(F.col("path"))
@@ -97,7 +97,7 @@ def object_graph(nodes: DataFrame, edges: DataFrame, declarations: DataFrame, sh
     configured = first_wins(refs.select("configured_id", "process_id", "source_type", "shared_source_id"), "configured_id", ["process_id", "shared_source_id"])
     objects = base.unionByName(extra(configured, "configured_id", F.lit("CONFIGURED_DATA_SOURCE"), "CONFIGURATION", F.substring_index("configured_id", "::", -1), ["process_id", "source_type", "shared_source_id"])).unionByName(
         extra(resolved, "reference_object_id", kind_name, "CONCEPTUAL_REFERENCE", label, ["cube_name", "view_name", "dimension_name", "hierarchy_name", "subset_name", "path", "resolution_status"]))
-    objects = first_wins(objects, "object_id", ["object_class", "object_type"])
+    objects = cut(first_wins(objects, "object_id", ["object_class", "object_type"]))
 
     def links(df: DataFrame, source: Column, rel: Column, target: Column, klass: Column, status: Column, graph_id: Column | None = None) -> DataFrame:
         return df.select(source.alias("source_object_id"), rel.alias("relationship_type"), target.alias("target_object_id"), klass.alias("relationship_class"),
@@ -121,8 +121,8 @@ def object_graph(nodes: DataFrame, edges: DataFrame, declarations: DataFrame, sh
               F.when(F.col("reference_kind") == "FILE", "REFERENCES_FILE").otherwise(F.concat(F.lit(f"REFERENCES_{prefix}"), "reference_kind")), F.col("reference_object_id"), F.lit("REFERENCE"), F.col("resolution_status")),
         links(resolved.where(F.col("resolved_target_object_id").isNotNull()), F.col("reference_object_id"), F.concat(F.lit("RESOLVES_TO_"), "reference_kind"), F.col("resolved_target_object_id"), F.lit("RESOLUTION"), F.col("resolution_status")),
     ]
-    every = reduce(lambda a, b: a.unionByName(b), [from_graph, *generated]).withColumn(
-        "object_relationship_id", relationship_id("source_object_id", "relationship_type", "target_object_id", "relationship_class"))
+    every = cut(reduce(lambda a, b: a.unionByName(b), [from_graph, *generated]).withColumn(
+        "object_relationship_id", relationship_id("source_object_id", "relationship_type", "target_object_id", "relationship_class")))
     types = objects.select("object_id", "object_type")
     ends = lambda side: types.select(F.col("object_id").alias(f"{side}_object_id"), F.col("object_type").alias(f"{side}_object_type"))
     # group before the endpoint joins: a relationship seen a million times is looked up once

@@ -12,7 +12,7 @@ from ..functions.classify import (
 from ..functions.ids import catalog_relationship_id, object_id, opt, qualified_name, stable_hash
 from ..functions.text import blank_to_null, clean, first_nonblank, only_item, positive_int
 from ..operators.summarize import consolidate
-from ..operators.window import first_wins, split_duplicates
+from ..operators.window import cut, first_wins, split_duplicates
 
 
 def conform(df: DataFrame, origin: str) -> DataFrame:
@@ -63,6 +63,7 @@ def catalog_snapshot(objects: DataFrame, relationships: DataFrame, evidence: Dat
     blank = typed.where(F.col("_name") == "").select(F.lit("SKIPPED_BLANK_OBJECT").alias("warning_type"), F.col("_type").alias("subject"))
     kept, repeated = split_duplicates(typed.where(F.col("_name") != ""), ["_type", "_key"], ["_order", "_name"])
     twice = repeated.select(F.lit("DUPLICATE_LEGACY_OBJECT").alias("warning_type"), F.concat_ws("::", "_type", "_name").alias("subject"))
+    kept = cut(kept)
     known = _shape_object(kept.drop("_order"), F.col("_type"), F.col("_name"), environment, database, snapshot_id)
     source_kind = F.when(object_type_of("source_type") != "unknown", object_type_of("source_type")).when(F.upper(clean("lineage_source")) == "RULE", "cube").otherwise("process")
     keyed = lambda df: df.withColumns({"_stype": source_kind, "_sname": clean("source_name"), "_skey": F.lower(clean("source_name"))})
@@ -73,7 +74,7 @@ def catalog_snapshot(objects: DataFrame, relationships: DataFrame, evidence: Dat
     sources = rel.select("_stype", "_skey", "_sname").unionByName(ev.select("_stype", "_skey", "_sname")).groupBy("_stype", "_skey").agg(F.min("_sname").alias("_name"))
     absent = sources.withColumnsRenamed({"_stype": "_type", "_skey": "_key"}).join(kept, ["_type", "_key"], "left_anti")
     placeholders = _shape_object(absent.select("_type", "_key", "_name"), F.col("_type"), F.col("_name"), environment, database, snapshot_id)
-    everything = known.withColumn("adapter_generated", F.lit(False)).unionByName(placeholders.withColumn("adapter_generated", F.lit(True)))
+    everything = cut(known.withColumn("adapter_generated", F.lit(False)).unionByName(placeholders.withColumn("adapter_generated", F.lit(True))))
     index = everything.select("_type", "_key", F.col("object_id").alias("_oid"), F.col("qualified_name").alias("_qname"))
     as_source = index.select(F.col("_type").alias("_stype"), F.col("_key").alias("_skey"), F.col("_oid").alias("source_object_id"), F.col("_qname").alias("source_qualified_name"))
     as_target = index.select(F.col("_type").alias("_ttype"), F.col("_key").alias("_tkey"), F.col("_oid").alias("target_object_id"), F.col("_qname").alias("_tq"))
@@ -89,6 +90,7 @@ def catalog_snapshot(objects: DataFrame, relationships: DataFrame, evidence: Dat
     })
     rated = rated.withColumn("validation_status", F.when(hit, "VALID").otherwise(missing_target_status(F.col("confidence"), F.col("_ttype")))).withColumn(
         "relationship_id", catalog_relationship_id(F.lit(snapshot_id), "source_object_id", "target_object_id", "target_qualified_name", "relationship_type", F.lit(None).cast("int"), "procedure", "line_number"))
+    rated = cut(rated)
     heads = first_wins(rated.select(
         "relationship_id", "source_object_id", "source_qualified_name", "target_object_id", "target_qualified_name", F.col("_stype").alias("source_type"), F.col("_ttype").alias("target_type"),
         "relationship_type", "confidence", "validation_status", "target_expression"), "relationship_id", ["confidence", "target_expression"])

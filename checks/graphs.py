@@ -191,7 +191,11 @@ def project_semantic(d):
     return p.outcomes.join(p.edges.select("graph_relationship_id", "target_id"), "graph_relationship_id", "left").select("source_record_id", "graph_relationship_id", "projection_outcome", "target_id")
 
 
-@check("unified_graph", f"""{SEMANTIC_SQL},
+# earlier domains bring stub nodes for every customer, so every canonical name is found
+UNIFIED_SQL = SEMANTIC_SQL.replace(" AND o_custkey % 50 <> 7", "")
+
+
+@check("unified_graph", f"""{UNIFIED_SQL},
     d AS (SELECT count(*) AS n FROM v_edges), s AS (SELECT count(*) AS n FROM v_edges WHERE relationship_id LIKE 's-%'), o AS (SELECT outcome, count(*) AS n FROM sem GROUP BY 1)
     SELECT 'nodes' AS part, '' AS name, (SELECT count(*) FROM v_nodes) + (SELECT count(*) FROM customer WHERE c_custkey % 50 = 7 AND true) + (SELECT count(DISTINCT target) FROM sem WHERE outcome LIKE 'PROJECTED\\_%' ESCAPE '\\') AS row_count
     UNION ALL SELECT 'edges', '', (SELECT n FROM d) + (SELECT count(*) FROM sem WHERE outcome <> 'ERROR') UNION ALL SELECT 'errors', '', (SELECT count(*) FROM sem WHERE outcome = 'ERROR')
@@ -202,7 +206,7 @@ def unified_graph(d):
     kind = F.left("relationship_id", F.lit(1))
     direct = {name: (d.v_edges.where(kind == ("s" if name == "Operational" else name)), d.v_validations) for name in ("n", "c", "Operational", "o")}
     again = d.v_edges.where(kind == "s").withColumn("relationship_id", F.concat(F.lit("again-"), "relationship_id"))
-    g = graph.build_graph(graph.GraphInputs({"nodes": d.v_nodes}, direct, (again, d.v_validations), {"TI": (semantic, relationships)}), "run", checkpoint=True)
+    g = graph.build_graph(graph.GraphInputs({"nodes": d.v_nodes}, direct, (again, d.v_validations), {"TI": (semantic, relationships)}), "run")
     row = lambda df, part, name: df.select(F.lit(part).alias("part"), name.alias("name"))
     total = lambda df, part: row(df, part, F.lit("")).groupBy("part", "name").agg(F.count("*").alias("row_count"))
     outcomes = row(g.outcomes, "outcome", F.col("projection_outcome")).groupBy("part", "name").agg(F.count("*").alias("row_count"))
