@@ -206,12 +206,12 @@ def resolve_expressions(defs: DataFrame, uses: DataFrame, scope: str = "process_
     parts = def_rows.unionByName(use_rows).select(
         "rid", "scope", "at", "is_def", F.posexplode(concat_parts("expression")).alias("pos", "part")
     )
-    wants = parts.withColumns({
+    wants = cut(parts.withColumns({
         "literal": unquote("part"),
         "var": F.when(is_identifier("part"), norm_key("part")),
         # an assignment reads its inputs before it takes effect
         "at": F.when(F.col("is_def"), F.col("at") - 1).otherwise(F.col("at")),
-    })
+    }).drop("part", "is_def"))
     reads = wants.where(F.col("var").isNotNull()).select("scope", "var", "at", "rid", "pos", F.lit(False).alias("sets"))
     sets = def_rows.select("scope", "var", "at", "rid", F.lit(-1).alias("pos"), F.lit(True).alias("sets"))
     linked = asof_last(
@@ -314,7 +314,8 @@ def process_evidence(code: DataFrame, registry: DataFrame, names=None) -> DataFr
     lines = explode_lines(code).withColumn(
         "seq", procedure_rank("procedure").cast("bigint") * 1_000_000_000 + F.col("line_number")
     )
-    calls = apply_registry(extract_calls(lines, names), registry).withColumn(
+    # mining the text is the costly part and its rows are read three times below
+    calls = cut(apply_registry(extract_calls(lines, names), registry).drop("parent_expression", "hierarchy_expression", "attribute_expression")).withColumn(
         "call_id", F.concat_ws("\u001e", "process_name", F.col("seq").cast("string"), F.col("call_position").cast("string"))
     )
     roles = F.array(

@@ -80,6 +80,7 @@ def _direct_rows(domain: str, artifact: str, rows: DataFrame) -> Projection:
         "source_artifact": F.lit(artifact), "source_record_id": F.col("relationship_id"), "derivation_method": F.lit("DIRECT_PROJECTION"),
         "projection_outcome": F.lit("PROJECTED"),
     })
+    rows = cut(rows.select(*dict.fromkeys(EDGE + VALIDATION + PROVENANCE + OUTCOME)))
     once = first_wins(rows.select(*dict.fromkeys(EDGE + VALIDATION)), "graph_relationship_id", ["source_id", "target_id"])
     return Projection(once.select(*EDGE), once.select(*VALIDATION), rows.select(*PROVENANCE), rows.select(*OUTCOME), None)
 

@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from catalog_lineage import vocab
-from catalog_lineage.functions import text
 from catalog_lineage.operators import extract
 from . import check
 
@@ -17,9 +16,9 @@ LINES = "(SELECT *, string_split(code, chr(10)) AS l FROM v_code)"
     UNION ALL SELECT 'statement', process_name, unnest([0, 1, 2, 3, 4, 5])::BIGINT, unnest([1, 1, 2, 3, 4, 5])::BIGINT, unnest([regexp_replace(l[1], ' # old.*$', ''), l[2], l[3], l[4], l[5], l[6]]) FROM {LINES} WHERE o_orderkey % 10 <> 0
     UNION ALL SELECT 'statement', process_name, unnest([0, 1, 2, 3])::BIGINT, unnest([1, 1, 2, 3])::BIGINT, unnest([regexp_replace(l[1], ' # old.*$', ''), l[2], l[3], l[4] || chr(10) || l[5] || chr(10) || l[6]]) FROM {LINES} WHERE o_orderkey % 10 = 0""")
 def explode_statements(d):
-    code = d.v_code.select("process_name", "code")
-    lines = extract.explode_lines(code).select(F.lit("line").alias("part"), "process_name", F.col("line_number").alias("position"), "line_number", F.col("line_text").alias("statement"))
-    parts = extract.explode_statements(code).select(F.lit("statement").alias("part"), "process_name", F.col("statement_position").alias("position"), F.col("statement_line").alias("line_number"), "statement")
+    text = code(d).select("process_name", "code")
+    lines = extract.explode_lines(text).select(F.lit("line").alias("part"), "process_name", F.col("line_number").alias("position"), "line_number", F.col("line_text").alias("statement"))
+    parts = extract.explode_statements(text).select(F.lit("statement").alias("part"), "process_name", F.col("statement_position").alias("position"), F.col("statement_line").alias("line_number"), "statement")
     return lines.unionByName(parts)
 
 
@@ -40,8 +39,13 @@ CALLS = """
 C = "WITH c AS (SELECT *, chr(39) AS q FROM v_code)"
 
 
+def code(d):
+    """The code table, spread out: a driver table is one small file, which would be read by one task."""
+    return d.v_code.select("process_name", "procedure", "code").repartition("process_name")
+
+
 def calls(d):
-    lines = extract.explode_lines(d.v_code.select("process_name", "procedure", "code"))
+    lines = extract.explode_lines(code(d))
     return extract.extract_calls(lines, vocab.code_function_names())
 
 
@@ -114,7 +118,7 @@ def edge_rewrite(d):
       CASE WHEN upper(function_name) IN ('CELLGETN', 'CELLGETS') THEN 'RESOLVED' ELSE 'CONFIRMED' END AS confidence, CASE WHEN function_name = 'CELLPUTN' THEN 'm' || CAST(o_orderkey % 5 AS STRING) END AS target_measure FROM {CALLS}
     UNION ALL SELECT process_name, procedure, 3, 'ViewZeroOut', 'USES_VIEW', 'Cube C1.sView', 'UNRESOLVED', NULL FROM c WHERE o_orderstatus = 'O'""")
 def process_evidence(d):
-    rows = extract.process_evidence(d.v_code.select("process_name", "procedure", "code"), vocab.code_registry(d.spark))
+    rows = extract.process_evidence(code(d), vocab.code_registry(d.spark))
     return rows.select("process_name", "procedure", "line_number", "function_name", "relationship_type", "target_name", "confidence", "target_measure")
 
 
@@ -136,7 +140,7 @@ def feeder_flag(d):
 def parameter_tables(d):
     definitions = d.v_params.groupBy("process_name").agg(F.array_sort(F.collect_list(F.struct("position", F.col("parameter_name").alias("name"), F.col("default_value").alias("value")))).alias("parameters"))
     row = lambda df, part, owner, name, value, position: df.select(F.lit(part).alias("part"), F.col(owner).alias("owner"), F.col(name).alias("name"), value.alias("value"), F.col(position).alias("position"))
-    lines = extract.explode_lines(d.v_code.select("process_name", "procedure", "code"))
+    lines = extract.explode_lines(code(d))
     return (
         row(extract.parameters(definitions), "parameter", "process_name", "parameter_name", F.col("default_value"), "position")
         .unionByName(row(extract.bindings(calls(d)), "binding", "called_process", "parameter_name", F.col("resolved_value"), "line_number"))
