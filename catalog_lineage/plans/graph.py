@@ -69,15 +69,15 @@ def graph_nodes(tables: dict[str, DataFrame]) -> tuple[DataFrame, DataFrame]:
     return richest(union.where(F.col("node_id") != ""), "node_id", ["_rank", "object_name", "display_value"]).drop("_rank"), missing
 
 
-def _direct_rows(domain: str, artifact: str, rows: DataFrame) -> Projection:
-    """Edge, validation, provenance and outcome rows of validated structural relationships."""
+def _direct_rows(rows: DataFrame) -> Projection:
+    """Edge, validation, provenance and outcome rows of validated structural relationships of any domain."""
     rows = rows.withColumns({
-        "graph_relationship_id": F.concat(F.lit(f"graph::{domain.lower()}::"), "relationship_id"),
+        "graph_relationship_id": F.concat_ws("::", F.lit("graph"), F.lower("_domain"), "relationship_id"),
         "endpoint_state": endpoint_state("target_type", F.col("_status")),
         "source_relationship_id": F.col("relationship_id"), "review_required": F.lit(False),
         "validation_status": F.coalesce(blank_to_null("_status"), F.lit("PROJECTED")),
         "resolution_method": opt(rows, "resolution_method"),
-        "source_artifact": F.lit(artifact), "source_record_id": F.col("relationship_id"), "derivation_method": F.lit("DIRECT_PROJECTION"),
+        "source_artifact": F.col("_artifact"), "source_record_id": F.col("relationship_id"), "derivation_method": F.lit("DIRECT_PROJECTION"),
         "projection_outcome": F.lit("PROJECTED"),
     })
     rows = cut(rows.select(*dict.fromkeys(EDGE + VALIDATION + PROVENANCE + OUTCOME)))
@@ -86,34 +86,48 @@ def _direct_rows(domain: str, artifact: str, rows: DataFrame) -> Projection:
 
 
 def _validated(relationships: DataFrame, validations: DataFrame) -> DataFrame:
-    status = validations.groupBy("relationship_id").agg(F.max("validation_status").alias("_status"))
-    return relationships.join(status, "relationship_id", "left")
+    status = validations.groupBy("_domain", "relationship_id").agg(F.max("validation_status").alias("_status"))
+    return relationships.join(status, ["_domain", "relationship_id"], "left")
 
 
-def project_direct(domain: str, artifact: str, relationships: DataFrame, validations: DataFrame) -> Projection:
-    """Structural relationships as graph edges; rows lacking a field become errors with an ERROR outcome."""
-    nameless = relationships.where(clean("relationship_id") == "")
-    whole, lacking = require_fields(relationships.where(clean("relationship_id") != ""), REQUIRED_FIELDS)
-    tidy = whole.withColumns({
+def _tidy(df: DataFrame) -> DataFrame:
+    return df.withColumns({
         **{c: clean(c) for c in ("relationship_id", "source_id", "target_id")}, **{c: token(c) for c in ("source_type", "target_type", "relationship_type")},
     })
-    out = _direct_rows(domain, artifact, _validated(tidy, validations))
-    failed = lacking.select(F.lit(artifact).alias("source_artifact"), F.col("relationship_id").alias("source_record_id"),
-                            F.lit(None).cast("string").alias("graph_relationship_id"), F.lit("ERROR").alias("projection_outcome"))
-    out.outcomes = out.outcomes.unionByName(failed)
-    out.errors = _error(nameless, "PROJECT_RELATIONSHIP", artifact, F.lit(None), "Source relationship has no relationship_id").unionByName(
-        _error(lacking, "PROJECT_RELATIONSHIP", artifact, F.col("relationship_id"), F.concat(F.lit("Source relationship is missing required fields: "), F.array_join("missing_fields", ", ")))
-    )
+
+
+def _in_domain(df: DataFrame, domain: str, artifact: str) -> DataFrame:
+    return df.withColumns({"_domain": F.lit(domain), "_artifact": F.lit(artifact)})
+
+
+def project_domains(domains: dict[str, tuple[DataFrame, DataFrame]]) -> Projection:
+    """Structural relationships of all domains as graph edges, in one pass over their union.
+
+    Rows lacking a field become errors with an ERROR outcome, rows without an id only errors.
+    """
+    shape = lambda df: df.select("relationship_id", *REQUIRED_FIELDS, opt(df, "resolution_method").alias("resolution_method"), "_domain", "_artifact")
+    relationships = _all([shape(rel if "_domain" in rel.columns else _in_domain(rel, name, name)) for name, (rel, _) in domains.items()])
+    validations = _all([(val if "_domain" in val.columns else _in_domain(val, name, name)).select("_domain", "relationship_id", "validation_status") for name, (_, val) in domains.items()])
+    named = clean("relationship_id") != ""
+    whole, lacking = require_fields(relationships.where(named), REQUIRED_FIELDS)
+    out = _direct_rows(_validated(_tidy(whole), validations))
+    out.outcomes = out.outcomes.unionByName(lacking.select(
+        F.col("_artifact").alias("source_artifact"), F.col("relationship_id").alias("source_record_id"), F.lit(None).cast("string").alias("graph_relationship_id"), F.lit("ERROR").alias("projection_outcome")))
+    failed = lambda df, text: df.select(F.lit("PROJECT_RELATIONSHIP").alias("stage"), F.col("_artifact").alias("source_artifact"), F.col("relationship_id").cast("string").alias("source_record_id"), text.alias("error"))
+    out.errors = failed(relationships.where(~named), F.lit("Source relationship has no relationship_id")).unionByName(
+        failed(lacking, F.concat(F.lit("Source relationship is missing required fields: "), F.array_join("missing_fields", ", "))))
     return out
 
 
+def project_direct(domain: str, artifact: str, relationships: DataFrame, validations: DataFrame) -> Projection:
+    """One domain of structural relationships as graph edges."""
+    return project_domains({artifact: (_in_domain(relationships, domain, artifact), _in_domain(validations, domain, artifact))})
+
+
 def project_overlapping(artifact: str, relationships: DataFrame, validations: DataFrame, existing: DataFrame) -> Projection:
     """Edges of a domain that overlaps another: known ones only add provenance, the rest are projected."""
-    tidy = relationships.withColumns({
-        **{c: clean(c) for c in ("relationship_id", "source_id", "target_id")}, **{c: token(c) for c in ("source_type", "target_type", "relationship_type")},
-    })
-    fresh, overlap = merge_overlap(tidy, existing)
-    out = _direct_rows("datasource", artifact, _validated(fresh, validations))
+    fresh, overlap = merge_overlap(_tidy(_in_domain(relationships, "datasource", artifact)), existing)
+    out = _direct_rows(_validated(fresh, _in_domain(validations, "datasource", artifact)))
     added = overlap.select(F.col("existing_graph_id").alias("graph_relationship_id"), F.lit(artifact).alias("source_artifact"),
                            F.col("relationship_id").alias("source_record_id"), F.lit("DIRECT_PROJECTION").alias("derivation_method"))
     out.provenance = out.provenance.unionByName(added)
@@ -223,12 +237,13 @@ def build_graph(inputs: GraphInputs, snapshot_id: str = "", promote: bool = True
     nodes, node_errors = graph_nodes(inputs.nodes)
     nodes = cut(nodes)
     parts, expected = [], []
-    for domain, (relationships, validations) in inputs.direct.items():
-        parts.append(project_direct(domain, domain, relationships, validations))
+    if inputs.direct:
+        parts.append(project_domains(inputs.direct))
+    for domain, (relationships, _) in inputs.direct.items():
         expected.append(relationships.where(clean("relationship_id") != "").select(F.lit(domain).alias("source_artifact")))
     if inputs.sources is not None:
-        base = [p.edges for d, p in zip(inputs.direct, parts) if d == "Operational"]
-        existing = base[0] if base else parts[0].edges.limit(0)
+        known = parts[0].edges if parts else inputs.sources[0].limit(0).withColumn("graph_relationship_id", F.lit(""))
+        existing = known.where(F.startswith("graph_relationship_id", F.lit("graph::operational::")))
         parts.append(project_overlapping("DataSource", *inputs.sources, existing))
         expected.append(inputs.sources[0].select(F.lit("DataSource").alias("source_artifact")))
     structural = cut(complete_endpoints(nodes, _all([p.edges for p in parts]))) if parts else nodes
