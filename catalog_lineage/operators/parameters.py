@@ -8,7 +8,7 @@ from .. import vocab
 from ..functions.text import blank_to_null, clean, is_identifier, norm_key, unquote
 from .extract import concat_parts
 from .resolve import catalog_index
-from .window import first_wins
+from .window import cut, first_wins
 
 CORE_TYPES = ("cube", "dimension", "process", "chore")
 
@@ -60,6 +60,7 @@ def resolve_parameters(summaries: DataFrame, params: DataFrame, bindings: DataFr
     rated = upstream.join(status, ["_proc", "_param"], "left").join(defaults, ["_proc", "_param"], "left").withColumns({
         "_resolved": F.coalesce("_resolved", F.lit(0)), "_open": F.coalesce("_open", F.lit(0)),
     })
+    rated = cut(rated)
     explicit = rated.where(F.col("_resolved") > 0).join(
         given.where(F.col("resolved_value").isNotNull()), ["_proc", "_param"]
     ).withColumns({"_raw": F.col("resolved_value"), "source_kind": F.lit("EXECUTE_PROCESS_ARGUMENT")})
@@ -74,7 +75,7 @@ def resolve_parameters(summaries: DataFrame, params: DataFrame, bindings: DataFr
     identity = {"_v": norm_key("value"), "_c": norm_key("calling_process"), "_l": F.coalesce("calling_line_number", F.lit(-1))}
     unique = first_wins(contexts.withColumns(identity), [key, "_v", "_c", "_l", "_param", "source_kind"], ["value", "_raw"])
     index = catalog_index(objects)
-    looked = unique.withColumns({"type_key": norm_key("target_type"), "name_key": norm_key("value")}).join(index, ["type_key", "name_key"], "left")
+    looked = cut(unique.withColumns({"type_key": norm_key("target_type"), "name_key": norm_key("value")}).join(index, ["type_key", "name_key"], "left"))
     hits = looked.where(F.col("catalog_match_name").isNotNull())
     covered = rated.groupBy(key).agg(
         F.bool_and(((F.col("_resolved") > 0) | F.col("default_value").isNotNull()) & (F.col("_open") == 0)).alias("_covered")

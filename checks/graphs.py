@@ -40,7 +40,7 @@ def ownership_edges(d):
 
 
 @check("task_edges", """
-    WITH tk AS (SELECT 'Customer ' || CAST(o_custkey AS STRING) AS chore, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey) AS pos, o_orderkey, 'proc_' || CAST(o_orderkey % 2000 AS STRING) AS proc, CASE WHEN o_orderkey % 3 = 0 THEN o_orderkey % 5 + 1 END AS given FROM orders),
+    WITH tk AS (SELECT 'Chore ' || CAST(CAST(floor(o_orderkey / 16) AS BIGINT) AS STRING) AS chore, row_number() OVER (PARTITION BY CAST(floor(o_orderkey / 16) AS BIGINT) ORDER BY o_orderkey) AS pos, o_orderkey, 'proc_' || CAST(o_orderkey % 2000 AS STRING) AS proc, CASE WHEN o_orderkey % 3 = 0 THEN o_orderkey % 5 + 1 END AS given FROM orders),
     s AS (SELECT *, coalesce(given, pos) AS step FROM tk), k AS (SELECT *, row_number() OVER (PARTITION BY chore, step ORDER BY pos) AS rn, lpad(CAST(step AS STRING), 4, '0') AS s4 FROM s), p AS (SELECT DISTINCT process_name AS proc FROM v_params)
     SELECT 'duplicate' AS part, chore || '::' || s4 AS relationship_id, proc AS target_id, '' AS validation_status FROM k WHERE rn > 1
     UNION ALL SELECT 'HAS_TASK', 'chore-task-ownership::' || chore || '::' || s4, 'chore-task::' || chore || '::' || s4, 'VALID' FROM k WHERE rn = 1
@@ -52,7 +52,8 @@ def task_edges(d):
     values = lambda name: F.struct(F.lit(name).alias("Name"), F.lit("v").alias("Value"))
     task = F.struct(key.alias("k"), F.when(key % 3 == 0, key % 5 + 1).cast("string").alias("step"), F.concat(F.lit("proc_"), (key % 2000).cast("string")).alias("process_name"),
                     F.when(key % 2 == 0, F.array(values("PDIM"), values("pOther"))).otherwise(F.array(values("PDIM"))).alias("parameters"))
-    chores = d.orders.groupBy(F.concat(F.lit("Customer "), F.col("o_custkey").cast("string")).alias("name")).agg(F.array_sort(F.collect_list(task)).alias("tasks"))
+    # a chore lists the orders of one run of 16 keys, so no list grows with the data
+    chores = d.orders.groupBy(F.concat(F.lit("Chore "), F.floor(key / 16).cast("string")).alias("name")).agg(F.array_sort(F.collect_list(task)).alias("tasks"))
     _, edges, repeated = inventory.task_edges(chores, d.v_params.select("process_name"), d.v_params)
     late = repeated.select(F.lit("duplicate").alias("part"), F.concat_ws("::", "chore_name", F.lpad(F.col("task_step").cast("string"), 4, "0")).alias("relationship_id"), F.col("process_name").alias("target_id"), F.lit("").alias("validation_status"))
     return edges.select(F.col("relationship_type").alias("part"), "relationship_id", "target_id", "validation_status").unionByName(late)
