@@ -412,10 +412,10 @@ def scan_secrets(df: DataFrame, rules: tuple[Rule, ...] = RULES, text: str = "te
 def op1_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = scan_secrets(table(spark, sf_dir, "documents").select("doc_id", "text"))
     joined = lambda spans: F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
-    base = F.filter("secret_spans", lambda s: s["kind"].isin(*BASE_KINDS))
+    of = lambda *kinds: F.filter("secret_spans", lambda s: s["kind"].isin(*kinds))
     return found.select(
         "doc_id",
-        *(F.size(F.filter("secret_spans", lambda s, k=k: s["kind"] == k)).cast("long").alias(f"n_{k}") for k in BASE_KINDS),
-        F.sha2(joined(base), 256).alias("base_sha256"),
+        *(F.size(of(k)).cast("long").alias(f"n_{k}") for k in BASE_KINDS),
+        F.sha2(joined(of(*BASE_KINDS)), 256).alias("base_sha256"),
         joined(F.col("secret_spans")).alias("spans"),
     )
