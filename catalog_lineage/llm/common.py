@@ -7,6 +7,7 @@ import uuid
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
@@ -73,7 +74,7 @@ def numbered(df: DataFrame, *order: Column, name: str = "row_number") -> tuple[D
 
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 _BASE = np.uint64(0xD6E8FEB86659FD93)
-_POWERS: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+_POWERS: dict[str, tuple[np.ndarray, np.ndarray]] = {}
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -86,20 +87,18 @@ def mix(x: np.ndarray) -> np.ndarray:
 
 
 def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """Powers of the odd base and of its inverse modulo 2**64."""
-    size = 1 << max(16, int(n).bit_length())
-    if size not in _POWERS:
-        inverse = np.uint64(pow(int(_BASE), -1, 1 << 64))
+    """Powers of the odd base and of its inverse modulo 2**64, n at least; kept for texts of the usual size."""
+    if "kept" not in _POWERS or len(_POWERS["kept"][0]) < n:
+        size = 1 << max(16, int(n).bit_length())
         made = []
-        for base in (_BASE, inverse):
+        for base in (_BASE, np.uint64(pow(int(_BASE), -1, 1 << 64))):
             p = np.full(size, base, dtype=np.uint64)
             p[0] = 1
             made.append(np.cumprod(p, dtype=np.uint64))
-        if size <= 1 << 23:
-            _POWERS.clear()
-            _POWERS[size] = tuple(made)
-        return tuple(made)
-    return _POWERS[size]
+        if size > 1 << 23:
+            return tuple(made)
+        _POWERS["kept"] = tuple(made)
+    return _POWERS["kept"]
 
 
 def rolling(values: np.ndarray, width: int) -> np.ndarray:
@@ -110,7 +109,7 @@ def rolling(values: np.ndarray, width: int) -> np.ndarray:
     power, inverse = _powers(n + 1)
     sums = np.zeros(n + 1, np.uint64)
     np.cumsum(values * power[:n], out=sums[1:])
-    return mix((sums[width:] - sums[:-width]) * inverse[: n + 1 - width] + np.uint64(width) * _ODD)
+    return mix((sums[width:] - sums[:-width]) * inverse[: n + 1 - width] + np.uint64(width * int(_ODD) % (1 << 64)))
 
 
 def separators(of: str) -> np.ndarray:
@@ -173,3 +172,83 @@ def within(first: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
     doc = np.repeat(np.arange(len(counts)), counts)
     start = np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts) + np.repeat(first[:-1], counts)
     return start, doc
+
+
+# Streams of groups ---------------------------------------------------------------------------------------------------
+
+
+def runs(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.Table]:
+    """Whole groups of a partition that is sorted by integer `keys` without nulls, each as one table. Only for groups of bounded size."""
+    held: list[pa.RecordBatch] = []
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        values = [batch.column(batch.schema.get_field_index(k)).to_numpy(zero_copy_only=False) for k in keys]
+        changes = np.zeros(batch.num_rows, bool)
+        for v in values:
+            changes[1:] |= v[1:] != v[:-1]
+        if held:
+            last = held[-1]
+            changes[0] = any(last.column(last.schema.get_field_index(k))[-1].as_py() != v[0] for k, v in zip(keys, values))
+        edges = [*np.flatnonzero(changes), batch.num_rows]
+        if edges[0]:
+            held.append(batch.slice(0, edges[0]))
+        for at, upto in zip(edges, edges[1:]):
+            if held:
+                yield pa.Table.from_batches(held)
+            held = [batch.slice(at, upto - at)]
+    if held:
+        yield pa.Table.from_batches(held)
+
+
+# Counts in a table of fixed size -------------------------------------------------------------------------------------
+
+_BLOCK = 4096
+
+
+def slot_counts(df: DataFrame, slots_of, slots: int) -> np.ndarray:
+    """Sums over all rows how often each of a fixed number of slots occurs. `slots_of(batch)` gives the slots of an Arrow batch.
+    Each task sends one table, summed by blocks; the driver gets 8 bytes for each slot, however large the input."""
+
+    def tally(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums = np.zeros(slots, np.int64)
+        for batch in batches:
+            sums += np.bincount(slots_of(batch), minlength=slots)
+        for at in range(0, slots, _BLOCK):
+            part = sums[at : at + _BLOCK]
+            if part.any():
+                yield pa.RecordBatch.from_arrays([pa.array([at // _BLOCK], pa.int32()), pa.array([part.tobytes()], pa.binary())], ["block", "sums"])
+
+    def add_block(key, pdf):
+        total = np.zeros(len(np.frombuffer(pdf["sums"].iloc[0], np.int64)), np.int64)
+        for raw in pdf["sums"]:
+            total += np.frombuffer(raw, np.int64)
+        return pd.DataFrame({"block": [key[0]], "sums": [total.tobytes()]})
+
+    schema = "block int, sums binary"
+    # Two rounds, so that a block's group stays small however many tasks there are.
+    made = df.mapInArrow(tally, schema)
+    some = made.groupBy("block", F.pmod(F.spark_partition_id(), F.lit(64)).alias("part")).applyInPandas(add_block, schema)
+    out = np.zeros(slots, np.int64)
+    for row in some.groupBy("block").applyInPandas(add_block, schema).collect():
+        part = np.frombuffer(bytes(row["sums"]), np.int64)
+        out[row["block"] * _BLOCK : row["block"] * _BLOCK + len(part)] = part
+    return out
+
+
+_FILTER_BITS = 1 << 22
+
+
+def likely_in(df: DataFrame, key: str, keys: DataFrame) -> DataFrame:
+    """Rows of df whose key may be among keys(key): a table of fixed size (4 million slots) leaves most others out before a join.
+    It never drops a row that the join would keep; where it is full it keeps all, and the join decides as before."""
+    slot = lambda c: F.pmod(F.xxhash64(F.col(c)), F.lit(_FILTER_BITS)).cast("int")
+    found = slot_counts(keys.select(slot(key).alias("slot")), lambda b: b.column(0).to_numpy(zero_copy_only=False), _FILTER_BITS)
+    bits = df.sparkSession.sparkContext.broadcast(np.packbits(found > 0))
+
+    @F.pandas_udf("boolean")
+    def may(slots: pd.Series) -> pd.Series:
+        at = slots.to_numpy()
+        return pd.Series((bits.value[at >> 3] >> (7 - (at & 7)) & 1).astype(bool))
+
+    return df.where(may(slot(key)))
