@@ -239,9 +239,10 @@ def slot_counts(df: DataFrame, slots_of, slots: int) -> np.ndarray:
 _FILTER_BITS = 1 << 22
 
 
-def likely_in(df: DataFrame, key: str, keys: DataFrame) -> DataFrame:
+def likely_in(df: DataFrame, key: str, keys: DataFrame, keep: str | None = None) -> DataFrame:
     """Rows of df whose key may be among keys(key): a table of fixed size (4 million slots) leaves most others out before a join.
-    It never drops a row that the join would keep; where it is full it keeps all, and the join decides as before."""
+    It never drops a row that the join would keep; where it is full it keeps all, and the join decides as before. With `keep`, all
+    rows stay and a column of that name says whether the join is needed."""
     slot = lambda c: F.pmod(F.xxhash64(F.col(c)), F.lit(_FILTER_BITS)).cast("int")
     found = slot_counts(keys.select(slot(key).alias("slot")), lambda b: b.column(0).to_numpy(zero_copy_only=False), _FILTER_BITS)
     bits = df.sparkSession.sparkContext.broadcast(np.packbits(found > 0))
@@ -251,4 +252,4 @@ def likely_in(df: DataFrame, key: str, keys: DataFrame) -> DataFrame:
         at = slots.to_numpy()
         return pd.Series((bits.value[at >> 3] >> (7 - (at & 7)) & 1).astype(bool))
 
-    return df.where(may(slot(key)))
+    return df.withColumn(keep, may(slot(key))) if keep else df.where(may(slot(key)))
