@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from catalog_lineage.llm import mixing, neardup, passages, secrets, sharding
+from catalog_lineage.llm import decontamination, mixing, neardup, passages, secrets, sharding, toxicity
 
-QUERIES = {q.__name__: q for q in (secrets.op1_secret_scan, mixing.op2_mix_sources, sharding.op5_sharding, neardup.op6_minhash_near_duplicates, passages.op9_substring_dedup)}
+QUERIES = {q.__name__: q for q in (secrets.op1_secret_scan, mixing.op2_mix_sources, sharding.op5_sharding, neardup.op6_minhash_near_duplicates, toxicity.op7_toxicity, passages.op9_substring_dedup, decontamination.op10_benchmark_decontamination)}
 ORACLES = {**mixing.ORACLES}
