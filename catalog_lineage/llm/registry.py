@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
-from catalog_lineage.llm import decontamination, mixing, neardup, passages, secrets, sharding, toxicity
+from catalog_lineage.llm import chat, decontamination, mixing, neardup, neighbours, passages, secrets, sharding, toxicity, urls
 
-QUERIES = {q.__name__: q for q in (secrets.op1_secret_scan, mixing.op2_mix_sources, sharding.op5_sharding, neardup.op6_minhash_near_duplicates, toxicity.op7_toxicity, passages.op9_substring_dedup, decontamination.op10_benchmark_decontamination)}
-ORACLES = {**mixing.ORACLES}
+QUERIES = {q.__name__: q for q in (
+    secrets.op1_secret_scan, mixing.op2_mix_sources, urls.op3_url_filter, chat.op4_chat_format, sharding.op5_sharding,
+    neardup.op6_minhash_near_duplicates, toxicity.op7_toxicity, neighbours.op8_nearest_neighbours, passages.op9_substring_dedup,
+    decontamination.op10_benchmark_decontamination,
+)}
+ORACLES = {**mixing.ORACLES, **chat.ORACLES}

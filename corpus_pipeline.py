@@ -1,23 +1,47 @@
-"""The corpus pipeline: toxic documents go, one of each group of near copies stays, benchmark text goes, the sources are mixed to
-their weights, and the rows are dealt into shards. Each stage is written as Parquet and read again as the next one's input."""
+"""The corpus pipeline: toxic documents go, one of each class of near duplicates stays, documents with benchmark items go, the sources are
+mixed to their weights (documents repeat, or are left out, as the mix says), and the rows are dealt into shards. Each stage is written
+as Parquet and read again as the next one's input."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from catalog_lineage.llm import mixing, sharding
+from catalog_lineage.llm import decontamination, mixing, neardup, sharding, toxicity
 from catalog_lineage.llm.common import cut, table
 
 
+def without_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the model learned from the labels rejects go."""
+    return toxicity.gentle_documents(docs, table(spark, sf_dir, "labels"))
+
+
+def without_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each class of near duplicates the document with the smallest id stays."""
+    return neardup.unique_documents(docs)
+
+
+def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents in which a benchmark item is found go."""
+    return decontamination.clean_documents(docs, table(spark, sf_dir, "benchmark"))
+
+
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One row for each repetition that the mix takes of a document."""
     return mixing.repeated(mixing.mix(docs))
 
 
 def sharded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Every row with its shard and slot."""
     return sharding.shard_rows(docs)
 
 
-STAGES = [("mix", mixed), ("shard", sharded)]
+STAGES = [
+    ("toxicity", without_toxic),
+    ("near_duplicates", without_near_duplicates),
+    ("decontamination", without_benchmark),
+    ("mix", mixed),
+    ("shard", sharded),
+]
 #: The learned stage and the searched ones have no SQL; tests hold the pipeline against plain Python.
 ORACLE_SQL = None
 
