@@ -9,7 +9,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 #: White space of the word pattern [^\x20\x09-\x0D]+.
 SPACE = " \t-\r"
@@ -50,24 +50,33 @@ def text_or_empty(name: str = "text") -> Column:
     return F.coalesce(F.col(name), F.lit(""))
 
 
+def packed(df: DataFrame, **needed: Column) -> DataFrame:
+    """The rows of df as one column `_row` beside the columns an operator works with, so that no name of the input can clash."""
+    return df.select(F.struct(*(F.col(f"`{c}`") for c in df.columns)).alias("_row"), *(c.alias(n) for n, c in needed.items()))
+
+
+def free_name(df: DataFrame, wanted: str) -> str:
+    while wanted in df.columns:
+        wanted = f"_{wanted}"
+    return wanted
+
+
 def numbered(df: DataFrame, *order: Column, name: str = "row_number") -> tuple[DataFrame, int]:
     """Numbers all rows from 0 in the given order, and their count. The rows are dealt by ranges of the order, written, and
     each range is numbered from its offset, so no task sees more than its range. Rows equal in all order columns are told
     apart by their place in the input, which can only swap equal rows."""
     spark = df.sparkSession
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    keyed = df.select("*", *(c.alias(f"_o{i}") for i, c in enumerate(order)), F.monotonically_increasing_id().alias("_place"))
-    keys = [f"_o{i}" for i in range(len(order))] + ["_place"]
+    keys = [*(f"_o{i}" for i in range(len(order))), "_place"]
+    keyed = packed(df, **dict(zip(keys, [*order, F.monotonically_increasing_id()])))
     dealt = cut(keyed.repartitionByRange(parts, *keys).select("*", F.spark_partition_id().alias("_range")))
-    from pyspark.sql import Window
-
     # One row for each range, at most as many as there are shuffle partitions.
     counts = dealt.groupBy("_range").agg(F.count("*").alias("_n"))
     offsets = counts.select("_range", "_n", (F.sum("_n").over(Window.orderBy("_range")) - F.col("_n")).alias("_offset"))
     total = offsets.agg(F.coalesce(F.sum("_n"), F.lit(0))).first()[0]
     inside = F.row_number().over(Window.partitionBy("_range").orderBy(*keys)).cast("long") - 1
     rows = dealt.select("*", inside.alias("_inside")).join(F.broadcast(offsets.drop("_n")), "_range")
-    return rows.select(*df.columns, (F.col("_offset") + F.col("_inside")).alias(name)), int(total)
+    return rows.select("_row.*", (F.col("_offset") + F.col("_inside")).alias(name)), int(total)
 
 
 # Vectorised word hashing ---------------------------------------------------------------------------------------------

@@ -21,7 +21,7 @@ import ahocorasick
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from catalog_lineage.llm.common import table
+from catalog_lineage.llm.common import free_name, table
 
 EDIT_RATE, BLOCK_CHARS = 0.08, 1_000_000
 _OTHER = re.compile(r"[\W_]+")
@@ -145,7 +145,8 @@ def match_items(docs: DataFrame, items: DataFrame, rate: float = EDIT_RATE, outp
 
 def clean_documents(docs: DataFrame, items: DataFrame, rate: float = EDIT_RATE) -> DataFrame:
     """The rows of docs in whose text no item is found."""
-    return match_items(docs, items, rate, "_matches").where(F.size("_matches") == 0).drop("_matches")
+    name = free_name(docs, "_matches")
+    return match_items(docs, items, rate, name).where(F.size(name) == 0).drop(name)
 
 
 def op10_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:

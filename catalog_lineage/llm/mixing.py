@@ -19,7 +19,7 @@ from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window as W, functions as F
 
-from catalog_lineage.llm.common import WORD_PATTERN, cut, numbered, table, text_or_empty
+from catalog_lineage.llm.common import WORD_PATTERN, cut, numbered, packed, table, text_or_empty
 
 SEED, MAX_EPOCHS = 1729, 3
 #: Hex digits of each prefix: a level has at most 256 sums per source, and two levels leave 1/65,536 of a source to sort.
@@ -82,9 +82,8 @@ def mix(df: DataFrame, weights: DataFrame | None = None, max_epochs: int = MAX_E
     """Adds size, source_size, target, whole and extra: each document is taken `whole` times, and its first `extra` words once more.
     `weights` has source and weight; without it the weights are 1, 2, 3 in turn."""
     df = df.drop("size", "source_size", "target", "whole", "extra")
-    keyed = df.withColumns({
-        "size": words(), "digest": F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col("doc_id").cast("string"), F.lit("")))),
-    })
+    digest = F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col("doc_id").cast("string"), F.lit(""))))
+    keyed = packed(df, source=F.col("source"), size=words(), digest=digest)
     docs = cut(keyed.select("source", "size", "digest"))
     sizes = docs.groupBy("source").agg(F.sum("size").alias("source_size"))
     weights = (weights if weights is not None else cycled_weights(sizes)).select(F.col("source").alias("_s"), F.col("weight").cast("decimal(18,6)").alias("weight"))
@@ -95,22 +94,25 @@ def mix(df: DataFrame, weights: DataFrame | None = None, max_epochs: int = MAX_E
     prefix = F.substring("digest", 1, DIGITS * LEVELS)
     at_stop = (F.col("missing") > 0) & (prefix == F.col("stop"))
     clear = rows.where(~at_stop).withColumn("extra", F.when((F.col("missing") > 0) & (prefix < F.col("stop")), F.col("size")).otherwise(0).cast("long"))
-    tied = W.partitionBy("_s").orderBy("digest", "doc_id", "size", F.xxhash64("text"))
+    tied = W.partitionBy("_s").orderBy("digest", "_row.doc_id", "size", F.xxhash64("_row.text"))
     before = F.sum("size").over(tied.rowsBetween(W.unboundedPreceding, -1))
     last = rows.where(at_stop).withColumn("extra", F.greatest(F.lit(0).cast("long"), F.least(F.col("size"), F.col("missing") - F.coalesce(before, F.lit(0)))))
-    return clear.unionByName(last).select(*(f"`{c}`" for c in df.columns), "size", "source_size", "target", "whole", "extra")
+    return clear.unionByName(last).select("_row.*", "size", "source_size", "target", "whole", "extra")
 
 
 def repeated(mixed: DataFrame) -> DataFrame:
     """One row for each repetition: `whole` times the document, once more its first `extra` words with the spaces before them
     (the document as it is where that is all of them). Documents not taken give none; n_chars, where there, follows the text."""
-    part = F.array_join(F.slice(F.regexp_extract_all("text", F.lit(r"[ \t-\r]*[^ \t-\r]+"), F.lit(0)), 1, F.greatest(F.col("extra"), F.lit(1)).cast("int")), "")
-    text = F.when((F.col("_copy") > F.col("whole")) & (F.col("extra") < F.col("size")), part).otherwise(F.col("text"))
+    own = mixed.drop("size", "source_size", "target", "whole", "extra")
     copies = (F.col("whole") + F.when(F.col("extra") > 0, 1).otherwise(0)).cast("int")
-    rows = mixed.where(copies > 0).withColumn("_copy", F.explode(F.sequence(F.lit(1), copies))).withColumn("_text", text)
-    made = {"text": F.col("_text"), "n_chars": F.when((F.col("_copy") > F.col("whole")) & (F.col("extra") < F.col("size")), F.length("_text")).otherwise(F.col("n_chars")) if "n_chars" in mixed.columns else None}
-    own = [c for c in mixed.columns if c not in ("size", "source_size", "target", "whole", "extra")]
-    return rows.select(*(made[c].cast(mixed.schema[c].dataType).alias(c) if c in made else F.col(f"`{c}`") for c in own))
+    rows = packed(mixed, whole=F.col("whole"), extra=F.col("extra"), size=F.col("size"), copies=copies).where("copies > 0")
+    rows = rows.withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies"))))
+    cut_short = (F.col("copy") > F.col("whole")) & (F.col("extra") < F.col("size"))
+    pieces = F.regexp_extract_all("_row.text", F.lit(r"[ \t-\r]*[^ \t-\r]+"), F.lit(0))
+    first = F.array_join(F.slice(pieces, 1, F.greatest(F.col("extra"), F.lit(1)).cast("int")), "")
+    text = F.when(cut_short, first).otherwise(F.col("_row.text"))
+    made = {"text": text, "n_chars": F.when(cut_short, F.char_length(first)).otherwise(F.col("_row.n_chars")) if "n_chars" in own.columns else None}
+    return rows.select(*(made[c].cast(own.schema[c].dataType).alias(c) if c in made else F.col(f"_row.`{c}`") for c in own.columns))
 
 
 def op2_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -29,7 +29,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window as W, functions as F
 
-from catalog_lineage.llm.common import Words, cut, likely_in, mix, rolling, runs, separators, slot_counts, steps, table, within
+from catalog_lineage.llm.common import Words, cut, likely_in, mix, packed, rolling, runs, separators, slot_counts, steps, table, within
 from catalog_lineage.llm.components import components
 
 SHINGLE, THRESHOLD, IDF_SHARE = 5, 0.8, 0.25
@@ -247,10 +247,12 @@ def _open_pairs(shared: DataFrame, nodes: DataFrame, known: DataFrame) -> DataFr
 
 def unique_documents(docs: DataFrame) -> DataFrame:
     """The rows of docs that stay: one document of each class, documents without words or id as they are, one row of each id."""
-    heads = near_duplicates(docs).where("doc_id = class_id").select(F.col("class_id").alias("_head")).distinct()
-    kept = docs.join(heads, F.col("doc_id").cast("long") == F.col("_head"), "left_semi")
-    turn = F.row_number().over(W.partitionBy("doc_id").orderBy(F.xxhash64(*(F.col(f"`{c}`") for c, kind in docs.dtypes if not kind.startswith(("map", "variant"))))))
-    return kept.withColumn("_turn", turn).where("_turn = 1").drop("_turn").unionByName(docs.where("doc_id is null"))
+    heads = near_duplicates(docs).where("doc_id = class_id").select(F.col("class_id").alias("head")).distinct()
+    content = F.xxhash64(*(F.col(f"`{c}`") for c, kind in docs.dtypes if not kind.startswith(("map", "variant"))))
+    rows = packed(docs, doc_id=F.col("doc_id").cast("long"), content=content)
+    kept = rows.join(heads, F.col("doc_id") == F.col("head"), "left_semi")
+    kept = kept.withColumn("turn", F.row_number().over(W.partitionBy("doc_id").orderBy("content"))).where("turn = 1")
+    return kept.select("_row.*").unionByName(docs.where("doc_id is null"))
 
 
 def op6_minhash_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:

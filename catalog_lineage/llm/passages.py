@@ -26,7 +26,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from catalog_lineage.llm.common import Words, cut, likely_in, mix, rolling, separators, steps, table, text_or_empty, within
+from catalog_lineage.llm.common import Words, cut, likely_in, mix, packed, rolling, separators, steps, table, text_or_empty, within
 
 WINDOW, SEED = 50, 10
 _SPACE = separators("space")
@@ -152,20 +152,13 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
                 rows.append((total, total - len(words), b" ".join(words).decode()))
             yield pd.DataFrame(rows, columns=["n_words", "n_removed", "kept_text"])
 
-    keys = own.withColumns({"_version": F.shiftright(F.xxhash64("text"), 32).cast("int"), "_id": F.col("doc_id").cast("long")})
-    with_spans = keys.where("_id is not null")
-    marked, plain = _split(with_spans, spans)
-    named = spans.select(F.col("doc_id").alias("_id"), F.col("version").alias("_version"), "spans")
-    marked = marked.join(named, ["_id", "_version"], "left")
+    keys = packed(own, version=F.shiftright(F.xxhash64("text"), 32).cast("int"), doc_id=F.col("doc_id").cast("long"), text=text_or_empty())
+    marked = likely_in(keys.where("doc_id is not null"), "doc_id", spans.select("doc_id"), keep="may")
     nothing = F.lit(None).cast(spans.schema["spans"].dataType)
-    plain = plain.withColumn("spans", nothing).unionByName(keys.where("_id is null").withColumn("spans", nothing))
-    return marked.unionByName(plain).withColumn("_out", cleaned(text_or_empty(), "spans")).select(*(f"`{c}`" for c in own.columns), "_out.*")
-
-
-def _split(rows: DataFrame, spans: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Rows that may have spans, and rows that surely have none and so need no join."""
-    marked = likely_in(rows, "_id", spans.select(F.col("doc_id").alias("_id")), keep="_may")
-    return marked.where("_may").drop("_may"), marked.where("not _may").drop("_may")
+    # Rows that surely have no spans need no join.
+    joined = marked.where("may").join(spans, ["doc_id", "version"], "left").select("_row", "text", "spans")
+    plain = marked.where("not may").unionByName(keys.where("doc_id is null"), allowMissingColumns=True).select("_row", "text", nothing.alias("spans"))
+    return joined.unionByName(plain).select("_row", cleaned("text", "spans").alias("out")).select("_row.*", "out.*")
 
 
 def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

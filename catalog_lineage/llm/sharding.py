@@ -16,7 +16,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from catalog_lineage.llm.common import numbered, table
+from catalog_lineage.llm.common import free_name, numbered, table
 
 SHARDS, SEED, ROUNDS = 40, 20250, 6
 _LOW = np.uint64((1 << 31) - 1)
@@ -86,16 +86,15 @@ def content_order(df: DataFrame, first: str) -> list[Column]:
 def shard_rows(df: DataFrame, order: list[Column] | None = None, shards: int = SHARDS, seed: int = SEED, key: str = "doc_id") -> DataFrame:
     """Adds `shard` and `slot` to every row."""
     df = df.drop("shard", "slot")
-    rows, count = numbered(df, *(order or content_order(df, key)), name="_number")
+    name = free_name(df, "_number")
+    rows, count = numbered(df, *(order or content_order(df, key)), name=name)
 
     @F.pandas_udf("long")
     def permuted(n: pd.Series) -> pd.Series:
         return pd.Series(permute(n.to_numpy(np.uint64), count, seed).astype(np.int64))
 
-    p = F.col("_place_of")
-    return rows.withColumn("_place_of", permuted("_number")).select(
-        *(f"`{c}`" for c in df.columns), (p % shards).cast("int").alias("shard"), F.expr(f"_place_of div {int(shards)}").alias("slot")
-    )
+    placed = rows.select(F.struct(*(F.col(f"`{c}`") for c in df.columns)).alias("_row"), permuted(name).alias("_at"))
+    return placed.select("_row.*", (F.col("_at") % shards).cast("int").alias("shard"), F.expr(f"_at div {int(shards)}").alias("slot"))
 
 
 def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:

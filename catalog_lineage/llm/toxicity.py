@@ -24,7 +24,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from catalog_lineage.llm.common import Words, separators, steps, table
+from catalog_lineage.llm.common import Words, free_name, separators, steps, table
 
 SLOTS = 1 << 18
 TRAIN_DOCS, TRAIN_CHARS, SEED = 6000, 20_000, 77
@@ -187,4 +187,5 @@ def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def gentle_documents(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The rows of docs that the model learned from their labels does not reject."""
-    return score_texts(docs, train(docs, labels), output="_toxicity").where(F.col("_toxicity.score") < REJECT).drop("_toxicity")
+    name = free_name(docs, "_toxicity")
+    return score_texts(docs, train(docs, labels), output=name).where(F.col(f"{name}.score") < REJECT).drop(name)

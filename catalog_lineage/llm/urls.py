@@ -18,7 +18,7 @@ from dataclasses import dataclass
 from pyspark.ml.fpm import FPGrowth
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from catalog_lineage.llm.common import cut, table
+from catalog_lineage.llm.common import cut, packed, table
 
 MIN_SUPPORT, MIN_CONFIDENCE, MAX_TOKENS = 0.005, 0.7, 4
 BAD = "!bad"
@@ -114,12 +114,11 @@ def judge(pages: DataFrame, labels: DataFrame, rules: tuple[HostRule, ...] = RUL
     tokens = url_tokens(F.col("url"), host, path)
     mined = mine(own.select("page_id", "url", tokens.alias("tokens")), labels)
     urls = own.select("url").where("url is not null").distinct().withColumn("tokens", tokens)
-    found = matched(urls, mined).withColumnRenamed("url", "_url")
-    given = own.withColumns({"host": host, "path": path}).withColumn("_given", given_rule(F.col("host"), F.col("path"), rules))
-    rows = given.where("url is not null").join(found, F.col("url") == F.col("_url"), "left").drop("_url")
+    given = packed(own, url=F.col("url"), host=host, path=path).withColumn("given", given_rule(F.col("host"), F.col("path"), rules))
+    rows = given.where("url is not null").join(matched(urls, mined), "url", "left")
     rows = rows.unionByName(given.where("url is null").withColumn("mined_rule", F.lit(None).cast("string")))
-    verdict = F.coalesce(F.col("_given.verdict"), F.when(F.col("mined_rule").isNotNull(), F.lit("block")), F.lit("allow"))
-    return rows.select(*(f"`{c}`" for c in own.columns), "host", "path", F.col("_given.rule").alias("rule"), verdict.alias("verdict"), "mined_rule")
+    verdict = F.coalesce(F.col("given.verdict"), F.when(F.col("mined_rule").isNotNull(), F.lit("block")), F.lit("allow"))
+    return rows.select("_row.*", "host", "path", F.col("given.rule").alias("rule"), verdict.alias("verdict"), "mined_rule")
 
 
 def op3_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
