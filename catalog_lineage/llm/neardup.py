@@ -10,10 +10,11 @@ similarity. Samples are banded, and texts that share a band are candidates:
 
 1. Equal word sequences are one text from the start, so copies cost one row each.
 2. Each text is verified against one other, the smallest among the leaders of its bands. Verified links give components.
-3. Where a band still joins texts of different components, all its pairs across components whose samples agree often enough for a
-   similarity of THRESHOLD are verified; large bands are compared in blocks, and only such pairs leave the block.
+3. Where a band still joins texts of different components, its texts are compared in blocks: first by their samples, then, for the texts
+   that have a partner across components whose samples agree often enough for a similarity of THRESHOLD, by their whole texts. A
+   block hands on the links that join its components, at most one fewer than it has texts; pairs never leave it.
 
-So every pair that the bands find is either linked through verified links or verified itself. A link means weighted Jaccard
+So every pair that the bands find is either linked through verified links or compared itself, in the first band that it shares. A link means weighted Jaccard
 similarity of at least THRESHOLD between whole texts. At 0.8 a pair is missed by all bands with probability 0.004, at 0.9 with 1e-5.
 
 Defined results: texts without words (null, empty, punctuation) and rows without an id are in no link; their class is their own
@@ -151,9 +152,13 @@ def signatures(docs: DataFrame, weights: np.ndarray) -> DataFrame:
 
 def _similarity(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray]) -> float:
     """Weighted Jaccard similarity of two (sorted shingles, weights)."""
-    _, i, j = np.intersect1d(a[0], b[0], assume_unique=True, return_indices=True)
-    both = np.minimum(a[1][i], b[1][j]).sum()
-    return float(both / (a[1].sum() + b[1].sum() - both)) if len(a[0]) and len(b[0]) else 0.0
+    if not len(a[0]) or not len(b[0]):
+        return 0.0
+    at = np.searchsorted(b[0], a[0])
+    at[at == len(b[0])] = 0
+    hit = b[0][at] == a[0]
+    both = np.minimum(a[1][hit], b[1][at[hit]]).sum()
+    return float(both / (a[1].sum() + b[1].sum() - both))
 
 
 def verify(docs: DataFrame, nodes: DataFrame, pairs: DataFrame, weights: np.ndarray) -> DataFrame:
@@ -165,7 +170,7 @@ def verify(docs: DataFrame, nodes: DataFrame, pairs: DataFrame, weights: np.ndar
     members = pairs.join(parts, "a").select("a", F.pmod(F.xxhash64("b"), F.col("parts")).cast("int").alias("part"), F.col("b").alias("node"), F.lit(1).alias("role"))
     leaders = parts.select("a", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), F.col("a").alias("node"), F.lit(0).alias("role"))
     wanted = cut(members.unionByName(leaders).join(nodes.select("node", F.col("rep").alias("doc_id")), "node"))
-    texts = likely_in(docs.where(F.col("doc_id").isNotNull()).select(F.col("doc_id").cast("long").alias("doc_id"), "text"), "doc_id", wanted.select("doc_id"))
+    texts = likely_in(_texts(docs), "doc_id", wanted.select("doc_id"))
     rows = texts.join(wanted, "doc_id").select("a", "part", "role", "node", "text").repartition("a", "part").sortWithinPartitions("a", "part", "role", "node")
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -189,21 +194,62 @@ def verify(docs: DataFrame, nodes: DataFrame, pairs: DataFrame, weights: np.ndar
     return cut(rows.mapInArrow(compare, "a long, b long").distinct())
 
 
-def _across(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Pairs of one block whose components differ, whose weights allow the threshold and whose samples agree often enough."""
-    for group in runs(batches, ["band", "low", "high"]):
-        node, comp, side = (group.column(c).to_numpy() for c in ("node", "component", "chunk"))
-        total = group.column("total").to_numpy()
-        samples = np.frombuffer(b"".join(group.column("samples").to_pylist()), np.uint32).reshape(-1, SAMPLES)
-        low, high = group.column("low")[0].as_py(), group.column("high")[0].as_py()
-        found: list[tuple[int, int]] = []
-        for i in range(len(node)):
-            ahead = slice(i + 1, None) if low == high else None
-            others = np.arange(i + 1, len(node)) if ahead else np.flatnonzero(side == high) if side[i] == low else np.empty(0, np.int64)
-            others = others[(comp[others] != comp[i]) & (np.minimum(total[others], total[i]) >= 0.999 * THRESHOLD * np.maximum(total[others], total[i]))]
-            if len(others):
-                others = others[(samples[others] == samples[i]).mean(axis=1) >= LIKELY]
-                found += [(min(node[i], node[k]), max(node[i], node[k])) for k in others]
+class _Block:
+    """The texts of a band (or of two parts of a large one) with their samples; `partners` are the later texts worth comparing."""
+
+    def __init__(self, group: pa.Table):
+        self.node, self.component, self.chunk = (group.column(c).to_numpy() for c in ("node", "component", "chunk"))
+        self.total, self.turn = group.column("total").to_numpy(), group.column("turn")[0].as_py()
+        self.samples = np.frombuffer(b"".join(group.column("samples").to_pylist()), np.uint32).reshape(-1, SAMPLES)
+        self.low, self.high = group.column("low")[0].as_py(), group.column("high")[0].as_py()
+
+    def partners(self, i: int, component: np.ndarray) -> np.ndarray:
+        if self.low == self.high:
+            k = np.arange(i + 1, len(self.node))
+        else:
+            k = np.flatnonzero(self.chunk == self.high) if self.chunk[i] == self.low else np.empty(0, np.int64)
+        k = k[(component[k] != component[i]) & (np.minimum(self.total[k], self.total[i]) >= 0.999 * THRESHOLD * np.maximum(self.total[k], self.total[i]))]
+        if not len(k):
+            return k
+        equal = self.samples[k] == self.samples[i]
+        first = equal.reshape(-1, BANDS, ROWS).all(axis=2).argmax(axis=1)
+        return k[(equal.mean(axis=1) >= LIKELY) & (first == self.turn)]
+
+
+_BLOCK_KEYS = ["band", "low", "high"]
+
+
+def _worth(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The texts of a block that have a partner in another component."""
+    for group in runs(batches, _BLOCK_KEYS):
+        block = _Block(group)
+        marked = np.zeros(len(block.node), bool)
+        for i in range(len(block.node)):
+            k = block.partners(i, block.component)
+            marked[k] = True
+            marked[i] |= len(k) > 0
+        if marked.any():
+            yield from group.filter(pa.array(marked)).combine_chunks().to_batches()
+
+
+def _links(weights, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Links that join the components of a block, by the whole texts."""
+    for group in runs(batches, _BLOCK_KEYS):
+        block, own = _Block(group), {}
+        of = block.component.copy()
+        for piece in group.combine_chunks().to_batches():
+            for batch in steps(iter([piece.append_column("place", pa.array(np.arange(piece.num_rows)))]), limit=1 << 19):
+                s = Shingled(batch.column(batch.schema.get_field_index("text")))
+                weight = (s.count * weights[(s.shingle % np.uint64(SLOTS)).astype(np.intp)]).astype(np.float64)
+                for i, place in enumerate(batch.column(batch.num_columns - 1).to_pylist()):
+                    if s.key[i] == block.node[place]:
+                        own[place] = (s.shingle[s.first[i] : s.first[i + 1]], weight[s.first[i] : s.first[i + 1]])
+        found = []
+        for i in own:
+            for k in block.partners(i, of):
+                if k in own and of[k] != of[i] and _similarity(own[i], own[k]) >= THRESHOLD:
+                    found.append((block.node[i], block.node[k]))
+                    of[of == of[k]] = of[i]
         if found:
             a, b = zip(*found)
             yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
@@ -219,12 +265,12 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     nodes = cut(with_words.groupBy("node").agg(F.min("doc_id").alias("rep"), F.first("total").alias("total"), F.first("samples").alias("samples")))
     width = ROWS * 4
     keys = F.array(*(F.xxhash64(F.lit(j), F.substring("samples", j * width + 1, width)) for j in range(BANDS)))
-    bands = nodes.select("node", F.explode(keys).alias("band"))
+    bands = nodes.select("node", F.posexplode(keys).alias("turn", "band"))
     leaders = bands.groupBy("band").agg(F.min("node").alias("leader"), F.count("*").alias("n")).where("n > 1")
-    shared = cut(bands.join(leaders, "band").select("band", "node", "leader"))
+    shared = cut(bands.join(leaders, "band").select("band", "turn", "node", "leader"))
     first = shared.where("node > leader").groupBy("node").agg(F.min("leader").alias("leader")).select(F.col("leader").alias("a"), F.col("node").alias("b"))
     links = verify(documents, nodes, first, weights)
-    links = links.unionByName(verify(documents, nodes, _open_pairs(shared, nodes, cut(components(links))), weights))
+    links = links.unionByName(_links_across(documents, nodes, shared, cut(components(links)), weights))
 
     of_text = nodes.select("node", "rep").join(components(links), "node")
     heads = of_text.groupBy("component").agg(F.min("rep").alias("class_id"))
@@ -234,15 +280,23 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     return with_words.select("doc_id", "node").join(texts, "node").select("doc_id", "class_id").unionByName(rest)
 
 
-def _open_pairs(shared: DataFrame, nodes: DataFrame, known: DataFrame) -> DataFrame:
-    """What is left to verify where a band joins texts of different components."""
-    marked = shared.select("band", "node").join(known, "node", "left").withColumn("component", F.coalesce("component", "node"))
+def _links_across(docs: DataFrame, nodes: DataFrame, shared: DataFrame, known: DataFrame, weights: np.ndarray) -> DataFrame:
+    """Links between texts of different components that share a band."""
+    marked = shared.select("band", "turn", "node").join(known, "node", "left").withColumn("component", F.coalesce("component", "node"))
     mixed = marked.groupBy("band").agg(F.min("component").alias("x"), F.max("component").alias("y"), F.count("*").alias("n")).where("x < y")
     chunks = F.ceil(F.col("n") / BLOCK).cast("int")
     rows = marked.join(mixed.select("band", chunks.alias("chunks")), "band").withColumn("chunk", F.pmod(F.xxhash64("node"), F.col("chunks")).cast("int"))
-    rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1))).join(nodes.select("node", "total", "samples"), "node")
-    blocks = rows.select("band", F.least("chunk", "other").alias("low"), F.greatest("chunk", "other").alias("high"), "chunk", "node", "component", "total", "samples")
-    return blocks.repartition("band", "low", "high").sortWithinPartitions("band", "low", "high").mapInArrow(_across, "a long, b long")
+    rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1))).join(nodes.select("node", "rep", "total", "samples"), "node")
+    blocks = rows.select("band", F.least("chunk", "other").alias("low"), F.greatest("chunk", "other").alias("high"), "chunk", "turn", "node", "component", "rep", "total", "samples")
+    worth = cut(blocks.repartition(*_BLOCK_KEYS).sortWithinPartitions(*_BLOCK_KEYS).mapInArrow(_worth, blocks.schema))
+    texts = likely_in(_texts(docs), "doc_id", worth.select(F.col("rep").alias("doc_id"))).withColumnRenamed("doc_id", "rep")
+    whole = worth.join(texts, "rep").repartition(*_BLOCK_KEYS).sortWithinPartitions(*_BLOCK_KEYS)
+    shared_weights = docs.sparkSession.sparkContext.broadcast(weights)
+    return cut(whole.mapInArrow(lambda batches: _links(shared_weights.value, batches), "a long, b long").distinct())
+
+
+def _texts(docs: DataFrame) -> DataFrame:
+    return docs.where("doc_id is not null").select(F.col("doc_id").cast("long").alias("doc_id"), "text")
 
 
 def unique_documents(docs: DataFrame) -> DataFrame:
