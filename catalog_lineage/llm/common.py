@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 SPACE = " \t-\r"
 WORD_PATTERN = r"[^ \t-\r]+"
 #: Bytes of text that one vectorised step handles; a longer text is a step of its own.
-STEP_BYTES = 2 << 20
+STEP_BYTES = 1 << 19
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -95,7 +95,7 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     """Powers of the odd base and of its inverse modulo 2**64, n at least; kept for texts of the usual size."""
     if "kept" not in _POWERS or len(_POWERS["kept"][0]) < n:
         size = 1 << max(16, int(n).bit_length())
@@ -115,7 +115,7 @@ def rolling(values: np.ndarray, width: int) -> np.ndarray:
     n = len(values)
     if n < width:
         return np.empty(0, np.uint64)
-    power, inverse = _powers(n + 1)
+    power, inverse = powers(n + 1)
     sums = np.zeros(n + 1, np.uint64)
     np.cumsum(values * power[:n], out=sums[1:])
     return mix((sums[width:] - sums[:-width]) * inverse[: n + 1 - width] + np.uint64(width * int(_ODD) % (1 << 64)))
@@ -136,11 +136,10 @@ class Words:
 
     def __init__(self, texts: pa.Array, parts: np.ndarray):
         texts = texts.cast(pa.large_string()).fill_null("")
-        if texts.offset:
-            texts = pa.concat_arrays([texts])
         offsets = np.frombuffer(texts.buffers()[1], np.int64)[texts.offset : texts.offset + len(texts) + 1]
         raw = texts.buffers()[2]
-        data = np.frombuffer(raw, np.uint8)[: offsets[-1]] if raw is not None else np.empty(0, np.uint8)
+        data = np.frombuffer(raw, np.uint8)[offsets[0] : offsets[-1]] if raw is not None else np.empty(0, np.uint8)
+        offsets = offsets - offsets[0]
         self.data, self.offsets, n = data, offsets, len(data)
         inside = ~parts[data]
         before, after = np.zeros(n, bool), np.zeros(n, bool)
@@ -153,7 +152,7 @@ class Words:
         self.doc = np.searchsorted(offsets, self.start, "right") - 1
         #: First word of each text, and the count after the last.
         self.first = np.searchsorted(self.doc, np.arange(len(texts) + 1))
-        power, inverse = _powers(n + 1)
+        power, inverse = powers(n + 1)
         sums = np.zeros(n + 1, np.uint64)
         np.cumsum((data.astype(np.uint64) + np.uint64(1)) * power[:n], out=sums[1:])
         self.hash = mix((sums[self.end] - sums[self.start]) * inverse[self.start] + (self.end - self.start).astype(np.uint64) * _ODD)

@@ -22,11 +22,10 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-from catalog_lineage.llm.common import Words, cut, likely_in, mix, packed, rolling, separators, steps, table, text_or_empty, within
+from catalog_lineage.llm.common import Words, cut, likely_in, mix, packed, powers, rolling, separators, steps, table, text_or_empty, within
 
 WINDOW, SEED = 50, 10
 _SPACE = separators("space")
@@ -58,15 +57,11 @@ def _anchors(texts: pa.Array) -> tuple[np.ndarray, ...]:
     begin = np.flatnonzero(edge)
     last = np.append(begin[1:], len(start)) - 1
     low, high, anchor, owner = start[begin], start[last], at[begin], doc[begin]
-    # Hash of all words of the reach with their place against the anchor.
-    shift = np.uint64(0xA24BAED4963EE407)
+    # Hash of all words of the reach: each times the power of its place, divided by the power of the anchor's place.
     sums = np.zeros(len(w.hash) + 1, np.uint64)
-    # Word times power of its place; dividing by the power of the anchor's place makes it relative.
-    powers = np.cumprod(np.concatenate([np.ones(1, np.uint64), np.full(max(len(w.hash) - 1, 0), shift | np.uint64(1))]))
-    inverse = np.uint64(pow(int(shift) | 1, -1, 1 << 64))
-    back = np.cumprod(np.concatenate([np.ones(1, np.uint64), np.full(max(len(w.hash) - 1, 0), inverse)]))
-    np.cumsum(mix(w.hash) * powers, out=sums[1:])
-    reach = mix((sums[high + WINDOW] - sums[low]) * back[anchor]) ^ mix((anchor - low).astype(np.uint64) << np.uint64(32) | (high - anchor + WINDOW).astype(np.uint64))
+    power, inverse = powers(len(w.hash))
+    np.cumsum(mix(w.hash) * power[: len(w.hash)], out=sums[1:])
+    reach = mix((sums[high + WINDOW] - sums[low]) * inverse[anchor]) ^ mix((anchor - low).astype(np.uint64) << np.uint64(32) | (high - anchor + WINDOW).astype(np.uint64))
     first = w.first[owner]
     return owner, seeds[anchor].view(np.int64), reach.view(np.int64), low - first, high - first
 
@@ -135,30 +130,31 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     own = docs.drop("n_words", "n_removed", "kept_text")
     spans = cut(repeated_windows(docs))
 
-    @F.pandas_udf("struct<n_words long, n_removed long, kept_text string>")
-    def cleaned(parts: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
-        for texts, lists in parts:
-            rows = []
-            for text, found in zip(texts, lists):
-                words = text.encode().split()
-                total = len(words)
-                if found is not None and len(found):
-                    marks = np.zeros(total + 1, np.int32)
-                    for s in found:
-                        marks[s["low"]] += 1
-                        marks[s["high"] + WINDOW] -= 1
-                    kept = np.flatnonzero(np.cumsum(marks)[:total] == 0)
-                    words = [words[i] for i in kept]
-                rows.append((total, total - len(words), b" ".join(words).decode()))
-            yield pd.DataFrame(rows, columns=["n_words", "n_removed", "kept_text"])
-
     keys = packed(own, version=F.shiftright(F.xxhash64("text"), 32).cast("int"), doc_id=F.col("doc_id").cast("long"), text=text_or_empty())
     marked = likely_in(keys.where("doc_id is not null"), "doc_id", spans.select("doc_id"), keep="may")
     nothing = F.lit(None).cast(spans.schema["spans"].dataType)
     # Rows that surely have no spans need no join.
     joined = marked.where("may").join(spans, ["doc_id", "version"], "left").select("_row", "text", "spans")
     plain = marked.where("not may").unionByName(keys.where("doc_id is null"), allowMissingColumns=True).select("_row", "text", nothing.alias("spans"))
-    return joined.unionByName(plain).select("_row", cleaned("text", "spans").alias("out")).select("_row.*", "out.*")
+    rows = joined.unionByName(plain)
+    added = "n_words long, n_removed long, kept_text string"
+    return rows.mapInArrow(_cleaned, T.StructType([rows.schema["_row"], *T.StructType.fromDDL(added).fields])).select("_row.*", "n_words", "n_removed", "kept_text")
+
+
+def _cleaned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in steps(batches, limit=1 << 21):
+        totals, removed, texts = [], [], []
+        for text, spans in zip(batch.column(1), batch.column(2)):
+            words = text.as_buffer().to_pybytes().split()
+            totals.append(len(words))
+            if spans.is_valid and len(spans.values):
+                marks = np.zeros(len(words) + 1, np.int32)
+                np.add.at(marks, spans.values.field("low").to_numpy(), 1)
+                np.add.at(marks, spans.values.field("high").to_numpy() + WINDOW, -1)
+                words = [words[i] for i in np.flatnonzero(np.cumsum(marks)[:-1] == 0)]
+            removed.append(totals[-1] - len(words))
+            texts.append(b" ".join(words))
+        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(totals, pa.int64()), pa.array(removed, pa.int64()), pa.array(texts, pa.binary()).cast(pa.string())], ["_row", "n_words", "n_removed", "kept_text"])
 
 
 def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
