@@ -155,10 +155,10 @@ def score_texts(docs: DataFrame, model: Model, text: str = "text", output: str =
             scores, found = [], []
             for piece in steps(iter([batch])):
                 s = Sentences(piece.column(0))
-                z = np.clip(shared.value.sentence_logits(s), -700, 700)
-                scores.append(-np.expm1(-np.bincount(s.of, np.logaddexp(0, z), minlength=piece.num_rows)))
+                z = np.minimum(shared.value.sentence_logits(s), 700)
+                scores.append(0.0 - np.expm1(-np.bincount(s.of, np.logaddexp(0, z), minlength=piece.num_rows)))
                 lists: list[list] = [[] for _ in range(piece.num_rows)]
-                chance = 1 / (1 + np.exp(-z))
+                chance = np.exp(np.minimum(z, 0) - np.logaddexp(0, -np.abs(z)))
                 for k in np.flatnonzero(chance >= OFFENDING):
                     lists[s.of[k]].append((int(s.number[k]), float(chance[k])))
                 for i, marks in enumerate(lists):
