@@ -244,20 +244,17 @@ def slot_counts(df: DataFrame, slots_of, slots: int) -> np.ndarray:
     return out
 
 
-_FILTER_BITS = 1 << 22
+_FILTER_SLOTS = 1 << 20
 
 
 def likely_in(df: DataFrame, key: str, keys: DataFrame, keep: str | None = None) -> DataFrame:
-    """Rows of df whose key may be among keys(key): a table of fixed size (4 million slots) leaves most others out before a join.
-    It never drops a row that the join would keep; where it is full it keeps all, and the join decides as before. With `keep`, all
-    rows stay and a column of that name says whether the join is needed."""
-    slot = lambda c: F.pmod(F.xxhash64(F.col(c)), F.lit(_FILTER_BITS)).cast("int")
-    found = slot_counts(keys.select(slot(key).alias("slot")), lambda b: b.column(0).to_numpy(zero_copy_only=False), _FILTER_BITS)
-    bits = df.sparkSession.sparkContext.broadcast(np.packbits(found > 0))
-
-    @F.pandas_udf("boolean")
-    def may(slots: pd.Series) -> pd.Series:
-        at = slots.to_numpy()
-        return pd.Series((bits.value[at >> 3] >> (7 - (at & 7)) & 1).astype(bool))
-
-    return df.withColumn(keep, may(slot(key))) if keep else df.where(may(slot(key)))
+    """Rows of df whose key may be among keys(key): the hashed slots of the keys, at most a million rows and so safe to broadcast,
+    leave most others out before a join. It never drops a row that the join would keep; where all slots are taken it keeps all, and
+    the join decides as before. With `keep`, all rows stay and a column of that name says whether the join is needed."""
+    slot = F.pmod(F.xxhash64(F.col(key)), F.lit(_FILTER_SLOTS)).cast("int")
+    slots = F.broadcast(keys.select(slot.alias("_slot")).distinct())
+    rows = df.withColumn("_mine", slot)
+    if keep:
+        marked = rows.join(slots, F.col("_mine") == F.col("_slot"), "left")
+        return marked.withColumn(keep, F.col("_slot").isNotNull()).drop("_mine", "_slot")
+    return rows.join(slots, F.col("_mine") == F.col("_slot"), "left_semi").drop("_mine")

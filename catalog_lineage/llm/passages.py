@@ -25,7 +25,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-from catalog_lineage.llm.common import Words, cut, likely_in, mix, packed, powers, rolling, separators, steps, table, text_or_empty, within
+from catalog_lineage.llm.common import Words, cut, likely_in, mix, packed, powers, rolling, separators, steps, table, within
 
 WINDOW, SEED = 50, 10
 _SPACE = separators("space")
@@ -130,19 +130,25 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     own = docs.drop("n_words", "n_removed", "kept_text")
     spans = cut(repeated_windows(docs))
 
-    keys = packed(own, version=F.shiftright(F.xxhash64("text"), 32).cast("int"), doc_id=F.col("doc_id").cast("long"), text=text_or_empty())
+    keys = packed(own, version=F.shiftright(F.xxhash64("text"), 32).cast("int"), doc_id=F.col("doc_id").cast("long"))
     marked = likely_in(keys.where("doc_id is not null"), "doc_id", spans.select("doc_id"), keep="may")
     nothing = F.lit(None).cast(spans.schema["spans"].dataType)
     # Rows that surely have no spans need no join.
-    joined = marked.where("may").join(spans, ["doc_id", "version"], "left").select("_row", "text", "spans")
-    plain = marked.where("not may").unionByName(keys.where("doc_id is null"), allowMissingColumns=True).select("_row", "text", nothing.alias("spans"))
+    joined = marked.where("may").join(spans, ["doc_id", "version"], "left").select("_row", "spans")
+    plain = marked.where("not may").unionByName(keys.where("doc_id is null"), allowMissingColumns=True).select("_row", nothing.alias("spans"))
     rows = joined.unionByName(plain)
     added = "n_words long, n_removed long, kept_text string"
     return rows.mapInArrow(_cleaned, T.StructType([rows.schema["_row"], *T.StructType.fromDDL(added).fields])).select("_row.*", "n_words", "n_removed", "kept_text")
 
 
 def _cleaned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in steps(batches, limit=1 << 21):
+    for batch in batches:
+        texts = batch.column(0).field("text").cast(pa.string()).fill_null("")
+        yield from _kept(pa.RecordBatch.from_arrays([batch.column(0), texts, batch.column(1)], ["_row", "text", "spans"]))
+
+
+def _kept(whole: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    for batch in steps(iter([whole]), limit=1 << 21):
         totals, removed, texts = [], [], []
         for text, spans in zip(batch.column(1), batch.column(2)):
             words = text.as_buffer().to_pybytes().split()
