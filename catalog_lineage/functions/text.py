@@ -8,17 +8,6 @@ from ..vocab import PREVIEW_SECRET_PATTERN, SECRET_PATTERN
 
 WHITESPACE = " \t\n\r\x0b\x0c"
 QUOTED = r"'(?:[^']++|'')*+'" + "|" + r'"(?:[^"]++|"")*+"'
-MAX_NESTING = 16
-
-
-def _balanced(depth: int) -> str:
-    level = rf"(?:[^()'\"]++|{QUOTED})*+"
-    for _ in range(depth):
-        level = rf"(?:[^()'\"]++|{QUOTED}|\({level}\))*+"
-    return level
-
-
-BALANCED = _balanced(MAX_NESTING)
 
 
 def col(c: Column | str) -> Column:

@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window as W, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from .. import vocab
-from ..functions.text import BALANCED, QUOTED, WHITESPACE, clean, col, is_identifier, norm_key, trim_all, unquote
-from .window import asof_last, cut, sample_per_group
+from ..functions.text import QUOTED, WHITESPACE, clean, col, is_identifier, norm_key, trim_all, unquote
+from . import scan
+from .window import asof_last, sample_per_group
 
 LINE_BREAK = "\r\n|[\n\r\x0b\x0c\x1c\x1d\x1e\x85  ]"
 COMMENT = {"#": r"#[^\r\n]*", "//": r"//[^\r\n]*", "/*": r"/\*[\s\S]*?(?:\*/|\z)"}
@@ -63,46 +64,22 @@ def explode_lines(code: DataFrame, text: str = "code") -> DataFrame:
     )
 
 
-STATEMENT = rf"(?:[^;'\"()]++|{QUOTED}|\({BALANCED}\)|{OPEN_QUOTE}|\([\s\S]*|\))*+(?:;|\z)"
-
-
-def statement_array(c: Column) -> Column:
-    return F.regexp_extract_all(c, F.lit(STATEMENT), F.lit(0))
-
-
 def explode_statements(code: DataFrame, text: str = "code", styles=("#", "//", "/*")) -> DataFrame:
     """One row per statement, closed by ';' outside quotes and parentheses, with its start line."""
     keep = [c for c in code.columns if c != text]
-    staged = code.withColumn("_st", statement_array(mask_comments(text, styles)))
-    starts = F.aggregate(
-        "_st",
-        F.struct(F.lit(1).alias("line"), F.array().cast("array<int>").alias("starts")),
-        lambda s, t: F.struct(
-            (s["line"] + F.length(F.regexp_replace(t, r"[^\n]", ""))).alias("line"),
-            F.array_append(s["starts"], s["line"]).alias("starts"),
-        ),
-    )["starts"]
+    found = scan.statement_rows(mask_comments(text, styles), rest_in_open=True)
     return (
-        staged.withColumn("_starts", starts)
-        .select(*keep, F.posexplode(F.arrays_zip("_st", "_starts")).alias("statement_position", "_s"))
-        .select(*keep, "statement_position", F.col("_s._starts").alias("statement_line"), clean("_s._st").alias("statement"))
+        code.select(*keep, F.posexplode(found).alias("statement_position", "_s"))
+        .select(*keep, "statement_position", (F.col("_s.lines_before") + 1).alias("statement_line"), clean("_s.text").alias("statement"))
         .where(F.col("statement") != "")
     )
 
 
 # ---- X3 calls -------------------------------------------------------------------
 
-def _call_pattern(names: str) -> str:
-    return rf"(?i){QUOTED}|{OPEN_QUOTE}|\n|\b(?=((?:{names})\s*\({BALANCED}\)))"
-
-
 def call_arguments(call: Column | str) -> Column:
     """Trimmed arguments of a call; empty arguments survive, an empty list has none."""
-    inside = F.regexp_extract(col(call), r"(?s)^[^(]*\((.*)\)$", 1)
-    parts = F.regexp_extract_all(
-        F.concat(inside, F.lit(",")), F.lit(rf"((?:[^(),'\"]++|{QUOTED}|\({BALANCED}\))*+),"), F.lit(1)
-    )
-    return F.when(clean(inside) == "", F.array().cast("array<string>")).otherwise(trim_all(parts))
+    return scan.argument_rows(col(call))
 
 
 def extract_calls(df: DataFrame, names, text: str = "line_text", line: str | None = "line_number") -> DataFrame:
@@ -111,30 +88,13 @@ def extract_calls(df: DataFrame, names, text: str = "line_text", line: str | Non
     Names inside quoted text are not calls, unbalanced calls are left out. With ``line`` the input is one row per
     line; with ``line=None`` the text spans lines and the line of each call is counted.
     """
-    pattern = F.lit(_call_pattern("|".join(sorted(names, key=lambda n: (-len(n), n)))))
+    named = "|".join(sorted(names, key=lambda n: (-len(n), n)))
     keep = [c for c in df.columns if c != text]
-    # a literal test first: most lines of most code call nothing, and the nested pattern is the costly one
-    staged = df.where(F.rlike(col(text), F.lit(r"(?i)\b(?:" + "|".join(names) + r")\s*\(")))
-    staged = staged.withColumn("_calls", F.regexp_extract_all(col(text), pattern, F.lit(1)))
-    if line is None:
-        staged = staged.withColumn("_marks", F.regexp_extract_all(col(text), pattern, F.lit(0)))
-        lines = F.aggregate(
-            "_marks",
-            F.struct(F.lit(1).alias("line"), F.array().cast("array<int>").alias("at")),
-            lambda s, t: F.struct(
-                (s["line"] + F.length(F.regexp_replace(t, r"[^\n]", ""))).alias("line"),
-                F.array_append(s["at"], s["line"]).alias("at"),
-            ),
-        )["at"]
-        zipped = F.arrays_zip(F.col("_calls").alias("call"), lines.alias("line"))
-        rows = staged.select(*keep, F.posexplode(zipped).alias("call_position", "_c"))
-        rows = rows.select(*keep, "call_position", F.col("_c.call").alias("call_text"), F.col("_c.line").alias("line_number"))
-    else:
-        rows = staged.select(*keep, F.posexplode("_calls").alias("call_position", "call_text"))
-    return rows.where(F.col("call_text") != "").withColumns({
-        "function_name": F.regexp_extract("call_text", r"^([A-Za-z_][A-Za-z0-9_]*)", 1),
-        "arguments": call_arguments("call_text"),
-    })
+    # a literal test first: most lines of most code call nothing and need no scan
+    staged = df.where(F.rlike(col(text), F.lit(rf"(?i)\b(?:{named})\s*\(")))
+    rows = staged.select(*keep, F.posexplode(scan.call_rows(col(text), named)).alias("call_position", "_c"))
+    lines = [F.col("_c.line").alias("line_number")] if line is None else []
+    return rows.select(*keep, "call_position", F.col("_c.call").alias("call_text"), *lines, F.col("_c.name").alias("function_name"), F.col("_c.arguments").alias("arguments"))
 
 
 # ---- X4 registry ------------------------------------------------------------------
@@ -157,7 +117,7 @@ def apply_registry(calls: DataFrame, registry: DataFrame) -> DataFrame:
 # ---- X5/X6 symbols and expressions -----------------------------------------------------
 
 ASSIGNMENT = r"(?s)^\s*([A-Za-z_][A-Za-z0-9_]*)\s*=\s*(.*?)\s*;?\s*$"
-CONCAT_PART = rf"((?:[^|'\"()]++|{QUOTED}|\({BALANCED}\)|['\"()])*+)\|"
+FLAT_PART = rf"((?:[^|'\"]++|{QUOTED}|['\"])*+)\|"
 
 
 def expression_text(c: Column | str) -> Column:
@@ -166,7 +126,9 @@ def expression_text(c: Column | str) -> Column:
 
 def concat_parts(c: Column | str) -> Column:
     """Parts of a '|' concatenation; a plain expression is its own single part."""
-    return trim_all(F.regexp_extract_all(F.concat(col(c), F.lit("|")), F.lit(CONCAT_PART), F.lit(1)))
+    nests = F.contains(col(c), F.lit("("))
+    flat = trim_all(F.regexp_extract_all(F.concat(col(c), F.lit("|")), F.lit(FLAT_PART), F.lit(1)))
+    return F.when(nests, scan.nested_parts(F.when(nests, col(c)))).otherwise(flat)
 
 
 def assignments(lines: DataFrame, text: str = "line_text") -> DataFrame:
@@ -184,69 +146,43 @@ def resolve_symbols(statements: DataFrame, keys, order: str, is_assign: Column,
     return asof_last(statements, keys, order, is_assign, value, "value_at_use", bucket_width)
 
 
-def resolve_expressions(defs: DataFrame, uses: DataFrame, scope: str = "process_name",
-                        bucket_width: int | None = None) -> DataFrame:
-    """Resolve literals, variables and '|' concatenations of them.
+def resolve_lists(defs: DataFrame, uses: DataFrame, scope: str = "process_name") -> DataFrame:
+    """Resolve literals, variables and '|' concatenations of them, in one pass over each scope.
 
-    ``defs(scope, seq, variable, expression)`` are assignments; ``uses(use_id, scope, seq, expression)`` are
-    expressions to resolve. A use sees assignments at its own seq; an assignment sees only earlier ones. Returns
-    ``use_id, expression, resolved_value, confidence``. Which assignment a variable means is settled once; values
-    then flow along those links, one round per link of the longest chain.
+    ``defs(scope, seq, variable, expression)`` are assignments; ``uses(scope, seq, expressions, payload)`` hold expressions to
+    resolve. A use sees assignments at its own seq; an assignment sees only earlier ones; of assignments of one variable at one
+    seq the last in text order counts. The rows of a scope are sorted by seq and streamed, with the variables' present values as
+    the only state, so a chain of any length costs its own length. Returns the payload's columns and ``resolved_values``.
     """
-    def_rows = defs.select(
-        F.concat_ws("\u001f", F.lit("d"), col(scope), F.col("seq").cast("string"), norm_key("variable")).alias("rid"),
-        col(scope).alias("scope"), (F.col("seq").cast("bigint") * 2 + 1).alias("at"),
-        norm_key("variable").alias("var"), F.col("expression"), F.lit(True).alias("is_def"),
-    )
-    use_rows = uses.select(
-        F.concat_ws("\u001f", F.lit("u"), F.col("use_id").cast("string")).alias("rid"),
-        col(scope).alias("scope"), (F.col("seq").cast("bigint") * 2 + 2).alias("at"),
-        F.lit(None).cast("string").alias("var"), F.col("expression"), F.lit(False).alias("is_def"),
-    )
-    parts = def_rows.unionByName(use_rows).select(
-        "rid", "scope", "at", "is_def", F.posexplode(concat_parts("expression")).alias("pos", "part")
-    )
-    wants = cut(parts.withColumns({
-        "literal": unquote("part"),
-        "var": F.when(is_identifier("part"), norm_key("part")),
-        # an assignment reads its inputs before it takes effect
-        "at": F.when(F.col("is_def"), F.col("at") - 1).otherwise(F.col("at")),
-    }).drop("part", "is_def"))
-    reads = wants.where(F.col("var").isNotNull()).select("scope", "var", "at", "rid", "pos", F.lit(False).alias("sets"))
-    sets = def_rows.select("scope", "var", "at", "rid", F.lit(-1).alias("pos"), F.lit(True).alias("sets"))
-    linked = asof_last(
-        sets.unionByName(reads), ["scope", "var"], "at", F.col("sets"), F.col("rid"), "source_rid", bucket_width
-    ).where(~F.col("sets")).select("rid", "pos", "source_rid")
-    links = cut(
-        wants.join(linked, ["rid", "pos"], "left").select("rid", "pos", "literal", "source_rid")
-    )
-    ready = F.col("literal").isNotNull()
-
-    def complete(known: DataFrame) -> DataFrame:
-        return known.groupBy("rid").agg(
-            F.bool_and(ready).alias("ok"),
-            F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("pos", "literal"))), lambda p: p["literal"]), "").alias("value"),
-        ).where("ok").select("rid", "value")
-
-    solved = cut(complete(links))
-    fresh, pending = solved, links
-    while not fresh.isEmpty():
-        filled = pending.join(fresh.select(F.col("rid").alias("source_rid"), F.col("value").alias("_v")), "source_rid", "left")
-        pending = cut(
-            filled.join(fresh.select("rid"), "rid", "left_anti").select(
-                "rid", "pos", F.coalesce("literal", "_v").alias("literal"), "source_rid"
-            )
-        )
-        fresh = cut(complete(pending))
-        solved = solved.unionByName(fresh)
-    answer = solved.where(F.startswith("rid", F.lit("u\u001f"))).withColumn("use_id", F.substring_index("rid", "\u001f", -1))
-    text = expression_text("expression")
-    joined = uses.withColumn("use_id", F.col("use_id").cast("string")).join(answer.select("use_id", "value"), "use_id", "left")
-    return joined.select(
-        "use_id", "expression",
-        F.coalesce("value", text).alias("resolved_value"),
-        F.when(F.col("value").isNull(), "UNRESOLVED").when(unquote(text).isNotNull(), "CONFIRMED").otherwise("RESOLVED").alias("confidence"),
+    payload = uses.schema["payload"].dataType
+    nothing = F.lit(None)
+    rows = defs.select(
+        col(scope).alias("scope"), F.col("seq").cast("bigint").alias("seq"), F.lit(0).alias("kind"), norm_key("variable").alias("variable"),
+        F.array("expression").alias("expressions"), nothing.cast(payload).alias("payload"),
+    ).unionByName(uses.select(
+        col(scope).alias("scope"), F.col("seq").cast("bigint").alias("seq"), F.lit(1).alias("kind"), nothing.cast("string").alias("variable"),
+        F.col("expressions").cast("array<string>").alias("expressions"), "payload",
+    ))
+    ordered = rows.repartition("scope").sortWithinPartitions("scope", "seq", "kind", "expressions")
+    schema = T.StructType([T.StructField("payload", payload), T.StructField("resolved_values", T.ArrayType(T.StringType()))])
+    return ordered.mapInArrow(scan.resolve_stream, schema).select("payload.*", "resolved_values")
+
+
+def rated(expression: Column, value: Column) -> tuple[Column, Column]:
+    """Resolved value of an expression (its own text where there is none) and how sure it is."""
+    text = expression_text(expression)
+    sure = F.when(value.isNull(), "UNRESOLVED").when(unquote(text).isNotNull(), "CONFIRMED").otherwise("RESOLVED")
+    return F.coalesce(value, text), sure
+
+
+def resolve_expressions(defs: DataFrame, uses: DataFrame, scope: str = "process_name") -> DataFrame:
+    """resolve_lists for ``uses(use_id, scope, seq, expression)``; returns ``use_id, expression, resolved_value, confidence``."""
+    listed = uses.select(
+        col(scope), "seq", F.array("expression").alias("expressions"),
+        F.struct(F.col("use_id").cast("string").alias("use_id"), "expression").alias("payload"),
     )
+    value, sure = rated(F.col("expression"), F.col("resolved_values")[0])
+    return resolve_lists(defs, listed, scope).select("use_id", "expression", value.alias("resolved_value"), sure.alias("confidence"))
 
 
 # ---- X7/X8 targets ---------------------------------------------------------------------
@@ -314,27 +250,17 @@ def process_evidence(code: DataFrame, registry: DataFrame, names=None) -> DataFr
     lines = explode_lines(code).withColumn(
         "seq", procedure_rank("procedure").cast("bigint") * 1_000_000_000 + F.col("line_number")
     )
-    # mining the text is the costly part and its rows are read three times below
-    calls = cut(apply_registry(extract_calls(lines, names), registry).drop("parent_expression", "hierarchy_expression", "attribute_expression")).withColumn(
-        "call_id", F.concat_ws("\u001e", "process_name", F.col("seq").cast("string"), F.col("call_position").cast("string"))
-    )
-    roles = F.array(
-        *[F.struct(F.lit(role).alias("role"), argument(arg).alias("expression")) for role, arg in PART_ROLES.items()],
-        F.struct(F.lit("last").alias("role"), F.try_element_at("arguments", F.lit(-1)).alias("expression")),
-    )
-    uses = (
-        calls.select("call_id", "process_name", "seq", F.explode(F.filter(roles, lambda r: r["expression"].isNotNull())).alias("r"))
-        .select(F.concat_ws("\u001d", "call_id", "r.role").alias("use_id"), "process_name", "seq", "r.expression")
-    )
-    solved = resolve_expressions(assignments(lines), uses).select(
-        F.substring_index("use_id", "\u001d", 1).alias("call_id"),
-        F.substring_index("use_id", "\u001d", -1).alias("role"), "resolved_value", "confidence",
-    )
-    wide = solved.groupBy("call_id").agg(*[
-        F.max(F.when(F.col("role") == role, F.col(source))).alias(f"{role}_{suffix}")
-        for role in [*PART_ROLES, "last"] for source, suffix in (("resolved_value", "value"), ("confidence", "confidence"))
-    ])
-    composed = compose_target(calls.join(wide, "call_id", "left"))
+    calls = apply_registry(extract_calls(lines, names), registry).drop("parent_expression", "hierarchy_expression", "attribute_expression")
+    roles = [*PART_ROLES, "last"]
+    expressions = F.array(*[argument(arg) for arg in PART_ROLES.values()], F.try_element_at("arguments", F.lit(-1)))
+    uses = calls.withColumn("expressions", expressions).select("process_name", "seq", "expressions", F.struct(*calls.columns, "expressions").alias("payload"))
+    solved = resolve_lists(assignments(lines), uses)
+    wide = {}
+    for i, role in enumerate(roles):
+        given = F.col("expressions")[i]
+        value, sure = rated(given, F.col("resolved_values")[i])
+        wide |= {f"{role}_value": F.when(given.isNotNull(), value), f"{role}_confidence": F.when(given.isNotNull(), sure)}
+    composed = compose_target(solved.withColumns(wide))
     writes = ("WRITES_TO_CUBE", "INCREMENTS_CUBE", "SPREADS_TO_CUBE")
     return rewrite_edges(composed).select(
         "process_name", "procedure", "line_number", "function_name", "relationship_type", "target_type", "target_name",
@@ -355,19 +281,10 @@ def rule_evidence(rules: DataFrame, registry: DataFrame, names=None, styles=("#"
 
 def with_feeder(df: DataFrame, text: str = "code") -> DataFrame:
     """Statements of rule text, cut at ';' outside quotes, flagged as feeders when they hold '=>'."""
-    pieces = F.regexp_extract_all(col(text), F.lit(rf"(?:[^;'\"()]++|{QUOTED}|\({BALANCED}\)|{OPEN_QUOTE}|[()])*+(?:;|\z)"), F.lit(0))
     keep = [c for c in df.columns if c != text]
-    starts = F.aggregate(
-        "_st",
-        F.struct(F.lit(0).alias("line"), F.array().cast("array<int>").alias("starts")),
-        lambda s, t: F.struct(
-            (s["line"] + F.length(F.regexp_replace(t, r"[^\n]", ""))).alias("line"), F.array_append(s["starts"], s["line"]).alias("starts")
-        ),
-    )["starts"]
     return (
-        df.withColumn("_st", pieces).withColumn("_starts", starts)
-        .select(*keep, F.posexplode(F.arrays_zip("_st", "_starts")).alias("statement_position", "_s"))
-        .select(*keep, "statement_position", F.col("_s._starts").alias("lines_before"), F.col("_s._st").alias("statement"))
+        df.select(*keep, F.posexplode(scan.statement_rows(col(text), rest_in_open=False)).alias("statement_position", "_s"))
+        .select(*keep, "statement_position", F.col("_s.lines_before").alias("lines_before"), F.col("_s.text").alias("statement"))
         .where(clean("statement") != "")
         .withColumn("is_feeder", F.contains("statement", F.lit("=>")))
     )
@@ -444,24 +361,12 @@ ANY_NAME = r"[A-Za-z_][A-Za-z0-9_]*"
 
 def discovered_calls(rules: DataFrame, text: str = "rule_text", key: str = "cube_name", styles=("#", "//", "/*")) -> DataFrame:
     """Every name followed by '(' outside quotes and comments, with its line and whether it closes."""
-    opened = rf"{QUOTED}|{OPEN_QUOTE}|\n|\b({ANY_NAME})\s*(?=(\({BALANCED}\))?)\("
     staged = rules.where(clean(text) != "").select(key, mask_quoted(mask_comments(text, styles)).alias("_t"))
-    marks = {g: F.regexp_extract_all("_t", F.lit(opened), F.lit(g)) for g in (0, 1, 2)}
-    lines = F.aggregate(
-        "_m0",
-        F.struct(F.lit(1).alias("line"), F.array().cast("array<int>").alias("at")),
-        lambda s, t: F.struct(
-            (s["line"] + F.length(F.regexp_replace(t, r"[^\n]", ""))).alias("line"), F.array_append(s["at"], s["line"]).alias("at")
-        ),
-    )["at"]
     return (
-        staged.withColumns({f"_m{g}": m for g, m in marks.items()})
-        .withColumn("_z", F.arrays_zip(F.col("_m1").alias("name"), F.col("_m2").alias("body"), lines.alias("line")))
-        .select(key, F.posexplode("_z").alias("call_position", "_c"))
-        .where(F.col("_c.name") != "")
+        staged.select(key, F.posexplode(scan.call_rows(F.col("_t"), ANY_NAME, complete=False)).alias("call_position", "_c"))
         .select(
             key, "call_position", F.upper("_c.name").alias("function_name"), F.col("_c.line").alias("line_number"),
-            F.concat("_c.name", "_c.body").alias("expression"), (F.col("_c.body") != "").alias("is_complete"),
+            F.coalesce("_c.call", "_c.name").alias("expression"), F.col("_c.call").isNotNull().alias("is_complete"),
         )
     )
 

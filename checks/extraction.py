@@ -81,7 +81,7 @@ def resolve_concat(d):
     expression = F.expr("CASE kind WHEN 'lit' THEN chr(39) || 'L' || CAST(seq % 50 AS STRING) || chr(39) WHEN 'concat' THEN dep || ' | ' || chr(39) || '_s' || chr(39) WHEN 'bad' THEN 'STR(1, 2)' ELSE variable END")
     defs = rows.where("kind <> 'use'").select("process_name", "seq", "variable", expression.alias("expression"))
     uses = rows.where("kind = 'use'").select(F.col("seq").alias("use_id"), "process_name", "seq", expression.alias("expression"))
-    return extract.resolve_expressions(defs, uses, bucket_width=2000).select("use_id", "resolved_value", "confidence")
+    return extract.resolve_expressions(defs, uses).select("use_id", "resolved_value", "confidence")
 
 
 @check("target_compose", """
