@@ -148,6 +148,12 @@ def positive_int(c: Column | str, default: int = 1) -> Column:
     return F.when(number > 0, number).otherwise(F.lit(default))
 
 
+def padded(c: Column | str, width: int = 4) -> Column:
+    """Number as text with leading zeros; longer numbers stay whole."""
+    number = col(c).cast("string")
+    return F.when(F.char_length(number) < width, F.lpad(number, width, "0")).otherwise(number)
+
+
 def only_item(array: Column | str) -> Column:
     values = col(array)
     return F.when(F.size(values) == 1, values[0])

@@ -371,8 +371,8 @@ def discovered_calls(rules: DataFrame, text: str = "rule_text", key: str = "cube
     )
 
 
-def function_coverage(rules: DataFrame, registry: DataFrame, key: str = "cube_name", samples: int = 5) -> DataFrame:
-    """One row per function: occurrences, cubes, registry status and the first sample calls."""
+def function_coverage(rules: DataFrame, registry: DataFrame | None = None, key: str = "cube_name", samples: int = 5) -> DataFrame:
+    """One row per function that rules call: occurrences, cubes, what the coverage registry knows of it and the first sample calls."""
     calls = discovered_calls(rules, key=key).where("is_complete")
     counts = calls.groupBy("function_name").agg(
         F.count("*").alias("occurrence_count"), F.count_distinct(key).alias("cube_count")
@@ -383,32 +383,37 @@ def function_coverage(rules: DataFrame, registry: DataFrame, key: str = "cube_na
         .agg(F.transform(F.array_sort(F.collect_list(F.struct("sample_rank", key, "line_number", "expression"))),
                          lambda s: F.concat_ws(":", s[key], s["line_number"].cast("string"))).alias("sample_evidence"))
     )
-    known = registry.select(
-        F.col("function_key").alias("function_name"), F.col("relationship").alias("relationship_type"),
-        F.col("registry_target_type").alias("target_object_type"), F.lit("SUPPORTED").alias("_status"), F.lit("DIRECT").alias("_category"),
-    ).dropDuplicates(["function_name"])
+    known = (registry if registry is not None else vocab.function_coverage(rules.sparkSession)).withColumn("_known", F.lit(True))
+    unknown = F.lit("REVIEW_REQUIRED")
     return counts.join(evidence, "function_name").join(known, "function_name", "left").select(
         "function_name", "occurrence_count", "cube_count",
-        F.coalesce("_status", F.lit("REVIEW_REQUIRED")).alias("parser_status"),
-        F.coalesce("_category", F.lit("REVIEW_REQUIRED")).alias("lineage_category"),
+        F.coalesce("parser_status", unknown).alias("parser_status"), F.coalesce("lineage_category", unknown).alias("lineage_category"),
         "relationship_type", "target_object_type",
-        F.when(F.col("_status").isNull(), "UNCLASSIFIED").otherwise("CLASSIFIED").alias("registry_status"), "sample_evidence",
+        F.when(F.col("_known"), "CLASSIFIED").otherwise("UNCLASSIFIED").alias("registry_status"), "sample_evidence",
     )
 
 
-def coverage_summary(profile: DataFrame) -> DataFrame:
-    """Coverage percentages over the function profile."""
-    total = F.sum("occurrence_count")
-    part = lambda cond: F.coalesce(F.sum(F.when(cond, F.col("occurrence_count"))), F.lit(0))
+def malformed_calls(rules: DataFrame, key: str = "cube_name") -> DataFrame:
+    """Calls whose parenthesis never closes, one row each."""
+    return discovered_calls(rules, key=key).where(~F.col("is_complete")).select(key, "function_name", "line_number")
+
+
+def coverage_summary(profile: DataFrame, rules: DataFrame, key: str = "cube_name") -> DataFrame:
+    """Counts and coverage percentages over the function profile of rules, in one row."""
+    sums = lambda cond: F.coalesce(F.sum(F.when(cond, F.col("occurrence_count"))), F.lit(0))
     percent = lambda n, d: F.when(d > 0, F.round(100.0 * n / d, 2)).otherwise(F.lit(100.0))
-    classified = part(F.col("registry_status") == "CLASSIFIED")
-    lineage = part(F.col("lineage_category").isin("DIRECT", "CONTEXTUAL"))
-    supported = part(F.col("lineage_category").isin("DIRECT", "CONTEXTUAL") & (F.col("parser_status") == "SUPPORTED"))
-    return profile.agg(
-        F.count("*").alias("unique_function_count"),
-        F.count_if(F.col("registry_status") == "CLASSIFIED").alias("classified_function_count"),
-        F.coalesce(total, F.lit(0)).alias("total_function_occurrences"),
-        classified.alias("classified_occurrences"),
-        percent(classified, total).alias("syntactic_coverage_percent"),
-        percent(supported, lineage).alias("lineage_coverage_percent"),
+    classified, of_lineage = F.col("registry_status") == "CLASSIFIED", F.col("lineage_category").isin("DIRECT", "CONTEXTUAL")
+    supported, total = F.col("parser_status") == "SUPPORTED", F.coalesce(F.sum("occurrence_count"), F.lit(0))
+    open_status = F.col("parser_status").isin("NOT_SUPPORTED", "PARTIALLY_SUPPORTED", "REVIEW_REQUIRED")
+    counts = profile.agg(
+        F.count("*").alias("unique_function_count"), F.count_if(classified).alias("classified_function_count"), F.count_if(~classified).alias("unclassified_function_count"),
+        total.alias("total_function_occurrences"), sums(classified).alias("classified_occurrences"), sums(supported).alias("supported_occurrences"),
+        sums(of_lineage).alias("lineage_function_occurrences"), sums(of_lineage & supported).alias("supported_lineage_occurrences"),
+        sums(F.col("lineage_category") == "DYNAMIC").alias("dynamic_function_occurrences"),
+        percent(sums(classified), total).alias("syntactic_coverage_percent"), percent(sums(of_lineage & supported), sums(of_lineage)).alias("lineage_coverage_percent"),
+        # names of functions, of which there are few
+        F.array_sort(F.collect_set(F.when(open_status, F.col("function_name")))).alias("unsupported_or_review_functions"),
     )
+    ruled = rules.agg(F.count_if(clean("rule_text") != "").alias("ruled_cube_count"))
+    malformed = malformed_calls(rules, key).agg(F.count("*").alias("malformed_call_count"))
+    return counts.crossJoin(F.broadcast(ruled)).crossJoin(F.broadcast(malformed))

@@ -83,9 +83,9 @@ def pair(validations: DataFrame, relationships: DataFrame, row_key: str = "row_k
     )
     bad = counts.where(F.col("validation_count") != F.col("relationship_count"))
     message = F.when(
-        F.col("relationship_count") == 0, "Deferred validation has no matching relationship; semantic_candidate_count=0"
+        F.col("relationship_count") == 0, "No relationship has this key; semantic_candidate_count=0"
     ).otherwise(F.format_string(
-        "Deferred validation group does not reconcile to the relationship group; validation_count=%d; relationship_count=%d",
+        "Validations and relationships of this key differ in number; validation_count=%d; relationship_count=%d",
         F.col("validation_count"), F.col("relationship_count"),
     ))
     errors = rest.join(bad, "semantic_key").select(

@@ -44,11 +44,11 @@ def classify_targets(refs: DataFrame, objects: DataFrame, exceptions: DataFrame
         .when(literal, "BROKEN_REFERENCE").otherwise("RESOLVED_TARGET_NOT_IN_CATALOG")
     )
     reason = (
-        F.when(~dependable, F.coalesce(vocab.lookup(vocab.STATUS_REASONS, dynamic), F.lit("The target could not be resolved to a dependable catalog name.")))
-        .when(deferred.isNotNull(), "The target was resolved, but this target type is outside the current object catalog scope.")
-        .when(hit, "The resolved target matched an object in the catalog.")
-        .when(literal, "The confirmed literal target does not exist in the catalog.")
-        .otherwise("The variable-backed target was resolved, but the resolved name does not exist in the catalog.")
+        F.when(~dependable, F.coalesce(vocab.lookup(vocab.STATUS_REASONS, dynamic), F.lit("No dependable name came out of the expression.")))
+        .when(deferred.isNotNull(), "The name is known, but things of this type are catalogued later.")
+        .when(hit, "The catalog has this object.")
+        .when(literal, "The code names it outright, and the catalog does not have it.")
+        .otherwise("The variable leads to a name that the catalog does not have.")
     )
     result = matched.withColumns({"validation_status": status, "reason": reason})
     shown = F.col("validation_status") == "VALID"
@@ -196,15 +196,15 @@ def match_candidates(refs: DataFrame, candidates: DataFrame, ambiguous_exact: bo
         .otherwise(F.when(n == 1, "UNIQUE_GLOBAL_MATCH").when(n > 1, "AMBIGUOUS_MATCH").otherwise(miss))
     )
     supplied = (
-        F.when(F.col("_dynamic"), "Expression contains dynamic tokens")
-        .when(F.col("candidate_level").isNull(), "Required parent or target name is missing")
-        .when(F.col("candidate_level") == "FULL", "Dimension, hierarchy, and target name were supplied")
-        .when(F.col("_deep") & (F.col("candidate_level") == "PARENT"), "Dimension and target name were supplied without hierarchy")
-        .when(F.col("_deep"), "Only target name was supplied")
-        .when((domain == "HIERARCHY") & (F.col("candidate_level") == "PARENT"), "Dimension and hierarchy were supplied")
-        .when(domain == "HIERARCHY", "Hierarchy name was supplied without dimension")
-        .when(F.col("candidate_level") == "PARENT", "Cube and view were supplied")
-        .otherwise("View name was supplied without cube")
+        F.when(F.col("_dynamic"), "The expression depends on the run")
+        .when(F.col("candidate_level").isNull(), "A name that the lookup needs is missing")
+        .when(F.col("candidate_level") == "FULL", "Looked up by dimension, hierarchy and name")
+        .when(F.col("_deep") & (F.col("candidate_level") == "PARENT"), "Looked up by dimension and name, hierarchy unknown")
+        .when(F.col("_deep"), "Looked up by name alone")
+        .when((domain == "HIERARCHY") & (F.col("candidate_level") == "PARENT"), "Looked up by dimension and hierarchy")
+        .when(domain == "HIERARCHY", "Looked up by hierarchy, dimension unknown")
+        .when(F.col("candidate_level") == "PARENT", "Looked up by cube and view")
+        .otherwise("Looked up by view, cube unknown")
     )
     rel = token("relationship_type")
     creates, deletes = rel.isin(*vocab.CREATE_TYPES), rel.isin(*vocab.DELETE_TYPES)
@@ -213,9 +213,9 @@ def match_candidates(refs: DataFrame, candidates: DataFrame, ambiguous_exact: bo
     return joined.withColumns({
         "match_classification": F.when((base == miss) & creates, "VALID_CREATE_TARGET").when((base == miss) & deletes, "MISSING_DELETE_TARGET")
         .when(found & creates, "EXISTING_CREATE_TARGET").otherwise(base),
-        "match_reason": F.concat(supplied, F.when((base == miss) & creates, "; absent target is valid for a create operation")
-                                 .when((base == miss) & deletes, "; delete target is absent")
-                                 .when(found & creates, "; create target already exists").otherwise("")),
+        "match_reason": F.concat(supplied, F.when((base == miss) & creates, "; a create needs no such entry")
+                                 .when((base == miss) & deletes, "; nothing there to delete")
+                                 .when(found & creates, "; already there before the create").otherwise("")),
         "candidate_count": shown.cast("bigint"),
         "candidate_node_id": F.when(shown == 1, F.when(by_default, F.col("_default")).otherwise(F.col("_one"))),
     }).drop("_dynamic", "_deep", "_all", "_one", "_defaults", "_default")
@@ -321,7 +321,7 @@ def edge_view(edges: DataFrame, semantics: DataFrame, validations: DataFrame, pr
         F.coalesce("label", F.initcap(F.replace("type", F.lit("_"), F.lit(" ")))).alias("label"),
         F.coalesce("category", F.lit("OTHER")).alias("category"),
         F.coalesce("source_role", F.lit("Source")).alias("source_role"), F.coalesce("target_role", F.lit("Target")).alias("target_role"),
-        F.lit("EDGE_DIRECTION").alias("impact_behavior"), "endpoint_state",
+        F.coalesce(opt(semantics, "impact_behavior"), F.lit("EDGE_DIRECTION")).alias("impact_behavior"), "endpoint_state",
         F.coalesce("validation_status", F.lit("UNKNOWN")).alias("validation_status"),
         (F.coalesce(opt(edges, "review_required", "boolean"), F.lit(False)) | F.coalesce("_vr", F.lit(False)) | open_end).alias("review_required"),
         F.coalesce("_has", F.lit(False)).alias("provenance_available"),

@@ -153,13 +153,15 @@ def _touching(edges: DataFrame, node: str) -> DataFrame:
 
 
 def node_summary(nodes: DataFrame, edges: DataFrame, node: str) -> DataFrame:
-    """The node with its degrees and one row per direct edge."""
+    """The node with its degrees and one row per direct edge; without edges one row whose edge columns are null."""
     direct = _touching(edges, node)
     row = node_view(nodes.where(F.col("node_id") == node), direct)
-    return row.crossJoin(direct.select(
+    alone = row.where("inbound_count = 0 and outbound_count = 0")
+    # the node is one row, its edges may be many
+    return direct.crossJoin(F.broadcast(row)).select(*row.columns, *[
         "graph_relationship_id", "relationship_type", F.when(F.col("source_id") == node, F.col("target_id")).otherwise(F.col("source_id")).alias("other_id"),
         F.when(F.col("source_id") == node, "outbound").otherwise("inbound").alias("direction"),
-    ))
+    ]).unionByName(alone, allowMissingColumns=True)
 
 
 def process_story(edges: DataFrame, semantics: DataFrame, name_or_id: str) -> DataFrame:

@@ -159,20 +159,24 @@ def top_k(df: DataFrame, column: str, k: int, first_position: str | None = None)
 
 def search(nodes: DataFrame, text: str, node_type: str | None = None, limit: int = 25, offset: int = 0,
            label: str = "label", node_id: str = "node_id", type_col: str = "node_type") -> DataFrame:
-    """Page of nodes whose label or id holds the text: exact label, then label, then id hits, with the total."""
+    """Page of nodes whose label or id holds the text: exact label, then label, then id hits, with the total and the hits of each
+    type before the type filter. A page past the last hit is one row with the counts alone."""
     needle = " ".join(text.split()).lower()
     low = F.lower(col(label))
     hits = nodes.where(F.contains(F.concat_ws(" ", low, F.lower(col(node_id))), F.lit(needle)))
+    facet = type_facet(hits, type_col).agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct("node_type", "node_count")))).alias("type_counts"))
     if node_type:
         hits = hits.where(F.upper(col(type_col)) == node_type.upper())
     scored = hits.withColumn(
         "score", F.when(low == needle, 0).when(F.contains(low, F.lit(needle)), 1).otherwise(2)
     )
     page = scored.orderBy("score", low, node_id).offset(offset).limit(max(1, min(limit, 500)))
-    return page.crossJoin(F.broadcast(hits.agg(F.count("*").alias("total"))))
+    counts = hits.agg(F.count("*").alias("total")).crossJoin(F.broadcast(facet))
+    return counts.join(F.broadcast(page), F.lit(True), "left").select(*page.columns, "total", "type_counts")
 
 
 def type_facet(nodes: DataFrame, type_col: str = "node_type") -> DataFrame:
+    """How many nodes there are of each type, of which there are few."""
     return nodes.groupBy(F.upper(col(type_col)).alias("node_type")).agg(F.count("*").alias("node_count"))
 
 

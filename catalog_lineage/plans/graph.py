@@ -193,8 +193,8 @@ def project_semantic(domain: str, artifact: str, semantic: DataFrame, relationsh
     rows = cut(rows)
     keep, repeated = split_duplicates(rows, "graph_relationship_id", ["semantic_validation_id", "rel_id"])
     lost = lambda df, record: df.select(F.lit(artifact).alias("source_artifact"), record.alias("source_record_id"), F.lit(None).cast("string").alias("graph_relationship_id"), F.lit("ERROR").alias("projection_outcome"))
-    errors = _error(unpaired, "PAIR_SEMANTIC_SOURCE", artifact, F.col("semantic_validation_id"), "Unable to pair semantic validation to a compatible source relationship").unionByName(
-        _error(repeated, "PROJECT_SEMANTIC_RELATIONSHIP", artifact, F.col("source_record_id"), "Graph relationship ID collision detected"))
+    errors = _error(unpaired, "PAIR_SEMANTIC_SOURCE", artifact, F.col("semantic_validation_id"), "no relationship answers to this validation").unionByName(
+        _error(repeated, "PROJECT_SEMANTIC_RELATIONSHIP", artifact, F.col("source_record_id"), "an earlier row has this edge id"))
     stubs = keep.where(F.col("projection_outcome") != "PROJECTED").select(
         F.col("target_id").alias("node_id"), F.col("target_type").alias("node_type"), F.coalesce(F.nullif("_name", F.lit("")), F.col("_expression")).alias("display_value"),
         F.when(F.col("target_type") == "REFERENCE_EXPRESSION", "DYNAMIC").otherwise("PLANNED").alias("endpoint_state"),
@@ -264,9 +264,9 @@ def build_graph(inputs: GraphInputs, snapshot_id: str = "", promote: bool = True
     checks = reconcile_outcomes(outcomes, edges, everyone, unresolved)
     errors = cut(_all([
         node_errors, *[p.errors for p in parts],
-        _error(wrong, "VALIDATE_GRAPH", "edges", F.col("graph_relationship_id"), "Edge, validation and provenance identities do not reconcile"),
-        _error(coverage.where(~F.col("reconciles")), "VALIDATE_GRAPH", "outcomes", F.col("source_artifact"), "Source relationship counts do not reconcile to projection outcomes"),
-        _error(checks.where(~F.col("pass")), "VALIDATE_GRAPH", "outcomes", F.lit(None), "Projected outcomes or unresolved targets do not reconcile to the graph"),
+        _error(wrong, "VALIDATE_GRAPH", "edges", F.col("graph_relationship_id"), "edges, validations and provenance hold different ids"),
+        _error(coverage.where(~F.col("reconciles")), "VALIDATE_GRAPH", "outcomes", F.col("source_artifact"), "relationships and outcomes differ in number"),
+        _error(checks.where(~F.col("pass")), "VALIDATE_GRAPH", "outcomes", F.lit(None), "outcomes and graph differ"),
     ]))
     outbound, inbound = adjacency(edges)
     summary = distributions(edges, [["relationship_type"], ["endpoint_state"], ["source_type", "target_type"]])

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.classify import is_control, with_scope, with_source_class
 from ..functions.ids import node_id, opt, source_declaration_id, subset_node_id, view_node_id
-from ..functions.text import blank_to_null, clean, first_nonblank, lenient_int, norm_key
+from ..functions.text import blank_to_null, clean, first_nonblank, lenient_int, norm_key, padded
 from ..operators.window import first_wins, first_wins_by_name, split_duplicates
 
 
@@ -69,7 +69,7 @@ def _cube_dimensions(df: DataFrame, dimensions: DataFrame | None) -> DataFrame:
     else:
         status = F.lit("VALID")
     place = F.col("_pos") + 1
-    edge_id = F.concat_ws("::", F.lit("cube-dimension"), clean("cube_name"), F.lpad(place.cast("string"), 4, "0"), clean("dimension_name"))
+    edge_id = F.concat_ws("::", F.lit("cube-dimension"), clean("cube_name"), padded(place), clean("dimension_name"))
     return members.select(F.inline(F.array(_edge(
         edge_id, node_id("cube", "cube_name"), "CUBE", node_id("dimension", "dimension_name"), "DIMENSION", "USES_DIMENSION", "CUBE_DEFINITION", status, place,
     ))))
@@ -88,12 +88,11 @@ def task_edges(chores: DataFrame, processes: DataFrame, parameters: DataFrame) -
         clean("task.process_name").alias("process_name"), F.col("task.parameters").alias("parameters"),
     )
     kept, repeated = split_duplicates(tasks, ["chore_name", "task_step"], "_pos")
-    four = lambda c: F.lpad(F.col(c).cast("string"), 4, "0")
-    kept = kept.withColumn("node_id", F.concat_ws("::", F.lit("chore-task"), "chore_name", four("task_step")))
+    kept = kept.withColumn("node_id", F.concat_ws("::", F.lit("chore-task"), "chore_name", padded("task_step")))
     known = processes.select(norm_key(processes.columns[0]).alias("_p")).distinct().withColumn("_known", F.lit(True))
     called = kept.withColumn("_p", norm_key("process_name")).join(known, "_p", "left")
     call_status = F.when(F.col("_known") & (F.col("process_name") != ""), "VALID").otherwise("PROCESS_NOT_IN_CATALOG")
-    name = F.concat_ws("::", "chore_name", four("task_step"))
+    name = F.concat_ws("::", "chore_name", padded("task_step"))
     direct = called.select(F.inline(F.array(
         _edge(F.concat(F.lit("chore-task-ownership::"), name), node_id("chore", "chore_name"), "CHORE", F.col("node_id"), "CHORE_TASK", "HAS_TASK", "CATALOG_MATCH", position=F.col("task_step")),
         _edge(F.concat(F.lit("chore-task-call::"), name, F.lit("::"), F.col("process_name")), F.col("node_id"), "CHORE_TASK", node_id("process", "process_name"), "PROCESS", "CALLS_PROCESS", "CATALOG_MATCH", call_status, F.col("task_step")),
@@ -102,7 +101,7 @@ def task_edges(chores: DataFrame, processes: DataFrame, parameters: DataFrame) -
     declared = parameters.select(norm_key("process_name").alias("_p"), norm_key("parameter_name").alias("_n")).distinct().withColumn("_known", F.lit(True))
     checked = passed.withColumns({"_p": norm_key("process_name"), "_n": norm_key("p.Name")}).join(declared, ["_p", "_n"], "left").withColumn("_at", F.col("_at") + 1)
     bound = checked.select(F.inline(F.array(_edge(
-        F.concat_ws("::", F.lit("chore-binding"), "chore_name", four("task_step"), four("_at")), F.col("node_id"), "CHORE_TASK",
+        F.concat_ws("::", F.lit("chore-binding"), "chore_name", padded("task_step"), padded("_at")), F.col("node_id"), "CHORE_TASK",
         F.concat_ws("::", F.lit("process-parameter"), "process_name", clean("p.Name")), "PROCESS_PARAMETER", "PASSES_PARAMETER", "LITERAL_BINDING",
         F.when(F.col("_known"), "VALID_PARAMETER_BINDING").otherwise("UNKNOWN_PROCESS_PARAMETER"), F.col("_at"),
     ))))

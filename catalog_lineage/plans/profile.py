@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from .. import vocab
 from ..functions.ids import opt
-from ..functions.text import clean, first_nonblank, token
+from ..functions.text import clean, first_nonblank, padded, token
 from ..operators.filters import split_deferred
 from ..operators.pairing import SOURCE_FIELDS, pair
 from ..operators.resolve import match_candidates, with_context
@@ -27,7 +27,7 @@ def match_profile(validations: DataFrame, relationships: DataFrame, candidates:
         F.when(F.col("_explicit") != "", F.col("_explicit")).when(F.col("_own_id") != "", F.col("_own_id"))
         .otherwise(F.concat(F.lit(f"semantic::{origin.lower()}::"), F.replace("semantic_key", F.lit("\u001f"), F.lit("::"))))
     )
-    occurrence = F.concat(base, F.lit("::occurrence::"), F.lpad(F.col("position").cast("string"), 4, "0"))
+    occurrence = F.concat(base, F.lit("::occurrence::"), padded("position"))
     numbered = joined.withColumns({
         "relationship_id": F.when((F.col("group_size") > 1) & (F.col("_explicit") == ""), occurrence).otherwise(base),
         "relationship_type": token("relationship_type"),
@@ -57,9 +57,9 @@ def resolution_plan(profile: DataFrame, source_snapshot_id: str | None = None) -
     unknown = F.col("decision_type").isNull()
     blank = (clean("origin") == "") | (clean("relationship_id") == "")
     error = (
-        F.when(blank, "Profile record must contain origin and relationship_id.")
-        .when(unknown, F.concat(F.lit("Unsupported profiler classification: "), F.col("profiler_classification")))
-        .when(needs_one & ~F.col("_single"), F.concat(F.col("profiler_classification"), F.lit(" must have exactly one canonical candidate.")))
+        F.when(blank, "The row lacks its origin or relationship id.")
+        .when(unknown, F.concat(F.lit("No decision is defined for "), F.col("profiler_classification")))
+        .when(needs_one & ~F.col("_single"), F.concat(F.col("profiler_classification"), F.lit(" needs exactly one candidate.")))
     )
     plan = decided.withColumns({
         "plan_id": F.concat(F.lit("semantic-resolution-plan::"), F.sha2(F.concat(F.lower(clean("origin")), F.lit("::"), clean("relationship_id")), 256)),
@@ -68,7 +68,7 @@ def resolution_plan(profile: DataFrame, source_snapshot_id: str | None = None) -
         "proposed_validation_status": F.when(missing, F.coalesce(vocab.lookup(vocab.MISSING_STATUS_BY_DOMAIN, F.col("domain")), F.col("base_status"))).otherwise(F.col("base_status")),
         "resolved_target_node_id": F.when((F.col("decision_type") == "AUTOMATIC") & F.col("_single"), F.col("candidate_node_id")),
         "review_reason": F.when(missing, F.concat(
-            F.lit("Deterministic "), F.coalesce(F.nullif(F.lower("domain"), F.lit("")), F.lit("target")), F.lit(" identity is absent from the current governed catalog.")
+            F.lit("The catalog has no such "), F.coalesce(F.nullif(F.lower("domain"), F.lit("")), F.lit("target")), F.lit(".")
         )).otherwise(F.col("base_reason")),
         "source_snapshot_id": F.lit(source_snapshot_id).cast("string"),
         "_error": error,

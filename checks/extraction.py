@@ -148,13 +148,27 @@ def parameter_tables(d):
     )
 
 
+SUMMARY = (
+    "unique_function_count", "unclassified_function_count", "total_function_occurrences", "supported_occurrences", "lineage_function_occurrences", "dynamic_function_occurrences",
+    "syntactic_coverage_percent", "lineage_coverage_percent", "unsupported_or_review_functions", "ruled_cube_count", "malformed_call_count",
+)
+
+
 @check("function_coverage", """
     WITH o AS (SELECT 'DB' AS function_name, cube_name, 1 AS line_number FROM v_rules UNION ALL SELECT 'DB', cube_name, 5 FROM v_rules UNION ALL SELECT 'DB', cube_name, 6 FROM v_rules WHERE p_size % 2 = 0 UNION ALL SELECT 'ATTRN', cube_name, 1 FROM v_rules
-      UNION ALL SELECT 'FOO' || CAST(p_size % 4 AS STRING), cube_name, 6 FROM v_rules WHERE p_size % 2 = 0),
-    s AS (SELECT *, row_number() OVER (PARTITION BY function_name ORDER BY cube_name, line_number) AS rn FROM o), k AS (SELECT count(*) AS n, count(*) FILTER (WHERE function_name IN ('DB', 'ATTRN')) AS c FROM o)
-    SELECT function_name, count(*) AS occurrence_count, count(DISTINCT cube_name) AS cube_count, CASE WHEN function_name IN ('DB', 'ATTRN') THEN 'SUPPORTED' ELSE 'REVIEW_REQUIRED' END AS parser_status, CASE WHEN function_name IN ('DB', 'ATTRN') THEN 'CLASSIFIED' ELSE 'UNCLASSIFIED' END AS registry_status,
-      string_agg(cube_name || ':' || CAST(line_number AS STRING), '|' ORDER BY rn) FILTER (WHERE rn <= 5) AS sample_evidence, max((SELECT round(100.0::DOUBLE * c / n, 2) FROM k)) AS syntactic_coverage_percent FROM s GROUP BY 1""")
+      UNION ALL SELECT 'FOO' || CAST(p_size % 4 AS STRING), cube_name, 6 FROM v_rules WHERE p_size % 2 = 0
+      UNION ALL SELECT unnest(['IF', 'ROUND', 'CONSOLIDATECHILDREN', 'CUBEATTRS']), cube_name, 7 FROM v_rules WHERE p_size % 3 = 0),
+    r AS (SELECT * FROM (VALUES ('DB', 'SUPPORTED', 'DIRECT'), ('ATTRN', 'SUPPORTED', 'DIRECT'), ('IF', 'PARTIALLY_SUPPORTED', 'DYNAMIC'), ('ROUND', 'INTENTIONALLY_IGNORED', 'NON_LINEAGE'), ('CONSOLIDATECHILDREN', 'SUPPORTED', 'CONTEXTUAL'), ('CUBEATTRS', 'NOT_SUPPORTED', 'CONTEXTUAL')) AS t(function_name, status, category)),
+    s AS (SELECT o.*, status, category, row_number() OVER (PARTITION BY function_name ORDER BY cube_name, line_number) AS rn FROM o LEFT JOIN r USING (function_name)),
+    k AS (SELECT count(DISTINCT function_name) AS unique_function_count, count(DISTINCT function_name) FILTER (WHERE status IS NULL) AS unclassified_function_count, count(*) AS total_function_occurrences,
+      count(*) FILTER (WHERE status = 'SUPPORTED') AS supported_occurrences, count(*) FILTER (WHERE category IN ('DIRECT', 'CONTEXTUAL')) AS lineage_function_occurrences, count(*) FILTER (WHERE category = 'DYNAMIC') AS dynamic_function_occurrences,
+      round(100.0::DOUBLE * count(status) / count(*), 2) AS syntactic_coverage_percent, round(100.0::DOUBLE * count(*) FILTER (WHERE category IN ('DIRECT', 'CONTEXTUAL') AND status = 'SUPPORTED') / count(*) FILTER (WHERE category IN ('DIRECT', 'CONTEXTUAL')), 2) AS lineage_coverage_percent,
+      array_to_string(list_sort(list(DISTINCT function_name) FILTER (WHERE status IS NULL OR status IN ('NOT_SUPPORTED', 'PARTIALLY_SUPPORTED'))), '|') AS unsupported_or_review_functions,
+      (SELECT count(*) FROM v_rules) AS ruled_cube_count, (SELECT count(*) FROM v_rules WHERE p_size % 5 = 0) AS malformed_call_count FROM s)
+    SELECT function_name, count(*) AS occurrence_count, count(DISTINCT cube_name) AS cube_count, coalesce(any_value(status), 'REVIEW_REQUIRED') AS parser_status, coalesce(any_value(category), 'REVIEW_REQUIRED') AS lineage_category, CASE WHEN any_value(status) IS NULL THEN 'UNCLASSIFIED' ELSE 'CLASSIFIED' END AS registry_status,
+      string_agg(cube_name || ':' || CAST(line_number AS STRING), '|' ORDER BY rn) FILTER (WHERE rn <= 5) AS sample_evidence, any_value(k.*) FROM s, k GROUP BY 1""".replace("any_value(k.*)", ", ".join(f"any_value({c}) AS {c}" for c in SUMMARY)))
 def function_coverage(d):
-    profile = extract.function_coverage(d.v_rules.select("cube_name", "rule_text"), vocab.rule_registry(d.spark))
-    summary = extract.coverage_summary(profile).select("syntactic_coverage_percent")
-    return profile.crossJoin(F.broadcast(summary)).select("function_name", "occurrence_count", "cube_count", "parser_status", "registry_status", "sample_evidence", "syntactic_coverage_percent")
+    more = F.concat("rule_text", F.when(F.col("p_size") % 3 == 0, "\nx = IF(a, ROUND(b), CONSOLIDATECHILDREN('d')) | CUBEATTRS('c', 'd');").otherwise(""), F.when(F.col("p_size") % 5 == 0, "\ny = TRIM(z;").otherwise(""))
+    rules = d.v_rules.select("cube_name", more.alias("rule_text"))
+    profile = extract.function_coverage(rules)
+    return profile.crossJoin(F.broadcast(extract.coverage_summary(profile, rules).select(*SUMMARY))).select("function_name", "occurrence_count", "cube_count", "parser_status", "lineage_category", "registry_status", "sample_evidence", *SUMMARY)

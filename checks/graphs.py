@@ -41,7 +41,7 @@ def ownership_edges(d):
 
 @check("task_edges", """
     WITH tk AS (SELECT 'Chore ' || CAST(CAST(floor(o_orderkey / 16) AS BIGINT) AS STRING) AS chore, row_number() OVER (PARTITION BY CAST(floor(o_orderkey / 16) AS BIGINT) ORDER BY o_orderkey) AS pos, o_orderkey, 'proc_' || CAST(o_orderkey % 2000 AS STRING) AS proc, CASE WHEN o_orderkey % 3 = 0 THEN o_orderkey % 5 + 1 END AS given FROM orders),
-    s AS (SELECT *, coalesce(given, pos) AS step FROM tk), k AS (SELECT *, row_number() OVER (PARTITION BY chore, step ORDER BY pos) AS rn, lpad(CAST(step AS STRING), 4, '0') AS s4 FROM s), p AS (SELECT DISTINCT process_name AS proc FROM v_params)
+    s AS (SELECT *, coalesce(given, pos) AS step FROM tk), k AS (SELECT *, row_number() OVER (PARTITION BY chore, step ORDER BY pos) AS rn, printf('%04d', step) AS s4 FROM s), p AS (SELECT DISTINCT process_name AS proc FROM v_params)
     SELECT 'duplicate' AS part, chore || '::' || s4 AS relationship_id, proc AS target_id, '' AS validation_status FROM k WHERE rn > 1
     UNION ALL SELECT 'HAS_TASK', 'chore-task-ownership::' || chore || '::' || s4, 'chore-task::' || chore || '::' || s4, 'VALID' FROM k WHERE rn = 1
     UNION ALL SELECT 'CALLS_PROCESS', 'chore-task-call::' || chore || '::' || s4 || '::' || k.proc, 'process::' || k.proc, CASE WHEN p.proc IS NULL THEN 'PROCESS_NOT_IN_CATALOG' ELSE 'VALID' END FROM k LEFT JOIN p ON p.proc = k.proc WHERE rn = 1
@@ -55,7 +55,7 @@ def task_edges(d):
     # a chore lists the orders of one run of 16 keys, so no list grows with the data
     chores = d.orders.groupBy(F.concat(F.lit("Chore "), F.floor(key / 16).cast("string")).alias("name")).agg(F.array_sort(F.collect_list(task)).alias("tasks"))
     _, edges, repeated = inventory.task_edges(chores, d.v_params.select("process_name"), d.v_params)
-    late = repeated.select(F.lit("duplicate").alias("part"), F.concat_ws("::", "chore_name", F.lpad(F.col("task_step").cast("string"), 4, "0")).alias("relationship_id"), F.col("process_name").alias("target_id"), F.lit("").alias("validation_status"))
+    late = repeated.select(F.lit("duplicate").alias("part"), F.concat_ws("::", "chore_name", F.format_string("%04d", "task_step")).alias("relationship_id"), F.col("process_name").alias("target_id"), F.lit("").alias("validation_status"))
     return edges.select(F.col("relationship_type").alias("part"), "relationship_id", "target_id", "validation_status").unionByName(late)
 
 
@@ -108,7 +108,7 @@ def refs(d):
 
 PROFILE_SQL = f"""{MATCH_SQL},
     q AS (SELECT *, row_number() OVER w AS pos, count(*) OVER (PARTITION BY lower(process_name), relationship_type, target_type, lower(target_name)) AS n FROM matched WINDOW w AS (PARTITION BY lower(process_name), relationship_type, target_type, lower(target_name) ORDER BY ref_key)),
-    prof AS (SELECT *, 'semantic::ti::' || lower(process_name) || '::' || relationship_type || '::' || target_type || '::' || lower(target_name) || CASE WHEN n > 1 THEN '::occurrence::' || lpad(CAST(pos AS STRING), 4, '0') ELSE '' END AS relationship_id FROM q)"""
+    prof AS (SELECT *, 'semantic::ti::' || lower(process_name) || '::' || relationship_type || '::' || target_type || '::' || lower(target_name) || CASE WHEN n > 1 THEN '::occurrence::' || printf('%04d', pos) ELSE '' END AS relationship_id FROM q)"""
 
 
 @check("match_profile", f"""{PROFILE_SQL} SELECT relationship_id, CASE WHEN n = 1 THEN 'SEMANTIC_KEY' ELSE 'SEMANTIC_GROUP_ORDINAL' END AS join_method, pos AS semantic_group_position, n AS semantic_group_size, validation_status AS input_validation_status, domain, match_classification,

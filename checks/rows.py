@@ -162,7 +162,7 @@ def duration_metrics(d):
 @check("dynamic_profile", f"""
     WITH r AS (SELECT {PATTERN_SQL('target_expression')} AS expression_pattern, {norm('target_expression')} AS k, target_expression, relationship_type, process_name FROM v_evidence WHERE confidence <> 'CONFIRMED'),
     g AS (SELECT expression_pattern, k, relationship_type, count(*) AS row_count, count(DISTINCT process_name) AS distinct_sources, min(target_expression) AS example_expression, list_sort(list(DISTINCT process_name)) AS s FROM r GROUP BY 1, 2, 3)
-    SELECT row_count, expression_pattern, relationship_type, example_expression, distinct_sources, array_to_string(s[1:5], '; ') AS example_sources, 'Trace assignment, process parameter, or caller argument' AS candidate_action FROM g""")
+    SELECT row_count, expression_pattern, relationship_type, example_expression, distinct_sources, array_to_string(s[1:5], '; ') AS example_sources, 'Follow the variable to its assignment, parameter or caller' AS candidate_action FROM g""")
 def dynamic_profile(d):
     rows = d.v_evidence.where("confidence <> 'CONFIRMED'").withColumn("validation_status", F.lit("unresolved_dynamic_reference"))
     return summarize.dynamic_profile(rows, source="process_name")

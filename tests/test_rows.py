@@ -45,3 +45,24 @@ def test_first_wins_does_not_depend_on_row_order(spark):
         random.Random(seed).shuffle(rows)
         df = spark.createDataFrame(rows, "k string, seq int, v string").repartition(3)
         assert [tuple(r) for r in window.first_wins(df, "k", "seq").collect()] == [("a", 0, "v0")]
+
+
+def test_numbers_are_padded_and_never_cut(spark):
+    from catalog_lineage.functions.text import padded
+
+    df = spark.createDataFrame([(1,), (9999,), (10000,), (10007,), (None,)], "n int")
+    assert [r[0] for r in df.select(padded("n")).collect()] == ["0001", "9999", "10000", "10007", None]
+
+
+def test_a_group_of_more_than_9999_references_has_as_many_ids(spark):
+    from pyspark.sql import functions as F
+
+    from catalog_lineage.plans import profile
+
+    rows = spark.range(10_050).select(
+        F.format_string("%08d", "id").alias("row_key"), F.lit("p").alias("process_name"), F.lit("READS_ATTRIBUTE").alias("relationship_type"), F.lit("attribute").alias("target_type"),
+        F.lit("sAttr").alias("target_name"), F.lit("ATTRIBUTE_CATALOG_DEFERRED").alias("validation_status"),
+    )
+    candidates = spark.createDataFrame([], "domain string, parent_key string, hierarchy_key string, own_key string, node_id string, is_default boolean")
+    profiled, _ = profile.match_profile(rows, rows, candidates, "TI")
+    assert profiled.select("relationship_id").distinct().count() == 10_050
