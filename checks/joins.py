@@ -87,11 +87,14 @@ def candidate_match(d):
 
 
 @check("candidate_groups", """
-    SELECT domain, level, key, CAST(0 AS BIGINT) AS chunk, array_to_string(list_sort(list(DISTINCT id)), '|') AS candidate_node_ids FROM (
-      SELECT 'VIEW' AS domain, 'PARENT' AS level, lower(cube_name) || chr(31) || lower(view_name) AS key, 'view::' || cube_name || '::' || view_name AS id FROM v_views UNION ALL SELECT 'VIEW', 'NAME', lower(view_name), 'view::' || cube_name || '::' || view_name FROM v_views
-      UNION ALL SELECT 'SUBSET', 'FULL', lower(dimension_name) || chr(31) || lower(hierarchy_name) || chr(31) || lower(subset_name), 'subset::' || dimension_name || '::' || hierarchy_name || '::' || subset_name FROM v_subsets) GROUP BY 1, 2, 3""")
+    WITH c AS (SELECT 'HIERARCHY' AS domain, lower(dimension_name) AS parent, NULL AS h, lower(hierarchy_name) AS own, 'hierarchy::' || dimension_name || '::' || hierarchy_name AS id FROM v_hierarchies
+      UNION ALL SELECT 'VIEW', lower(cube_name), NULL, lower(view_name), 'view::' || cube_name || '::' || view_name FROM v_views
+      UNION ALL SELECT 'SUBSET', lower(dimension_name), lower(hierarchy_name), lower(subset_name), 'subset::' || dimension_name || '::' || hierarchy_name || '::' || subset_name FROM v_subsets
+      UNION ALL SELECT 'ATTRIBUTE', lower(dimension_name), lower(hierarchy_name), lower(attribute_name), 'attribute::' || dimension_name || '::' || hierarchy_name || '::' || attribute_name FROM v_attributes),
+    l AS (SELECT domain, 'FULL' AS level, parent || chr(31) || h || chr(31) || own AS key, id FROM c WHERE h IS NOT NULL UNION ALL SELECT domain, 'PARENT', parent || chr(31) || own, id FROM c UNION ALL SELECT domain, 'NAME', own, id FROM c)
+    SELECT domain, level, key, CAST(0 AS BIGINT) AS chunk, array_to_string(list_sort(list(DISTINCT id)), '|') AS candidate_node_ids FROM l GROUP BY 1, 2, 3""")
 def candidate_groups(d):
-    return resolve.candidate_groups(candidates(d)).where("domain = 'VIEW' OR (domain = 'SUBSET' AND level = 'FULL')")
+    return resolve.candidate_groups(candidates(d))
 
 
 @check("best_score_pairing", """
@@ -164,29 +167,31 @@ def parameter_resolution(d):
 
 
 @check("parameter_candidates", """
-    WITH v AS (SELECT lower(process_name) AS p, lower(parameter_name) AS n, default_value AS value FROM v_params WHERE coalesce(default_value, '') <> '' UNION ALL SELECT lower(called_process), parameter_name, resolved_value FROM v_bindings WHERE resolved_value IS NOT NULL),
+    WITH v AS (SELECT lower(process_name) AS p, lower(parameter_name) AS n, default_value AS value FROM v_params WHERE coalesce(default_value, '') <> '' UNION ALL SELECT lower(called_process), parameter_name, resolved_value FROM v_bindings WHERE resolved_value IS NOT NULL
+      UNION ALL SELECT 'proc_' || CAST(c_custkey AS STRING), 'salias', 'V' || CAST(c_custkey % 3 AS STRING) FROM customer WHERE c_custkey % 4 = 3),
     g AS (SELECT p, n, count(DISTINCT value) AS c, min(value) AS one, count(*) AS s FROM v GROUP BY 1, 2)
     SELECT row_key, coalesce(c, 0) AS candidate_count, CASE WHEN c IS NULL THEN 'NO_STATIC_CANDIDATE' WHEN c = 1 THEN 'SINGLE_STATIC_CANDIDATE' ELSE 'FINITE_CANDIDATE_SET' END AS resolution_status, CASE WHEN c = 1 THEN one END AS single_value, coalesce(s, 0) AS provenance_count
     FROM v_open_refs LEFT JOIN g ON p = lower(process_name) AND n = lower(target_expression)""")
 def parameter_candidates(d):
-    none = d.spark.createDataFrame([], "process_name string, variable string, resolved_value string")
-    classed, _ = parameters.parameter_candidates(d.v_open_refs, d.v_params, d.v_bindings, none)
+    key = F.col("c_custkey")
+    aliases = d.customer.where("c_custkey % 4 = 3").select(F.concat(F.lit("proc_"), key.cast("string")).alias("process_name"), F.lit("sAlias").alias("variable"), F.concat(F.lit("V"), (key % 3).cast("string")).alias("resolved_value"))
+    classed, _ = parameters.parameter_candidates(d.v_open_refs, d.v_params, d.v_bindings, aliases)
     return classed.select("row_key", "candidate_count", "resolution_status", "single_value", "provenance_count")
 
 
-REFERENCES = f"""(SELECT process_name, CASE source_type WHEN 'CUBE_VIEW' THEN 'VIEW' WHEN 'DIMENSION_SUBSET' THEN 'SUBSET' ELSE 'FILE' END AS kind, effective_cube_name, view_name, dimension_name, effective_hierarchy_name, subset_name, path FROM ({SOURCE_SQL}) WHERE source_type IN ('CUBE_VIEW', 'DIMENSION_SUBSET', 'ASCII_FILE'))"""
+REFERENCES = f"""(SELECT process_name, CASE source_type WHEN 'CUBE_VIEW' THEN 'VIEW' WHEN 'DIMENSION_SUBSET' THEN 'SUBSET' ELSE 'FILE' END AS kind, effective_cube_name, view_name, dimension_name, effective_hierarchy_name, subset_name, path FROM ({SOURCE_SQL}) WHERE source_type IN ('CUBE_VIEW', 'DIMENSION_SUBSET', 'ASCII_FILE', 'JSON'))"""
 
 
 def declared(d):
     from catalog_lineage.functions.classify import with_source_class
-    rows = with_source_class(d.v_sources).where("source_type IN ('CUBE_VIEW', 'DIMENSION_SUBSET', 'ASCII_FILE')")
+    rows = with_source_class(d.v_sources).where("source_type IN ('CUBE_VIEW', 'DIMENSION_SUBSET', 'ASCII_FILE', 'JSON')")
     return rows.select("process_name", F.expr("CASE source_type WHEN 'CUBE_VIEW' THEN 'VIEW' WHEN 'DIMENSION_SUBSET' THEN 'SUBSET' ELSE 'FILE' END").alias("reference_kind"), F.col("effective_cube_name").alias("cube_name"), "view_name", "dimension_name",
                        F.col("effective_hierarchy_name").alias("hierarchy_name"), "subset_name", F.coalesce("server_source_name", "client_source_name").alias("path"))
 
 
 @check("reference_resolution", f"""
     WITH c AS (SELECT 'VIEW' AS kind, lower(cube_name) || chr(31) || lower(view_name) AS k, 'v' || CAST(seq AS STRING) AS id FROM v_views UNION ALL SELECT 'SUBSET', lower(dimension_name) || chr(31) || lower(hierarchy_name) || chr(31) || lower(subset_name), 's' || CAST(seq AS STRING) FROM v_subsets
-      UNION ALL SELECT 'FILE', lower(replace('/in/' || p_brand || '.csv', '/', chr(92))), 'f' || p_brand FROM (SELECT DISTINCT p_brand FROM part WHERE p_partkey % 4 = 0)),
+      UNION ALL SELECT 'FILE', lower(replace('/in/' || p_brand || '.csv', '/', chr(92))), 'f' || p_brand FROM (SELECT DISTINCT p_brand FROM part)),
     r AS (SELECT *, CASE kind WHEN 'VIEW' THEN {norm('effective_cube_name')} || chr(31) || {norm('view_name')} WHEN 'SUBSET' THEN {norm('dimension_name')} || chr(31) || {norm('effective_hierarchy_name')} || chr(31) || {norm('subset_name')} ELSE {norm("replace(path, '/', chr(92))")} END AS k,
       CASE kind WHEN 'VIEW' THEN coalesce(effective_cube_name, '') = '' ELSE false END AS short FROM {REFERENCES}), g AS (SELECT kind, k, count(*) AS n, min(id) AS id FROM c GROUP BY 1, 2)
     SELECT process_name, CASE WHEN short THEN 'INSUFFICIENT_CONTEXT' WHEN n = 1 THEN 'CANONICAL_EXACT_MATCH' WHEN n > 1 THEN 'AMBIGUOUS_REFERENCE' WHEN r.kind = 'FILE' THEN 'EXTERNAL_UNVERIFIED' ELSE 'TARGET_NOT_IN_PUBLIC_CATALOG' END AS resolution_status, CASE WHEN short THEN 0 ELSE coalesce(n, 0) END AS candidate_count,
@@ -197,7 +202,7 @@ def reference_resolution(d):
     c = F.col
     objects = (obj(d.v_views, "view", F.concat(F.lit("v"), c("seq").cast("string")), props(cube_name=c("cube_name"), view_name=c("view_name")))
                .unionByName(obj(d.v_subsets, "subset", F.concat(F.lit("s"), c("seq").cast("string")), props(dimension_name=c("dimension_name"), hierarchy_name=c("hierarchy_name"), subset_name=c("subset_name"))))
-               .unionByName(obj(d.part.where("p_partkey % 4 = 0").select("p_brand").distinct(), "file", F.concat(F.lit("f"), "p_brand"), props(display_value=F.concat(F.lit("/in/"), "p_brand", F.lit(".csv"))))))
+               .unionByName(obj(d.part.select("p_brand").distinct(), "file", F.concat(F.lit("f"), "p_brand"), props(display_value=F.concat(F.lit("/in/"), "p_brand", F.lit(".csv"))))))
     return resolve.resolve_references(declared(d), objects).select("process_name", "resolution_status", "candidate_count", "resolved_target_object_id", "review_required")
 
 

@@ -100,7 +100,7 @@ ROLES = {
     """,
     "v_bindings": """
         SELECT 'order_' || CAST(o_orderkey AS STRING) AS calling_process, 'PROC_' || CAST(o_custkey AS STRING) AS called_process, 'pdim' AS parameter_name, CAST(o_orderkey % 60 AS INT) AS line_number,
-            CASE WHEN o_orderkey % 5 = 0 THEN CAST(NULL AS STRING) ELSE 'NATION_' || CAST(o_orderkey % 30 AS STRING) END AS resolved_value FROM orders WHERE o_orderkey % 3 = 0
+            CASE WHEN o_orderkey % 5 = 0 THEN CAST(NULL AS STRING) ELSE 'NATION_' || CAST(o_orderkey % 30 AS STRING) END AS resolved_value FROM orders
     """,
     "v_open_refs": """
         SELECT 'ref_' || CAST(c_custkey AS STRING) AS row_key, 'Proc_' || CAST(c_custkey AS STRING) AS process_name, 'UPDATES_DIMENSION' AS relationship_type,
@@ -139,7 +139,7 @@ ROLES = {
                 WHEN o_orderkey % 9 IN (2, 3) THEN CASE WHEN o_orderkey % 4 = 0 THEN 'S' || CAST(o_custkey % 450 AS STRING) WHEN o_orderkey % 4 = 1 THEN n_name || '::' || c_mktsegment || '::S' || CAST(o_custkey % 400 AS STRING) ELSE n_name || '.S' || CAST(o_custkey % 400 AS STRING) END
                 WHEN o_orderkey % 9 IN (4, 5) THEN CASE WHEN o_orderkey % 4 = 0 THEN 'A' || CAST(o_custkey % 310 AS STRING) WHEN o_orderkey % 4 = 1 THEN n_name || '::' || c_mktsegment || '::A' || CAST(o_custkey % 300 AS STRING) ELSE n_name || '.A' || CAST(o_custkey % 300 AS STRING) END
                 ELSE CASE WHEN o_orderkey % 3 = 0 THEN c_mktsegment ELSE n_name || '.' || c_mktsegment END END AS target_name
-        FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey JOIN part ON p_partkey = o_orderkey % 2000
+        FROM (SELECT orders.*, o_orderkey % parts + first_part AS named_part FROM orders CROSS JOIN (SELECT min(p_partkey) AS first_part, max(p_partkey) - min(p_partkey) + 1 AS parts FROM part)) JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey JOIN part ON p_partkey = named_part
     """,
     "v_turns": """
         SELECT conv_id, CASE WHEN conv_id % 17 = 3 AND turn = 1 THEN CAST(0 AS BIGINT) ELSE turn END AS turn, role || CAST(turn AS STRING) AS member FROM conversations

@@ -11,7 +11,6 @@ from checks.roles import TABLES
 
 checks.load()
 SF = "/root/testdata/sf0.001"
-SLOW = {"unified_graph", "object_graph"}  # covered at sf0.01 by the driver
 
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="driver tables are not here")
 
@@ -30,7 +29,7 @@ def tidy(value):
     return value
 
 
-@pytest.mark.parametrize("name", sorted(set(checks.ORACLES) - SLOW))
+@pytest.mark.parametrize("name", sorted(checks.ORACLES))
 def test_query_agrees_with_sql(spark, db, name):
     df = checks.QUERIES[name](spark, SF)
     expected = db.sql(checks.ORACLES[name])
