@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
-from pyspark.sql import Column, DataFrame, Window as W, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window as W, functions as F
 
 from ..functions.text import clean, col, norm_key
 
@@ -12,16 +13,30 @@ HOT_KEY_ROWS = 1_000_000
 SPLITTERS = 64
 
 
+def work_dir(spark: SparkSession) -> str:
+    """The shared folder for tables between steps: spark.checkpoint.dir, or the checkpoint folder set on the context. Only plain
+    local mode, one process, may do without."""
+    context = spark.sparkContext
+    named = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
+    if named:
+        return named.rstrip("/")
+    if not context.master.startswith("local") or context.master.startswith("local-cluster"):
+        raise RuntimeError("spark.checkpoint.dir must name a shared folder")
+    made = tempfile.mkdtemp(prefix="spark-")
+    spark.conf.set("spark.checkpoint.dir", made)
+    return made
+
+
 def cut(df: DataFrame) -> DataFrame:
-    """Cut lineage at a reliable checkpoint in the folder the cluster names."""
+    """Cut lineage by a table in the shared folder: computed once, written compressed, of known size. Gone when the driver ends."""
     spark = df.sparkSession
-    context = spark.sparkContext
-    if context.getCheckpointDir() is None:
-        folder = spark.conf.get("spark.checkpoint.dir", None)
-        if folder is None and not context.master.startswith("local"):
-            raise RuntimeError("spark.checkpoint.dir must name a shared folder")
-        context.setCheckpointDir(folder or tempfile.mkdtemp(prefix="spark-"))
-    return df.checkpoint(eager=True)
+    path = f"{work_dir(spark)}/cut-{uuid.uuid4().hex}"
+    void = [f.name for f in df.schema.fields if f.dataType.typeName() == "void"]
+    df.withColumns({c: F.col(f"`{c}`").cast("string") for c in void}).write.parquet(path) if void else df.write.parquet(path)
+    made = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    made.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(made)
+    written = spark.read.parquet(path)
+    return written.withColumns({c: F.lit(None) for c in void}) if void else written
 
 
 def _columns(names) -> list[str]:

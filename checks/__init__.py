@@ -7,6 +7,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
+from catalog_lineage.operators.window import work_dir
+
 from .roles import role, with_roles
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -47,8 +49,7 @@ def flat(df: DataFrame) -> DataFrame:
 
 def scratch(spark: SparkSession) -> str:
     """A new folder beside the checkpoints, which every executor can reach."""
-    base = spark.sparkContext.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None) or "/tmp/spark-checks"
-    return f"{base}/tables-{uuid.uuid4().hex}"
+    return f"{work_dir(spark)}/tables-{uuid.uuid4().hex}"
 
 
 def load() -> None:

@@ -34,7 +34,7 @@ def exception_join(d):
 
 @check("pair_by_id", """
     SELECT 'pair' AS part, validation_id, v.relationship_id AS relationship_key, 'RELATIONSHIP_ID' AS detail FROM v_validations v JOIN v_edges e USING (relationship_id)
-    UNION ALL SELECT 'error', validation_id, NULL, 'Deferred validation has no matching relationship; semantic_candidate_count=0' FROM v_validations WHERE relationship_id NOT IN (SELECT relationship_id FROM v_edges)""")
+    UNION ALL SELECT 'error', validation_id, NULL, 'No relationship has this key; semantic_candidate_count=0' FROM v_validations WHERE relationship_id NOT IN (SELECT relationship_id FROM v_edges)""")
 def pair_by_id(d):
     pairs, errors = pairing.pair(d.v_validations.withColumn("row_key", F.col("validation_id")), d.v_edges.withColumn("row_key", F.col("relationship_id")))
     return pairs.select(F.lit("pair").alias("part"), F.col("validation_key").alias("validation_id"), "relationship_key", F.col("join_method").alias("detail")).unionByName(
@@ -46,8 +46,8 @@ ORDINAL_SQL = """(SELECT CAST(o_orderkey AS STRING) AS row_key, 'p' || CAST(o_cu
 
 @check("pair_by_ordinal", f"""
     WITH v AS (SELECT *, row_number() OVER (PARTITION BY k ORDER BY line, row_key) AS pos, count(*) OVER (PARTITION BY k) AS n FROM {ORDINAL_SQL} WHERE o_orderkey % 400 <> 3 AND NOT (k LIKE 'p7/%')), r AS (SELECT *, row_number() OVER (PARTITION BY k ORDER BY line, row_key) AS pos, count(*) OVER (PARTITION BY k) AS n FROM {ORDINAL_SQL} WHERE NOT (k LIKE 'p9/%'))
-    SELECT v.row_key AS validation_key, CASE WHEN v.n = r.n THEN r.row_key END AS relationship_key, CASE WHEN r.row_key IS NULL AND rn.n IS NULL THEN 'Deferred validation has no matching relationship; semantic_candidate_count=0' WHEN rn.n <> v.n
-        THEN 'Deferred validation group does not reconcile to the relationship group; validation_count=' || CAST(v.n AS STRING) || '; relationship_count=' || CAST(rn.n AS STRING) WHEN v.n = 1 THEN 'SEMANTIC_KEY' ELSE 'SEMANTIC_GROUP_ORDINAL' END AS detail
+    SELECT v.row_key AS validation_key, CASE WHEN v.n = r.n THEN r.row_key END AS relationship_key, CASE WHEN r.row_key IS NULL AND rn.n IS NULL THEN 'No relationship has this key; semantic_candidate_count=0' WHEN rn.n <> v.n
+        THEN 'Validations and relationships of this key differ in number; validation_count=' || CAST(v.n AS STRING) || '; relationship_count=' || CAST(rn.n AS STRING) WHEN v.n = 1 THEN 'SEMANTIC_KEY' ELSE 'SEMANTIC_GROUP_ORDINAL' END AS detail
     FROM v LEFT JOIN (SELECT k, count(*) AS n FROM r GROUP BY 1) rn ON rn.k = v.k LEFT JOIN r ON r.k = v.k AND r.pos = v.pos AND r.n = v.n""")
 def pair_by_ordinal(d):
     rows = d.orders.select(F.col("o_orderkey").cast("string").alias("row_key"), F.concat(F.lit("p"), (F.col("o_custkey") % 100).cast("string")).alias("process_name"), F.col("o_orderstatus").alias("relationship_type"),
