@@ -35,7 +35,8 @@ def _edge(rel_id: Column, source: Column, source_type: str, target: Column, targ
 
 
 def ownership_edges(df: DataFrame, kind: str, dimensions: DataFrame | None = None) -> DataFrame:
-    """Ownership edges with their validation, from hierarchies, subsets, views or cubes with ordered dimensions."""
+    """Ownership edges with their validation, from hierarchies, subsets, views or cubes with ordered dimensions. Subsets and views
+    say how they are defined: by an expression in ``mdx`` or as they stand."""
     c = lambda name: clean(name)
     if kind == "hierarchy":
         owned = F.array(_edge(
@@ -54,10 +55,11 @@ def ownership_edges(df: DataFrame, kind: str, dimensions: DataFrame | None = Non
             node_id("view-ownership", "cube_name", "view_name"), view_node_id("cube_name", "view_name"), "VIEW", node_id("cube", "cube_name"), "CUBE", "BELONGS_TO_CUBE", "CATALOG_MATCH",
         ))
     elif kind == "cube":
-        return _cube_dimensions(df, dimensions)
+        return _cube_dimensions(df, dimensions).withColumn("definition_kind", F.lit(None).cast("string"))
     else:
         raise ValueError(f"unknown kind: {kind}")
-    return df.select(F.inline(owned))
+    defined = definition_kind(opt(df, "mdx")) if kind in ("subset", "view") else F.lit(None).cast("string")
+    return df.select(F.inline(owned), defined.alias("definition_kind"))
 
 
 def _cube_dimensions(df: DataFrame, dimensions: DataFrame | None) -> DataFrame:

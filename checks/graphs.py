@@ -26,17 +26,17 @@ def object_inventory(d):
 
 
 @check("ownership_edges", """
-    SELECT 'hierarchy-ownership::' || dimension_name || '::' || hierarchy_name AS relationship_id, 'hierarchy::' || dimension_name || '::' || hierarchy_name AS source_id, 'dimension::' || dimension_name AS target_id, 'BELONGS_TO_DIMENSION' AS relationship_type, 'VALID' AS validation_status, CAST(0 AS BIGINT) AS position FROM v_hierarchies
-    UNION ALL SELECT 'view-ownership::' || cube_name || '::' || view_name, 'view::' || cube_name || '::PUBLIC::<none>::' || view_name, 'cube::' || cube_name, 'BELONGS_TO_CUBE', 'VALID', 0 FROM v_views
-    UNION ALL SELECT 'subset-ownership::' || dimension_name || '::' || hierarchy_name || '::' || subset_name || '::hierarchy', 'subset::' || dimension_name || '::' || hierarchy_name || '::PUBLIC::<none>::' || subset_name, 'hierarchy::' || dimension_name || '::' || hierarchy_name, 'BELONGS_TO_HIERARCHY', 'VALID', 0 FROM v_subsets
-    UNION ALL SELECT 'subset-ownership::' || dimension_name || '::' || hierarchy_name || '::' || subset_name || '::dimension', 'subset::' || dimension_name || '::' || hierarchy_name || '::PUBLIC::<none>::' || subset_name, 'dimension::' || dimension_name, 'BELONGS_TO_DIMENSION', 'VALID', 0 FROM v_subsets
-    UNION ALL SELECT 'cube-dimension::' || cube || '::000' || CAST(pos AS STRING) || '::' || dim, 'cube::' || cube, 'dimension::' || dim, 'USES_DIMENSION', CASE WHEN dim LIKE 'NATION%' AND CAST(substr(dim, 8) AS INT) < 25 THEN 'VALID' ELSE 'DIMENSION_NOT_IN_CATALOG' END, pos
+    SELECT 'hierarchy-ownership::' || dimension_name || '::' || hierarchy_name AS relationship_id, 'hierarchy::' || dimension_name || '::' || hierarchy_name AS source_id, 'dimension::' || dimension_name AS target_id, 'BELONGS_TO_DIMENSION' AS relationship_type, 'VALID' AS validation_status, CAST(0 AS BIGINT) AS position, '' AS definition_kind FROM v_hierarchies
+    UNION ALL SELECT 'view-ownership::' || cube_name || '::' || view_name, 'view::' || cube_name || '::PUBLIC::<none>::' || view_name, 'cube::' || cube_name, 'BELONGS_TO_CUBE', 'VALID', 0, CASE WHEN seq % 4 = 1 THEN 'MDX' ELSE 'STATIC' END FROM v_views
+    UNION ALL SELECT 'subset-ownership::' || dimension_name || '::' || hierarchy_name || '::' || subset_name || '::hierarchy', 'subset::' || dimension_name || '::' || hierarchy_name || '::PUBLIC::<none>::' || subset_name, 'hierarchy::' || dimension_name || '::' || hierarchy_name, 'BELONGS_TO_HIERARCHY', 'VALID', 0, CASE WHEN seq % 3 = 1 THEN 'MDX' ELSE 'STATIC' END FROM v_subsets
+    UNION ALL SELECT 'subset-ownership::' || dimension_name || '::' || hierarchy_name || '::' || subset_name || '::dimension', 'subset::' || dimension_name || '::' || hierarchy_name || '::PUBLIC::<none>::' || subset_name, 'dimension::' || dimension_name, 'BELONGS_TO_DIMENSION', 'VALID', 0, CASE WHEN seq % 3 = 1 THEN 'MDX' ELSE 'STATIC' END FROM v_subsets
+    UNION ALL SELECT 'cube-dimension::' || cube || '::000' || CAST(pos AS STRING) || '::' || dim, 'cube::' || cube, 'dimension::' || dim, 'USES_DIMENSION', CASE WHEN dim LIKE 'NATION%' AND CAST(substr(dim, 8) AS INT) < 25 THEN 'VALID' ELSE 'DIMENSION_NOT_IN_CATALOG' END, pos, ''
       FROM (SELECT p_name || CAST(p_partkey AS STRING) AS cube, unnest([p_brand, 'NATION_' || CAST(p_size % 30 AS STRING)]) AS dim, unnest([1, 2])::BIGINT AS pos FROM part)""")
 def ownership_edges(d):
     cubes = d.part.select(F.concat("p_name", F.col("p_partkey").cast("string")).alias("cube_name"), F.array(F.col("p_brand"), F.concat(F.lit("NATION_"), (F.col("p_size") % 30).cast("string"))).alias("dimensions"))
-    edges = (inventory.ownership_edges(d.v_hierarchies, "hierarchy").unionByName(inventory.ownership_edges(d.v_views, "view")).unionByName(inventory.ownership_edges(d.v_subsets, "subset"))
+    edges = (inventory.ownership_edges(d.v_hierarchies, "hierarchy").unionByName(inventory.ownership_edges(d.v_views.withColumn("mdx", F.when(F.col("seq") % 4 == 1, "{[a].[b]}").when(F.col("seq") % 4 == 2, " ")), "view")).unionByName(inventory.ownership_edges(d.v_subsets.withColumn("mdx", F.when(F.col("seq") % 3 == 1, "{[a].[b]}")), "subset"))
              .unionByName(inventory.ownership_edges(cubes, "cube", d.nation.select("n_name"))))
-    return edges.select("relationship_id", "source_id", "target_id", "relationship_type", "validation_status", F.coalesce("position", F.lit(0)).alias("position"))
+    return edges.select("relationship_id", "source_id", "target_id", "relationship_type", "validation_status", F.coalesce("position", F.lit(0)).alias("position"), F.coalesce("definition_kind", F.lit("")).alias("definition_kind"))
 
 
 @check("task_edges", """
