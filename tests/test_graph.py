@@ -73,3 +73,31 @@ def test_reading_records(spark, tmp_path):
         read("none.json")
     with pytest.raises(Exception):
         read("bad.json")
+
+
+def test_impact_behaviour_comes_from_the_semantics(spark):
+    from catalog_lineage import vocab
+    from catalog_lineage.operators import resolve
+
+    edges = spark.createDataFrame([("1", "a", "b", "references_view", None), ("2", "a", "c", "CALLS", None)], "graph_relationship_id string, source_id string, target_id string, relationship_type string, endpoint_state string")
+    none = spark.createDataFrame([], "graph_relationship_id string, validation_status string")
+    behaviour = lambda semantics: {r.id: (r.impact_behavior, r.category) for r in resolve.edge_view(edges, semantics, none, none).collect()}
+    assert behaviour(vocab.object_edge_semantics(spark)) == {"1": ("UPSTREAM_DEPENDENCY", "REFERENCE"), "2": ("EDGE_DIRECTION", "OTHER")}
+    assert behaviour(vocab.edge_semantics(spark)) == {"1": ("EDGE_DIRECTION", "OTHER"), "2": ("EDGE_DIRECTION", "OTHER")}
+
+
+def test_a_node_without_edges_has_a_summary(spark):
+    from catalog_lineage.operators import traverse
+
+    nodes = spark.createDataFrame([("cube::a", "CUBE", "a"), ("cube::b", "CUBE", "b")], "node_id string, node_type string, object_name string")
+    edges = spark.createDataFrame([("1", "cube::a", "cube::c", "R")], "graph_relationship_id string, source_id string, target_id string, relationship_type string")
+    alone, tied = traverse.node_summary(nodes, edges, "cube::b").collect(), traverse.node_summary(nodes, edges, "cube::a").collect()
+    assert [(r.label, r.inbound_count, r.other_id) for r in alone] == [("b", 0, None)] and [(r.outbound_count, r.other_id) for r in tied] == [(1, "cube::c")]
+
+
+def test_a_page_past_the_last_hit_keeps_the_totals(spark):
+    from catalog_lineage.operators import window
+
+    nodes = spark.createDataFrame([("cube::a1", "CUBE", "a1"), ("view::a2", "VIEW", "a2"), ("cube::b", "CUBE", "b")], "node_id string, node_type string, label string")
+    last = window.search(nodes, "a", node_type="cube", offset=5).collect()
+    assert [(r.node_id, r.total, r.type_counts) for r in last] == [(None, 1, {"CUBE": 1, "VIEW": 1})]
