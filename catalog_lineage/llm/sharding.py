@@ -102,3 +102,33 @@ def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", (F.octet_length(data) + 16).cast("long").alias("size"), F.crc32(data).alias("text_crc32"))
     placed = shard_rows(docs, order=[F.col("doc_id"), F.col("text_crc32"), F.col("size")])
     return placed.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
+
+
+def _walk_sql(source: str, value: str) -> str:
+    """One pass through the rounds over the rows of `source`, in layers; half and rows are columns of it."""
+    layer = f"SELECT *, {value} >> half AS l, {value} & ((1::BIGINT << half) - 1) AS r FROM {source}"
+    for a, c in round_keys(SEED):
+        mixed = f"SELECT *, (r * {a} + {c}) & {int(_LOW)} AS a FROM ({layer})"
+        mixed = f"SELECT * EXCLUDE (a), ((xor(a, a >> 13) * {a}) & {int(_LOW)}) >> (31 - half) AS f FROM ({mixed})"
+        layer = f"SELECT * EXCLUDE (l, r, f), r AS l, xor(l, f) AS r FROM ({mixed})"
+    return f"SELECT n, half, rows, (l << half) | r AS y FROM ({layer})"
+
+
+#: Rows by id, which is unique in the tables that are compared; the checksum of a text is folded over its bytes with the usual table.
+ORACLES = {
+    "op5_sharding": f"""
+WITH RECURSIVE size AS (SELECT count(*) AS rows, (length(bin(greatest(count(*) - 1, 1))) + 1) // 2 AS half FROM documents),
+numbered AS (SELECT doc_id, text, row_number() OVER (ORDER BY doc_id NULLS FIRST) - 1 AS n FROM documents),
+begun AS (SELECT n, half, rows FROM numbered, size),
+walk AS (
+  {_walk_sql("begun", "n")}
+  UNION ALL
+  {_walk_sql("(SELECT * FROM walk WHERE y >= rows)", "y")}
+), placed AS (SELECT n, y FROM walk WHERE y < rows),
+crc AS (SELECT list_transform(range(256), lambda b: list_reduce([b, 0, 0, 0, 0, 0, 0, 0, 0], lambda c, z: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS t),
+bytes AS (SELECT doc_id, n, octet_length(encode(coalesce(text, ''))) + 16 AS size, list_transform(regexp_extract_all(hex(encode(coalesce(text, ''))), '..'), lambda h: ('0x' || h)::BIGINT) AS b FROM numbered)
+SELECT doc_id, size::BIGINT AS size, xor(list_reduce(list_concat([4294967295], b), lambda c, x: xor(t[(xor(c, x) & 255) + 1], c >> 8)), 4294967295) AS text_crc32,
+  'rows' AS law, (y % {SHARDS})::INT AS shard, y // {SHARDS} AS slot, NULL::INT AS grown_shard
+FROM bytes JOIN placed USING (n), crc
+""",
+}
