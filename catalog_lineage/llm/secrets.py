@@ -419,3 +419,30 @@ def op1_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(joined(of(*BASE_KINDS)), 256).alias("base_sha256"),
         joined(F.col("secret_spans")).alias("spans"),
     )
+
+
+def _matches_sql(rule: Rule, order: int) -> str:
+    """Matches of one rule with the text before each; lengths add up to the places. Letters outside ASCII fold nowhere in the tables compared."""
+    pattern = rule.pattern.replace("'", "''")
+    keep = f"regexp_full_match(m, '{rule.keep.replace(chr(39), chr(39) * 2)}')" if rule.keep else "true"
+    return f"""
+  SELECT doc_id, '{rule.kind}' AS kind, {order} AS ord, start, start + length(m) AS stop FROM (
+    SELECT doc_id, m, sum(length(gap)) OVER w + sum(length(m)) OVER w - length(m) AS start FROM (
+      SELECT doc_id, unnest(range(len(f))) AS i, unnest(f) AS m, unnest(g[1:len(f)]) AS gap FROM (
+        SELECT doc_id, regexp_extract_all(coalesce(text, ''), '{pattern}') AS f, string_split_regex(coalesce(text, ''), '{pattern}') AS g FROM documents))
+    WINDOW w AS (PARTITION BY doc_id ORDER BY i)) WHERE {keep}"""
+
+
+def _oracle() -> str:
+    found = " UNION ALL ".join(_matches_sql(r, i) for i, r in enumerate(RULES))
+    base = ", ".join(f"'{k}'" for k in BASE_KINDS)
+    joined = "string_agg(kind || ':' || start::BIGINT || ':' || stop::BIGINT, ',' ORDER BY start, ord)"
+    return f"""
+WITH found AS ({found})
+SELECT d.doc_id, {", ".join(f"count(*) FILTER (kind = '{k}') AS n_{k}" for k in BASE_KINDS)},
+  sha256(coalesce({joined} FILTER (kind IN ({base})), '')) AS base_sha256, coalesce({joined} FILTER (kind IS NOT NULL), '') AS spans
+FROM documents d LEFT JOIN found f ON f.doc_id = d.doc_id GROUP BY d.doc_id
+"""
+
+
+ORACLES = {"op1_secret_scan": _oracle()}
