@@ -166,3 +166,19 @@ def _kept(whole: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
 def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     cleaned = remove_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return cleaned.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
+#: Every window by its digest, and the least document that has it.
+ORACLES = {
+    "op9_substring_dedup": rf"""
+WITH listed AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+words AS (
+  SELECT doc_id, i, w[i] AS word, CASE WHEN i + {WINDOW - 1} <= len(w) THEN md5(array_to_string(w[i:i + {WINDOW - 1}], ' ')) END AS k
+  FROM (SELECT doc_id, w, unnest(range(1, len(w) + 1)) AS i FROM listed)
+),
+judged AS (SELECT doc_id, i, word, (k IS NOT NULL AND min(doc_id) OVER (PARTITION BY k) < doc_id)::INT AS again FROM words),
+covered AS (SELECT doc_id, i, word, max(again) OVER (PARTITION BY doc_id ORDER BY i ROWS BETWEEN {WINDOW - 1} PRECEDING AND CURRENT ROW) AS gone FROM judged)
+SELECT l.doc_id, count(i) AS n_words, count(i) FILTER (gone = 1) AS n_removed, sha256(coalesce(string_agg(word, ' ' ORDER BY i) FILTER (gone = 0), '')) AS kept_sha256
+FROM listed l LEFT JOIN covered c ON c.doc_id = l.doc_id GROUP BY l.doc_id
+""",
+}
