@@ -9,4 +9,4 @@ QUERIES = {q.__name__: q for q in (
     neardup.op6_minhash_near_duplicates, toxicity.op7_toxicity, neighbours.op8_nearest_neighbours, passages.op9_substring_dedup,
     decontamination.op10_benchmark_decontamination,
 )}
-ORACLES = {**secrets.ORACLES, **mixing.ORACLES, **chat.ORACLES, **sharding.ORACLES, **passages.ORACLES}
+ORACLES = {**secrets.ORACLES, **mixing.ORACLES, **chat.ORACLES, **sharding.ORACLES, **passages.ORACLES, **urls.ORACLES}
