@@ -18,7 +18,8 @@ So every pair that the bands find is either linked through verified links or com
 similarity of at least THRESHOLD between whole texts. At 0.8 a pair is missed by all bands with probability 0.004, at 0.9 with 1e-5.
 
 Defined results: texts without words (null, empty, punctuation) and rows without an id are in no link; their class is their own
-id. Rows with the same id and different texts are different texts. Ties go to the smaller id. An empty table gives no rows.
+id. Rows with the same id and different texts are different texts, each in a class of its own links. Ties go to the smaller id, then
+to the smaller hash of the text. An empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -28,7 +29,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession, Window as W, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window as W, functions as F
 
 from catalog_lineage.llm.common import Words, cut, likely_in, mix, packed, rolling, runs, separators, slot_counts, steps, table, within
 from catalog_lineage.llm.components import components
@@ -42,6 +43,8 @@ LIKELY = THRESHOLD - 4 * (THRESHOLD * (1 - THRESHOLD) / SAMPLES) ** 0.5
 #: Texts of a band that are compared in one block, and members of a leader that are verified in one task.
 BLOCK, MEMBERS = 1000, 500
 _PLAIN = separators("plain")
+#: Any character but those of _PLAIN.
+_WORD_CHARACTER = r"[0-9A-Za-z[^\x00-\x7F]]"
 _ID_BITS = 44
 
 
@@ -129,7 +132,7 @@ class Sampler:
 
 
 def signatures(docs: DataFrame, weights: np.ndarray) -> DataFrame:
-    """doc_id, node (key of the word sequence), total weight and samples of all texts with words."""
+    """doc_id, hash of the text, node (key of the word sequence), total weight and samples of all texts with words."""
     shared = docs.sparkSession.sparkContext.broadcast(weights)
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -145,9 +148,9 @@ def signatures(docs: DataFrame, weights: np.ndarray) -> DataFrame:
                 node[full], total[full], empty[full] = s.key[full], np.add.reduceat(weight, first[:-1]), False
                 for i, x in zip(full, sampler(s.shingle, weight, first)):
                     samples[i] = x.tobytes()
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(node, mask=empty), pa.array(total), pa.array(samples, pa.binary())], ["doc_id", "node", "total", "samples"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(node, mask=empty), pa.array(total), pa.array(samples, pa.binary())], ["doc_id", "text_hash", "node", "total", "samples"])
 
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(sign, "doc_id long, node long, total double, samples binary")
+    return docs.select(F.col("doc_id").cast("long"), "text", _text_hash().alias("text_hash")).mapInArrow(sign, "doc_id long, text_hash long, node long, total double, samples binary")
 
 
 def _similarity(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray]) -> float:
@@ -169,9 +172,9 @@ def verify(docs: DataFrame, nodes: DataFrame, pairs: DataFrame, weights: np.ndar
     parts = pairs.groupBy("a").agg(F.ceil(F.count("*") / MEMBERS).cast("int").alias("parts"))
     members = pairs.join(parts, "a").select("a", F.pmod(F.xxhash64("b"), F.col("parts")).cast("int").alias("part"), F.col("b").alias("node"), F.lit(1).alias("role"))
     leaders = parts.select("a", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), F.col("a").alias("node"), F.lit(0).alias("role"))
-    wanted = cut(members.unionByName(leaders).join(nodes.select("node", F.col("rep").alias("doc_id")), "node"))
+    wanted = cut(members.unionByName(leaders).join(nodes.select("node", F.col("rep").alias("doc_id"), "text_hash"), "node"))
     texts = likely_in(_texts(docs), "doc_id", wanted.select("doc_id"))
-    rows = texts.join(wanted, "doc_id").select("a", "part", "role", "node", "text").repartition("a", "part").sortWithinPartitions("a", "part", "role", "node")
+    rows = texts.join(wanted, ["doc_id", "text_hash"]).select("a", "part", "role", "node", "text").repartition("a", "part").sortWithinPartitions("a", "part", "role", "node")
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         leader, of = None, None
@@ -182,7 +185,7 @@ def verify(docs: DataFrame, nodes: DataFrame, pairs: DataFrame, weights: np.ndar
             hits = []
             for i in range(batch.num_rows):
                 if s.key[i] != node[i]:
-                    continue  # another text under the same id
+                    continue  # another text under the same id and hash
                 own = (s.shingle[s.first[i] : s.first[i + 1]], weight[s.first[i] : s.first[i + 1]])
                 if role[i] == 0:
                     leader, of = own, (a[i], part[i])
@@ -255,14 +258,17 @@ def _links(weights, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
             yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
 
 
-def near_duplicates(docs: DataFrame) -> DataFrame:
-    """doc_id and class_id (the smallest id among the documents that links connect) for every row."""
+def _linked(docs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """The signed rows (doc_id, node), the texts with words (node and the smallest rep, text_hash that has it) and the components of
+    those that links connect."""
     documents = docs.select("doc_id", "text")
     weights = slot_weights(document_counts(documents), documents.count())
     signed = cut(signatures(documents, weights))
     with_words = signed.where("doc_id is not null and node is not null")
     # Copies meet here before anything else; the samples of equal texts are equal.
-    nodes = cut(with_words.groupBy("node").agg(F.min("doc_id").alias("rep"), F.first("total").alias("total"), F.first("samples").alias("samples")))
+    first_row = F.min(F.struct(F.col("doc_id").alias("rep"), "text_hash")).alias("first_row")
+    nodes = with_words.groupBy("node").agg(first_row, F.first("total").alias("total"), F.first("samples").alias("samples"))
+    nodes = cut(nodes.select("node", "first_row.*", "total", "samples"))
     width = ROWS * 4
     keys = F.array(*(F.xxhash64(F.lit(j), F.substring("samples", j * width + 1, width)) for j in range(BANDS)))
     bands = nodes.select("node", F.posexplode(keys).alias("turn", "band"))
@@ -272,12 +278,19 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     links = verify(documents, nodes, first, weights)
     links = links.unionByName(_links_across(documents, nodes, shared, cut(components(links)), weights))
 
-    of_text = nodes.select("node", "rep").join(components(links), "node")
+    return signed.select("doc_id", "node"), nodes.select("node", "rep", "text_hash"), components(links)
+
+
+def near_duplicates(docs: DataFrame) -> DataFrame:
+    """doc_id and class_id (the smallest id among the documents that links connect) for every row."""
+    signed, nodes, linked = _linked(docs)
+    of_text = nodes.join(linked, "node")
     heads = of_text.groupBy("component").agg(F.min("rep").alias("class_id"))
-    linked = of_text.join(heads, "component").select("node", "class_id")
-    texts = nodes.select("node", "rep").join(linked, "node", "left").select("node", F.coalesce("class_id", "rep").alias("class_id"))
+    classed = of_text.join(heads, "component").select("node", "class_id")
+    texts = nodes.join(classed, "node", "left").select("node", F.coalesce("class_id", "rep").alias("class_id"))
+    with_words = signed.where("doc_id is not null and node is not null")
     rest = signed.where("doc_id is null or node is null").select("doc_id", F.col("doc_id").alias("class_id"))
-    return with_words.select("doc_id", "node").join(texts, "node").select("doc_id", "class_id").unionByName(rest)
+    return with_words.join(texts, "node").select("doc_id", "class_id").unionByName(rest)
 
 
 def _links_across(docs: DataFrame, nodes: DataFrame, shared: DataFrame, known: DataFrame, weights: np.ndarray) -> DataFrame:
@@ -286,27 +299,38 @@ def _links_across(docs: DataFrame, nodes: DataFrame, shared: DataFrame, known: D
     mixed = marked.groupBy("band").agg(F.min("component").alias("x"), F.max("component").alias("y"), F.count("*").alias("n")).where("x < y")
     chunks = F.ceil(F.col("n") / BLOCK).cast("int")
     rows = marked.join(mixed.select("band", chunks.alias("chunks")), "band").withColumn("chunk", F.pmod(F.xxhash64("node"), F.col("chunks")).cast("int"))
-    rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1))).join(nodes.select("node", "rep", "total", "samples"), "node")
-    blocks = rows.select("band", F.least("chunk", "other").alias("low"), F.greatest("chunk", "other").alias("high"), "chunk", "turn", "node", "component", "rep", "total", "samples")
+    rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1))).join(nodes.select("node", "rep", "text_hash", "total", "samples"), "node")
+    blocks = rows.select("band", F.least("chunk", "other").alias("low"), F.greatest("chunk", "other").alias("high"), "chunk", "turn", "node", "component", "rep", "text_hash", "total", "samples")
     worth = cut(blocks.repartition(*_BLOCK_KEYS).sortWithinPartitions(*_BLOCK_KEYS).mapInArrow(_worth, blocks.schema))
     texts = likely_in(_texts(docs), "doc_id", worth.select(F.col("rep").alias("doc_id"))).withColumnRenamed("doc_id", "rep")
-    whole = worth.join(texts, "rep").repartition(*_BLOCK_KEYS).sortWithinPartitions(*_BLOCK_KEYS)
+    whole = worth.join(texts, ["rep", "text_hash"]).repartition(*_BLOCK_KEYS).sortWithinPartitions(*_BLOCK_KEYS)
     shared_weights = docs.sparkSession.sparkContext.broadcast(weights)
     return cut(whole.mapInArrow(lambda batches: _links(shared_weights.value, batches), "a long, b long").distinct())
 
 
+def _text_hash() -> Column:
+    return F.xxhash64("text")
+
+
 def _texts(docs: DataFrame) -> DataFrame:
-    return docs.where("doc_id is not null").select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    return docs.where("doc_id is not null").select(F.col("doc_id").cast("long").alias("doc_id"), "text", _text_hash().alias("text_hash"))
 
 
 def unique_documents(docs: DataFrame) -> DataFrame:
-    """The rows of docs that stay: one document of each class, documents without words or id as they are, one row of each id."""
-    heads = near_duplicates(docs).where("doc_id = class_id").select(F.col("class_id").alias("head")).distinct()
+    """The rows of docs that stay: one of each class of texts, that of the smallest id, and all without words or id as they are."""
+    _, nodes, linked = _linked(docs)
+    texts = nodes.join(linked, "node", "left")
+    heads = texts.groupBy(F.coalesce("component", "node")).agg(F.min(F.struct("rep", "text_hash")).alias("head")).select("head.*")
     content = F.xxhash64(*(F.col(f"`{c}`") for c, kind in docs.dtypes if not kind.startswith(("map", "variant"))))
-    rows = packed(docs, doc_id=F.col("doc_id").cast("long"), content=content)
-    kept = rows.join(heads, F.col("doc_id") == F.col("head"), "left_semi")
-    kept = kept.withColumn("turn", F.row_number().over(W.partitionBy("doc_id").orderBy("content"))).where("turn = 1")
-    return kept.select("_row.*").unionByName(docs.where("doc_id is null"))
+    rows = packed(docs, doc_id=F.col("doc_id").cast("long"), text_hash=_text_hash(), content=content)
+    kept = rows.join(heads.withColumnRenamed("rep", "doc_id"), ["doc_id", "text_hash"], "left_semi")
+    # Rows with equal id and text.
+    kept = kept.withColumn("turn", F.row_number().over(W.partitionBy("doc_id", "text_hash").orderBy("content"))).where("turn = 1")
+    return kept.select("_row.*").unionByName(docs.where(F.col("doc_id").isNull() | ~_has_words()))
+
+
+def _has_words() -> Column:
+    return F.coalesce(F.col("text").rlike(_WORD_CHARACTER), F.lit(False))
 
 
 def op6_minhash_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:

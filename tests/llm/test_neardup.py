@@ -102,6 +102,32 @@ def test_nulls_repeats_and_empty_table(spark):
     assert near_duplicates(df.limit(0)).collect() == []
 
 
+def test_texts_of_one_id_are_kept_by_class(spark):
+    hot, a, b, c = [" ".join(text(60)) for _ in range(30)], text(200), text(200), " ".join(text(50))
+    rows = [(7, t) for t in hot] + [(7, hot[0]), (7, "..."), (7, ""), (7, ""), (7, None), (None, c), (None, c)]
+    # The first text of 1 heads a class; its second is a near copy of a text of 0, which has a class of its own too.
+    rows += [(1, " ".join(a)), (2, " ".join(edited(a, 2))), (0, " ".join(b)), (1, " ".join(edited(b, 2))), (0, c)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    key = lambda r: (str(r[0]), str(r[1]))
+    expected = [(7, t) for t in hot] + [(7, "..."), (7, ""), (7, ""), (7, None), (None, c), (None, c), rows[-5], rows[-3], (0, c)]
+    assert sorted((tuple(r) for r in unique_documents(df).collect()), key=key) == sorted(expected, key=key)
+
+
+def test_two_texts_of_one_id_in_one_class(spark):
+    base = text(200)
+    same_id = [" ".join(base), " ".join(edited(base, 1)), " ".join(edited(base, 1))]
+    df = spark.createDataFrame([(3, t) for t in same_id] + [(4, same_id[0])], "doc_id long, text string")
+    assert [r.doc_id for r in unique_documents(df).collect()] == [3]
+
+
+def test_rows_without_words_as_shingled(spark):
+    texts = [None, "", " .-_\n", "é", "\u212a", "😀", "\u2003", "\x7f", "\x80", "...\n...x", *(chr(i) for i in range(1, 128))]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "id int, text string")
+    got = {r.id: r.words for r in df.select("id", neardup._has_words().alias("words")).collect()}
+    words = neardup.Shingled(neardup.pa.array(texts, neardup.pa.string())).words
+    assert got == {i: bool(n) for i, n in enumerate(words)}
+
+
 def test_components(spark):
     pairs = [(i, i + 1) for i in range(40)] + [(100, 5), (200, 201), (202, 201), (300, 300)]
     got = {r.node: r.component for r in components(spark.createDataFrame(pairs, "a long, b long")).collect()}
