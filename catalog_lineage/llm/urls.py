@@ -2,8 +2,8 @@
 
 A page's URL is a set of tokens: scheme, host labels, path parts with digits as #, and query keys. Labelled pages (label of the
 document with the page's id) are transactions, bad ones with one more token. Spark's FP-growth finds the frequent combinations; those
-that imply a bad page with MIN_CONFIDENCE, in at least MIN_SUPPORT of the labelled pages, are rules, less those that a shorter rule
-already implies. Rules are found by an inverted index: each is filed under its rarest token, so a page only meets rules filed under one
+that imply a bad page with MIN_CONFIDENCE, in at least MIN_SUPPORT of the labelled pages, are rules of any length, less those that a
+shorter rule already implies. Rules are found by an inverted index: each is filed under its rarest token, so a page only meets rules filed under one
 of its own, and the rest of the rule is checked there. Mining and matching cover all rows and run as joins over distinct URLs.
 
 Defined results: a null URL or one without :// has empty host and path, fits no rule and is allowed; without labels of both kinds no
@@ -20,7 +20,9 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from catalog_lineage.llm.common import cut, packed, table
 
-MIN_SUPPORT, MIN_CONFIDENCE, MAX_TOKENS = 0.005, 0.7, 4
+MIN_SUPPORT, MIN_CONFIDENCE = 0.005, 0.7
+#: Length of the combinations that the SQL counts; mined rules are of any length.
+MAX_TOKENS = 4
 BAD = "!bad"
 
 
@@ -84,18 +86,24 @@ def mine(pages: DataFrame, labels: DataFrame, support: float = MIN_SUPPORT, conf
         return empty
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     model = FPGrowth(itemsCol="items", minSupport=support, minConfidence=confidence, numPartitions=parts).fit(items)
-    rules = model.associationRules.where((F.size("consequent") == 1) & (F.col("consequent")[0] == BAD) & (F.size("antecedent") <= MAX_TOKENS))
-    rules = cut(rules.select(F.array_sort("antecedent").alias("tokens"), "confidence", "support"))
-    # A rule is redundant if one with fewer of its tokens is there: its subsets (at most 2**MAX_TOKENS) are looked up.
-    smaller = rules.withColumn("size", F.size("tokens")).withColumn("mask", F.explode(F.sequence(F.lit(1), F.shiftleft(F.lit(1), MAX_TOKENS) - 1)))
-    smaller = smaller.where("mask < shiftleft(1, size) - 1").select(
-        F.col("tokens").alias("_whole"), F.filter("tokens", lambda x, i: F.call_function("getbit", F.col("mask"), i) == 1).alias("_part"),
-    )
-    implied = smaller.join(rules.select(F.col("tokens").alias("_part")), "_part").select(F.col("_whole").alias("tokens")).distinct()
-    kept = rules.join(implied, "tokens", "left_anti")
+    rules = model.associationRules.where((F.size("consequent") == 1) & (F.col("consequent")[0] == BAD))
     seen = items.select(F.explode("items").alias("filed")).groupBy("filed").agg(F.count("*").alias("n"))
-    filed = kept.select("*", F.explode("tokens").alias("filed")).join(seen, "filed")
-    return cut(filed.groupBy("tokens", "confidence", "support").agg(F.min_by("filed", F.struct("n", "filed")).alias("filed")))
+    rules = rules.select(F.array_sort("antecedent").alias("tokens"), "confidence", "support")
+    filed = rules.select("*", F.explode("tokens").alias("filed")).join(seen, "filed")
+    return minimal(cut(filed.groupBy("tokens", "confidence", "support").agg(F.min_by("filed", F.struct("n", "filed")).alias("filed"))))
+
+
+def minimal(rules: DataFrame) -> DataFrame:
+    """The rules that hold no other rule's tokens. The shortest of those left are minimal; the longer ones that hold one of them go, and
+    so on with the next length, so that only minimal rules are joined with the others."""
+    kept, rest = rules.limit(0), rules
+    while (size := rest.agg(F.min(F.size("tokens"))).first()[0]) is not None:
+        level, longer = rest.where(F.size("tokens") == size), rest.where(F.size("tokens") > size)
+        kept = kept.unionByName(level)
+        met = longer.select("tokens", F.explode("tokens").alias("filed")).join(level.select("filed", F.col("tokens").alias("_part")), "filed")
+        implied = met.where(F.size(F.array_except("_part", "tokens")) == 0).select("tokens").distinct()
+        rest = cut(longer.join(implied, "tokens", "left_anti"))
+    return kept
 
 
 def matched(urls: DataFrame, rules: DataFrame) -> DataFrame:

@@ -68,6 +68,31 @@ def test_mined_rules_and_matching(spark):
         assert BAD not in (r.mined_rule or "")
 
 
+def test_rules_of_more_than_four_tokens(spark):
+    pick, pages, labels = random.Random(4), [], []
+    for i in range(640):
+        # Six choices of two; the first five together are bad, and so is one pair of others.
+        bits = [i >> k & 1 for k in range(6)]
+        pages.append((i, "https://" + ".".join("ab"[b] + str("vwx"[k]) for k, b in enumerate(bits[:3])) + "/" + "/".join("ab"[b] + "yzt"[k] for k, b in enumerate(bits[3:]))))
+        labels.append((i, int(not (all(bits[:5]) or (not bits[0] and not bits[5] and pick.random() < 0.9))), 0))
+    df = spark.createDataFrame(pages, "page_id int, url string")
+    marks = spark.createDataFrame(labels, "doc_id int, quality int, toxic int")
+    host, path = host_and_path(F.col("url"))
+    tokens = df.select("page_id", "url", url_tokens(F.col("url"), host, path).alias("tokens"))
+    seen, bad = Counter(), Counter()
+    for r in tokens.collect():
+        for n in range(1, len(r.tokens) + 1):
+            for c in itertools.combinations(sorted(r.tokens), n):
+                seen[c] += 1
+                bad[c] += not labels[r.page_id][1]
+    good = {c for c in seen if bad[c] / len(pages) >= 0.005 and bad[c] / seen[c] >= MIN_CONFIDENCE}
+    expected = {c for c in good if not any(set(o) < set(c) for o in good)}
+    assert max(map(len, expected)) == 5 and min(map(len, expected)) == 2
+    assert {tuple(r.tokens) for r in mine(tokens, marks).collect()} == expected
+    verdicts = {r.page_id: r.verdict for r in judge(df, marks).collect()}
+    assert all(verdicts[i] == "block" for i in range(640) if i & 31 == 31)
+
+
 def test_empty_tables(spark):
     pages, labels = spark.createDataFrame([], "page_id int, url string"), spark.createDataFrame([(1, 0, 1)], "doc_id int, quality int, toxic int")
     assert judge(pages, labels).collect() == []
