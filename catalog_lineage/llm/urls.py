@@ -21,8 +21,6 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from catalog_lineage.llm.common import cut, packed, table
 
 MIN_SUPPORT, MIN_CONFIDENCE = 0.005, 0.7
-#: Length of the combinations that the SQL counts; mined rules are of any length.
-MAX_TOKENS = 4
 BAD = "!bad"
 
 
@@ -134,15 +132,6 @@ def op3_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("page_id", "host", "path", "rule", "verdict", "mined_rule")
 
 
-def _sets_sql() -> str:
-    """Token sets of at most MAX_TOKENS of each labelled page, in ascending order."""
-    sets = []
-    for n in range(1, MAX_TOKENS + 1):
-        joins = "".join(f" JOIN tokens t{i} ON t{i}.page = t1.page AND t{i}.token > t{i - 1}.token" for i in range(2, n + 1))
-        sets.append(f"SELECT t1.page, t1.bad, [{', '.join(f't{i}.token' for i in range(1, n + 1))}] AS items FROM tokens t1{joins}")
-    return " UNION ALL ".join(sets)
-
-
 def _given_sql() -> str:
     """The given rules, longest first."""
     rules = sorted(RULES, key=lambda r: -len(r.host + r.path))
@@ -151,9 +140,10 @@ def _given_sql() -> str:
     return f"{case(lambda r: r.host + r.path)} AS rule, {case(lambda r: r.verdict)} AS given"
 
 
+#: Combinations grow by one token in ascending order, in all pages that hold them, from those that are frequent enough and no rule yet.
 ORACLES = {
     "op3_url_filter": f"""
-WITH rest AS (SELECT page_id, url, CASE WHEN contains(url, '://') THEN substr(url, instr(url, '://') + 3) ELSE '' END AS rest, row_number() OVER () AS page FROM pages),
+WITH RECURSIVE rest AS (SELECT page_id, url, CASE WHEN contains(url, '://') THEN substr(url, instr(url, '://') + 3) ELSE '' END AS rest, row_number() OVER () AS page FROM pages),
 parsed AS (SELECT page_id, page, url, translate(regexp_extract(rest, '^([^/?#]*)', 1), '{string.ascii_uppercase}', '{string.ascii_lowercase}') AS host, regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path FROM rest),
 tokened AS (SELECT *, list_distinct(list_concat(
     CASE WHEN contains(url, '://') AND instr(url, '://') > 1 THEN ['s:' || lower(split_part(url, '://', 1))] ELSE [] END,
@@ -161,11 +151,17 @@ tokened AS (SELECT *, list_distinct(list_concat(
     list_transform(list_filter(string_split_regex(lower(path), '[/._-]+'), lambda x: x <> ''), lambda x: 'p:' || regexp_replace(x, '[0-9]+', '#', 'g')),
     list_transform(regexp_extract_all(coalesce(url, ''), '[?&]([^=&#]+)', 1), lambda x: 'q:' || x))) AS tokens FROM parsed),
 marked AS (SELECT doc_id, bool_or(coalesce(toxic = 1 OR quality = 0, false)) AS bad FROM labels GROUP BY doc_id),
-known AS (SELECT page, bad, tokens FROM tokened JOIN marked ON page_id = doc_id),
-tokens AS MATERIALIZED (SELECT page, bad, unnest(tokens) AS token FROM known),
-counted AS (SELECT items, count(*) AS seen, count(*) FILTER (bad) AS bad FROM ({_sets_sql()}) GROUP BY items),
-total AS (SELECT count(*) AS n FROM known),
-implying AS (SELECT items, bad::DOUBLE / seen AS confidence, bad::DOUBLE / n AS support FROM counted, total WHERE bad > 0 AND bad >= ceil({MIN_SUPPORT} * n) AND bad::DOUBLE / seen >= {MIN_CONFIDENCE}),
+known AS MATERIALIZED (SELECT page, bad, tokens FROM tokened JOIN marked ON page_id = doc_id WHERE bad OR len(tokens) > 0),
+tokens AS MATERIALIZED (SELECT page, bad::INT AS bad, unnest(tokens) AS token FROM known),
+total AS (SELECT count(*) AS n, greatest(ceil({MIN_SUPPORT} * count(*)), 1) AS least FROM known),
+grown AS (
+  SELECT page, bad, [token] AS items, token AS last, count(*) OVER w AS seen, sum(bad) OVER w AS hits FROM tokens WINDOW w AS (PARTITION BY token)
+  UNION ALL
+  SELECT page, bad, items, last, count(*) OVER w AS seen, sum(bad) OVER w AS hits
+  FROM (SELECT g.page, g.bad, list_append(items, token) AS items, token AS last FROM grown g JOIN tokens t ON t.page = g.page AND token > last, total WHERE hits >= least AND hits / seen < {MIN_CONFIDENCE})
+  WINDOW w AS (PARTITION BY items)
+),
+implying AS MATERIALIZED (SELECT DISTINCT items, hits / seen AS confidence, hits / n AS support FROM grown, total WHERE hits >= least AND hits / seen >= {MIN_CONFIDENCE}),
 mined AS (SELECT * FROM implying i WHERE NOT EXISTS (SELECT 1 FROM implying o WHERE len(o.items) < len(i.items) AND list_has_all(i.items, o.items))),
 best AS (SELECT page, max(ROW(confidence, support, array_to_string(items, ' '))) AS m FROM tokened JOIN mined ON list_has_all(tokens, items) GROUP BY page),
 ruled AS (SELECT page_id, host, path, page, {_given_sql()} FROM parsed)

@@ -2,7 +2,10 @@ import itertools
 import random
 from collections import Counter
 
-from catalog_lineage.llm.urls import BAD, MAX_TOKENS, MIN_CONFIDENCE, RULES, judge, mine, op3_url_filter, url_tokens, host_and_path
+import duckdb
+import pytest
+
+from catalog_lineage.llm.urls import BAD, MIN_CONFIDENCE, ORACLES, RULES, judge, mine, op3_url_filter, url_tokens, host_and_path
 from pyspark.sql import functions as F
 
 
@@ -34,10 +37,10 @@ def test_parsing_and_given_rules(spark):
 
 
 def rules_by_counting(transactions, support, confidence):
-    """Minimal token sets that imply a bad page, by counting every set of at most MAX_TOKENS."""
+    """Minimal token sets that imply a bad page, by counting every set."""
     seen, bad = Counter(), Counter()
     for tokens, is_bad in transactions:
-        for n in range(1, MAX_TOKENS + 1):
+        for n in range(1, len(tokens) + 1):
             for c in itertools.combinations(sorted(tokens), n):
                 seen[c] += 1
                 bad[c] += is_bad
@@ -93,6 +96,24 @@ def test_rules_of_more_than_four_tokens(spark):
     assert all(verdicts[i] == "block" for i in range(640) if i & 31 == 31)
 
 
+@pytest.mark.parametrize("length", [5, 7])
+def test_sql_finds_long_rules(spark, length):
+    pages, labels = [], []
+    for i in range(512):
+        bits = [i >> k & 1 for k in range(length + 1)]
+        pages.append((i, "https://x.net/" + "/".join("ab"[b] + "rstuvwyz"[k] for k, b in enumerate(bits))))
+        labels.append((i, 1, int(all(bits[:length]))))
+    df, marks = spark.createDataFrame(pages, "page_id long, url string"), spark.createDataFrame(labels, "doc_id long, quality long, toxic long")
+    con, parts = duckdb.connect(), {"pages": df.toPandas(), "labels": marks.toPandas()}
+    for name, part in parts.items():
+        con.register(name, part)
+    sql = con.sql(ORACLES["op3_url_filter"])
+    at = [sql.columns.index(c) for c in ("page_id", "verdict", "mined_rule")]
+    got = {(r.page_id, r.verdict, r.mined_rule) for r in judge(df, marks).collect()}
+    assert got == {tuple(r[i] for i in at) for r in sql.fetchall()}
+    assert {len(rule.split()) for _, _, rule in got if rule} == {length}
+
+
 def test_empty_tables(spark):
     pages, labels = spark.createDataFrame([], "page_id int, url string"), spark.createDataFrame([(1, 0, 1)], "doc_id int, quality int, toxic int")
     assert judge(pages, labels).collect() == []
