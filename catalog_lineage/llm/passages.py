@@ -23,7 +23,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from catalog_lineage.llm.common import Words, cut, likely_in, mix, packed, powers, rolling, separators, steps, table, within
 
@@ -99,15 +99,20 @@ def _windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
+def _version() -> Column:
+    """Digest of the text, which tells the texts of one id apart."""
+    return F.unhex(F.md5(F.col("text").cast("binary")))
+
+
 def _spans(rows: DataFrame) -> DataFrame:
     return rows.groupBy("doc_id", "version").agg(F.collect_list(F.struct("low", "high")).alias("spans"))
 
 
 def repeated_windows(docs: DataFrame) -> DataFrame:
-    """doc_id, version (hash of the text) and spans: the first words of windows that a document with a smaller id has as well, as
+    """doc_id, version (digest of the text) and spans: the first words of windows that a document with a smaller id has as well, as
     runs low to high. A row's list is bounded by its document."""
-    texts = docs.where("doc_id is not null and text is not null").select(F.col("doc_id").cast("long").alias("doc_id"), F.shiftright(F.xxhash64("text"), 32).cast("int").alias("version"), "text")
-    schema = "anchor long, reach long, doc_id long, version int, low int, high int"
+    texts = docs.where("doc_id is not null and text is not null").select(F.col("doc_id").cast("long").alias("doc_id"), _version().alias("version"), "text")
+    schema = "anchor long, reach long, doc_id long, version binary, low int, high int"
     occurrences = texts.mapInArrow(_occurrences, schema)
     seeds = occurrences.groupBy("anchor").agg(F.min("doc_id").alias("x"), F.max("doc_id").alias("y")).where("x < y").select("anchor")
     joined = cut(occurrences.join(seeds, "anchor"))
@@ -119,7 +124,7 @@ def repeated_windows(docs: DataFrame) -> DataFrame:
 
     wanted = cut(_spans(firsts))
     asked = likely_in(texts, "doc_id", wanted.select("doc_id")).join(wanted, ["doc_id", "version"]).select("doc_id", "version", "text", "spans").dropDuplicates(["doc_id", "version"])
-    windows = cut(asked.mapInArrow(_windows, "one long, two long, doc_id long, version int, low int"))
+    windows = cut(asked.mapInArrow(_windows, "one long, two long, doc_id long, version binary, low int"))
     least = windows.groupBy("one", "two").agg(F.min("doc_id").alias("x"), F.max("doc_id").alias("y")).where("x < y").select("one", "two", "x")
     extended = windows.join(least, ["one", "two"]).where("doc_id > x").select("doc_id", "version", "low", F.col("low").alias("high"))
     return _spans(covered.unionByName(extended))
@@ -130,7 +135,7 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     own = docs.drop("n_words", "n_removed", "kept_text")
     spans = cut(repeated_windows(docs))
 
-    keys = packed(own, version=F.shiftright(F.xxhash64("text"), 32).cast("int"), doc_id=F.col("doc_id").cast("long"))
+    keys = packed(own, version=_version(), doc_id=F.col("doc_id").cast("long"))
     marked = likely_in(keys.where("doc_id is not null"), "doc_id", spans.select("doc_id"), keep="may")
     nothing = F.lit(None).cast(spans.schema["spans"].dataType)
     # Rows that surely have no spans need no join.

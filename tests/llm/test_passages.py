@@ -68,6 +68,15 @@ def test_long_text_and_empty_table(spark):
     assert remove_repeats(df.limit(0)).collect() == []
 
 
+def test_many_texts_of_one_id(spark):
+    pick = random.Random(9)
+    shared = [f"s{i}" for i in range(70)]
+    docs = [(4, " ".join([f"a{pick.randint(0, 9)}" for _ in range(pick.randint(0, 9))] + shared[pick.randint(0, 15) :])) for _ in range(300)] + [(3, " ".join(shared[5:60])), (9, " ".join(shared))]
+    df = spark.createDataFrame(docs, "doc_id int, text string")
+    got = sorted(map(str, ((r.doc_id, r.n_words, r.n_removed, r.kept_text) for r in remove_repeats(df).collect())))
+    assert got == sorted(map(str, plain(docs, passages.WINDOW)))
+
+
 def test_query(spark):
     sf = "/root/testdata/sf0.001"
     docs = [(r.doc_id, r.text) for r in spark.read.parquet(f"{sf}/documents.parquet").collect()]
