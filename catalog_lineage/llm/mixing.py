@@ -82,7 +82,9 @@ def mix(df: DataFrame, weights: DataFrame | None = None, max_epochs: int = MAX_E
     """Adds size, source_size, target, whole and extra: each document is taken `whole` times, and its first `extra` words once more.
     `weights` has source and weight; without it the weights are 1, 2, 3 in turn."""
     df = df.drop("size", "source_size", "target", "whole", "extra")
-    digest = F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col("doc_id").cast("string"), F.lit(""))))
+    # With the text, so that an id that many rows share has no place of its own in the order.
+    told = F.concat(F.lit(f"{seed}:"), F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.lit(":"), F.md5(text_or_empty().cast("binary")))
+    digest = F.md5(told.cast("binary"))
     keyed = packed(df, source=F.col("source"), size=words(), digest=digest)
     docs = cut(keyed.select("source", "size", "digest"))
     sizes = docs.groupBy("source").agg(F.sum("size").alias("source_size"))
@@ -123,7 +125,7 @@ def op2_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
 ORACLES = {
     "op2_mix_sources": f"""
 WITH docs AS (
-  SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+')), 0)::BIGINT AS size, md5('{SEED}:' || doc_id::VARCHAR) AS digest FROM documents
+  SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+')), 0)::BIGINT AS size, md5('{SEED}:' || doc_id::VARCHAR || ':' || md5(coalesce(text, ''))) AS digest FROM documents
 ), sizes AS (
   SELECT source, sum(size)::BIGINT AS source_size, (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1 AS weight FROM docs GROUP BY source
 ), stepped AS (

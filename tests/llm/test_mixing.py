@@ -57,6 +57,15 @@ def test_nulls_hot_source_and_clashing_columns(spark):
     assert words == sum(r["taken"] for r in rows)
 
 
+def test_texts_of_a_hot_id_have_places_of_their_own(spark):
+    rows = [(7, "a", f"text {i} of the hot id") for i in range(900)] + [(i, "ab"[i % 2], "other words") for i in range(100, 1000)]
+    mixed = mix(spark.createDataFrame(rows, "doc_id int, source string, text string"))
+    hot = [r.extra for r in mixed.where("doc_id = 7").collect()]
+    assert len(hot) == 900 and 0 < sum(x > 0 for x in hot) < 900
+    taken = mixed.selectExpr("source", "target", "whole * size + extra as taken").groupBy("source", "target").sum("taken").collect()
+    assert all(abs(r[2] - r[1]) <= 1 for r in taken)
+
+
 def test_first_words_of_the_last_document_keep_their_spaces(spark):
     from pyspark.sql import functions as F
 
