@@ -24,7 +24,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from catalog_lineage.llm.common import Words, free_name, separators, steps, table
+from catalog_lineage.llm.common import Words, cut, free_name, separators, steps, table
 
 SLOTS = 1 << 18
 TRAIN_DOCS, TRAIN_CHARS, SEED = 6000, 20_000, 77
@@ -115,7 +115,8 @@ def fit(text: np.ndarray, first: np.ndarray, slot: np.ndarray, label: np.ndarray
 
 
 def train(docs: DataFrame, labels: DataFrame) -> Model:
-    """Learns from the training fold's sample. The driver gets the hashed words of at most TRAIN_DOCS documents."""
+    """Learns from the training fold's sample. The driver gets the hashed words of at most TRAIN_DOCS texts: of at most so many ids,
+    and of theirs, equal ones once, again at most so many, both in seeded order."""
     marked = labels.where("toxic is not null and doc_id is not null").where(~held_out()).groupBy("doc_id").agg(F.max("toxic").cast("int").alias("_toxic"))
     chosen = marked.orderBy(F.xxhash64(F.col("doc_id"), F.lit(SEED)), "doc_id").limit(TRAIN_DOCS).withColumnRenamed("doc_id", "_labelled")
     texts = docs.where(F.length("text") <= TRAIN_CHARS).select("doc_id", "text").join(F.broadcast(chosen), F.col("doc_id") == F.col("_labelled"))
@@ -129,7 +130,10 @@ def train(docs: DataFrame, labels: DataFrame) -> Model:
             yield pa.RecordBatch.from_arrays([batch.column(1), batch.column(2), pa.array(words, pa.binary()), pa.array(numbers, pa.binary())], ["doc_id", "toxic", "words", "numbers"])
 
     schema = "doc_id long, toxic int, words binary, numbers binary"
-    rows = texts.select("text", F.col("doc_id").cast("long"), "_toxic").mapInArrow(hashed, schema).toPandas()
+    known = cut(texts.select("text", F.col("doc_id").cast("long"), "_toxic").mapInArrow(hashed, schema).withColumn("place", F.xxhash64("words", "numbers")))
+    kept = known.select("doc_id", "place").distinct().orderBy(F.xxhash64("doc_id", "place", F.lit(SEED)), "doc_id", "place").limit(TRAIN_DOCS)
+    once = known.join(F.broadcast(kept), ["doc_id", "place"]).groupBy("doc_id", "place").agg(*(F.min(c).alias(c) for c in ("toxic", "words", "numbers")))
+    rows = once.toPandas()
     rows = rows.assign(_place=[bytes(x) for x in rows["words"]]).sort_values(["doc_id", "_place"], ignore_index=True)
     label = rows["toxic"].to_numpy(np.int64)
     slots = [np.frombuffer(x, np.int32) for x in rows["_place"]]

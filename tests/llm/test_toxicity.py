@@ -1,6 +1,10 @@
+import math
 import random
+import re
 import zlib
 
+import pyarrow as pa
+
 from catalog_lineage.llm import toxicity
 from catalog_lineage.llm.toxicity import gentle_documents, op7_toxicity, score_texts, train
 
@@ -48,6 +52,32 @@ def test_held_out_labels_do_not_matter(spark):
     assert a.offset == b.offset and (a.weights == b.weights).all()
 
 
+def test_hot_label_leaves_a_bounded_sample(spark, monkeypatch):
+    docs, labels, _ = tables(spark, 60)
+    hot = next(i for i in range(60) if zlib.crc32(str(i).encode()) % 3 != 1)
+    many = docs.unionByName(spark.range(3000).selectExpr(f"{hot} as doc_id", "concat('word1 text ', id, '. vileone.') as text", "'x' as toxicity"))
+    sizes = []
+    monkeypatch.setattr(toxicity, "TRAIN_DOCS", 100)
+    monkeypatch.setattr(toxicity, "fit", lambda text, first, slot, label: sizes.append(len(label)))
+    train(many, labels)
+    train(many.unionByName(many), labels)
+    assert sizes == [100, 100]
+
+
+def test_score_is_the_noisy_or_of_the_sentences(spark):
+    docs, labels, _ = tables(spark, 300)
+    model = train(docs, labels)
+    slot = lambda word: int(toxicity.Sentences(pa.array([word])).slot[0])
+    weight = {w: float(model.weights[slot(w)]) for w in VOCABULARY + BAD}
+    for r in score_texts(docs, model).collect():
+        clean = 1.0
+        for sentence in re.split(r"[.!?\n]", r.text):
+            words = set(sentence.lower().split())
+            if words:
+                clean *= 1 - 1 / (1 + math.exp(-(sum(weight[w] for w in words) + model.offset)))
+        assert abs(r.toxicity.score - (1 - clean)) < 1e-9
+
+
 def test_nulls_long_texts_and_missing_labels(spark):
     docs, labels, _ = tables(spark, 200)
     odd = spark.createDataFrame([(1, None), (2, ""), (3, "..!"), (4, "word1 " * 50_000), (4, "word1 " * 50_000), (None, "é. vileone vileone.")], "doc_id int, text string")
