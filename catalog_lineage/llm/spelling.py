@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from catalog_lineage.llm.common import cut, mix, table
 
 LEAST_LENGTH, LEAST_COUNT, FACTOR, DELETED_EVERY = 7, 2, 10, 31
-SYMBOLS = 8
+SYMBOLS = 6
 #: Distinct words that a task holds before it hands out their counts, and letters of one step of key generation.
 _HELD, _LETTERS = 200_000, 1 << 16
 _RUN = re.compile(f"[A-Za-zÀ-ÿ]{{{LEAST_LENGTH},}}")
