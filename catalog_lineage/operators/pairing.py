@@ -2,8 +2,7 @@
 
 from __future__ import annotations
 
-from collections import defaultdict
-from heapq import heapify, heappop
+from collections import defaultdict, deque
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
@@ -102,7 +101,8 @@ def pair(validations: DataFrame, relationships: DataFrame, row_key: str = "row_k
 
 TIERS = ("tne", "tn", "ne", "n", "te", "t", "e", "")
 TIER_SCORE = {tier: 100 + 20 * ("t" in tier) + 40 * ("n" in tier) + 10 * ("e" in tier) for tier in TIERS}
-SMALL_COMPONENT = 50_000
+#: Most rows of a component that are served in one task, and most entries of tiers that they are served from.
+SLICE_ROWS, SLICE_ENTRIES = 50_000, 1_500_000
 PAIR_SCHEMA = "row_id string, rel_id string, score int"
 
 
@@ -118,22 +118,19 @@ def _tier_keys(fields: dict[str, Column], wanted: bool) -> Column:
     return F.array_compact(F.array(*entries))
 
 
-def _serve_in_order(key, rows: pd.DataFrame, rels: pd.DataFrame) -> pd.DataFrame:
-    """The rule itself, for one component of bounded size."""
-    free, queues, out = set(rels["rel_id"]), defaultdict(list), []
-    for rel in rels.sort_values(["position", "rel_id"]).itertuples():
-        for entry in rel.tiers:
-            queues[entry["tier"], entry["tier_key"]].append((rel.position, rel.rel_id))
-    for queue in queues.values():
-        heapify(queue)
+def _serve_in_order(key, rows: pd.DataFrame, entries: pd.DataFrame) -> pd.DataFrame:
+    """The rule itself, for one slice of a component; entries are the members of its tiers."""
+    taken, queues, out = set(), defaultdict(deque), []
+    for entry in entries.sort_values(["position", "rel_id"]).itertuples():
+        queues[entry.tier, entry.tier_key].append(entry.rel_id)
     for row in rows.sort_values(["row_order", "row_id"]).itertuples():
         for entry in sorted(row.tiers, key=lambda e: e["tier"]):
-            queue = queues.get((entry["tier"], entry["tier_key"]), [])
-            while queue and queue[0][1] not in free:
-                heappop(queue)
+            queue = queues.get((entry["tier"], entry["tier_key"]))
+            while queue and queue[0] in taken:
+                queue.popleft()
             if queue:
-                rel_id = heappop(queue)[1]
-                free.discard(rel_id)
+                rel_id = queue.popleft()
+                taken.add(rel_id)
                 out.append((row.row_id, rel_id, TIER_SCORE[TIERS[entry["tier"]]]))
                 break
     return pd.DataFrame(out, columns=["row_id", "rel_id", "score"])
@@ -185,12 +182,37 @@ def _claim_round(rows: DataFrame, rels: DataFrame) -> DataFrame:
     )
 
 
+def _slices(rows: DataFrame, rels: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The first rows of every component, and the members of the tiers that they can be served from.
+
+    So many rows take at most so many relationships, so the first free members of each tier they reach, as many as there are rows, are
+    enough. A slice has SLICE_ROWS rows, or half as often as it takes for the entries to stay below SLICE_ENTRIES.
+    """
+    pool = ["component", "tier", "tier_key"]
+    in_pools = lambda df, *own: df.select(*own, "component", F.explode("tiers").alias("t")).select(*own, "component", "t.*")
+    rank = F.row_number().over(W.partitionBy("component").orderBy("row_order", "row_id"))
+    first = cut(rows.withColumn("_rank", rank).where(F.col("_rank") <= SLICE_ROWS))
+    place = F.row_number().over(W.partitionBy(*pool).orderBy("position", "rel_id"))
+    touched = in_pools(first, "_rank").groupBy(*pool).agg(F.min("_rank").alias("_rank"))
+    near = in_pools(rels, "rel_id", "position").withColumn("_place", place).where(F.col("_place") <= SLICE_ROWS)
+    near = cut(near.join(touched, pool))
+    sizes = near.groupBy(*pool, "_rank").agg(F.count("*").alias("_size"))
+    ladder = [SLICE_ROWS >> j for j in range(SLICE_ROWS.bit_length())]
+    held = [F.sum(F.when(F.col("_rank") <= r, F.least("_size", F.lit(r)))) for r in ladder]
+    fits = F.coalesce(*[F.when(h <= SLICE_ENTRIES, F.lit(r)) for h, r in zip(held, ladder)], F.lit(1))
+    size = sizes.groupBy("component").agg(fits.alias("_rows"))
+    head = first.join(size, "component").where(F.col("_rank") <= F.col("_rows")).drop("_rank", "_rows")
+    entries = near.join(size, "component").where((F.col("_rank") <= F.col("_rows")) & (F.col("_place") <= F.col("_rows")))
+    return head, entries.select(*pool, "rel_id", "position")
+
+
 def pair_best(semantic: DataFrame, relationships: DataFrame, row_id: str = "row_id", row_order: str = "row_order",
               rel_id: str = "rel_id", position: str = "position") -> DataFrame:
     """The relationship each semantic row is served, with score and method; unmatched rows have none.
 
-    Undisputed rows of all components are paired at once by joins; what is left goes through the serving rule itself
-    in components below ``SMALL_COMPONENT`` rows, and through further rounds of joins in larger ones. Both are exact.
+    Undisputed rows of all components are paired at once by joins. Where rows dispute a relationship, who is served what depends on
+    everyone before, so each component is served by slices of its order: the first rows of all components together in one round, in
+    tasks of bounded size. The rounds are as many as the slices of the largest disputed component, whatever its disputes.
     """
     def shape(df: DataFrame, ident: str, order: str, names: tuple[str, str], wanted: bool) -> DataFrame:
         fields = {
@@ -224,19 +246,16 @@ def pair_best(semantic: DataFrame, relationships: DataFrame, row_id: str = "row_
         if rows.isEmpty():
             break
         rels = cut(rels.join(rows.select("bucket").distinct(), "bucket", "left_semi"))
-        rows, rels = _components(rows, rels)
-        size = rows.select("component").unionByName(rels.select("component")).groupBy("component").agg(F.count("*").alias("_n"))
-        small = size.where(F.col("_n") <= SMALL_COMPONENT).select("component")
-        served = (
-            rows.join(small, "component", "left_semi").groupBy("component")
-            .cogroup(rels.join(small, "component", "left_semi").groupBy("component"))
-            .applyInPandas(_serve_in_order, PAIR_SCHEMA)
-        )
-        found.append(cut(served))
-        rows = cut(rows.join(small, "component", "left_anti"))
+        rows, rels = (cut(side) for side in _components(rows, rels))
+        head, near = _slices(rows, rels)
+        head = cut(head)
+        served = cut(head.groupBy("component").cogroup(near.groupBy("component")).applyInPandas(_serve_in_order, PAIR_SCHEMA))
+        found.append(served)
+        rows = rows.join(head.select("row_id"), "row_id", "left_anti")
+        rels = cut(rels.join(served.select("rel_id"), "rel_id", "left_anti"))
+        rows = cut(rows.join(rels.select("bucket").distinct(), "bucket", "left_semi"))
         if rows.isEmpty():
             break
-        rels = cut(rels.join(small, "component", "left_anti"))
     pairs = found[0]
     for more in found[1:]:
         pairs = pairs.unionByName(more)

@@ -97,16 +97,43 @@ def candidate_groups(d):
     return resolve.candidate_groups(candidates(d))
 
 
-@check("best_score_pairing", """
+#: Fields by which rows of one source dispute its relationships; names may be missing, and there are more rows than relationships.
+DISPUTED = {
+    "source": "'q' || CAST(floor(o_orderkey / 32) AS BIGINT)", "row_type": "CASE WHEN o_custkey % 2 = 0 THEN 'CUBE' ELSE 'VIEW' END",
+    "row_name": "CASE o_custkey % 4 WHEN 0 THEN '' WHEN 1 THEN 'a' WHEN 2 THEN 'b' ELSE 'c' END", "row_expression": "CASE o_custkey % 3 WHEN 0 THEN '' WHEN 1 THEN 'e1' ELSE 'e2' END",
+    "rel_type": "CASE WHEN o_orderkey % 3 = 0 THEN 'CUBE' ELSE 'VIEW' END", "rel_name": "CASE o_orderkey % 5 WHEN 0 THEN 'a' WHEN 1 THEN 'a' WHEN 2 THEN 'b' ELSE 'c' END",
+    "rel_expression": "CASE o_orderkey % 7 WHEN 0 THEN 'e1' WHEN 1 THEN '' ELSE 'e2' END",
+}
+
+
+@check("best_score_pairing", f"""
+    WITH RECURSIVE r AS (
+      SELECT 'd' || CAST(o_orderkey AS STRING) AS row_id, {DISPUTED['source']} AS bucket, row_number() OVER (PARTITION BY floor(o_orderkey / 32) ORDER BY o_orderkey DESC) AS k,
+        {DISPUTED['row_type']} AS t, coalesce(nullif({DISPUTED['row_name']}, ''), {DISPUTED['row_expression']}) AS n, {DISPUTED['row_expression']} AS e FROM orders),
+    x AS (
+      SELECT 'x' || CAST(o_orderkey AS STRING) AS rel_id, {DISPUTED['source']} AS bucket, o_orderkey AS place,
+        {DISPUTED['rel_type']} AS t, {DISPUTED['rel_name']} AS n, {DISPUTED['rel_expression']} AS e FROM orders WHERE o_orderkey % 6 <> 1),
+    served AS (
+      SELECT DISTINCT bucket, 0::BIGINT AS k, []::VARCHAR[] AS used, NULL::VARCHAR AS row_id, NULL::VARCHAR AS rel_id, NULL::BIGINT AS score FROM r
+      UNION ALL
+      SELECT bucket, k, CASE WHEN best[3] IS NULL THEN used ELSE list_append(used, best[3]) END, row_id, best[3], -best[1] FROM (
+        SELECT r.bucket, r.k, s.used, r.row_id, min(CASE WHEN x.rel_id IS NOT NULL THEN ROW(-(100 + 20 * (r.t = x.t)::BIGINT + 40 * (r.n <> '' AND r.n = x.n)::BIGINT + 10 * (r.e <> '' AND r.e = x.e)::BIGINT), x.place, x.rel_id) END) AS best
+        FROM served s JOIN r ON r.bucket = s.bucket AND r.k = s.k + 1 LEFT JOIN x ON x.bucket = r.bucket AND NOT list_contains(s.used, x.rel_id) GROUP BY r.bucket, r.k, s.used, r.row_id)
+    )
     SELECT 's' || CAST(o_orderkey AS STRING) AS row_id, CASE WHEN o_orderkey % 10 <> 4 THEN CAST(o_orderkey AS STRING) END AS rel_id, CASE WHEN o_orderkey % 10 <> 4 THEN CASE WHEN o_orderkey % 3 = 0 THEN 160 ELSE 170 END END::BIGINT AS score,
-      CASE WHEN o_orderkey % 10 = 4 THEN 'UNMATCHED' ELSE 'EXACT_SEMANTIC_SIGNATURE' END AS source_pairing_method FROM orders""")
+      CASE WHEN o_orderkey % 10 = 4 THEN 'UNMATCHED' ELSE 'EXACT_SEMANTIC_SIGNATURE' END AS source_pairing_method FROM orders
+    UNION ALL SELECT row_id, rel_id, score, CASE WHEN rel_id IS NULL THEN 'UNMATCHED' WHEN score >= 160 THEN 'EXACT_SEMANTIC_SIGNATURE' ELSE 'RELAXED_SEMANTIC_SIGNATURE' END FROM served WHERE k > 0""")
 def best_score_pairing(d):
     key = F.col("o_orderkey")
     common = {"origin": F.lit("TI"), "relationship_type": F.lit("READS_FROM_CUBE"), "target_type": F.lit("cube"), "target_name": F.concat(F.lit("Cube "), key.cast("string"))}
     name = F.concat(F.lit("p"), (F.col("o_custkey") % 200).cast("string"), F.when(key % 10 == 4, "?").otherwise(""))
     semantic = d.orders.withColumns({**common, "row_id": F.concat(F.lit("s"), key.cast("string")), "row_order": F.xxhash64("o_orderkey"), "process_name": name, "target_expression": F.when(key % 3 == 0, "").otherwise(F.concat(F.lit("'e"), key.cast("string"), F.lit("'")))})
     rels = d.orders.where("o_orderkey % 10 <> 4").withColumns({**common, "rel_id": key.cast("string"), "position": key, "process_name": F.upper(name), "target_expression": F.concat(F.lit("'e"), key.cast("string"), F.lit("'"))})
-    return pairing.pair_best(semantic, rels).select("row_id", "rel_id", "score", "source_pairing_method")
+    shared = {"origin": F.lit("RULES"), "relationship_type": F.lit("WRITES_TO_CUBE"), "process_name": F.expr(DISPUTED["source"])}
+    side = lambda kind: {"target_type": F.expr(DISPUTED[f"{kind}_type"]), "target_name": F.expr(DISPUTED[f"{kind}_name"]), "target_expression": F.expr(DISPUTED[f"{kind}_expression"])}
+    rows = d.orders.withColumns({**shared, **side("row"), "row_id": F.concat(F.lit("d"), key.cast("string")), "row_order": -key})
+    members = d.orders.where("o_orderkey % 6 <> 1").withColumns({**shared, **side("rel"), "rel_id": F.concat(F.lit("x"), key.cast("string")), "position": key})
+    return pairing.pair_best(semantic.unionByName(rows), rels.unionByName(members)).select("row_id", "rel_id", "score", "source_pairing_method")
 
 
 @check("overlap_merge", """

@@ -1,4 +1,5 @@
 import random
+from collections import deque
 
 from catalog_lineage.operators import pairing
 
@@ -38,10 +39,45 @@ def test_best_pairing_equals_the_rule(spark):
     assert run(spark, rows, rels) == served(rows, rels)
 
 
-def test_large_components_go_through_rounds(spark, monkeypatch):
-    monkeypatch.setattr(pairing, "SMALL_COMPONENT", 0)
-    rows, rels = cases(2, 12)
-    assert run(spark, rows, rels) == served(rows, rels)
+def test_slices_serve_as_one(spark, monkeypatch):
+    rows, rels = cases(2, 60)
+    rows, rels = [r if i % 5 else (*r[:6], "", r[7]) for i, r in enumerate(rows)], rels[: 45]
+    for size, bound in ((25, 10**6), (60, 220)):
+        monkeypatch.setattr(pairing, "SLICE_ROWS", size)
+        monkeypatch.setattr(pairing, "SLICE_ENTRIES", bound)
+        assert run(spark, rows, rels) == served(rows, rels)
+
+
+def serve_fast(rows, rels):
+    """The rule with a queue for each set of equal fields, for many rows of one source."""
+    free, queues, out = set(), {}, {}
+    for i, rel in enumerate(rels):
+        free.add(i)
+        for fields in ("tne", "tn", "ne", "n", "te", "t", "e", ""):
+            queues.setdefault((fields, *(rel["tne".index(f) + 5] for f in fields)), deque()).append(i)
+    for row in rows:
+        for fields in ("tne", "tn", "ne", "n", "te", "t", "e", ""):
+            wanted = [row["tne".index(f) + 5] for f in fields]
+            queue = queues.get((fields, *wanted)) if all(wanted) else None
+            while queue and queue[0] not in free:
+                queue.popleft()
+            if queue:
+                free.discard(queue[0])
+                out[row[0]] = (rels[queue.popleft()][0], 100 + 20 * ("t" in fields) + 40 * ("n" in fields) + 10 * ("e" in fields))
+                break
+    return out
+
+
+def test_one_disputed_component_of_many_rows(spark, monkeypatch):
+    """200,000 rows of one source that all dispute each other end in a few rounds."""
+    rng = random.Random(5)
+    make = lambda kind, i: (f"{kind}{i}", i, "TI", "p", "R", rng.choice(["CUBE", "VIEW"]), rng.choice("abcdefgh"), rng.choice(["", "e1", "e2"]))
+    rows, rels = [make("s", i) for i in range(200_000)], [make("r", i) for i in range(190_000)]
+    rounds, real = [], pairing._slices
+    monkeypatch.setattr(pairing, "_slices", lambda *a: rounds.append(1) or real(*a))
+    got = run(spark, rows, rels)
+    assert 1 < len(rounds) < 20
+    assert got == serve_fast(rows, rels)
 
 
 VAL = "row_key string, relationship_id string, source_cube string, relationship_type string, target_type string, target_name string, line_number int"
