@@ -153,33 +153,38 @@ def _components(rows: DataFrame, rels: DataFrame) -> tuple[DataFrame, DataFrame]
     return mark(rows), mark(rels)
 
 
-def _claim_round(rows: DataFrame, rels: DataFrame) -> DataFrame:
-    """Pairs that are certain: every row claims by ordinal in its first non-empty tier; rows before the first
-    disputed or unserved one of their component keep what they claimed."""
+def _claims(rows: DataFrame, rels: DataFrame) -> DataFrame:
+    """row_id, row_order, tier, rel_id, ok: every row claims by ordinal in its first non-empty tier, ok where no earlier row does."""
     rel_tiers = rels.select("rel_id", "position", F.explode("tiers").alias("t")).select("rel_id", "position", "t.*")
-    sizes = rel_tiers.groupBy("tier", "tier_key").agg(F.count("*").alias("_n"))
+    sizes = rel_tiers.groupBy("tier", "tier_key").agg(F.lit(1).alias("_any"))
     first = (
-        rows.select("row_id", "row_order", "component", F.explode("tiers").alias("t")).select("row_id", "row_order", "component", "t.*")
+        rows.select("row_id", "row_order", F.explode("tiers").alias("t")).select("row_id", "row_order", "t.*")
         .join(sizes, ["tier", "tier_key"])
-        .groupBy("row_id", "row_order", "component").agg(F.min(F.struct("tier", "tier_key")).alias("t"))
-        .select("row_id", "row_order", "component", "t.*")
+        .groupBy("row_id", "row_order").agg(F.min(F.struct("tier", "tier_key")).alias("t"))
+        .select("row_id", "row_order", "t.*")
     )
     first = cut(first)
     ranked_rows = ordinals(first, ["tier", "tier_key"], ["row_order", "row_id"], "k")
     used = rel_tiers.join(first.select("tier", "tier_key").distinct(), ["tier", "tier_key"], "left_semi")
     ranked_rels = ordinals(used, ["tier", "tier_key"], ["position", "rel_id"], "k")
     claims = ranked_rows.join(ranked_rels.select("tier", "tier_key", "k", "rel_id"), ["tier", "tier_key", "k"], "left")
-    owners = claims.where(F.col("rel_id").isNotNull()).groupBy("rel_id").agg(F.min(F.struct("row_order", "row_id")).alias("_owner"))
-    judged = claims.join(owners, "rel_id", "left").withColumn(
-        "_ok", F.col("rel_id").isNotNull() & (F.struct("row_order", "row_id") == F.col("_owner"))
-    )
-    disputed = judged.where(~F.coalesce("_ok", F.lit(False))).groupBy("component").agg(F.min(F.struct("row_order", "row_id")).alias("_stop"))
+    # claims of nothing get keys of their own, so that they do not meet in one task
+    claims = claims.withColumn("_claimed", F.coalesce("rel_id", F.concat(F.lit("\u0001"), "row_id")))
+    owners = claims.groupBy("_claimed").agg(F.min(F.struct("row_order", "row_id")).alias("_owner"))
+    mine = F.col("rel_id").isNotNull() & (F.struct("row_order", "row_id") == F.col("_owner"))
+    return cut(claims.join(owners, "_claimed").select("row_id", "row_order", "tier", "rel_id", mine.alias("ok")))
+
+
+def _won(claims: DataFrame) -> DataFrame:
     score = F.element_at(F.array(*[F.lit(TIER_SCORE[t]) for t in TIERS]), F.col("tier") + 1)
-    return (
-        judged.join(disputed, "component", "left")
-        .where(F.col("_stop").isNull() | (F.struct("row_order", "row_id") < F.col("_stop")))
-        .select("row_id", "rel_id", score.cast("int").alias("score"))
-    )
+    return claims.select("row_id", "rel_id", score.cast("int").alias("score"))
+
+
+def _certain(claims: DataFrame, rows: DataFrame) -> DataFrame:
+    """Claims of the rows before the first disputed or unserved one of their component."""
+    placed = claims.join(rows.select("row_id", "component"), "row_id")
+    disputed = placed.where("not ok").groupBy("component").agg(F.min(F.struct("row_order", "row_id")).alias("_stop"))
+    return placed.join(disputed, "component", "left").where(F.col("_stop").isNull() | (F.struct("row_order", "row_id") < F.col("_stop")))
 
 
 def _slices(rows: DataFrame, rels: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -237,8 +242,13 @@ def pair_best(semantic: DataFrame, relationships: DataFrame, row_id: str = "row_
     rows = everyone.join(rels.select("bucket").distinct(), "bucket", "left_semi")
     found = []
     while True:
+        claims = _claims(rows, rels)
+        if claims.where("not ok").isEmpty():
+            # every row of a bucket with relationships left can be served by its last tier, so all are
+            found.append(_won(claims))
+            break
         rows, rels = (cut(side) for side in _components(rows, rels))
-        won = cut(_claim_round(rows, rels))
+        won = cut(_won(_certain(claims, rows)))
         found.append(won)
         rows = rows.join(won.select("row_id"), "row_id", "left_anti")
         rels = rels.join(won.select("rel_id"), "rel_id", "left_anti")

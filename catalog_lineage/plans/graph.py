@@ -16,12 +16,13 @@ from ..operators.pairing import SOURCE_FIELDS, pair_best
 from ..operators.resolve import complete_endpoints, merge_overlap
 from ..operators.sets import outcomes_by_artifact, reconcile_outcomes, sided_counts
 from ..operators.summarize import adjacency, distributions, manifest
-from ..operators.window import cut, first_wins, richest, split_duplicates
+from ..operators.window import cut, first_wins, richest
 
 REQUIRED_FIELDS = ["source_id", "source_type", "target_id", "target_type", "relationship_type"]
 EDGE = ["graph_relationship_id", "source_id", "source_type", "target_id", "target_type", "relationship_type", "resolution_method",
         "endpoint_state", "source_relationship_id", "review_required"]
 VALIDATION = ["graph_relationship_id", "validation_status", "endpoint_state", "review_required"]
+KEPT = list(dict.fromkeys(EDGE + VALIDATION))
 PROVENANCE = ["graph_relationship_id", "source_artifact", "source_record_id", "derivation_method"]
 OUTCOME = ["source_artifact", "source_record_id", "graph_relationship_id", "projection_outcome"]
 ERROR = ["stage", "source_artifact", "source_record_id", "error"]
@@ -29,13 +30,21 @@ ERROR = ["stage", "source_artifact", "source_record_id", "error"]
 
 @dataclass
 class Projection:
-    edges: DataFrame
-    validations: DataFrame
+    #: One row for each edge, with its validation.
+    kept: DataFrame
     provenance: DataFrame
     outcomes: DataFrame
     errors: DataFrame
     stubs: DataFrame | None = None
 
+    @property
+    def edges(self) -> DataFrame:
+        return self.kept.select(*EDGE)
+
+    @property
+    def validations(self) -> DataFrame:
+        return self.kept.select(*VALIDATION)
+
 
 def _error(df: DataFrame, stage: str, artifact: str, record: Column, text) -> DataFrame:
     return df.select(F.lit(stage).alias("stage"), F.lit(artifact).alias("source_artifact"), record.cast("string").alias("source_record_id"),
@@ -81,8 +90,8 @@ def _direct_rows(rows: DataFrame) -> Projection:
         "projection_outcome": F.lit("PROJECTED"),
     })
     rows = cut(rows.select(*dict.fromkeys(EDGE + VALIDATION + PROVENANCE + OUTCOME)))
-    once = first_wins(rows.select(*dict.fromkeys(EDGE + VALIDATION)), "graph_relationship_id", ["source_id", "target_id"])
-    return Projection(once.select(*EDGE), once.select(*VALIDATION), rows.select(*PROVENANCE), rows.select(*OUTCOME), None)
+    once = first_wins(rows.select(*KEPT), "graph_relationship_id", ["source_id", "target_id"])
+    return Projection(once, rows.select(*PROVENANCE), rows.select(*OUTCOME), None)
 
 
 def _validated(relationships: DataFrame, validations: DataFrame) -> DataFrame:
@@ -155,18 +164,23 @@ def project_semantic(domain: str, artifact: str, semantic: DataFrame, relationsh
         token(first_nonblank(opt(relationships, "target_type"), opt(relationships, "target_object_type"))).alias("_rel_target_type"),
         clean(opt(relationships, "target_name")).alias("_rel_target"), clean(opt(relationships, "target_expression")).alias("_expression"),
     )
-    joined = semantic.join(pairs.withColumnRenamed("row_id", "semantic_validation_id"), "semantic_validation_id", "left").join(source, "rel_id", "left")
-    paired = F.col("_rel_type").isNotNull() & (token("relationship_type") == F.col("_rel_type"))
-    unpaired = joined.where(~F.coalesce(paired, F.lit(False)))
+    # a row without a partner gets a key of its own in the joins, so that such rows do not meet in one task
+    alone = F.concat(F.lit("\u0001"), "semantic_validation_id")
+    joined = (
+        semantic.join(pairs.withColumnRenamed("row_id", "semantic_validation_id"), "semantic_validation_id", "left")
+        .withColumn("_rel", F.coalesce("rel_id", alone)).join(source.withColumnRenamed("rel_id", "_rel"), "_rel", "left")
+    )
+    paired = F.coalesce(F.col("_rel_type").isNotNull() & (token("relationship_type") == F.col("_rel_type")), F.lit(False))
     status, decision = token("semantic_validation_status"), token("decision_type")
     target_type = token(first_nonblank(F.col("domain"), F.col("_rel_target_type")))
     target_name = clean(first_nonblank(F.col("target_name"), F.col("_rel_target")))
-    staged = joined.where(F.coalesce(paired, F.lit(False))).withColumns({"_type": target_type, "_name": target_name, "_status": status})
+    staged = joined.withColumns({"_paired": paired, "_type": target_type, "_name": target_name, "_status": status})
     resolved = clean(opt(semantic, "resolved_target_node_id"))
     named = F.when(F.col("_type").isin("CUBE", "DIMENSION", "PROCESS", "CHORE") & (F.col("_name") != ""), F.concat_ws("::", F.lower("_type"), "_name"))
     kept_valid = (decision == "PARSER_PRESERVED") & F.contains("_status", F.lit("VALID"))
     known = nodes.select(F.col("node_id").alias("_canonical"), F.col("node_type").alias("_canonical_type"))
-    located = staged.withColumn("_wanted", F.when(resolved != "", resolved).when(kept_valid, named)).join(known, F.col("_wanted") == F.col("_canonical"), "left")
+    wanted = F.when(resolved != "", resolved).when(kept_valid, named)
+    located = staged.withColumn("_wanted", wanted).join(known, F.coalesce("_wanted", alone) == F.col("_canonical"), "left")
     dynamic = F.contains("_status", F.lit("DYNAMIC")) | (token(opt(semantic, "profiler_classification")) == "DYNAMIC_REFERENCE")
     outcome = (
         F.when(resolved != "", "PROJECTED").when(kept_valid, F.when(F.col("_canonical").isNotNull(), "PROJECTED").otherwise("PROJECTED_AS_PLANNED_TARGET"))
@@ -190,8 +204,15 @@ def project_semantic(domain: str, artifact: str, semantic: DataFrame, relationsh
         "endpoint_state": endpoint_state("target_type", F.col("_status")), "source_relationship_id": F.col("source_record_id"),
         "validation_status": F.col("semantic_validation_status"), "review_required": F.coalesce(opt(semantic, "review_required", "boolean"), F.lit(False)),
     })
-    rows = cut(rows)
-    keep, repeated = split_duplicates(rows, "graph_relationship_id", ["semantic_validation_id", "rel_id"])
+    # one wide table, written once, from which everything is selected; of repeated ids the first row stays
+    edge_id = F.when(F.col("_paired"), F.col("graph_relationship_id")).otherwise(alone)
+    rows = rows.withColumn("_id", edge_id)
+    place = lambda df: F.struct(df["semantic_validation_id"], F.coalesce(df["rel_id"], F.lit("")))
+    first = rows.groupBy("_id").agg(F.min(place(rows)).alias("_first"))
+    wide = [*KEPT, *PROVENANCE, *OUTCOME, "semantic_validation_id", "_type", "_name", "_expression", "_paired"]
+    rows = rows.join(first, "_id").withColumn("_kept", F.col("_paired") & (place(rows) == F.col("_first")))
+    rows = cut(rows.select(*dict.fromkeys(wide), "_kept"))
+    keep, repeated, unpaired = rows.where("_kept"), rows.where("_paired and not _kept"), rows.where("not _paired")
     lost = lambda df, record: df.select(F.lit(artifact).alias("source_artifact"), record.alias("source_record_id"), F.lit(None).cast("string").alias("graph_relationship_id"), F.lit("ERROR").alias("projection_outcome"))
     errors = _error(unpaired, "PAIR_SEMANTIC_SOURCE", artifact, F.col("semantic_validation_id"), "no relationship answers to this validation").unionByName(
         _error(repeated, "PROJECT_SEMANTIC_RELATIONSHIP", artifact, F.col("source_record_id"), "an earlier row has this edge id"))
@@ -201,7 +222,7 @@ def project_semantic(domain: str, artifact: str, semantic: DataFrame, relationsh
         F.col("_type").alias("target_domain"), F.nullif("_expression", F.lit("")).alias("target_expression"), F.lit("SEMANTIC_PROJECTION").alias("node_origin"),
     )
     return Projection(
-        keep.select(*EDGE), keep.select(*VALIDATION), keep.select(*PROVENANCE),
+        keep.select(*KEPT), keep.select(*PROVENANCE),
         _all([keep.select(*OUTCOME), lost(repeated, F.col("source_record_id")), lost(unpaired, F.col("semantic_validation_id"))]), errors,
         first_wins(stubs, "node_id", "display_value"),
     )
@@ -235,7 +256,6 @@ class Graph:
 def build_graph(inputs: GraphInputs, snapshot_id: str = "", promote: bool = True) -> Graph:
     """Nodes, edges, validations, provenance, unresolved targets, outcomes, indexes, coverage and manifest in one build."""
     nodes, node_errors = graph_nodes(inputs.nodes)
-    nodes = cut(nodes)
     parts, expected = [], []
     if inputs.direct:
         parts.append(project_domains(inputs.direct))
@@ -250,12 +270,12 @@ def build_graph(inputs: GraphInputs, snapshot_id: str = "", promote: bool = True
     for domain, (semantic, relationships) in inputs.semantic.items():
         parts.append(project_semantic(domain, domain, semantic, relationships, structural))
         expected.append(semantic.select(F.lit(domain).alias("source_artifact")))
-    # the tables of the graph are read by its indexes, checks and counts, so each is computed once
-    edges, validations = cut(_all([p.edges for p in parts])), cut(_all([p.validations for p in parts]))
-    provenance, outcomes = cut(_all([p.provenance for p in parts])), cut(_all([p.outcomes for p in parts]))
+    # edges and validations are one table, read by indexes, checks and counts; provenance and outcomes are columns of written tables
+    kept = cut(_all([p.kept for p in parts]))
+    edges, validations = kept.select(*EDGE), kept.select(*VALIDATION)
+    provenance, outcomes = _all([p.provenance for p in parts]), _all([p.outcomes for p in parts])
     stub_frames = [p.stubs for p in parts if p.stubs is not None]
     unresolved = first_wins(_all(stub_frames), "node_id", "display_value") if stub_frames else structural.limit(0).select("node_id", "node_type")
-    unresolved = cut(unresolved)
     everyone = cut(complete_endpoints(structural.unionByName(unresolved, allowMissingColumns=True), edges))
     coverage = outcomes_by_artifact(_all(expected), outcomes)
     mismatch = sided_counts({"edge": edges.select("graph_relationship_id"), "val": validations.select("graph_relationship_id"),
