@@ -7,6 +7,7 @@ from pyspark.sql import Column, DataFrame, Window as W, functions as F
 from .. import vocab
 from ..functions.ids import opt
 from ..functions.text import blank_to_null, clean, col, expression_pattern, norm_key, positive_int, token
+from .window import join_counted
 
 ADJACENCY_CHUNK = 100_000
 
@@ -145,7 +146,7 @@ def chunked_lists(df: DataFrame, keys, value: str, name: str, chunk_rows: int =
     pairs = df.select(*keys, value).distinct()
     sizes = pairs.groupBy(*keys).agg(F.count("*").alias("_n"))
     chunks = F.greatest(F.ceil(F.col("_n") / chunk_rows), F.lit(1)).cast("bigint")
-    placed = pairs.join(sizes, keys).withColumn("chunk", F.pmod(F.xxhash64(value), chunks))
+    placed = join_counted(pairs, sizes, keys, "_n", value).withColumn("chunk", F.pmod(F.xxhash64(value), chunks))
     return placed.groupBy(*keys, "chunk").agg(F.array_sort(F.collect_list(value)).alias(name))
 
 

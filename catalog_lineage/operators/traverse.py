@@ -120,7 +120,7 @@ def neighborhood(edges: DataFrame, start: str, direction: str = "both", depth: i
 
 
 def impact(edges: DataFrame, start: str, direction: str = "inbound", depth: int = 3, max_nodes: int | None = 1000, max_edges: int | None = 5000) -> Traversal:
-    """What depends on a node."""
+    """What depends on a node, with the paths to it; ``reachable`` gives the nodes alone, however many paths there are."""
     return neighborhood(edges, start, direction, depth, None, max_nodes, max_edges)
 
 

@@ -11,6 +11,7 @@ from ..functions.text import clean, col, norm_key
 
 HOT_KEY_ROWS = 1_000_000
 SPLITTERS = 64
+HOT_PARTS = 256
 
 
 def work_dir(spark: SparkSession) -> str:
@@ -63,11 +64,28 @@ def first_wins_by_name(df: DataFrame, columns, order) -> DataFrame:
     return first_wins(staged, keys, order).drop(*keys)
 
 
+def join_counted(rows: DataFrame, groups: DataFrame, keys, count: str, spread, hot_rows: int = 10_000) -> DataFrame:
+    """Rows joined with the one row of their key in ``groups``, which also counts them.
+
+    A key with more than one part in HOT_PARTS of all rows is cut into as many parts as it is larger: its row in ``groups`` is
+    repeated for each part, and its rows are dealt to the parts by a hash of the columns ``spread``. There are at most HOT_PARTS such
+    keys, so they are broadcast.
+    """
+    keys, spread = _columns(keys), _columns(spread)
+    limit = F.greatest(F.col("_all") / HOT_PARTS, F.lit(hot_rows))
+    everything = F.broadcast(groups.agg(F.sum(count).alias("_all")))
+    hot = groups.select(*keys, count).crossJoin(everything).where(F.col(count) > limit).select(*keys, F.ceil(F.col(count) / limit).cast("int").alias("_parts"))
+    marked = lambda df: df.join(F.broadcast(hot), keys, "left")
+    left = marked(rows).withColumn("_part", F.coalesce(F.pmod(F.xxhash64(*spread), "_parts"), F.lit(0)).cast("int")).drop("_parts")
+    right = marked(groups).withColumn("_part", F.explode(F.sequence(F.lit(0), F.coalesce("_parts", F.lit(1)) - 1))).drop("_parts")
+    return left.join(right, [*keys, "_part"]).drop("_part")
+
+
 def split_duplicates(df: DataFrame, keys, order) -> tuple[DataFrame, DataFrame]:
     """(kept, later duplicates). ``order`` must tell the rows of a key apart."""
     keys, order = _columns(keys), _columns(order)
-    firsts = df.groupBy(*keys).agg(F.min(F.struct(*order)).alias("_first"))
-    marked = df.join(firsts, keys)
+    firsts = df.groupBy(*keys).agg(F.min(F.struct(*order)).alias("_first"), F.count("*").alias("_n"))
+    marked = join_counted(df, firsts, keys, "_n", order)
     is_first = F.struct(*order) == F.col("_first")
     return (
         marked.where(is_first).select(*df.columns),

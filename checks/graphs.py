@@ -283,7 +283,7 @@ def neighborhood_capped(d):
 
 @check("impact", f"WITH RECURSIVE {paths_sql('dimension::AFRICA', 'inbound', 3)} SELECT DISTINCT unnest(nodes) AS node_id FROM leaf")
 def impact(d):
-    return traverse.impact(d.v_graph, "dimension::AFRICA", max_nodes=None, max_edges=None).nodes
+    return traverse.reachable(d.v_graph, "dimension::AFRICA").select("node_id")
 
 
 @check("impact_distance", """

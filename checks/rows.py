@@ -72,12 +72,19 @@ def sample_per_group(d):
 
 
 @check("ranked_search", """
-    WITH h AS (SELECT *, CASE WHEN lower(object_name) = 'red widget' THEN 0 WHEN contains(lower(object_name), 'red widget') THEN 1 ELSE 2 END AS score FROM (SELECT seq, object_type, object_name, 'cube::red widget ' || CAST(seq % 7 AS STRING) AS node_id FROM v_objects WHERE object_type = 'cube')
-        WHERE contains(lower(object_name) || ' ' || lower(node_id), 'red widget'))
-    SELECT object_name, node_id, CAST(score AS BIGINT) AS score, (SELECT count(*) FROM h) AS total FROM h ORDER BY score, lower(object_name), node_id, seq LIMIT 40 OFFSET 5""")
+    WITH n AS (SELECT upper(object_type) AS node_type, object_name, lower(object_type) || '::' || object_name || '#' || CAST(seq AS STRING) AS node_id FROM v_objects),
+    h AS (SELECT *, CASE WHEN lower(object_name) = 'red' THEN 0 WHEN contains(lower(object_name), 'red') THEN 1 ELSE 2 END AS score FROM n WHERE contains(lower(object_name) || ' ' || lower(node_id), 'red')),
+    f AS (SELECT string_agg(node_type || '=' || CAST(k AS STRING), '|' ORDER BY node_type) AS type_counts FROM (SELECT node_type, count(*) AS k FROM h GROUP BY 1)),
+    page AS (SELECT 'all' AS kind, *, (SELECT count(*) FROM h) AS total FROM (SELECT * FROM h ORDER BY score, lower(object_name), node_id LIMIT 40 OFFSET 5)
+      UNION ALL SELECT 'cube', *, (SELECT count(*) FROM h WHERE node_type = 'CUBE') FROM (SELECT * FROM h WHERE node_type = 'CUBE' ORDER BY score, lower(object_name), node_id LIMIT 25)),
+    whole AS (SELECT kind, node_type, object_name, node_id, CAST(score AS BIGINT) AS score, total FROM page
+      UNION ALL SELECT 'cube', NULL, NULL, NULL, NULL, 0 WHERE NOT EXISTS (SELECT 1 FROM h WHERE node_type = 'CUBE'))
+    SELECT whole.*, type_counts FROM whole, f""")
 def ranked_search(d):
-    nodes = d.v_objects.where("object_type = 'cube'").select(F.upper("object_type").alias("node_type"), "object_name", F.concat(F.lit("cube::red widget "), (F.col("seq") % 7).cast("string")).alias("node_id"))
-    return window.search(nodes, " Red  Widget", "cube", limit=40, offset=5, label="object_name").select("object_name", "node_id", "score", "total")
+    nodes = d.v_objects.select(F.upper("object_type").alias("node_type"), "object_name", F.concat(F.lower("object_type"), F.lit("::"), "object_name", F.lit("#"), F.col("seq").cast("string")).alias("node_id"))
+    shown = F.array_join(F.transform(F.map_entries("type_counts"), lambda e: F.concat(e["key"], F.lit("="), e["value"].cast("string"))), "|").alias("type_counts")
+    page = lambda kind, **a: window.search(nodes, " RED ", label="object_name", **a).select(F.lit(kind).alias("kind"), "node_type", "object_name", "node_id", "score", "total", shown)
+    return page("all", limit=40, offset=5).unionByName(page("cube", node_type="cube"))
 
 
 # ---- aggregates ------------------------------------------------------------------------------

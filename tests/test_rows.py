@@ -66,3 +66,22 @@ def test_a_group_of_more_than_9999_references_has_as_many_ids(spark):
     candidates = spark.createDataFrame([], "domain string, parent_key string, hierarchy_key string, own_key string, node_id string, is_default boolean")
     profiled, _ = profile.match_profile(rows, rows, candidates, "TI")
     assert profiled.select("relationship_id").distinct().count() == 10_050
+
+
+def test_hot_key_is_joined_back_in_parts(spark):
+    """One key holds a third of the rows; no task of the join gets more than twice the median."""
+    rows = spark.range(300_000).selectExpr("if(id % 3 = 0, 'hot', concat('k', id % 4999)) as k", "id")
+    groups = rows.groupBy("k").agg(F.count("*").alias("n"), F.min("id").alias("first"))
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.shuffle.partitions", "16")
+    try:
+        joined = window.join_counted(rows, groups, "k", "n", "id", hot_rows=100)
+        assert joined.columns == ["k", "id", "n", "first"]
+        sizes = sorted(r["count"] for r in joined.groupBy(F.spark_partition_id()).count().collect())
+        assert len(sizes) == 16 and sizes[-1] <= 2 * sizes[8]
+        plain = rows.join(groups, "k")
+        assert joined.exceptAll(plain.select(*joined.columns)).isEmpty() and joined.count() == 300_000
+    finally:
+        for key, value in (("spark.sql.adaptive.enabled", "true"), ("spark.sql.autoBroadcastJoinThreshold", "10485760"), ("spark.sql.shuffle.partitions", "4")):
+            spark.conf.set(key, value)
