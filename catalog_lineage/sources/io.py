@@ -58,6 +58,29 @@ def read_preferred(spark: SparkSession, paths, schema, wrapper_keys=()) -> tuple
     return df, literal_table(spark, "warning_type string, message string", [("LEGACY_INPUT_USED", f"{paths[found]} was used instead of {paths[0]}")])
 
 
+#: Order of published tables, and the columns by which single rows are looked up. The order of edges ends with their id, so that the
+#: edges of one popular source are still dealt to several files.
+LAYOUT = {
+    "nodes": (("node_id",), ("node_id",)),
+    "edges": (("source_id", "graph_relationship_id"), ("source_id", "target_id", "graph_relationship_id")),
+    "validations": (("graph_relationship_id",), ("graph_relationship_id",)),
+    "provenance": (("graph_relationship_id",), ("graph_relationship_id",)),
+}
+ROW_GROUP_BYTES = 16 << 20
+
+
+def write_laid_out(df: DataFrame, path: str, order=(), lookups=(), row_group_bytes: int = ROW_GROUP_BYTES) -> None:
+    """Writes a table in ranges of ``order``, sorted within, with a Bloom filter for each lookup column in every row group. A lookup by
+    an order column skips row groups by their limits, one by another column by the filters. Columns that are not there are passed over."""
+    order, lookups = ([c for c in names if c in df.columns] for names in (order, lookups))
+    if order:
+        df = df.repartitionByRange(*order).sortWithinPartitions(*order)
+    writer = df.write.mode("errorifexists").option("parquet.block.size", row_group_bytes).option("parquet.bloom.filter.adaptive.enabled", True)
+    for c in lookups:
+        writer = writer.option(f"parquet.bloom.filter.enabled#{c}", True)
+    writer.parquet(path)
+
+
 def publish(outputs: dict[str, DataFrame], errors: DataFrame, root: str, snapshot_id: str, promote: bool = True) -> DataFrame:
     """Write every table of a run under its snapshot id and return its manifest.
 
@@ -67,7 +90,7 @@ def publish(outputs: dict[str, DataFrame], errors: DataFrame, root: str, snapsho
     spark = errors.sparkSession
     base = f"{root}/snapshot={snapshot_id}"
     for name, df in {**outputs, "errors": errors}.items():
-        df.write.mode("errorifexists").parquet(f"{base}/{name}")
+        write_laid_out(df, f"{base}/{name}", *LAYOUT.get(name, ()))
     written = {name: (spark.read.parquet(f"{base}/{name}"), None) for name in outputs}
     run_manifest(written, spark.read.parquet(f"{base}/errors"), snapshot_id, promote).write.mode("errorifexists").parquet(f"{base}/manifest")
     result = spark.read.parquet(f"{base}/manifest")
