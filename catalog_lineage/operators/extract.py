@@ -1,4 +1,4 @@
-"""References mined from tables of code text, entirely with built-in expressions."""
+"""References mined from tables of code text: built-in expressions, and the token scanner of `scan.py` for nested calls."""
 
 from __future__ import annotations
 
