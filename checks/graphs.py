@@ -201,7 +201,9 @@ UNIFIED_SQL = SEMANTIC_SQL.replace(" AND o_custkey % 50 <> 7", "")
     SELECT 'nodes' AS part, '' AS name, (SELECT count(*) FROM v_nodes) + (SELECT count(*) FROM customer WHERE c_custkey % 50 = 7 AND true) + (SELECT count(DISTINCT target) FROM sem WHERE outcome LIKE 'PROJECTED\\_%' ESCAPE '\\') AS row_count
     UNION ALL SELECT 'edges', '', (SELECT n FROM d) + (SELECT count(*) FROM sem WHERE outcome <> 'ERROR') UNION ALL SELECT 'errors', '', (SELECT count(*) FROM sem WHERE outcome = 'ERROR')
     UNION ALL SELECT 'outcome', outcome, n + CASE WHEN outcome = 'PROJECTED' THEN (SELECT n FROM d) ELSE 0 END FROM o UNION ALL SELECT 'outcome', 'EXCLUDED_REDUNDANT_WITH_PROVENANCE', n FROM s
-    UNION ALL SELECT 'coverage', left(relationship_id, 1), count(*) FROM v_edges GROUP BY 2 UNION ALL SELECT 'coverage', 'DataSource', n FROM s UNION ALL SELECT 'coverage', 'TI', count(*) FROM sem""")
+    UNION ALL SELECT 'coverage', left(relationship_id, 1), count(*) FROM v_edges GROUP BY 2 UNION ALL SELECT 'coverage', 'DataSource', n FROM s UNION ALL SELECT 'coverage', 'TI', count(*) FROM sem
+    UNION ALL SELECT 'edge', 'graph::' || CASE left(relationship_id, 1) WHEN 's' THEN 'operational' ELSE left(relationship_id, 1) END || '::' || relationship_id || '>' || source_id || '>' || target_id || '>' || relationship_type, 1 FROM v_edges
+    UNION ALL SELECT 'edge', gid || '>process::' || proc || '>' || target || '>' || rt, 1 FROM sem WHERE outcome <> 'ERROR'""")
 def unified_graph(d):
     semantic, relationships = semantic_rows(d)
     kind = F.left("relationship_id", F.lit(1))
@@ -213,7 +215,9 @@ def unified_graph(d):
     outcomes = row(g.outcomes, "outcome", F.col("projection_outcome")).groupBy("part", "name").agg(F.count("*").alias("row_count"))
     name = F.when(F.col("source_artifact") == "Operational", "s").otherwise(F.col("source_artifact"))
     coverage = g.coverage.where("reconciles").select(F.lit("coverage").alias("part"), name.alias("name"), F.col("outcomes").alias("row_count"))
-    return total(g.nodes, "nodes").unionByName(total(g.edges, "edges")).unionByName(total(g.errors, "errors")).unionByName(outcomes).unionByName(coverage)
+    edges = g.edges.select(F.lit("edge").alias("part"), F.concat_ws(">", "graph_relationship_id", "source_id", "target_id", "relationship_type").alias("name"), F.lit(1).cast("bigint").alias("row_count"))
+    return (total(g.nodes, "nodes").unionByName(total(g.edges, "edges")).unionByName(total(g.errors, "errors"))
+            .unionByName(outcomes).unionByName(coverage).unionByName(edges))
 
 
 @check("object_graph", f"""
