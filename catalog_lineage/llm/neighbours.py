@@ -3,8 +3,9 @@
 The trees are fitted on a bounded sample (SAMPLE rows in seeded order): each node splits along the difference of two sample vectors at
 the median. Every row of the table is indexed in every tree. A query walks down all trees through one queue ordered by the smallest
 margin by which it had to cross a split, and takes leaves until they hold VISITS times the number of rows, repeats between trees
-counted (and LEAST rows of each tree, so that small tables are searched whole). Queries and rows meet leaf by leaf, in blocks of at
-most ROWS rows and QUERIES queries; each block computes Euclidean distances in double precision and hands on the K nearest.
+counted. It never stops before they hold k + 1 rows of every tree, counted alike: among these are k rows besides its own, or all rows
+there are. Queries and rows meet leaf by leaf, in blocks of at most ROWS rows and QUERIES queries; each block computes Euclidean
+distances in double precision and hands on the k nearest.
 
 The vectors given are close to random directions, where trees must look at about half of the rows for a recall of 0.9; VISITS is set
 for that. Clustered vectors need much less.
@@ -27,7 +28,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window as W, functions
 from catalog_lineage.llm.common import cut, runs, table
 
 TREES, DEPTH, SAMPLE, SEED = 12, 8, 20_000, 5
-VISITS, LEAST, K = 1.1, 2000, 10
+VISITS, K = 1.1, 10
 ROWS, QUERIES = 8192, 1024
 
 
@@ -149,7 +150,7 @@ def nearest(rows: DataFrame, queries: DataFrame, k: int = K, visits: float = VIS
     counts = np.zeros((fitted.trees, 2**DEPTH), np.int64)
     for r in counted:
         counts[r["tree"], r["leaf"]] = r["count"]
-    budget = max(visits * counts[0].sum(), LEAST * fitted.trees)
+    budget = max(visits * counts[0].sum(), (k + 1) * fitted.trees)
 
     def by_queue(f: Forest, x: np.ndarray):
         found = [(t, leaf, i) for i, q in enumerate(x) for t, leaf in f.visits(q, counts, budget)]
