@@ -4,12 +4,14 @@ Texts and items are lower-cased runs of letters and digits joined by one space,
 may differ by EDIT_RATE * n edits. It is split into one piece more than that: whatever the edits, one piece stays whole. All pieces
 of all items are found in one pass by a keyword automaton; around each hit the item is verified by Myers' bit-parallel distance.
 
-The items are a stated set that is matched against all rows in blocks: each block has at most BLOCK_CHARS characters (or one item),
-so what a task holds does not grow with the benchmark.
+The items are a stated set that is matched against all rows in blocks of at most BLOCK_CHARS characters (or one item). The driver
+streams them and holds one block; blocks are matched one after the other, with the rows and what was found so far written in between,
+so neither a task nor the driver holds more as the benchmark grows. A benchmark of one block is matched in one pass without a write.
 
 Defined results: null texts and texts without words match nothing; items without words are left out; equal items are reported each
-under its own id; repeated rows are reported each; an empty benchmark matches nothing. Of several places in a text the nearest is
-reported, of equal ones the first.
+under its own id; repeated rows are reported each; an empty benchmark matches nothing. An item that stands in a text several times is
+reported for every place. Ends within the budget that are next to each other are one place: its nearest end counts, of equal ones the
+first, and of the parts that end there the shortest of the smallest distance.
 """
 
 from __future__ import annotations
@@ -21,7 +23,7 @@ import ahocorasick
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from catalog_lineage.llm.common import free_name, table
+from catalog_lineage.llm.common import cut, free_name, table
 
 EDIT_RATE, BLOCK_CHARS = 0.08, 1_000_000
 _OTHER = re.compile(r"[\W_]+")
@@ -33,12 +35,13 @@ def normal(text: str | None) -> str:
     return f" {words} " if words else ""
 
 
-def nearest(pattern: str, masks: dict[str, int], text: str) -> tuple[int, int]:
-    """Smallest edit distance between the pattern and any part of the text, and where the first such part ends."""
+def scores(pattern: str, masks: dict[str, int], text: str, anchored: bool = False) -> Iterator[int]:
+    """For each place in the text, the smallest edit distance between the pattern and a part that ends there (and, if anchored,
+    starts where the text does)."""
     m = len(pattern)
-    top, full = 1 << (m - 1), (1 << m) - 1
-    plus, minus, score, best, at = full, 0, m, m, 0
-    for i, c in enumerate(text):
+    top, full, carry = 1 << (m - 1), (1 << m) - 1, int(anchored)
+    plus, minus, score = full, 0, m
+    for c in text:
         equal = masks.get(c, 0)
         vertical = equal | minus
         across = (((equal & plus) + plus) ^ plus) | equal
@@ -48,11 +51,9 @@ def nearest(pattern: str, masks: dict[str, int], text: str) -> tuple[int, int]:
             score += 1
         elif down & top:
             score -= 1
-        up, down = up << 1 & full, down << 1 & full
+        up, down = up << 1 & full | carry, down << 1 & full
         plus, minus = down | (full & ~(vertical | up)), up & vertical
-        if score < best:
-            best, at = score, i + 1
-    return best, at
+        yield score
 
 
 def _masks(pattern: str) -> dict[str, int]:
@@ -62,6 +63,19 @@ def _masks(pattern: str) -> dict[str, int]:
     return out
 
 
+def places(pattern: str, masks: dict[str, int], text: str, budget: int) -> list[tuple[int, int]]:
+    """(distance, end) of every place: of each stretch of adjacent ends within the budget the nearest, of equal ones the first."""
+    out, best = [], None
+    for i, score in enumerate(scores(pattern, masks, text), 1):
+        if score > budget:
+            if best:
+                out.append(best)
+            best = None
+        elif best is None or score < best[0]:
+            best = (score, i)
+    return [*out, best] if best else out
+
+
 class Matcher:
     """The pieces of one block of items in one automaton."""
 
@@ -79,7 +93,7 @@ class Matcher:
         self.pieces.make_automaton()
 
     def matches(self, text: str | None) -> list[tuple[int, int, int, int]]:
-        """(item id, distance, start, end) in the normal text, by item id."""
+        """(item id, distance, start, end) in the normal text, of every place of every item, by item id."""
         t = normal(text)
         if not t:
             return []
@@ -93,19 +107,17 @@ class Matcher:
             if k not in self.masks:
                 self.masks[k] = (_masks(p), p[::-1], _masks(p[::-1]))
             forward, back, masks = self.masks[k]
-            best, at, low, high = budget + 1, 0, None, 0
+            low, high = None, 0
             for s in [*sorted(set(begins)), None]:
                 if low is not None and (s is None or s - budget > high):
-                    distance, end = nearest(p, forward, t[low:high])
-                    if distance < best:
-                        best, at = distance, low + end
+                    for distance, end in places(p, forward, t[low:high], budget):
+                        at = low + end
+                        before = list(scores(back, masks, t[max(0, at - len(p) - budget) : at][::-1], True))
+                        out.append((item, distance, at - 1 - before.index(min(before)), at))
                     low = None
                 if s is not None:
                     low = max(0, s - budget) if low is None else low
                     high = min(len(t), s + len(p) + budget)
-            if best <= budget:
-                _, length = nearest(back, masks, t[max(0, at - len(p) - budget) : at][::-1])
-                out.append((item, best, at - length, at))
         return sorted(out)
 
 
@@ -128,7 +140,7 @@ def item_blocks(items: DataFrame) -> Iterator[list[tuple[int, str]]]:
 def match_items(docs: DataFrame, items: DataFrame, rate: float = EDIT_RATE, output: str = "matches") -> DataFrame:
     """Adds array<struct<item_id, distance, start, end>> of the items found in each text; start and end are places in the normal text."""
 
-    def udf(block: list[tuple[int, str]]):
+    def found_in(block: list[tuple[int, str]]):
         shared = docs.sparkSession.sparkContext.broadcast(block)
 
         @F.pandas_udf(_MATCHES)
@@ -137,10 +149,14 @@ def match_items(docs: DataFrame, items: DataFrame, rate: float = EDIT_RATE, outp
             for texts in parts:
                 yield pd.Series([matcher.matches(t) for t in texts], dtype=object)
 
-        return found(F.col("text"))
+        return found(F.col(text))
 
-    columns = [udf(block) for block in item_blocks(items)]
-    return docs.withColumn(output, F.concat(*columns) if columns else F.array().cast(_MATCHES))
+    # The text is read under a name of its own, as the output may replace the column.
+    text = free_name(docs, "_text")
+    out = docs.withColumn(text, F.col("text")).withColumn(output, F.array().cast(_MATCHES))
+    for i, block in enumerate(item_blocks(items)):
+        out = (cut(out) if i else out).withColumn(output, F.concat(output, found_in(block)))
+    return out.drop(text)
 
 
 def clean_documents(docs: DataFrame, items: DataFrame, rate: float = EDIT_RATE) -> DataFrame:
