@@ -1,14 +1,21 @@
-"""Unresolved targets resolved through the parameters of their process."""
+"""Unresolved targets resolved through the parameters of their process.
+
+References that ask the same (process, parameter, alias, type) are one question, and calls that hand over the same value one answer.
+Values are composed and looked up once per question and answer, so references and callers of a busy process never meet; the rows
+that name both (provenance and rejections) are joined from three linked tables, and only when they are read.
+"""
 
 from __future__ import annotations
 
+from typing import NamedTuple
+
 from pyspark.sql import DataFrame, functions as F
 
 from .. import vocab
 from ..functions.text import blank_to_null, clean, is_identifier, norm_key, unquote
 from .extract import concat_parts
 from .resolve import catalog_index
-from .window import cut, first_wins
+from .window import cut, first_wins, join_counted
 
 CORE_TYPES = ("cube", "dimension", "process", "chore")
 
@@ -40,52 +47,78 @@ def _evaluate(alias_expression, parameter, value):
     return F.when(alias_expression.isNull(), value).when(~F.exists(parts, lambda p: p.isNull()), F.array_join(parts, ""))
 
 
-def resolve_parameters(summaries: DataFrame, params: DataFrame, bindings: DataFrame, aliases: DataFrame, objects: DataFrame,
-                       key: str = "row_key") -> tuple[DataFrame, DataFrame, DataFrame]:
-    """(summaries, provenance, rejections). Values of explicit call arguments win over defaults. Catalog hits are
-    published as RESOLVED rows; the unresolved row stays unless every value behind it is known and published."""
+class ParameterLinks(NamedTuple):
+    """references(key, question, target_expression, covered), answers(question, value, its catalog entry, the raw value),
+    callers(process, parameter, raw value, calling process and line)."""
+
+    references: DataFrame
+    answers: DataFrame
+    callers: DataFrame
+
+
+def link_parameters(summaries: DataFrame, params: DataFrame, bindings: DataFrame, aliases: DataFrame, objects: DataFrame,
+                    key: str = "row_key") -> ParameterLinks:
+    """The linked tables behind resolve_parameters. Values of explicit call arguments win over defaults."""
     open_refs = summaries.where(F.upper(clean("confidence")) == "UNRESOLVED")
-    given = bindings.where((clean("called_process") != "") & (clean("parameter_name") != "")).select(
-        norm_key("called_process").alias("_proc"), norm_key("parameter_name").alias("_param"), "resolved_value",
+    callers = bindings.where((clean("called_process") != "") & (clean("parameter_name") != "")).select(
+        norm_key("called_process").alias("_proc"), norm_key("parameter_name").alias("_param"), F.col("resolved_value").alias("_raw"),
         F.col("calling_process"), F.col("line_number").alias("calling_line_number"),
     )
+    values = callers.select("_proc", "_param", "_raw").distinct()
+    status = values.groupBy("_proc", "_param").agg(F.max(F.col("_raw").isNotNull()).alias("_given"), F.max(F.col("_raw").isNull()).alias("_open"))
     defaults = params.where(clean("default_value") != "").select(
         norm_key("process_name").alias("_proc"), norm_key("parameter_name").alias("_param"), clean("default_value").alias("default_value")
     ).groupBy("_proc", "_param").agg(F.max("default_value").alias("default_value"))
-    known = given.select("_proc", "_param").unionByName(defaults.select("_proc", "_param"))
+    known = cut(status.join(defaults, ["_proc", "_param"], "full").withColumns({c: F.coalesce(c, F.lit(False)) for c in ("_given", "_open")}))
+    asked = ("_proc", "_param", "target_type", "alias_expression")
     upstream = _upstream(open_refs.select(key, "process_name", "target_type", "target_expression"), aliases, known)
-    status = given.groupBy("_proc", "_param").agg(
-        F.count_if(F.col("resolved_value").isNotNull()).alias("_resolved"), F.count_if(F.col("resolved_value").isNull()).alias("_open")
-    )
-    rated = upstream.join(status, ["_proc", "_param"], "left").join(defaults, ["_proc", "_param"], "left").withColumns({
-        "_resolved": F.coalesce("_resolved", F.lit(0)), "_open": F.coalesce("_open", F.lit(0)),
-    })
-    rated = cut(rated)
-    explicit = rated.where(F.col("_resolved") > 0).join(
-        given.where(F.col("resolved_value").isNotNull()), ["_proc", "_param"]
-    ).withColumns({"_raw": F.col("resolved_value"), "source_kind": F.lit("EXECUTE_PROCESS_ARGUMENT")})
-    implicit = rated.where((F.col("_resolved") == 0) & F.col("default_value").isNotNull()).withColumns({
-        "_raw": F.col("default_value"), "calling_process": F.lit(None).cast("string"), "calling_line_number": F.lit(None).cast("int"),
-        "source_kind": F.when(F.col("alias_expression").isNull(), "PARAMETER_DEFAULT").otherwise("PARAMETER_ALIAS"),
+    upstream = cut(upstream.withColumn("_question", F.md5(F.to_json(F.struct(*asked), {"ignoreNullFields": "false"}))))
+
+    # One row for each question; what it was asked by stays behind.
+    questions = upstream.groupBy("_question").agg(*[F.first(c).alias(c) for c in asked], F.count("*").alias("_asked")).join(known, ["_proc", "_param"], "left")
+    given = F.coalesce("_given", F.lit(False))
+    explicit = questions.where(given).join(values.where(F.col("_raw").isNotNull()), ["_proc", "_param"]).withColumn("source_kind", F.lit("EXECUTE_PROCESS_ARGUMENT"))
+    implicit = questions.where(~given & F.col("default_value").isNotNull()).withColumns({
+        "_raw": F.col("default_value"), "source_kind": F.when(F.col("alias_expression").isNull(), "PARAMETER_DEFAULT").otherwise("PARAMETER_ALIAS"),
     })
-    columns = [key, "target_type", "_param", "source_kind", "_raw", "calling_process", "calling_line_number", "alias_expression", "target_expression"]
-    contexts = explicit.select(*columns).unionByName(implicit.select(*columns)).withColumn(
+    columns = ["_question", *asked, "source_kind", "_raw"]
+    answers = explicit.select(*columns).unionByName(implicit.select(*columns)).withColumn(
         "value", blank_to_null(_evaluate(F.col("alias_expression"), F.col("_param"), F.col("_raw")))
     ).where(F.col("value").isNotNull())
-    identity = {"_v": norm_key("value"), "_c": norm_key("calling_process"), "_l": F.coalesce("calling_line_number", F.lit(-1))}
-    unique = first_wins(contexts.withColumns(identity), [key, "_v", "_c", "_l", "_param", "source_kind"], ["value", "_raw"])
-    index = catalog_index(objects)
-    looked = cut(unique.withColumns({"type_key": norm_key("target_type"), "name_key": norm_key("value")}).join(index, ["type_key", "name_key"], "left"))
-    hits = looked.where(F.col("catalog_match_name").isNotNull())
-    covered = rated.groupBy(key).agg(
-        F.bool_and(((F.col("_resolved") > 0) | F.col("default_value").isNotNull()) & (F.col("_open") == 0)).alias("_covered")
+    looked = cut(answers.withColumns({"type_key": norm_key("target_type"), "name_key": norm_key("value")}).join(catalog_index(objects), ["type_key", "name_key"], "left"))
+    counted = looked.groupBy("_question").agg(F.count("*").alias("_answers"), F.count("catalog_match_name").alias("_hits"))
+    judged = questions.join(counted, "_question", "left").select(
+        "_question", "_asked", ((given | F.col("default_value").isNotNull()) & ~F.coalesce("_open", F.lit(False))).alias("_covered"),
+        F.coalesce("_answers", F.lit(0)).alias("_answers"), F.coalesce("_hits", F.lit(0)).alias("_hits"),
     )
-    counted = looked.groupBy(key).agg(F.count("*").alias("_contexts"), F.count("catalog_match_name").alias("_hits"))
-    replaced = covered.join(counted, key).where(F.col("_covered") & (F.col("_hits") > 0) & (F.col("_hits") == F.col("_contexts"))).select(key)
-    published = hits.groupBy(key, "name_key").agg(F.min("catalog_match_name").alias("target_name"))
+    references = join_counted(upstream.select(key, "_question", "target_expression"), judged, "_question", "_asked", key).drop("_asked")
+    return ParameterLinks(references, looked, callers)
+
+
+def _contexts(links: ParameterLinks, answers: DataFrame, key: str) -> DataFrame:
+    """One row for each reference, value and call behind it: as many as references times calls."""
+    called = F.col("source_kind") == "EXECUTE_PROCESS_ARGUMENT"
+    at_call = answers.where(called).join(links.callers.where(F.col("_raw").isNotNull()), ["_proc", "_param", "_raw"])
+    alone = answers.where(~called).withColumns({"calling_process": F.lit(None).cast("string"), "calling_line_number": F.lit(None).cast("int")})
+    rows = links.references.select(key, "_question", "target_expression").join(at_call.unionByName(alone), "_question")
+    identity = {"_v": F.col("name_key"), "_c": norm_key("calling_process"), "_l": F.coalesce("calling_line_number", F.lit(-1))}
+    return first_wins(rows.withColumns(identity), [key, "_v", "_c", "_l", "_param", "source_kind"], ["value", "_raw"])
+
+
+def resolve_parameters(summaries: DataFrame, params: DataFrame, bindings: DataFrame, aliases: DataFrame, objects: DataFrame,
+                       key: str = "row_key") -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(summaries, provenance, rejections). Catalog hits are published as RESOLVED rows; the unresolved row stays unless every
+    value behind it is known and published. The summaries do not touch the calls; provenance and rejections list each."""
+    links = link_parameters(summaries, params, bindings, aliases, objects, key)
+    hits = links.answers.where(F.col("catalog_match_name").isNotNull())
+    replaced = links.references.groupBy(key).agg(
+        F.bool_and("_covered").alias("_covered"), F.sum("_answers").alias("_answers"), F.sum("_hits").alias("_hits")
+    ).where(F.col("_covered") & (F.col("_hits") > 0) & (F.col("_hits") == F.col("_answers"))).select(key)
+    names = hits.groupBy("_question", "name_key").agg(F.min("catalog_match_name").alias("target_name"))
+    published = links.references.where(F.col("_hits") > 0).select(key, "_question").join(names, "_question").groupBy(key, "name_key").agg(F.min("target_name").alias("target_name"))
     derived = summaries.drop("target_name", "confidence").join(published.drop("name_key"), key).withColumn("confidence", F.lit("RESOLVED"))
     result = summaries.join(replaced, key, "left_anti").unionByName(derived.select(*summaries.columns))
-    provenance = hits.select(
+    provenance = _contexts(links, hits, key).select(
         key, F.col("catalog_match_name"), "source_kind", "value", "calling_process", "calling_line_number",
         F.col("_param").alias("parameter_name"), "alias_expression", F.col("target_expression").alias("original_target_expression"),
     )
@@ -93,7 +126,7 @@ def resolve_parameters(summaries: DataFrame, params: DataFrame, bindings: DataFr
     catalog_status = F.when(core, "CANDIDATE_NOT_IN_OBJECT_CATALOG").otherwise(
         F.coalesce(vocab.lookup(vocab.REJECTION_STATUS_BY_TYPE, norm_key("target_type")), F.lit("TARGET_TYPE_NOT_CATALOGED"))
     )
-    rejections = looked.where(F.col("catalog_match_name").isNull()).select(
+    rejections = _contexts(links, links.answers.where(F.col("catalog_match_name").isNull()), key).select(
         key, "target_type", "target_expression", F.col("value").alias("candidate_value"), catalog_status.alias("rejection_reason"),
         F.when(core, "CORE_OBJECT").otherwise("DEFERRED_NONCORE").alias("reference_class"), core.alias("requires_quality_exception"), "source_kind",
     )
