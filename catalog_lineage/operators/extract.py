@@ -142,7 +142,8 @@ def assignments(lines: DataFrame, text: str = "line_text") -> DataFrame:
 
 def resolve_symbols(statements: DataFrame, keys, order: str, is_assign: Column, value: Column,
                     bucket_width: int | None = None) -> DataFrame:
-    """Value of each row's variable at that point: its last earlier assignment, cleared by an unresolvable one."""
+    """Value of each row's variable at that point: its last earlier assignment, cleared by an unresolvable one. A variable with very
+    many rows is cut into ranges of its own order values."""
     return asof_last(statements, keys, order, is_assign, value, "value_at_use", bucket_width)
 
 

@@ -93,21 +93,27 @@ def neighborhood(edges: DataFrame, start: str, direction: str = "both", depth: i
     """All simple paths from a node, cycles flagged and stopped.
 
     With caps, nodes and edges are admitted level by level in the order of their steps, and ``truncated`` says whether
-    something was left out. Without caps (None) the whole neighborhood is one lazy plan.
+    something was left out. Without caps (None) every hop but the last is written once.
     """
     if not 0 <= depth <= MAX_DEPTH:
         raise ValueError(f"depth must be between 0 and {MAX_DEPTH}")
     hops = _hops(edges, direction, types)
-    state, truncated = _start(edges, start), False
-    for _ in range(depth):
+    state, finished, truncated = _start(edges, start), [], False
+    for level in range(1, depth + 1):
         if max_nodes is None or max_edges is None:
             state = _extend(state, hops)
+            if level < depth:
+                # Only the frontier meets the edges again; what has ended is set aside where it was written.
+                state = cut(state)
+                finished.append(state.where("ended"))
+                state = state.where("not ended")
         else:
             state = cut(state)
             ends = state.where(~F.col("ended")).select(F.element_at("node_ids", -1).alias("from_id")).distinct()
             near = hops.join(F.broadcast(ends), "from_id", "left_semi")  # never more rows than max_nodes
             state, cut_off = _capped(state, _extend(state, near), max_nodes, max_edges)
             truncated = truncated or cut_off
+    state = reduce(DataFrame.unionByName, finished, state)
     paths = state.where(F.size("relationship_ids") > 0).select(
         F.concat_ws("::", F.lit("path"), F.size("relationship_ids").cast("string"), F.element_at("relationship_ids", -1)).alias("path_id"),
         F.size("relationship_ids").alias("depth"), "node_ids", "relationship_ids", "cycle",

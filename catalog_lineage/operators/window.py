@@ -93,34 +93,44 @@ def split_duplicates(df: DataFrame, keys, order) -> tuple[DataFrame, DataFrame]:
     )
 
 
-def ordinals(df: DataFrame, keys, order, name: str = "ordinal", hot_rows: int = HOT_KEY_ROWS) -> DataFrame:
-    """1-based position of every row in its key.
+def _in_ranges(df: DataFrame, keys: list[str], order: list[str], hot_rows: int) -> tuple[DataFrame, DataFrame] | None:
+    """(rows of the keys above ``hot_rows`` with their ``_range``, rows of all other keys), or None when no key is that large.
 
-    Keys above ``hot_rows`` (looked for first, by a count) are cut into ranges by splitters taken from a hash sample of
-    their own order values, so that no task sorts a whole hot key; positions continue across the ranges. ``order``
-    must be a total order without nulls; feed a table that is cheap to read again.
+    Keys are counted first. A hot key is cut into ranges by splitters taken from a hash sample of its own order values, at least
+    SPLITTERS of them and one for each ``hot_rows`` rows, so that no range is as large as the key. Rows of equal order share a range.
     """
-    keys, order = _columns(keys), _columns(order)
-    plain = F.row_number().over(W.partitionBy(*keys).orderBy(*order))
-    hot = df.groupBy(*keys).agg(F.count("*").alias("_n")).where(F.col("_n") > hot_rows)
-    if hot.isEmpty():
-        return df.withColumn(name, plain)
-    shape = F.struct(*order)
-    hot = cut(hot)
+    counted = df.groupBy(*keys).agg(F.count("*").alias("_n")).where(F.col("_n") > hot_rows)
+    if counted.isEmpty():
+        return None
+    hot, shape = cut(counted), F.struct(*order)
     rows = df.join(hot, keys)
-    step = F.greatest(F.floor(F.col("_n") / SPLITTERS), F.lit(1)).cast("bigint")
+    step = F.greatest(F.floor(F.col("_n") / F.greatest(F.lit(SPLITTERS), F.col("_n") / hot_rows)), F.lit(1)).cast("bigint")
     splitters = rows.where(F.pmod(F.xxhash64(*order), step) == 0).groupBy(*keys).agg(F.array_sort(F.collect_set(shape)).alias("_splits"))
     ranged = cut(rows.drop("_n").join(splitters, keys, "left").withColumn(
         "_range", F.coalesce(F.size(F.filter("_splits", lambda s: s <= shape)), F.lit(0))
     ).drop("_splits"))
+    return ranged, df.join(hot.select(*keys), keys, "left_anti")
+
+
+def ordinals(df: DataFrame, keys, order, name: str = "ordinal", hot_rows: int = HOT_KEY_ROWS) -> DataFrame:
+    """1-based position of every row in its key.
+
+    Keys above ``hot_rows`` are cut into ranges, so that no task sorts a whole hot key; positions continue across the ranges.
+    ``order`` must be a total order without nulls; feed a table that is cheap to read again.
+    """
+    keys, order = _columns(keys), _columns(order)
+    plain = F.row_number().over(W.partitionBy(*keys).orderBy(*order))
+    split = _in_ranges(df, keys, order, hot_rows)
+    if split is None:
+        return df.withColumn(name, plain)
+    ranged, cold = split
     before = W.partitionBy(*keys).orderBy("_range").rowsBetween(W.unboundedPreceding, -1)
     offsets = ranged.groupBy(*keys, "_range").agg(F.count("*").alias("_n")).withColumn(
         "_offset", F.coalesce(F.sum("_n").over(before), F.lit(0))
     ).drop("_n")
     local = ranged.withColumn("_local", F.row_number().over(W.partitionBy(*keys, "_range").orderBy(*order)))
     placed = local.join(offsets, [*keys, "_range"]).withColumn(name, (F.col("_local") + F.col("_offset")).cast("int"))
-    cold = df.join(hot.select(*keys), keys, "left_anti").withColumn(name, plain)
-    return cold.select(*df.columns, name).unionByName(placed.select(*df.columns, name))
+    return cold.withColumn(name, plain).select(*df.columns, name).unionByName(placed.select(*df.columns, name))
 
 
 def sample_per_group(df: DataFrame, group, order, n: int, salt: int = 32) -> DataFrame:
@@ -214,27 +224,39 @@ def type_facet(nodes: DataFrame, type_col: str = "node_type") -> DataFrame:
 
 
 def asof_last(df: DataFrame, keys, order: str, is_set: Column, value: Column, name: str = "value_at_use",
-              bucket_width: int | None = None) -> DataFrame:
+              bucket_width: int | None = None, hot_rows: int = HOT_KEY_ROWS) -> DataFrame:
     """For every row the value of the last earlier-or-equal setting row of its key; a null setting clears it.
 
-    With ``bucket_width`` the order column is cut into buckets of that width: the last setting of each bucket is
-    aggregated, carried forward over bucket rows only, and rows are windowed inside their bucket. A hot key then
-    spreads over as many tasks as it has buckets.
+    Keys above ``hot_rows`` are cut into ranges of the order column, or all keys into buckets of ``bucket_width`` where that is given:
+    the last setting of each range is aggregated, carried forward over one row for each range, and rows are windowed inside their
+    range. A hot key then spreads over as many tasks as it has ranges. Without a width, feed a table that is cheap to read again.
     """
     keys = _columns(keys)
-    boxed = F.when(is_set, F.struct(value.alias("v")))
-    if bucket_width is None:
-        run = W.partitionBy(*keys).orderBy(order).rowsBetween(W.unboundedPreceding, 0)
-        return df.withColumn(name, F.last(boxed, ignorenulls=True).over(run)["v"])
-    staged = df.withColumn("_bucket", F.floor(col(order) / bucket_width)).withColumn("_boxed", boxed)
-    ends = staged.where(is_set).groupBy(*keys, "_bucket").agg(F.max_by("_boxed", order).alias("_end"))
-    buckets = staged.select(*keys, "_bucket").distinct().join(ends, [*keys, "_bucket"], "left")
-    earlier = W.partitionBy(*keys).orderBy("_bucket").rowsBetween(W.unboundedPreceding, -1)
-    carried = buckets.withColumn("_carry", F.last("_end", ignorenulls=True).over(earlier)).drop("_end")
-    run = W.partitionBy(*keys, "_bucket").orderBy(order).rowsBetween(W.unboundedPreceding, 0)
+    if bucket_width is not None:
+        return _carried_last(df.withColumn("_range", F.floor(col(order) / bucket_width)), keys, order, is_set, value, name)
+    run = W.partitionBy(*keys).orderBy(order).rowsBetween(W.unboundedPreceding, 0)
+    plain = F.last(F.when(is_set, F.struct(value.alias("v"))), ignorenulls=True).over(run)["v"]
+    split = _in_ranges(df, keys, [order], hot_rows)
+    if split is None:
+        return df.withColumn(name, plain)
+    ranged, cold = split
+    hot = _carried_last(ranged, keys, order, is_set, value, name)
+    return cold.withColumn(name, plain).select(*df.columns, name).unionByName(hot.select(*df.columns, name))
+
+
+def _carried_last(ranged: DataFrame, keys: list[str], order: str, is_set: Column, value: Column, name: str) -> DataFrame:
+    """asof_last inside each ``_range``, with the last setting of the ranges before it."""
+    staged = ranged.withColumn("_boxed", F.when(is_set, F.struct(value.alias("v"))))
+    ends = staged.groupBy(*keys, "_range").agg(F.max_by("_boxed", F.when(is_set, col(order))).alias("_end"))
+    earlier = W.partitionBy(*keys).orderBy("_range").rowsBetween(W.unboundedPreceding, -1)
+    carried = ends.select(
+        *[col(k).alias(f"_k{i}") for i, k in enumerate(keys)], F.col("_range").alias("_at"), F.last("_end", ignorenulls=True).over(earlier).alias("_carry")
+    )
+    run = W.partitionBy(*keys, "_range").orderBy(order).rowsBetween(W.unboundedPreceding, 0)
     local = staged.withColumn("_seen", F.last("_boxed", ignorenulls=True).over(run))
-    return (
-        local.join(carried, [*keys, "_bucket"], "left")
-        .withColumn(name, F.coalesce("_seen", "_carry")["v"])
-        .drop("_bucket", "_boxed", "_seen", "_carry")
+    same = F.col("_range").eqNullSafe(F.col("_at"))
+    for i, k in enumerate(keys):
+        same = same & col(k).eqNullSafe(F.col(f"_k{i}"))
+    return local.join(carried, same, "left").withColumn(name, F.coalesce("_seen", "_carry")["v"]).drop(
+        "_range", "_at", "_boxed", "_seen", "_carry", *[f"_k{i}" for i in range(len(keys))]
     )

@@ -62,7 +62,7 @@ def registry_join(d):
 
 @check("symbol_asof", "SELECT process_id, seq, variable, last_value(CASE WHEN is_set THEN {'v': val} END IGNORE NULLS) OVER (PARTITION BY process_id, variable ORDER BY seq).v AS value_at_use FROM v_assign")
 def symbol_asof(d):
-    rows = extract.resolve_symbols(d.v_assign, ["process_id", "variable"], "seq", F.col("is_set"), F.col("val"), bucket_width=1000)
+    rows = extract.resolve_symbols(d.v_assign, ["process_id", "variable"], "seq", F.col("is_set"), F.col("val"))
     return rows.select("process_id", "seq", "variable", "value_at_use")
 
 

@@ -280,9 +280,25 @@ def neighborhood(d):
     return traverse.neighborhood(d.v_graph, "cube::Customer#000000001", "both", 3, max_nodes=None, max_edges=None).paths.select("depth", "node_ids", "relationship_ids", "cycle")
 
 
-@check("neighborhood_capped")
+@check("neighborhood_capped", """
+    WITH h AS (SELECT source_id AS a, '0' || graph_relationship_id AS step, graph_relationship_id AS edge, target_id AS b FROM v_graph UNION ALL SELECT target_id, '1' || graph_relationship_id, graph_relationship_id, source_id FROM v_graph),
+    l1 AS (SELECT a AS start, step, edge, b, a = b AS cyc FROM h WHERE a = 'hierarchy::NATION_1'),
+    n1 AS (SELECT b FROM l1 WHERE NOT cyc GROUP BY b ORDER BY min(step) LIMIT 499),
+    i1 AS (SELECT * FROM l1 WHERE cyc OR b IN (SELECT b FROM n1)),
+    e1 AS (SELECT min(step) AS low FROM i1 GROUP BY edge ORDER BY low LIMIT 600),
+    k1 AS MATERIALIZED (SELECT * FROM i1 WHERE step <= (SELECT max(low) FROM e1)),
+    nodes AS (SELECT start AS n FROM l1 UNION SELECT b FROM k1), edges AS (SELECT DISTINCT edge FROM k1),
+    l2 AS MATERIALIZED (SELECT k1.start, k1.b AS via, h.b, k1.edge AS edge1, h.edge, [k1.step, h.step] AS steps, h.b IN (k1.start, k1.b) AS cyc FROM k1 JOIN h ON h.a = k1.b WHERE NOT k1.cyc),
+    n2 AS (SELECT b FROM (SELECT b, min(steps) AS low FROM l2 WHERE b NOT IN (SELECT n FROM nodes) GROUP BY b) QUALIFY row_number() OVER (ORDER BY low) <= 500 - (SELECT count(*) FROM nodes)),
+    i2 AS MATERIALIZED (SELECT * FROM l2 WHERE b IN (SELECT n FROM nodes) OR b IN (SELECT b FROM n2)),
+    fresh AS (SELECT edge, min(steps) AS low FROM i2 WHERE edge NOT IN (SELECT edge FROM edges) GROUP BY edge),
+    e2 AS (SELECT low FROM fresh QUALIFY row_number() OVER (ORDER BY low) <= 600 - (SELECT count(*) FROM edges)),
+    k2 AS MATERIALIZED (SELECT * FROM i2 WHERE (SELECT count(*) FROM edges) < 600 AND ((SELECT count(*) FROM fresh) < 600 - (SELECT count(*) FROM edges) OR steps <= (SELECT max(low) FROM e2)))
+    SELECT 'path::2::' || edge AS path_id, 2 AS depth, start || ',' || via || ',' || b AS node_ids, edge1 || ',' || edge AS relationship_ids, cyc AS cycle FROM k2
+    UNION ALL SELECT 'path::1::' || edge, 1, start || ',' || b, edge, cyc FROM k1 WHERE step NOT IN (SELECT steps[1] FROM k2)""")
 def neighborhood_capped(d):
-    return traverse.neighborhood(d.v_graph, "hierarchy::NATION_1", "both", 2, max_nodes=500, max_edges=600).paths.select("path_id", "depth", "node_ids", "relationship_ids", "cycle")
+    return traverse.neighborhood(d.v_graph, "hierarchy::NATION_1", "both", 2, max_nodes=500, max_edges=600).paths.select(
+        "path_id", "depth", F.array_join("node_ids", ",").alias("node_ids"), F.array_join("relationship_ids", ",").alias("relationship_ids"), "cycle")
 
 
 @check("impact", f"WITH RECURSIVE {paths_sql('dimension::AFRICA', 'inbound', 3)} SELECT DISTINCT unnest(nodes) AS node_id FROM leaf")

@@ -16,10 +16,21 @@ def test_ordinals_of_hot_keys_equal_plain_ordinals(spark):
 
 def test_asof_in_buckets_equals_asof_in_one_window(spark):
     rng = random.Random(2)
-    rows = [(rng.choice("ab"), i, rng.random() < 0.2, rng.choice(["x", "y", None])) for i in range(1000)]
+    rows = [(rng.choice(["a", "a", "a", "b", None]), i, rng.random() < 0.2, rng.choice(["x", "y", None])) for i in range(1000)]
     df = spark.createDataFrame(rows, "k string, seq int, sets boolean, v string")
-    run = lambda width: {r["seq"]: r["value_at_use"] for r in window.asof_last(df, "k", "seq", F.col("sets"), F.col("v"), bucket_width=width).collect()}
-    assert run(None) == run(7) == run(10_000)
+    run = lambda **how: {r["seq"]: r["value_at_use"] for r in window.asof_last(df, "k", "seq", F.col("sets"), F.col("v"), **how).collect()}
+    assert run() == run(bucket_width=7) == run(bucket_width=10_000) == run(hot_rows=300) == run(hot_rows=10)
+
+
+def test_asof_splits_a_key_of_a_million_rows(spark):
+    n = window.HOT_KEY_ROWS + 200_000
+    # nine tenths of the rows stand in one hundredth of the order's span
+    rows = spark.range(n).select(F.lit("hot").alias("k"), F.when(F.col("id") < 0.9 * n, F.col("id")).otherwise(F.col("id") * 900).alias("seq"), (F.col("id") % 1000 == 0).alias("sets"), F.col("id"))
+    ranged, cold = window._in_ranges(rows, ["k"], ["seq"], window.HOT_KEY_ROWS)
+    sizes = [r["count"] for r in ranged.groupBy("_range").count().collect()]
+    assert sum(sizes) == n and max(sizes) < n / 8 and cold.isEmpty()
+    found = window.asof_last(rows, "k", "seq", F.col("sets"), F.col("id"))
+    assert found.count() == n and found.where(F.col("value_at_use") != F.col("id") - F.col("id") % 1000).isEmpty()
 
 
 def test_adjacency_in_chunks_is_whole(spark):
