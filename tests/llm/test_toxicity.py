@@ -6,6 +6,7 @@ import zlib
 import pyarrow as pa
 
 from catalog_lineage.llm import toxicity
+from catalog_lineage.llm.common import Words, separators
 from catalog_lineage.llm.toxicity import gentle_documents, op7_toxicity, score_texts, train
 
 PICK = random.Random(6)
@@ -45,6 +46,27 @@ def test_held_out_documents_and_offending_sentences(spark):
     assert {r.doc_id for r in kept.collect()} == {i for i, t in got.items() if t.score < toxicity.REJECT}
 
 
+def test_score_is_the_noisy_or_of_its_sentences(spark):
+    docs, labels, _ = tables(spark, 200)
+    model = train(docs, labels)
+    slot = {}
+
+    def plain(text):
+        clean = 1.0
+        for sentence in re.split(r"[.!?\n]", (text or "").lower()):
+            words = set(re.findall(r"[a-z0-9\u0080-\U0010ffff]+", sentence))
+            for w in words - set(slot):
+                slot[w] = int(Words(pa.array([w], pa.large_string()), separators("plain")).hash[0] >> 46)
+            if words:
+                z = sum(float(model.weights[k]) for k in {slot[w] for w in words}) + model.offset
+                clean *= 1 - 1 / (1 + math.exp(-z))
+        return 1 - clean
+
+    more = spark.createDataFrame([(1000, None, "x"), (1001, "", "x"), (1002, " .!? \n", "x"), (1003, "VILEONE vileone! Été? vileone\nword1", "x")], docs.schema)
+    for r in score_texts(docs.unionByName(more), model).collect():
+        assert math.isclose(r.toxicity.score, plain(r.text), rel_tol=1e-6, abs_tol=1e-9)
+
+
 def test_held_out_labels_do_not_matter(spark):
     docs, labels, _ = tables(spark, 200)
     flipped = labels.selectExpr("doc_id", "quality", "if(crc32(cast(cast(doc_id as string) as binary)) % 3 = 1, 1 - toxic, toxic) as toxic")
