@@ -6,8 +6,11 @@ control string is left and taking one away gives the text back; roles escape %,
 Turns are numbered in order; prefix sums of their tokens (words plus OVERHEAD) choose the windows: a window takes turns while they fit
 BUDGET less the system turn and the repeated history, one turn at least, and no turn is ever split. Every window but the first begins
 with the conversation's system turn, if its first turn is one, and the turns right before it that fit HISTORY tokens. The loss covers
-the texts of assistant turns where they are new; repeated ones are masked. Windows are made within blocks of BLOCK_TURNS turns, so
-that a row never holds more than that of a long conversation; history does not reach over the edge of a block.
+the texts of assistant turns where they are new; repeated ones are masked.
+
+Where windows open depends on all turns before, so the prefix sums of a conversation, eight bytes for each turn, meet in one row. Its
+texts never do: the opening places join the turns as marks, every turn is sent to its window and to those whose history it belongs to,
+and a window holds at most BUDGET / OVERHEAD turns besides the system turn, whatever the length of the conversation.
 
 Defined results: turns go by turn number (null first), then role, then text; null texts and roles are empty; rows without a
 conversation id are one conversation; repeated rows are turns each; an empty table gives no rows.
@@ -19,7 +22,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window as W, functions
 
 from catalog_lineage.llm.common import WORD_PATTERN, table, text_or_empty
 
-BUDGET, HISTORY, OVERHEAD, BLOCK_TURNS = 512, 64, 4, 256
+BUDGET, HISTORY, OVERHEAD = 512, 64, 4
 START, END = "<|im_start|>", "<|im_end|>\n"
 
 
@@ -43,64 +46,72 @@ def unescape_role(role: Column) -> Column:
     return role
 
 
-def chat_windows(turns: DataFrame, budget: int = BUDGET, history: int = HISTORY, block_turns: int = BLOCK_TURNS) -> DataFrame:
-    """conv_id, block and window (their order), formatted, repeated (turns at its start that an earlier window has as new), tokens,
-    loss (array of start and end code point, end exclusive). One shuffle, by conversation."""
+def opening_turns(summed: DataFrame, budget: int, history: int) -> DataFrame:
+    """conv_id, n, opens: the turns at which windows open and the tokens before them, from summed(conv_id, upto, kept)."""
+    sums = summed.groupBy("conv_id").agg(F.array_sort(F.collect_list("upto")).alias("sums"), F.max("kept.tokens").alias("kept"))
+    room = F.lit(budget - history).cast("long") - F.coalesce("kept", F.lit(0).cast("long"))
+    nothing = F.array().cast("array<struct<n:int,opens:bigint>>")
+    zero = F.lit(0).cast("long")
+
+    def pack(state: Column, upto: Column) -> Column:
+        opens = (state["n"] == 0) | (upto - state["begin"] > state["room"])
+        mark = F.struct((state["n"] + 1).alias("n"), state["upto"].alias("opens"))
+        return F.struct(
+            F.when(opens, F.concat(state["marks"], F.array(mark))).otherwise(state["marks"]).alias("marks"),
+            F.when(opens, state["upto"]).otherwise(state["begin"]).alias("begin"), upto.alias("upto"), (state["n"] + 1).alias("n"), state["room"].alias("room"),
+        )
+
+    start = F.struct(nothing.alias("marks"), zero.alias("begin"), zero.alias("upto"), F.lit(0).alias("n"), room.alias("room"))
+    return sums.select("conv_id", F.inline(F.aggregate("sums", start, pack, lambda s: s["marks"])))
+
+
+def chat_windows(turns: DataFrame, budget: int = BUDGET, history: int = HISTORY) -> DataFrame:
+    """conv_id, window (their order), formatted, repeated (turns at its start that an earlier window has as new), tokens, loss (array of
+    start and end code point, end exclusive). One shuffle, by conversation, which the prefix sums read again."""
     role, text = F.coalesce(F.col("role").cast("string"), F.lit("")), text_or_empty()
     in_order = W.partitionBy("conv_id").orderBy(F.col("turn").asc_nulls_first(), "role", "text")
     numbered = turns.select("conv_id", "turn", role.alias("role"), text.alias("text")).withColumn("n", F.row_number().over(in_order))
     head, body = escape_role(F.col("role")), escape(F.col("text"))
     pieces = numbered.select(
-        "conv_id", F.expr(f"cast((n - 1) div {int(block_turns)} as int)").alias("block"), "n",
-        (F.regexp_count("text", F.lit(WORD_PATTERN)) + OVERHEAD).cast("long").alias("tokens"),
+        "conv_id", "n", (F.regexp_count("text", F.lit(WORD_PATTERN)) + OVERHEAD).cast("long").alias("tokens"),
         F.concat(F.lit(START), head, F.lit("\n"), body, F.lit(END)).alias("piece"),
         (F.char_length(head) + len(START) + 1).alias("lead"), F.char_length(body).alias("length"),
         (F.col("role") == "assistant").alias("target"), ((F.col("n") == 1) & (F.col("role") == "system")).alias("system"),
     )
-    whole = W.partitionBy("conv_id").orderBy("n").rowsBetween(W.unboundedPreceding, W.currentRow)
-    so_far = W.partitionBy("conv_id", "block").orderBy("n").rowsBetween(W.unboundedPreceding, W.currentRow)
+    by_turn = W.partitionBy("conv_id").orderBy("n")
+    so_far = by_turn.rowsBetween(W.unboundedPreceding, W.currentRow)
     summed = pieces.withColumns({
-        "upto": F.sum("tokens").over(so_far),
-        "kept": F.first(F.when(F.col("system"), F.struct("piece", "tokens"))).over(whole),
+        "upto": F.sum("tokens").over(so_far), "kept": F.first(F.when(F.col("system"), F.struct("piece", "tokens"))).over(so_far),
     })
-    turn = F.struct("n", (F.col("upto") - F.col("tokens")).alias("before"), "upto", "piece", "lead", "length", "target", "system")
-    blocks = summed.groupBy("conv_id", "block").agg(F.array_sort(F.collect_list(turn)).alias("turns"), F.first("kept").alias("kept"))
-
-    room = F.lit(budget - history).cast("long") - F.coalesce("kept.tokens", F.lit(0).cast("long"))
-    start = F.struct(F.array().cast("array<int>").alias("starts"), F.lit(0).cast("long").alias("begin"), F.lit(0).alias("i"))
-
-    def pack(state: Column, t: Column) -> Column:
-        opens = (state["i"] == 0) | (t["upto"] - state["begin"] > state["room"])
-        return F.struct(
-            F.when(opens, F.concat(state["starts"], F.array(state["i"]))).otherwise(state["starts"]).alias("starts"),
-            F.when(opens, t["before"]).otherwise(state["begin"]).alias("begin"), (state["i"] + 1).alias("i"), state["room"].alias("room"),
-        )
-
-    start = F.struct(start["starts"].alias("starts"), start["begin"].alias("begin"), start["i"].alias("i"), room.alias("room"))
-    starts = blocks.withColumn("starts", F.aggregate("turns", start, pack, lambda s: s["starts"]))
-    spans = starts.select("conv_id", "block", "turns", "kept", "starts", F.posexplode("starts").alias("window", "first"))
-    upto = F.coalesce(F.try_element_at("starts", F.col("window") + 2), F.size("turns"))
-    spans = spans.select("conv_id", "block", "window", "kept", F.col("turns")[F.col("first")]["before"].alias("begin"), F.slice("turns", F.col("first") + 1, upto - F.col("first")).alias("new"), F.slice("turns", F.lit(1), F.col("first")).alias("past"))
-    again = F.filter("past", lambda t: (F.col("begin") - t["before"] <= history) & ~t["system"])
-    spans = spans.withColumn("again", again).withColumn("lead", F.when((F.col("block") > 0) | (F.col("window") > 0), F.col("kept")))
-    front = F.concat(F.coalesce("lead.piece", F.lit("")), F.array_join(F.transform("again", lambda t: t["piece"]), ""))
-    made = spans.withColumn("front", front)
+    marked = summed.unionByName(opening_turns(summed, budget, history), allowMissingColumns=True)
+    # A mark has the number of the turn that it opens a window at; equal numbers are peers of a range frame.
+    placed = marked.withColumns({
+        "window": F.count("opens").over(by_turn.rangeBetween(W.unboundedPreceding, W.currentRow)) - 1,
+        "later": F.collect_list("opens").over(by_turn.rangeBetween(1, max(1, history // OVERHEAD))),
+    }).where("opens is null")
+    repeats = F.filter("later", lambda opens: (opens - F.col("upto") + F.col("tokens") <= history) & ~F.col("system"))
+    own = F.array(F.struct("window", F.lit(True).alias("new")))
+    again = F.transform(repeats, lambda _, i: F.struct((F.col("window") + i + 1).alias("window"), F.lit(False).alias("new")))
+    turn = F.struct("n", "new", "tokens", "piece", "lead", "length", "target")
+    sent = placed.select("*", F.inline(F.concat(own, again)).alias("in_window", "new")).drop("window")
+    grouped = sent.groupBy("conv_id", F.col("in_window").alias("window")).agg(F.array_sort(F.collect_list(turn)).alias("turns"), F.first("kept").alias("kept"))
+    made = grouped.withColumn("front", F.when(F.col("window") > 0, F.col("kept")))
 
     def mark(state: Column, t: Column) -> Column:
         begin = state["at"] + t["lead"]
         return F.struct(
             (state["at"] + F.char_length(t["piece"])).alias("at"),
-            F.when(t["target"], F.concat(state["loss"], F.array(F.struct(begin.alias("start"), (begin + t["length"]).alias("end"))))).otherwise(state["loss"]).alias("loss"),
+            F.when(t["target"] & t["new"], F.concat(state["loss"], F.array(F.struct(begin.alias("start"), (begin + t["length"]).alias("end"))))).otherwise(state["loss"]).alias("loss"),
         )
 
-    zero = F.struct(F.char_length("front").alias("at"), F.array().cast("array<struct<start:int,end:int>>").alias("loss"))
-    total = lambda turns: F.aggregate(turns, F.lit(0).cast("long"), lambda s, t: s + t["upto"] - t["before"])
+    piece = F.coalesce("front.piece", F.lit(""))
+    zero = F.struct(F.char_length(piece).alias("at"), F.array().cast("array<struct<start:int,end:int>>").alias("loss"))
     return made.select(
-        "conv_id", "block", "window",
-        F.concat("front", F.array_join(F.transform("new", lambda t: t["piece"]), "")).alias("formatted"),
-        (F.size("again") + F.when(F.col("lead").isNotNull(), 1).otherwise(0)).alias("repeated"),
-        (total(F.col("new")) + total(F.col("again")) + F.coalesce("lead.tokens", F.lit(0).cast("long"))).alias("tokens"),
-        F.aggregate("new", zero, mark, lambda s: s["loss"]).alias("loss"),
+        "conv_id", F.col("window").cast("int").alias("window"),
+        F.concat(piece, F.array_join(F.transform("turns", lambda t: t["piece"]), "")).alias("formatted"),
+        (F.size(F.filter("turns", lambda t: ~t["new"])) + F.when(F.col("front").isNotNull(), 1).otherwise(0)).alias("repeated"),
+        (F.aggregate("turns", F.lit(0).cast("long"), lambda s, t: s + t["tokens"]) + F.coalesce("front.tokens", F.lit(0).cast("long"))).alias("tokens"),
+        F.aggregate("turns", zero, mark, lambda s: s["loss"]).alias("loss"),
     )
 
 
@@ -125,7 +136,7 @@ def op4_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     read = read_back(chat_windows(turns))
     digest = read.select(
         "conv_id", F.struct(
-            "block", "window", F.size("turns").alias("n"), F.char_length("formatted").alias("chars"),
+            "window", F.size("turns").alias("n"), F.char_length("formatted").alias("chars"),
             F.array_join(F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "").alias("turns"), F.array_join("targets", "").alias("loss"),
         ).alias("w"),
     )
@@ -139,7 +150,7 @@ def op4_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-#: The windows' starts by recursion, for conversations of at most BLOCK_TURNS turns, as all are at the scale that is compared.
+#: The windows' starts by recursion.
 ORACLES = {
     "op4_chat_format": rf"""
 WITH RECURSIVE given AS (
