@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from ..functions.ids import opt
 from ..functions.text import clean, first_nonblank, match_value, norm_key, token
-from .window import cut, first_wins, ordinals
+from .window import HOT_KEY_ROWS, cut, first_wins, ordinals
 
 SOURCE_FIELDS = ("process_name", "cube_name", "source_name", "source_cube", "source_object_name", "source")
 TIEBREAK = (
@@ -52,34 +52,51 @@ def _ordered(df: DataFrame, row_key: str, extra=()) -> DataFrame:
 ORDER = [f"tie{i}" for i in range(len(TIEBREAK))] + ["row_key"]
 
 
+def _numbered(df: DataFrame, largest: int) -> DataFrame:
+    """Positions in the order of each key; ``largest`` is the size of the largest key, counted before."""
+    if largest > HOT_KEY_ROWS:
+        return ordinals(df, "semantic_key", ORDER, "position")
+    return df.withColumn("position", F.row_number().over(W.partitionBy("semantic_key").orderBy(*ORDER)))
+
+
 def pair(validations: DataFrame, relationships: DataFrame, row_key: str = "row_key") -> tuple[DataFrame, DataFrame]:
-    """(pairs, errors). Explicit ids pair first; the rest pair by semantic key and ordinal where both sides have the
-    same number of rows, and become errors with both counts where they do not."""
+    """(pairs, errors). Explicit ids pair first, where an id is repeated with its first relationship; the rest pair by semantic key and
+    ordinal where both sides have the same number of rows, and become errors with both counts where they do not.
+
+    Keys are counted once. Keys with one row on either side meet in a join; only rows of larger keys are sorted.
+    """
     # both sides are read several times below, so their keys are computed once
     val, rel = cut(_ordered(validations, row_key)), cut(_ordered(relationships, row_key))
     by_id = first_wins(rel.where(F.col("explicit_id") != "").select("explicit_id", "row_key"), "explicit_id", "row_key")
-    explicit = val.join(by_id.select("explicit_id", F.col("row_key").alias("relationship_key")), "explicit_id").select(
+    has_id = F.coalesce("explicit_id", F.lit("")) != ""
+    named = val.where(has_id)
+    explicit = named.join(by_id.select("explicit_id", F.col("row_key").alias("relationship_key")), "explicit_id").select(
         F.col("row_key").alias("validation_key"), "relationship_key", F.lit("RELATIONSHIP_ID").alias("join_method"),
         F.lit(1).cast("bigint").alias("position"), F.lit(1).cast("bigint").alias("group_size"), "semantic_key",
     )
-    rest = cut(val.join(by_id.select("explicit_id"), "explicit_id", "left_anti"))
-    n_val = rest.groupBy("semantic_key").agg(F.count("*").alias("validation_count"))
-    n_rel = rel.groupBy("semantic_key").agg(F.count("*").alias("relationship_count"))
-    counts = n_val.join(n_rel, "semantic_key", "left").withColumn("relationship_count", F.coalesce("relationship_count", F.lit(0)))
-    counts = cut(counts)
+    rest = val.where(~has_id).unionByName(named.join(by_id.select("explicit_id"), "explicit_id", "left_anti"))
+    sides = rest.select("semantic_key", F.lit(1).alias("_v"), F.lit(0).alias("_r")).unionByName(rel.select("semantic_key", F.lit(0).alias("_v"), F.lit(1).alias("_r")))
+    counts = sides.groupBy("semantic_key").agg(F.sum("_v").alias("validation_count"), F.sum("_r").alias("relationship_count"))
+    counts = cut(counts.where("validation_count > 0"))
     equal = counts.where(F.col("validation_count") == F.col("relationship_count")).select("semantic_key", F.col("relationship_count").alias("group_size"))
-    left = ordinals(rest.join(equal.select("semantic_key"), "semantic_key", "left_semi"), "semantic_key", ORDER, "position")
-    right = ordinals(rel.join(equal.select("semantic_key"), "semantic_key", "left_semi"), "semantic_key", ORDER, "position")
-    semantic = (
-        left.select("semantic_key", "position", F.col("row_key").alias("validation_key"))
-        .join(right.select("semantic_key", "position", F.col("row_key").alias("relationship_key")), ["semantic_key", "position"])
-        .join(equal, "semantic_key")
-        .select(
-            "validation_key", "relationship_key",
-            F.when(F.col("group_size") == 1, "SEMANTIC_KEY").otherwise("SEMANTIC_GROUP_ORDINAL").alias("join_method"),
-            F.col("position").cast("bigint").alias("position"), F.col("group_size").cast("bigint").alias("group_size"), "semantic_key",
-        )
+    single = equal.where("group_size = 1")
+    pairs = (
+        rest.select("semantic_key", F.col("row_key").alias("validation_key")).join(single, "semantic_key")
+        .join(rel.select("semantic_key", F.col("row_key").alias("relationship_key")), "semantic_key")
+        .select("validation_key", "relationship_key", F.lit("SEMANTIC_KEY").alias("join_method"), F.lit(1).cast("bigint").alias("position"), "group_size", "semantic_key")
     )
+    largest = equal.agg(F.max("group_size")).first()[0] or 0
+    if largest > 1:
+        larger = equal.where("group_size > 1")
+        left, right = (_numbered(side.join(larger, "semantic_key"), largest) for side in (rest, rel))
+        pairs = pairs.unionByName(
+            left.select("semantic_key", "position", "group_size", F.col("row_key").alias("validation_key"))
+            .join(right.select("semantic_key", "position", F.col("row_key").alias("relationship_key")), ["semantic_key", "position"])
+            .select(
+                "validation_key", "relationship_key", F.lit("SEMANTIC_GROUP_ORDINAL").alias("join_method"),
+                F.col("position").cast("bigint").alias("position"), "group_size", "semantic_key",
+            )
+        )
     bad = counts.where(F.col("validation_count") != F.col("relationship_count"))
     message = F.when(
         F.col("relationship_count") == 0, "No relationship has this key; semantic_candidate_count=0"
@@ -90,7 +107,7 @@ def pair(validations: DataFrame, relationships: DataFrame, row_key: str = "row_k
     errors = rest.join(bad, "semantic_key").select(
         F.col("row_key").alias("validation_key"), "semantic_key", F.lit("JOIN_VALIDATION_TO_RELATIONSHIP").alias("stage"), message.alias("error")
     )
-    return explicit.unionByName(semantic), errors
+    return explicit.unionByName(pairs), errors
 
 
 # ---- best-score pairing ----------------------------------------------------------------

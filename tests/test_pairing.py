@@ -1,7 +1,10 @@
+import functools
 import random
 from collections import deque
 
-from catalog_lineage.operators import pairing
+import pytest
+
+from catalog_lineage.operators import pairing, window
 
 SEM = "row_id string, row_order int, origin string, process_name string, relationship_type string, target_type string, target_name string, target_expression string"
 REL = SEM.replace("row_id", "rel_id").replace("row_order", "position")
@@ -98,3 +101,44 @@ def test_unequal_groups_are_errors(spark):
     assert pairs.count() == 0 and "validation_count=1; relationship_count=2" in errors.collect()[0]["error"]
     _, errors = pairing.pair(spark.createDataFrame(one, VAL), spark.createDataFrame([], VAL))
     assert "semantic_candidate_count=0" in errors.collect()[0]["error"]
+
+
+def pairs_of(validations, relationships):
+    """The rule of ``pair``, written out: ids first, then equal keys of equal size by order."""
+    by_id, out, lost = {}, {}, {}
+    for key, ident, *_ in sorted(relationships):
+        if ident:
+            by_id.setdefault(ident, key)
+    groups = [{}, {}]
+    for rows, side in ((validations, groups[0]), (relationships, groups[1])):
+        for key, ident, name, line in rows:
+            if side is groups[0] and ident in by_id:
+                out[key] = (by_id[ident], "RELATIONSHIP_ID", 1, 1)
+            else:
+                side.setdefault(name, []).append((line, key))
+    for name, left in groups[0].items():
+        right = groups[1].get(name, [])
+        if len(left) != len(right):
+            lost.update({key: (len(left), len(right)) for _, key in left})
+            continue
+        method = "SEMANTIC_KEY" if len(left) == 1 else "SEMANTIC_GROUP_ORDINAL"
+        for i, ((_, v), (_, r)) in enumerate(zip(sorted(left), sorted(right)), 1):
+            out[v] = (r, method, i, len(left))
+    return out, lost
+
+
+@pytest.mark.parametrize("hot_rows", [1_000_000, 5])
+def test_pairs_equal_the_rule(spark, monkeypatch, hot_rows):
+    monkeypatch.setattr(pairing, "HOT_KEY_ROWS", hot_rows)
+    monkeypatch.setattr(pairing, "ordinals", functools.partial(window.ordinals, hot_rows=hot_rows))
+    rng = random.Random(8)
+    names = ["hot"] * 40 + [f"one{i}" for i in range(30)] + ["two"] * 2 + [f"three{i % 4}" for i in range(12)]
+    make = lambda kind, name, i: (f"{kind}{i:03d}", rng.choice(["id1", "id2", "id9", None]) if i % 11 == 0 else rng.choice(["", None]), name, str(rng.randint(1, 9)))
+    validations = [make("v", n, i) for i, n in enumerate([*names, "only", "three0"])]
+    relationships = [make("r", n, i) for i, n in enumerate([*names, "other"])]
+    schema = "row_key string, relationship_id string, target_name string, line string"
+    pairs, errors = pairing.pair(spark.createDataFrame(validations, schema), spark.createDataFrame(relationships, schema))
+    expected, lost = pairs_of(validations, relationships)
+    got = pairs.collect()
+    assert {r.validation_key: (r.relationship_key, r.join_method, r.position, r.group_size) for r in got} == expected and len(got) == len(expected)
+    assert {r.validation_key for r in errors.collect()} == set(lost) and {m for _, m, *_ in expected.values()} == {"RELATIONSHIP_ID", "SEMANTIC_KEY", "SEMANTIC_GROUP_ORDINAL"}
