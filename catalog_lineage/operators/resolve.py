@@ -11,6 +11,7 @@ from ..functions.text import (
     blank_to_null, clean, col, first_nonblank, is_dynamic, norm_key, split_parent_leaf, split_qualified, token,
 )
 from .filters import active_exceptions
+from .summarize import ADJACENCY_CHUNK, chunked_lists
 from .window import first_wins
 
 
@@ -331,18 +332,26 @@ def edge_view(edges: DataFrame, semantics: DataFrame, validations: DataFrame, pr
     )
 
 
+def _provenance_key(source: str) -> Column:
+    return F.array_join(F.array(*[norm_key(c) for c in (source, "relationship_type", "target_type", "target_name")]), "\u001f")
+
+
 def provenance_enrich(df: DataFrame, provenance: DataFrame, source: str = "process_name") -> DataFrame:
-    """Source kinds and calling processes of parameter resolution, for the rows it touched."""
-    keys = {"_p": source, "_r": "relationship_type", "_t": "target_type", "_n": "target_name"}
-    gathered = provenance.groupBy(*[norm_key(c if c != source else "process_name").alias(k) for k, c in keys.items()]).agg(
-        F.array_sort(F.collect_set(blank_to_null("source_kind"))).alias("resolution_source"),
-        F.array_sort(F.collect_set(blank_to_null("calling_process"))).alias("calling_processes"),
-        F.count("*").alias("provenance_count"),
+    """Source kinds and count of parameter resolution, for the rows it touched, with the key by which ``provenance_callers`` lists the
+    calling processes. Source kinds are a fixed vocabulary; callers are not, so they stay in rows of their own."""
+    gathered = provenance.groupBy(_provenance_key("process_name").alias("provenance_key")).agg(
+        F.array_sort(F.collect_set(blank_to_null("source_kind"))).alias("resolution_source"), F.count("*").alias("provenance_count"),
     )
-    keyed = df.withColumns({k: norm_key(c) for k, c in keys.items()})
-    return keyed.join(gathered, list(keys), "left").withColumn(
+    keyed = df.withColumn("_key", _provenance_key(source))
+    return keyed.join(gathered, F.col("_key") == F.col("provenance_key"), "left").withColumn(
         "parameter_resolution_applied", F.col("provenance_count").isNotNull()
-    ).drop(*keys)
+    ).drop("_key")
+
+
+def provenance_callers(provenance: DataFrame, chunk_rows: int = ADJACENCY_CHUNK) -> DataFrame:
+    """Distinct calling processes of each provenance_key, in numbered chunks; keys without a caller have none."""
+    callers = provenance.select(_provenance_key("process_name").alias("provenance_key"), blank_to_null("calling_process").alias("calling_process"))
+    return chunked_lists(callers.where("calling_process is not null"), "provenance_key", "calling_process", "calling_processes", chunk_rows)
 
 
 def node_label(df: DataFrame) -> Column:

@@ -260,7 +260,11 @@ def provenance_enrich(d):
                                                            F.when(F.col("c_custkey") % 8 == 3, "pDim").otherwise("'no ' | pDim").alias("expression"), F.array(F.lit("pDim")).alias("dependencies"))
     _, provenance, _ = parameters.resolve_parameters(d.v_open_refs, d.v_params, d.v_bindings, aliases, d.v_objects)
     keyed = provenance.join(d.v_open_refs.select("row_key", "process_name", "relationship_type", "target_type", "target_name"), "row_key")
-    return resolve.provenance_enrich(d.v_open_refs, keyed).select("row_key", "parameter_resolution_applied", "resolution_source", "calling_processes")
+    enriched = resolve.provenance_enrich(d.v_open_refs, keyed)
+    # one row for each chunk of callers, and one where there are none
+    listed = enriched.join(resolve.provenance_callers(keyed), "provenance_key", "left")
+    callers = F.coalesce("calling_processes", F.when(F.col("parameter_resolution_applied"), F.array().cast("array<string>"))).alias("calling_processes")
+    return listed.select("row_key", "parameter_resolution_applied", "resolution_source", callers)
 
 
 @check("node_view", """

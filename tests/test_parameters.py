@@ -3,7 +3,7 @@
 import random
 from collections import defaultdict
 
-from catalog_lineage.operators import parameters
+from catalog_lineage.operators import parameters, resolve
 
 REFS = "row_key string, process_name string, target_type string, target_name string, target_expression string, confidence string"
 PARAMS = "process_name string, parameter_name string, default_value string"
@@ -91,3 +91,15 @@ def test_many_references_and_callers_of_one_process_do_not_meet(spark):
     result, provenance, _ = parameters.resolve_parameters(refs, params, bindings, aliases, objects)
     assert result.groupBy("confidence").count().collect() == [("RESOLVED", 5 * n)]
     assert provenance.where("row_key = 'r17'").count() == n
+
+
+def test_callers_come_in_chunks(spark):
+    rows = [("p", "R", "CUBE", "a", "LITERAL", f"caller{i % 250}") for i in range(600)] + [("q", "R", "CUBE", "a", "DEFAULT", " "), ("q", "R", "CUBE", "a", None, None)]
+    provenance = spark.createDataFrame(rows, "process_name string, relationship_type string, target_type string, target_name string, source_kind string, calling_process string")
+    refs = spark.createDataFrame([(1, "P", "R", "CUBE", " A "), (2, "q", "R", "CUBE", "a"), (3, "q", "R", "CUBE", "b"), (4, None, None, None, None)], "id int, process_name string, relationship_type string, target_type string, target_name string")
+    enriched = resolve.provenance_enrich(refs, provenance)
+    assert {r.id: (r.parameter_resolution_applied, r.resolution_source, r.provenance_count) for r in enriched.collect()} == {
+        1: (True, ["LITERAL"], 600), 2: (True, ["DEFAULT"], 2), 3: (False, None, None), 4: (False, None, None)}
+    listed = enriched.join(resolve.provenance_callers(provenance, chunk_rows=20), "provenance_key").collect()
+    assert {r.id for r in listed} == {1} and len({r.chunk for r in listed}) == len(listed) > 5
+    assert sorted(c for r in listed for c in r.calling_processes) == sorted(f"caller{i}" for i in range(250))
