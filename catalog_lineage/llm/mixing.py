@@ -19,9 +19,10 @@ from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window as W, functions as F
 
-from catalog_lineage.llm.common import WORD_PATTERN, cut, numbered, packed, table, text_or_empty
+from catalog_lineage.llm.common import WORD_PATTERN, cut, free_name, numbered, packed, table, text_or_empty
 
 SEED, MAX_EPOCHS = 1729, 3
+RESULTS = ("size", "source_size", "target", "whole", "extra")
 #: Hex digits of each prefix: a level has at most 256 sums per source, and two levels leave 1/65,536 of a source to sort.
 DIGITS, LEVELS = 2, 2
 
@@ -81,7 +82,7 @@ def stops(docs: DataFrame, targets: DataFrame) -> DataFrame:
 def mix(df: DataFrame, weights: DataFrame | None = None, max_epochs: int = MAX_EPOCHS, seed: int = SEED) -> DataFrame:
     """Adds size, source_size, target, whole and extra: each document is taken `whole` times, and its first `extra` words once more.
     `weights` has source and weight; without it the weights are 1, 2, 3 in turn."""
-    df = df.drop("size", "source_size", "target", "whole", "extra")
+    df = df.drop(*RESULTS)
     # With the text, so that an id that many rows share has no place of its own in the order.
     told = F.concat(F.lit(f"{seed}:"), F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.lit(":"), F.md5(text_or_empty().cast("binary")))
     digest = F.md5(told.cast("binary"))
@@ -105,7 +106,7 @@ def mix(df: DataFrame, weights: DataFrame | None = None, max_epochs: int = MAX_E
 def repeated(mixed: DataFrame) -> DataFrame:
     """One row for each repetition: `whole` times the document, once more its first `extra` words with the spaces before them
     (the document as it is where that is all of them). Documents not taken give none; n_chars, where there, follows the text."""
-    own = mixed.drop("size", "source_size", "target", "whole", "extra")
+    own = mixed.drop(*RESULTS)
     copies = (F.col("whole") + F.when(F.col("extra") > 0, 1).otherwise(0)).cast("int")
     rows = packed(mixed, whole=F.col("whole"), extra=F.col("extra"), size=F.col("size"), copies=copies).where("copies > 0")
     rows = rows.withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies"))))
@@ -117,6 +118,13 @@ def repeated(mixed: DataFrame) -> DataFrame:
     return rows.select(*(made[c].cast(own.schema[c].dataType).alias(c) if c in made else F.col(f"_row.`{c}`") for c in own.columns))
 
 
+def mixed_rows(docs: DataFrame) -> DataFrame:
+    """The rows that the mix takes of docs, each repetition one, with all columns of docs, also those named like a result."""
+    aside = {c: free_name(docs, f"_{c}") for c in docs.columns if c.lower() in RESULTS}
+    made = repeated(mix(docs.withColumnsRenamed(aside)))
+    return made.withColumnsRenamed({new: own for own, new in aside.items()})
+
+
 def op2_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mix(table(spark, sf_dir, "documents").select("doc_id", "source", "text"))
     return mixed.select("doc_id", "size", "source_size", "target", (F.col("whole") * F.col("size") + F.col("extra")).alias("taken"))
