@@ -1,6 +1,11 @@
 """The corpus pipeline: toxic documents go, one of each class of near duplicates stays, documents with benchmark items go, the sources are
 mixed to their weights (documents repeat, or are left out, as the mix says), and the rows are dealt into shards. Each stage is written
-as Parquet and read again as the next one's input."""
+as Parquet and read again as the next one's input.
+
+Defined results: rows without text, words or id pass the stages that judge texts, and the near-duplicate stage keeps each of them; the mix
+takes them as often as whole repetitions of their source (a source without words is not taken). Repeated rows are near duplicates of each
+other; of equal ones any stays. Without labels no document is toxic, without benchmark items none goes, without documents nothing comes
+out. Columns of the documents go on unchanged; the last stage replaces those named shard and slot."""
 
 from __future__ import annotations
 
@@ -27,7 +32,7 @@ def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One row for each repetition that the mix takes of a document."""
-    return mixing.repeated(mixing.mix(docs))
+    return mixing.mixed_rows(docs)
 
 
 def sharded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
