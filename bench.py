@@ -5,6 +5,7 @@ from __future__ import annotations
 import json
 import os
 import sys
+import tempfile
 import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
@@ -25,7 +26,8 @@ def main() -> None:
     spark = (
         SparkSession.builder.master(f"local[{cpus}]").appName("bench")
         .config("spark.sql.shuffle.partitions", cpus).config("spark.driver.memory", "16g").config("spark.ui.enabled", "false")
-        .config("spark.sql.session.timeZone", "UTC").config("spark.sql.adaptive.enabled", "true").getOrCreate()
+        .config("spark.sql.session.timeZone", "UTC").config("spark.sql.adaptive.enabled", "true")
+        .config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="spark-")).getOrCreate()
     )
     spark.sparkContext.setLogLevel("OFF")
     import checks

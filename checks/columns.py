@@ -33,6 +33,18 @@ def read_records(d):
     return io.read_records(d.spark, path, OBJECT_SCHEMA, lines=True)
 
 
+@check("read_wrapped", "SELECT object_type, object_name, seq FROM v_objects")
+def read_wrapped(d):
+    """All objects, a thousand to a JSON line: half of the lines as arrays, half as objects that hold the array under a key."""
+    base = scratch(d.spark)
+    record = F.struct("object_type", "object_name", "seq")
+    lists = d.v_objects.groupBy(F.expr("seq div 1000").alias("part")).agg(F.collect_list(record).alias("items"))
+    lists.where("part % 2 = 0").select(F.to_json("items").alias("value")).write.text(f"{base}/arrays.json")
+    lists.where("part % 2 = 1").select(F.to_json(F.struct(F.size("items").alias("count"), "items")).alias("value")).write.text(f"{base}/wrapped.json")
+    read = lambda name: io.read_records(d.spark, f"{base}/{name}.json", OBJECT_SCHEMA, wrapper_keys=("records", "items"), lines=True)
+    return read("arrays").unionByName(read("wrapped"))
+
+
 @check("read_optional", "SELECT object_type, CAST(count(*) AS BIGINT) AS row_count FROM v_objects GROUP BY 1")
 def read_optional(d):
     base = scratch(d.spark)
