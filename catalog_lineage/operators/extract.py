@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from .. import vocab
 from ..functions.text import QUOTED, WHITESPACE, clean, col, is_identifier, norm_key, trim_all, unquote
 from . import scan
-from .window import asof_last, sample_per_group
+from .window import asof_last, cut, sample_per_group
 
 LINE_BREAK = "\r\n|[\n\r\x0b\x0c\x1c\x1d\x1e\x85  ]"
 COMMENT = {"#": r"#[^\r\n]*", "//": r"//[^\r\n]*", "/*": r"/\*[\s\S]*?(?:\*/|\z)"}
@@ -21,6 +23,11 @@ def procedure_rank(c: Column | str) -> Column:
 
 # ---- X2 comments -----------------------------------------------------------
 
+def _may_comment(c: Column | str, styles) -> Column:
+    """A literal test: text without any of these signs needs no scan."""
+    return reduce(lambda a, b: a | b, [F.contains(col(c), F.lit(s)) for s in styles])
+
+
 def mask_comments(c: Column | str, styles=("#",)) -> Column:
     """Comments become spaces; offsets, line breaks and quoted text stay."""
     stops = "".join(sorted({COMMENT_START[s] for s in styles}))
@@ -30,13 +37,14 @@ def mask_comments(c: Column | str, styles=("#",)) -> Column:
     masked = F.transform(
         pieces, lambda t: F.when(F.rlike(t, F.lit(rf"^(?:{begins})")), F.regexp_replace(t, r"[^\r\n]", " ")).otherwise(t)
     )
-    return F.array_join(masked, "")
+    return F.when(_may_comment(c, styles), F.array_join(masked, "")).otherwise(col(c))
 
 
 def strip_comments(c: Column | str, styles=("#",)) -> Column:
     """Comments removed without touching quoted text."""
     comments = "|".join(COMMENT[s] for s in styles)
-    return F.btrim(F.regexp_replace(col(c), rf"({QUOTED}|{OPEN_QUOTE})|{comments}", "$1"), F.lit(WHITESPACE))
+    stripped = F.regexp_replace(col(c), rf"({QUOTED}|{OPEN_QUOTE})|{comments}", "$1")
+    return F.btrim(F.when(_may_comment(c, styles), stripped).otherwise(col(c)), F.lit(WHITESPACE))
 
 
 def mask_quoted(c: Column | str) -> Column:
@@ -91,7 +99,7 @@ def extract_calls(df: DataFrame, names, text: str = "line_text", line: str | Non
     named = "|".join(sorted(names, key=lambda n: (-len(n), n)))
     keep = [c for c in df.columns if c != text]
     # a literal test first: most lines of most code call nothing and need no scan
-    staged = df.where(F.rlike(col(text), F.lit(rf"(?i)\b(?:{named})\s*\(")))
+    staged = df.where(F.contains(col(text), F.lit("(")) & F.rlike(col(text), F.lit(rf"(?i)\b(?=\w++\s*\()(?:{named})\s*\(")))
     rows = staged.select(*keep, F.posexplode(scan.call_rows(col(text), named)).alias("call_position", "_c"))
     lines = [F.col("_c.line").alias("line_number")] if line is None else []
     return rows.select(*keep, "call_position", F.col("_c.call").alias("call_text"), *lines, F.col("_c.name").alias("function_name"), F.col("_c.arguments").alias("arguments"))
