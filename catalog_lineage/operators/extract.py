@@ -124,6 +124,7 @@ def apply_registry(calls: DataFrame, registry: DataFrame) -> DataFrame:
 
 # ---- X5/X6 symbols and expressions -----------------------------------------------------
 
+ASSIGNED = r"^\s*([A-Za-z_][A-Za-z0-9_]*)\s*="
 ASSIGNMENT = r"(?s)^\s*([A-Za-z_][A-Za-z0-9_]*)\s*=\s*(.*?)\s*;?\s*$"
 FLAT_PART = rf"((?:[^|'\"]++|{QUOTED}|['\"])*+)\|"
 
@@ -142,8 +143,8 @@ def concat_parts(c: Column | str) -> Column:
 def assignments(lines: DataFrame, text: str = "line_text") -> DataFrame:
     """Rows that assign a variable, with its name and expression."""
     return (
-        lines.withColumn("variable", F.regexp_extract(text, ASSIGNMENT, 1))
-        .where(F.col("variable") != "")
+        lines.where(F.contains(text, F.lit("=")) & F.rlike(text, F.lit(ASSIGNED)))
+        .withColumn("variable", F.regexp_extract(text, ASSIGNED, 1))
         .withColumn("expression", expression_text(F.regexp_extract(text, ASSIGNMENT, 2)))
     )
 
