@@ -181,8 +181,11 @@ def resolve_lists(defs: DataFrame, uses: DataFrame, scope: str = "process_name")
 def rated(expression: Column, value: Column) -> tuple[Column, Column]:
     """Resolved value of an expression (its own text where there is none) and how sure it is."""
     text = expression_text(expression)
-    sure = F.when(value.isNull(), "UNRESOLVED").when(unquote(text).isNotNull(), "CONFIRMED").otherwise("RESOLVED")
-    return F.coalesce(value, text), sure
+    return F.coalesce(value, text), _sure(text, value)
+
+
+def _sure(text: Column, value: Column) -> Column:
+    return F.when(value.isNull(), "UNRESOLVED").when(unquote(text).isNotNull(), "CONFIRMED").otherwise("RESOLVED")
 
 
 def resolve_expressions(defs: DataFrame, uses: DataFrame, scope: str = "process_name") -> DataFrame:
@@ -260,16 +263,20 @@ def process_evidence(code: DataFrame, registry: DataFrame, names=None) -> DataFr
     lines = explode_lines(code).withColumn(
         "seq", procedure_rank("procedure").cast("bigint") * 1_000_000_000 + F.col("line_number")
     )
-    calls = apply_registry(extract_calls(lines, names), registry).drop("parent_expression", "hierarchy_expression", "attribute_expression")
-    roles = [*PART_ROLES, "last"]
+    calls = apply_registry(extract_calls(lines, names), registry)
     expressions = F.array(*[argument(arg) for arg in PART_ROLES.values()], F.try_element_at("arguments", F.lit(-1)))
-    uses = calls.withColumn("expressions", expressions).select("process_name", "seq", "expressions", F.struct(*calls.columns, "expressions").alias("payload"))
+    # the registry is small: its columns are joined again afterwards rather than carried through the sort
+    carried = [c for c in calls.columns if c not in {*registry.columns, "parent_expression", "hierarchy_expression", "attribute_expression"}]
+    payload = F.struct("function_key", *carried, "expressions")
+    uses = calls.withColumn("expressions", expressions).select("process_name", "seq", "expressions", payload.alias("payload"))
     solved = resolve_lists(assignments(lines), uses)
+    # text, value and rating of each part are worked out once, then named
+    texts = solved.withColumn("_texts", F.transform("expressions", lambda e: F.when(e.isNotNull(), expression_text(e))))
+    parts = F.zip_with("_texts", "resolved_values", lambda t, v: F.when(t.isNotNull(), F.struct(F.coalesce(v, t).alias("value"), _sure(t, v).alias("sure"))))
+    solved = texts.withColumn("_parts", parts).drop("_texts").join(registry, "function_key")
     wide = {}
-    for i, role in enumerate(roles):
-        given = F.col("expressions")[i]
-        value, sure = rated(given, F.col("resolved_values")[i])
-        wide |= {f"{role}_value": F.when(given.isNotNull(), value), f"{role}_confidence": F.when(given.isNotNull(), sure)}
+    for i, role in enumerate([*PART_ROLES, "last"]):
+        wide |= {f"{role}_value": F.col("_parts")[i]["value"], f"{role}_confidence": F.col("_parts")[i]["sure"]}
     composed = compose_target(solved.withColumns(wide))
     writes = ("WRITES_TO_CUBE", "INCREMENTS_CUBE", "SPREADS_TO_CUBE")
     return rewrite_edges(composed).select(
