@@ -390,14 +390,15 @@ def discovered_calls(rules: DataFrame, text: str = "rule_text", key: str = "cube
 
 def function_coverage(rules: DataFrame, registry: DataFrame | None = None, key: str = "cube_name", samples: int = 5) -> DataFrame:
     """One row per function that rules call: occurrences, cubes, what the coverage registry knows of it and the first sample calls."""
-    calls = discovered_calls(rules, key=key).where("is_complete")
+    # counts and samples both read the calls, so the rules are scanned once
+    calls = cut(discovered_calls(rules, key=key).where("is_complete").select(key, "call_position", "function_name", "line_number"))
     counts = calls.groupBy("function_name").agg(
         F.count("*").alias("occurrence_count"), F.count_distinct(key).alias("cube_count")
     )
     evidence = (
         sample_per_group(calls, "function_name", [key, "line_number", "call_position"], samples)
         .groupBy("function_name")
-        .agg(F.transform(F.array_sort(F.collect_list(F.struct("sample_rank", key, "line_number", "expression"))),
+        .agg(F.transform(F.array_sort(F.collect_list(F.struct("sample_rank", key, "line_number"))),
                          lambda s: F.concat_ws(":", s[key], s["line_number"].cast("string"))).alias("sample_evidence"))
     )
     known = (registry if registry is not None else vocab.function_coverage(rules.sparkSession)).withColumn("_known", F.lit(True))

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from catalog_lineage import vocab
 from catalog_lineage.operators import extract
+from catalog_lineage.operators.window import cut
 from . import check
 
 LINES = "(SELECT *, string_split(code, chr(10)) AS l FROM v_code)"
@@ -169,6 +170,6 @@ SUMMARY = (
       string_agg(cube_name || ':' || CAST(line_number AS STRING), '|' ORDER BY rn) FILTER (WHERE rn <= 5) AS sample_evidence, any_value(k.*) FROM s, k GROUP BY 1""".replace("any_value(k.*)", ", ".join(f"any_value({c}) AS {c}" for c in SUMMARY)))
 def function_coverage(d):
     more = F.concat("rule_text", F.when(F.col("p_size") % 3 == 0, "\nx = IF(a, ROUND(b), CONSOLIDATECHILDREN('d')) | CUBEATTRS('c', 'd');").otherwise(""), F.when(F.col("p_size") % 5 == 0, "\ny = TRIM(z;").otherwise(""))
-    rules = d.v_rules.select("cube_name", more.alias("rule_text"))
-    profile = extract.function_coverage(rules)
+    rules = d.v_rules.select("cube_name", more.alias("rule_text")).repartition("cube_name")
+    profile = cut(extract.function_coverage(rules))
     return profile.crossJoin(F.broadcast(extract.coverage_summary(profile, rules).select(*SUMMARY))).select("function_name", "occurrence_count", "cube_count", "parser_status", "lineage_category", "registry_status", "sample_evidence", *SUMMARY)
