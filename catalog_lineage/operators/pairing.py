@@ -69,12 +69,14 @@ def pair(validations: DataFrame, relationships: DataFrame, row_key: str = "row_k
     val, rel = cut(_ordered(validations, row_key)), cut(_ordered(relationships, row_key))
     by_id = first_wins(rel.where(F.col("explicit_id") != "").select("explicit_id", "row_key"), "explicit_id", "row_key")
     has_id = F.coalesce("explicit_id", F.lit("")) != ""
-    named = val.where(has_id)
-    explicit = named.join(by_id.select("explicit_id", F.col("row_key").alias("relationship_key")), "explicit_id").select(
-        F.col("row_key").alias("validation_key"), "relationship_key", F.lit("RELATIONSHIP_ID").alias("join_method"),
+    # Columns that are mostly empty make a written table look smaller than the ids in it, so relationships are never left to be
+    # broadcast by their estimated size; ids are looked up once, for hits and misses alike.
+    looked_up = cut(val.where(has_id).join(by_id.withColumnRenamed("row_key", "_hit").hint("merge"), "explicit_id", "left"))
+    explicit = looked_up.where("_hit is not null").select(
+        F.col("row_key").alias("validation_key"), F.col("_hit").alias("relationship_key"), F.lit("RELATIONSHIP_ID").alias("join_method"),
         F.lit(1).cast("bigint").alias("position"), F.lit(1).cast("bigint").alias("group_size"), "semantic_key",
     )
-    rest = val.where(~has_id).unionByName(named.join(by_id.select("explicit_id"), "explicit_id", "left_anti"))
+    rest = val.where(~has_id).unionByName(looked_up.where("_hit is null").drop("_hit"))
     sides = rest.select("semantic_key", F.lit(1).alias("_v"), F.lit(0).alias("_r")).unionByName(rel.select("semantic_key", F.lit(0).alias("_v"), F.lit(1).alias("_r")))
     counts = sides.groupBy("semantic_key").agg(F.sum("_v").alias("validation_count"), F.sum("_r").alias("relationship_count"))
     counts = cut(counts.where("validation_count > 0"))
@@ -82,7 +84,7 @@ def pair(validations: DataFrame, relationships: DataFrame, row_key: str = "row_k
     single = equal.where("group_size = 1")
     pairs = (
         rest.select("semantic_key", F.col("row_key").alias("validation_key")).join(single, "semantic_key")
-        .join(rel.select("semantic_key", F.col("row_key").alias("relationship_key")), "semantic_key")
+        .join(rel.select("semantic_key", F.col("row_key").alias("relationship_key")).hint("merge"), "semantic_key")
         .select("validation_key", "relationship_key", F.lit("SEMANTIC_KEY").alias("join_method"), F.lit(1).cast("bigint").alias("position"), "group_size", "semantic_key")
     )
     largest = equal.agg(F.max("group_size")).first()[0] or 0
