@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 from collections import defaultdict, deque
+from collections.abc import Iterator
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from ..functions.ids import opt
@@ -155,6 +157,67 @@ def _serve_in_order(key, rows: pd.DataFrame, entries: pd.DataFrame) -> pd.DataFr
     return pd.DataFrame(out, columns=["row_id", "rel_id", "score"])
 
 
+def _serve_stream(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The rule itself, for whole components one after the other: relationships by their position, then the rows by their order. The
+    state is the relationships of the present component."""
+    wanted = [tuple("tne".index(f) for f in tier) for tier in TIERS]
+    component, members, queues, taken = object(), [], None, set()
+    for batch in batches:
+        row_ids, rel_ids, scores = [], [], []
+        for of, is_row, ident, *fields in zip(*(batch.column(c).to_pylist() for c in range(6))):
+            if of != component:
+                component, members, queues, taken = of, [], None, set()
+            if not is_row:
+                members.append((ident, fields))
+                continue
+            found = score = None
+            if len(members) == 1:
+                if not taken:
+                    found, theirs = members[0]
+                    t, n, e = (bool(mine) and mine == other for mine, other in zip(fields, theirs))
+                    score = 100 + 20 * t + 40 * n + 10 * e
+                    taken.add(found)
+            elif len(taken) < len(members):
+                if queues is None:
+                    queues = {}
+                    for rel_id, theirs in members:
+                        for tier, places in enumerate(wanted):
+                            queues.setdefault((tier, *[theirs[i] for i in places]), [1]).append(rel_id)
+                for tier, places in enumerate(wanted):
+                    own = [fields[i] for i in places]
+                    queue = queues.get((tier, *own)) if all(own) else None
+                    if queue is None:
+                        continue
+                    # the first entry of a queue is the place of its next member
+                    at, size = queue[0], len(queue)
+                    while at < size and queue[at] in taken:
+                        at += 1
+                    queue[0] = at + 1
+                    if at < size:
+                        found, score = queue[at], TIER_SCORE[TIERS[tier]]
+                        taken.add(found)
+                        break
+                    queue[0] = size
+            row_ids.append(ident)
+            rel_ids.append(found)
+            scores.append(score)
+        if row_ids:
+            yield pa.RecordBatch.from_arrays([pa.array(row_ids, pa.string()), pa.array(rel_ids, pa.string()), pa.array(scores, pa.int32())], ["row_id", "rel_id", "score"])
+
+
+def _buckets(rows: DataFrame, rels: DataFrame) -> DataFrame:
+    """bucket, closed, large: of the buckets with rows and relationships, whether their targets are components of their own (see
+    _components), and whether their largest component has more than SLICE_ROWS rows or relationships."""
+    per_row = rows.groupBy("bucket", "target").agg(F.count("*").alias("_rows"), F.bool_and("named").alias("_named"))
+    per_rel = rels.groupBy("bucket", "target").agg(F.count("*").alias("_rels"))
+    sides = per_row.withColumn("_rels", F.lit(0).cast("bigint")).unionByName(per_rel.withColumns({"_rows": F.lit(0).cast("bigint"), "_named": F.lit(True)}))
+    per_target = sides.groupBy("bucket", "target").agg(F.sum("_rows").alias("_rows"), F.sum("_rels").alias("_rels"), F.bool_and("_named").alias("_named"))
+    most = lambda of: F.greatest(of("_rows"), of("_rels"))
+    closed = F.bool_and(F.col("_named") & (F.col("_rows") <= F.col("_rels")))
+    counted = per_target.groupBy("bucket").agg(closed.alias("closed"), most(F.max).alias("_target"), most(F.sum).alias("_all"), F.sum("_rows").alias("_n"), F.sum("_rels").alias("_m"))
+    return counted.where("_n > 0 and _m > 0").select("bucket", "closed", (F.when(F.col("closed"), F.col("_target")).otherwise(F.col("_all")) > SLICE_ROWS).alias("large"))
+
+
 def _components(rows: DataFrame, rels: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Label rows and relationships with the part of their bucket in which they can meet.
 
@@ -234,11 +297,11 @@ def pair_best(semantic: DataFrame, relationships: DataFrame, row_id: str = "row_
               rel_id: str = "rel_id", position: str = "position") -> DataFrame:
     """The relationship each semantic row is served, with score and method; unmatched rows have none.
 
-    Undisputed rows of all components are paired at once by joins. Where rows dispute a relationship, who is served what depends on
-    everyone before, so each component is served by slices of its order: the first rows of all components together in one round, in
-    tasks of bounded size. The rounds are as many as the slices of the largest disputed component, whatever its disputes.
+    Components of at most SLICE_ROWS rows and relationships are sorted and streamed through the rule, many in one task. Larger ones
+    are paired at once by joins where nobody disputes; where rows dispute a relationship, who is served what depends on everyone
+    before, so each component is served by slices of its order, in tasks of bounded size and in as many rounds as it has slices.
     """
-    def shape(df: DataFrame, ident: str, order: str, names: tuple[str, str], wanted: bool) -> DataFrame:
+    def shape(df: DataFrame, ident: str, order: str, names: tuple[str, str]) -> DataFrame:
         fields = {
             "t": token(_first(df, ("target_type", "target_object_type", "domain"))),
             "n": match_value(_first(df, ("target_name", "catalog_match_name", "target_expression"))),
@@ -249,16 +312,36 @@ def pair_best(semantic: DataFrame, relationships: DataFrame, row_id: str = "row_
             F.concat_ws("\u001f", token(opt(df, "origin")), match_value(_first(df, SOURCE_FIELDS)), token("relationship_type")).alias("bucket"),
             *[v.alias(k) for k, v in fields.items()],
         )
-        kept = {k: F.col(k) for k in fields}
-        return staged.select(
-            *names, "bucket", F.concat_ws("\u001f", "t", "n").alias("target"), ((F.col("t") != "") & (F.col("n") != "")).alias("named"),
-            _tier_keys(kept, wanted).alias("tiers"), F.lit("").alias("component"),
-        )
+        return cut(staged.withColumns({"target": F.concat_ws("\u001f", "t", "n"), "named": (F.col("t") != "") & (F.col("n") != "")}))
+
+    everyone = shape(semantic, row_id, row_order, ("row_id", "row_order"))
+    rels = shape(relationships, rel_id, position, ("rel_id", "position"))
+    buckets = cut(_buckets(everyone, rels))
+    # a row that no relationship can answer is a component of its own, so that such rows do not meet in one task
+    inside = F.when(F.col("closed"), F.concat_ws("\u001e", "bucket", "target")).otherwise(F.col("bucket"))
+    label = F.when(F.col("closed").isNull(), F.concat(F.lit("\u0001"), F.col("ident"))).otherwise(inside)
+    side = lambda df, is_row, ident, how: df.withColumnRenamed(ident, "ident").join(buckets, "bucket", how).where("not coalesce(large, false)").select(
+        label.alias("component"), F.lit(is_row).alias("is_row"), "ident", "t", "n", "e",
+        *[(F.col(o) if o == own else F.lit(None).cast(kind)).alias(o) for own in [df.columns[1]] for o, kind in (("position", rels.schema["position"].dataType), ("row_order", everyone.schema["row_order"].dataType))],
+    )
+    streamed = side(everyone, True, "row_id", "left").unionByName(side(rels, False, "rel_id", "inner"))
+    ordered = streamed.repartition("component").sortWithinPartitions("component", "is_row", "position", "row_order", "ident")
+    served = ordered.select("component", "is_row", "ident", "t", "n", "e").mapInArrow(_serve_stream, PAIR_SCHEMA)
+    large = buckets.where("large").select("bucket")
+    if not large.isEmpty():
+        tiers = lambda df, wanted: df.join(large, "bucket", "left_semi").withColumns({
+            "tiers": _tier_keys({f: F.col(f) for f in "tne"}, wanted), "component": F.lit("")}).drop("t", "n", "e")
+        rows = cut(tiers(everyone, True))
+        pairs = _pair_large(rows, cut(tiers(rels, False)))
+        served = served.unionByName(rows.select("row_id").join(pairs, "row_id", "left"))
+    return cut(served).withColumn(
+        "source_pairing_method",
+        F.when(F.col("rel_id").isNull(), "UNMATCHED").when(F.col("score") >= 160, "EXACT_SEMANTIC_SIGNATURE").otherwise("RELAXED_SEMANTIC_SIGNATURE"),
+    )
+
 
-    everyone = shape(semantic, row_id, row_order, ("row_id", "row_order"), True)
-    rels = shape(relationships, rel_id, position, ("rel_id", "position"), False)
-    everyone, rels = cut(everyone), cut(rels)
-    rows = everyone.join(rels.select("bucket").distinct(), "bucket", "left_semi")
+def _pair_large(rows: DataFrame, rels: DataFrame) -> DataFrame:
+    """row_id, rel_id, score of the rows that are served, for buckets that all have relationships."""
     found = []
     while True:
         claims = _claims(rows, rels)
@@ -288,7 +371,4 @@ def pair_best(semantic: DataFrame, relationships: DataFrame, row_id: str = "row_
     pairs = found[0]
     for more in found[1:]:
         pairs = pairs.unionByName(more)
-    return everyone.select("row_id").join(pairs, "row_id", "left").withColumn(
-        "source_pairing_method",
-        F.when(F.col("rel_id").isNull(), "UNMATCHED").when(F.col("score") >= 160, "EXACT_SEMANTIC_SIGNATURE").otherwise("RELAXED_SEMANTIC_SIGNATURE"),
-    )
+    return pairs
