@@ -204,14 +204,16 @@ def project_semantic(domain: str, artifact: str, semantic: DataFrame, relationsh
         "endpoint_state": endpoint_state("target_type", F.col("_status")), "source_relationship_id": F.col("source_record_id"),
         "validation_status": F.col("semantic_validation_status"), "review_required": F.coalesce(opt(semantic, "review_required", "boolean"), F.lit(False)),
     })
-    # one wide table, written once, from which everything is selected; of repeated ids the first row stays
+    # one wide table, written once, from which everything is selected; of repeated ids the first row stays. Ids are counted by a short
+    # hash, so that only those that may repeat are compared, and the wide rows are not shuffled again.
     edge_id = F.when(F.col("_paired"), F.col("graph_relationship_id")).otherwise(alone)
-    rows = rows.withColumn("_id", edge_id)
-    place = lambda df: F.struct(df["semantic_validation_id"], F.coalesce(df["rel_id"], F.lit("")))
-    first = rows.groupBy("_id").agg(F.min(place(rows)).alias("_first"))
     wide = [*KEPT, *PROVENANCE, *OUTCOME, "semantic_validation_id", "_type", "_name", "_expression", "_paired"]
-    rows = rows.join(first, "_id").withColumn("_kept", F.col("_paired") & (place(rows) == F.col("_first")))
-    rows = cut(rows.select(*dict.fromkeys(wide), "_kept"))
+    rows = cut(rows.select(*dict.fromkeys(wide), edge_id.alias("_id"), F.coalesce("rel_id", F.lit("")).alias("_place")))
+    short = F.xxhash64("_id").alias("_short")
+    again = cut(rows.groupBy(short).agg(F.count("*").alias("_n")).where("_n > 1").select("_short"))
+    place = F.struct("semantic_validation_id", "_place")
+    first = cut(rows.select("_id", short, place.alias("_at")).join(again, "_short", "left_semi").groupBy("_id").agg(F.min("_at").alias("_first"), F.count("*").alias("_n")).where("_n > 1").drop("_n"))
+    rows = rows.join(first, "_id", "left").withColumn("_kept", F.col("_paired") & (F.col("_first").isNull() | (place == F.col("_first"))))
     keep, repeated, unpaired = rows.where("_kept"), rows.where("_paired and not _kept"), rows.where("not _paired")
     lost = lambda df, record: df.select(F.lit(artifact).alias("source_artifact"), record.alias("source_record_id"), F.lit(None).cast("string").alias("graph_relationship_id"), F.lit("ERROR").alias("projection_outcome"))
     errors = _error(unpaired, "PAIR_SEMANTIC_SOURCE", artifact, F.col("semantic_validation_id"), "no relationship answers to this validation").unionByName(
