@@ -297,7 +297,8 @@ def pair_best(semantic: DataFrame, relationships: DataFrame, row_id: str = "row_
               rel_id: str = "rel_id", position: str = "position") -> DataFrame:
     """The relationship each semantic row is served, with score and method; unmatched rows have none.
 
-    Components of at most SLICE_ROWS rows and relationships are sorted and streamed through the rule, many in one task. Larger ones
+    A row that is alone in its bucket, with one relationship or none, is decided by the count of its bucket. Of the others,
+    components of at most SLICE_ROWS rows and relationships are sorted and streamed through the rule, many in one task. Larger ones
     are paired at once by joins where nobody disputes; where rows dispute a relationship, who is served what depends on everyone
     before, so each component is served by slices of its order, in tasks of bounded size and in as many rounds as it has slices.
     """
@@ -316,6 +317,38 @@ def pair_best(semantic: DataFrame, relationships: DataFrame, row_id: str = "row_
 
     everyone = shape(semantic, row_id, row_order, ("row_id", "row_order"))
     rels = shape(relationships, rel_id, position, ("rel_id", "position"))
+    counted = cut(_bucket_heads(everyone, rels))
+    decided = _decided(counted)
+    disputed = counted.where("_n > 1 and _m > 0 or _n = 1 and _m > 1").select("bucket")
+    unanswered = counted.where("_n > 1 and _m = 0").select("bucket")
+    decided = decided.unionByName(everyone.join(unanswered, "bucket", "left_semi").select("row_id", F.lit(None).cast("string").alias("rel_id"), F.lit(None).cast("int").alias("score")))
+    if not disputed.isEmpty():
+        held = lambda df: cut(df.join(disputed, "bucket", "left_semi").select(*df.columns))
+        decided = decided.unionByName(_served(held(everyone), held(rels)))
+    return cut(decided).withColumn(
+        "source_pairing_method",
+        F.when(F.col("rel_id").isNull(), "UNMATCHED").when(F.col("score") >= 160, "EXACT_SEMANTIC_SIGNATURE").otherwise("RELAXED_SEMANTIC_SIGNATURE"),
+    )
+
+
+def _bucket_heads(rows: DataFrame, rels: DataFrame) -> DataFrame:
+    """bucket, _n, _m, _row, _rel: rows and relationships of each bucket, and the least of either side."""
+    side = lambda df, ident, is_row: df.select("bucket", F.lit(is_row).alias("is_row"), F.struct(F.col(ident).alias("ident"), "t", "n", "e").alias("it"))
+    least = lambda own: F.min(F.when(own, F.col("it")))
+    is_row = F.col("is_row")
+    return side(rows, "row_id", True).unionByName(side(rels, "rel_id", False)).groupBy("bucket").agg(
+        F.count_if(is_row).alias("_n"), F.count_if(~is_row).alias("_m"), least(is_row).alias("_row"), least(~is_row).alias("_rel"))
+
+
+def _decided(counted: DataFrame) -> DataFrame:
+    """row_id, rel_id, score of the rows that are alone in their bucket, with one relationship, which they are served, or none."""
+    same = lambda f, points: F.when((F.col(f"_row.{f}") != "") & (F.col(f"_row.{f}") == F.col(f"_rel.{f}")), points).otherwise(0)
+    score = F.when(F.col("_m") == 1, F.lit(100) + same("t", 20) + same("n", 40) + same("e", 10)).cast("int")
+    return counted.where("_n = 1 and _m <= 1").select(F.col("_row.ident").alias("row_id"), F.col("_rel.ident").alias("rel_id"), score.alias("score"))
+
+
+def _served(everyone: DataFrame, rels: DataFrame) -> DataFrame:
+    """row_id, rel_id, score of the rows of buckets in which somebody has a choice or a rival."""
     buckets = cut(_buckets(everyone, rels))
     # a row that no relationship can answer is a component of its own, so that such rows do not meet in one task
     inside = F.when(F.col("closed"), F.concat_ws("\u001e", "bucket", "target")).otherwise(F.col("bucket"))
@@ -334,10 +367,7 @@ def pair_best(semantic: DataFrame, relationships: DataFrame, row_id: str = "row_
         rows = cut(tiers(everyone, True))
         pairs = _pair_large(rows, cut(tiers(rels, False)))
         served = served.unionByName(rows.select("row_id").join(pairs, "row_id", "left"))
-    return cut(served).withColumn(
-        "source_pairing_method",
-        F.when(F.col("rel_id").isNull(), "UNMATCHED").when(F.col("score") >= 160, "EXACT_SEMANTIC_SIGNATURE").otherwise("RELAXED_SEMANTIC_SIGNATURE"),
-    )
+    return served
 
 
 def _pair_large(rows: DataFrame, rels: DataFrame) -> DataFrame:

@@ -39,3 +39,14 @@ def test_large_and_small_components_together(spark, monkeypatch):
     for p in {r[3] for r in rows}:
         expected |= serve_fast([r for r in rows if r[3] == p], [r for r in rels if r[3] == p])
     assert run(spark, rows, rels) == expected
+
+
+def test_rows_alone_in_their_bucket_are_not_streamed(spark, monkeypatch):
+    """One row and one relationship, or none: the count of the bucket decides, and no row goes to Python."""
+    monkeypatch.setattr(pairing, "_serve_stream", lambda batches: 1 / 0)
+    make = lambda kind, i: (f"{kind}{i}", i, "TI", f"p{i}", "R", ("CUBE", "VIEW")[i % 2 if kind == "s" else i % 3 % 2], "ab"[i % 5 % 2] if kind == "s" else "a", ("", "e1")[i % 2])
+    rows, rels = [make("s", i) for i in range(60)], [make("r", i) for i in range(90) if i % 7]
+    rows += [(f"u{i}", i, "TI", "nobody", "R", "CUBE", "a", "") for i in range(3)]
+    assert run(spark, rows, rels) == serve_fast(rows, rels)
+    got = pairing.pair_best(spark.createDataFrame(rows, SEM), spark.createDataFrame(rels, REL)).collect()
+    assert sorted(r.row_id for r in got) == sorted(r[0] for r in rows)
