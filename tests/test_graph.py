@@ -2,7 +2,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from catalog_lineage import vocab
-from catalog_lineage.operators import resolve, traverse
+from catalog_lineage.operators import resolve, summarize, traverse
 from catalog_lineage.sources import io
 
 EDGE = "graph_relationship_id string, source_id string, target_id string, relationship_type string, endpoint_state string"
@@ -145,3 +145,15 @@ def test_point_queries_skip_most_of_a_published_graph(spark, tmp_path):
     summary = traverse.node_summary(tables["nodes"], tables["edges"], "s77")
     assert summary.count() == 12
     assert scanned(summary) < 0.5 * n
+
+
+def test_lists_of_small_keys_take_one_shuffle(spark):
+    """Only keys with more rows than a chunk are counted and dealt; repeats and nulls of the others vanish in their list."""
+    df = spark.createDataFrame([("a", "x"), ("a", "x"), ("a", None), ("b", None), (None, "y")] + [("h", f"v{i % 40:02d}") for i in range(200)], "k string, v string")
+    small = summarize.chunked_lists(df, "k", "v", "vs")
+    assert small._jdf.queryExecution().executedPlan().toString().count("Exchange") == 1
+    assert {r.k: (r.chunk, len(r.vs)) for r in small.collect()} == {"a": (0, 1), "b": (0, 0), "h": (0, 40)}
+    cut_up = summarize.chunked_lists(df, "k", "v", "vs", chunk_rows=15).collect()
+    assert {r.k: r.vs for r in cut_up if r.k != "h"} == {"a": ["x"], "b": []}
+    hot = [r for r in cut_up if r.k == "h"]
+    assert len({r.chunk for r in hot}) == 3 and sorted(v for r in hot for v in r.vs) == [f"v{i:02d}" for i in range(40)]
