@@ -157,3 +157,13 @@ def test_lists_of_small_keys_take_one_shuffle(spark):
     assert {r.k: r.vs for r in cut_up if r.k != "h"} == {"a": ["x"], "b": []}
     hot = [r for r in cut_up if r.k == "h"]
     assert len({r.chunk for r in hot}) == 3 and sorted(v for r in hot for v in r.vs) == [f"v{i:02d}" for i in range(40)]
+
+
+def test_consolidation_takes_one_shuffle(spark):
+    """Rows are dealt by relationship once; repeats, nulls and empty lists are as before."""
+    schema = "relationship_id string, discovery_method string, functions array<string>, procedures array<string>, evidence_lines array<int>, reference_count bigint"
+    rows = [("a", "m", ["g", "f"], ["p"], [3], 2), ("a", "m", ["f", "g"], ["p"], [3], 5), ("a", "k", ["f"], [], [1, None], 1), ("b", "m", [], [], [], 4), (None, "m", ["f"], [], [], 1)]
+    got = summarize.consolidate(spark.createDataFrame(rows, schema))
+    assert got._jdf.queryExecution().executedPlan().toString().count("Exchange") == 1
+    assert {r.relationship_id: tuple(r)[1:] for r in got.collect()} == {
+        "a": (6, 3, ["k", "m"], ["f", "g"], ["p"], [1, 3]), "b": (4, 1, ["m"], None, None, None), None: (1, 1, ["m"], ["f"], [], [])}
