@@ -1,7 +1,7 @@
 """Pairing of large tables: what may be broadcast, what is served in a stream."""
 
 from catalog_lineage.operators import pairing
-from test_pairing import REL, SEM, VAL, run, serve_fast
+from test_pairing import REL, SEM, VAL, run, serve_fast, served
 
 
 def plan_of(df):
@@ -47,6 +47,6 @@ def test_rows_alone_in_their_bucket_are_not_streamed(spark, monkeypatch):
     make = lambda kind, i: (f"{kind}{i}", i, "TI", f"p{i}", "R", ("CUBE", "VIEW")[i % 2 if kind == "s" else i % 3 % 2], "ab"[i % 5 % 2] if kind == "s" else "a", ("", "e1")[i % 2])
     rows, rels = [make("s", i) for i in range(60)], [make("r", i) for i in range(90) if i % 7]
     rows += [(f"u{i}", i, "TI", "nobody", "R", "CUBE", "a", "") for i in range(3)]
-    assert run(spark, rows, rels) == serve_fast(rows, rels)
+    assert run(spark, rows, rels) == served(rows, rels)
     got = pairing.pair_best(spark.createDataFrame(rows, SEM), spark.createDataFrame(rels, REL)).collect()
     assert sorted(r.row_id for r in got) == sorted(r[0] for r in rows)
