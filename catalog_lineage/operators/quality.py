@@ -12,7 +12,7 @@ from ..functions.text import blank_to_null, clean, first_nonblank, norm_key, tok
 from .resolve import orphans
 from .sets import sided_counts
 from .summarize import percent
-from .window import duplicate_ids, first_wins
+from .window import cut, duplicate_ids, first_wins
 
 
 def _union(frames) -> DataFrame:
@@ -86,6 +86,10 @@ def quality_counts(objects, relationships, evidence, validations, warnings, judg
         validations.select("relationship_id").distinct(), "relationship_id", "left_semi"
     )
     lacking = lambda child, key, parent, pkey, name: child.join(parent.select(F.col(pkey).alias("_k")), clean(key) == F.col("_k"), "left_anti").agg(F.count("*").alias(name))
+    # sources of evidence repeat, so evidence is read once and its sources are counted before they meet the objects
+    cited = cut(evidence.groupBy("source_object_id").agg(F.count("*").alias("_n"), F.count_if(clean("target_expression") == "").alias("_blank")))
+    total = lambda c, name: F.coalesce(F.sum(c), F.lit(0)).alias(name)
+    known = objects.select(F.col("object_id").alias("_k"))
     return _one_row([
         objects.agg(F.count("*").alias("objects"), F.count_if(_upper("object_type") == "UNKNOWN").alias("unknown_objects"), F.count_if(clean("object_name") == "").alias("blank_object_names")),
         named(objects, "object_id", "duplicate_object_ids"),
@@ -96,8 +100,8 @@ def quality_counts(objects, relationships, evidence, validations, warnings, judg
         named(relationships, "relationship_id", "duplicate_relationship_ids"),
         lacking(relationships, "source_object_id", objects, "object_id", "orphan_relationship_sources"),
         orphans(relationships, objects, "target_object_id", "object_id").agg(F.count("*").alias("invalid_target_links")),
-        evidence.agg(F.count("*").alias("evidence"), F.count_if(clean("target_expression") == "").alias("blank_evidence_targets")),
-        lacking(evidence, "source_object_id", objects, "object_id", "orphan_evidence_sources"),
+        cited.agg(total("_n", "evidence"), total("_blank", "blank_evidence_targets")),
+        cited.join(known, clean("source_object_id") == F.col("_k"), "left_anti").agg(total("_n", "orphan_evidence_sources")),
         validations.agg(
             F.count("*").alias("validations"), F.count_if(_upper("validation_status") == "VALID").alias("valid_validations"),
             F.count_if(_upper("validation_status").isin(*vocab.TRACKED_STATUSES)).alias("tracked_validations"),
