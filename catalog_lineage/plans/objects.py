@@ -5,14 +5,18 @@ from __future__ import annotations
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from .. import vocab
-from ..functions.ids import canonical_id, canonical_key, configured_source_id, file_reference_id, opt, relationship_id, subset_reference_id, view_reference_id
+from ..functions.ids import canonical_id, canonical_key, configured_source_id, file_reference_id, opt, relationship_digest, subset_reference_id, view_reference_id
 from ..functions.text import blank_to_null, clean, first_nonblank, norm_key, token
 from ..operators.resolve import node_label, resolve_references
-from ..operators.summarize import evidence_counts, signature_conflicts
-from ..operators.window import cut, first_wins, merge_properties
+from ..operators.summarize import signature_conflicts
+from ..operators.window import cut, duplicate_ids, first_wins
+
+
+#: Into how many parts the graph edges of one relationship are dealt.
+EDGE_PARTS = 16
 
 
 @dataclass
@@ -30,21 +34,30 @@ def object_class(kind: Column) -> Column:
     return F.when(kind.isin(*vocab.SYNTHETIC_NODE_TYPES), "CONCEPTUAL_REFERENCE").when(kind.isin(*vocab.EXTERNAL_NODE_TYPES), "EXTERNAL").otherwise("CANONICAL")
 
 
-def _properties(df: DataFrame, columns) -> Column:
-    filled = F.filter(F.array(*[F.struct(F.lit(c).alias("key"), F.col(c).cast("string").alias("value")) for c in columns]), lambda e: e["value"].isNotNull())
+def _properties(df: DataFrame, names, columns=None) -> Column:
+    filled = F.filter(F.array(*[F.struct(F.lit(n).alias("key"), F.col(c).cast("string").alias("value")) for n, c in zip(names, columns or names)]), lambda e: e["value"].isNotNull())
     return F.map_from_entries(filled)
 
 
 def catalog_objects(nodes: DataFrame) -> DataFrame:
     """One object per identity; later properties overlay earlier ones."""
     kind = token(first_nonblank(opt(nodes, "node_type"), opt(nodes, "object_type")))
+    names = sorted(nodes.columns)
+    held = [f"_p{i}" for i in range(len(names))]
     shaped = nodes.select(
         canonical_id(nodes).alias("object_id"), kind.alias("object_type"), object_class(kind).alias("object_class"), node_label(nodes).alias("display_name"),
-        canonical_key(nodes).alias("identity_components"), _properties(nodes, nodes.columns).alias("properties"),
+        canonical_key(nodes).alias("identity_components"), *[F.col(n).cast("string").alias(p) for n, p in zip(names, held)],
     ).where(F.col("object_id") != "")
-    order = ["object_type", "display_name"]
-    merged = merge_properties(shaped, "object_id", "properties", order)
-    return first_wins(shaped.drop("properties"), "object_id", order).join(merged, "object_id")
+    # hardly any id repeats, so ids are counted first and only the rows of repeated ones are grouped
+    repeated = cut(duplicate_ids(shaped, "object_id").select("object_id"))
+    with_properties = lambda df: df.select("object_id", "object_type", "object_class", "display_name", "identity_components", _properties(df, names, held).alias("properties"))
+    if repeated.isEmpty():
+        return with_properties(shaped)
+    # properties are the columns, so the last value of each is kept beside the first row: no row for each property, nothing to join
+    order = F.struct("object_type", "display_name")
+    first = F.min_by(F.struct("object_type", "object_class", "display_name", "identity_components"), order)
+    merged = shaped.join(repeated, "object_id", "left_semi").groupBy("object_id").agg(first.alias("_row"), *[F.max_by(p, F.when(F.col(p).isNotNull(), order)).alias(p) for p in held])
+    return with_properties(shaped.join(repeated, "object_id", "left_anti")).unionByName(with_properties(merged.select("object_id", "_row.*", *held)))
 
 
 def declared_references(declarations: DataFrame, shared: DataFrame | None = None, prefix: str = "") -> DataFrame:
@@ -76,6 +89,28 @@ def declared_references(declarations: DataFrame, shared: DataFrame | None = None
     })
 
 
+def _relationship_id() -> Column:
+    return F.concat(F.lit("object-relationship::"), F.lower(F.hex("_id")))
+
+
+def consolidated(every: DataFrame) -> DataFrame:
+    """One row per relationship, with the status of its first graph edge, whether it is generated alone, and how many graph edges its id has.
+
+    Rows are dealt once by id and part of the edges' ids and once by id; all groups are made where the rows lie then. Between the two a
+    relationship has one row for each part, so that the edges of a hot one are spread.
+    """
+    names = ["source_object_id", "relationship_type", "target_object_id", "relationship_class"]
+    edge, status = F.col("graph_relationship_id"), F.col("validation_status")
+    dealt = every.withColumn("_part", F.pmod(F.xxhash64(F.coalesce(edge, F.lit(""))), F.lit(EDGE_PARTS))).repartition("_id", "_part")
+    # names of one id may differ in letter case and an edge may be repeated under them, so its first row alone counts it
+    place = F.row_number().over(W.partitionBy("_id", "_part", "graph_relationship_id").orderBy(*names))
+    marked = dealt.withColumn("_counts", (edge.isNotNull() & (place == 1)).cast("bigint"))
+    parts = marked.groupBy("_id", "_part", *names).agg(
+        F.min(F.struct(F.coalesce(edge, F.lit("\uffff")).alias("e"), status.alias("s"))).alias("_first"), F.bool_and(edge.isNull()).alias("generated"), F.sum("_counts").alias("_n"))
+    grouped = parts.repartition("_id").groupBy("_id", *names).agg(F.min("_first")["s"].alias("validation_status"), F.bool_and("generated").alias("generated"), F.sum("_n").alias("_n"))
+    return grouped.withColumn("evidence_count", F.greatest(F.sum("_n").over(W.partitionBy("_id")), F.lit(1))).drop("_n")
+
+
 def object_graph(nodes: DataFrame, edges: DataFrame, declarations: DataFrame, shared: DataFrame | None = None, prefix: str = "") -> ObjectGraph:
     """Objects with class, edges consolidated by class, ownership made explicit, declared sources and references resolved.
 
@@ -85,7 +120,7 @@ def object_graph(nodes: DataFrame, edges: DataFrame, declarations: DataFrame, sh
     base, refs = cut(catalog_objects(nodes)), cut(declared_references(declarations, shared, prefix))
     wanted = first_wins(refs.where(F.col("reference_kind").isNotNull()).select(
         "reference_object_id", "reference_kind", "cube_name", "view_name", "dimension_name", "hierarchy_name", "subset_name", "path"), "reference_object_id", ["cube_name", "view_name", "dimension_name", "hierarchy_name", "subset_name", "path"])
-    resolved = cut(resolve_references(wanted, base.select("object_id", "object_type", "properties")))
+    resolved = cut(resolve_references(wanted, base.where(F.col("object_type").isin("VIEW", "SUBSET", "FILE")).select("object_id", "object_type", "properties")))
     label = (
         F.when(F.col("reference_kind") == "VIEW", F.concat_ws(" / ", "cube_name", "view_name"))
         .when(F.col("reference_kind") == "SUBSET", F.concat_ws(" / ", "dimension_name", "hierarchy_name", "subset_name")).otherwise(F.col("path"))
@@ -97,7 +132,9 @@ def object_graph(nodes: DataFrame, edges: DataFrame, declarations: DataFrame, sh
     configured = first_wins(refs.select("configured_id", "process_id", "source_type", "shared_source_id"), "configured_id", ["process_id", "shared_source_id"])
     objects = base.unionByName(extra(configured, "configured_id", F.lit("CONFIGURED_DATA_SOURCE"), "CONFIGURATION", F.substring_index("configured_id", "::", -1), ["process_id", "source_type", "shared_source_id"])).unionByName(
         extra(resolved, "reference_object_id", kind_name, "CONCEPTUAL_REFERENCE", label, ["cube_name", "view_name", "dimension_name", "hierarchy_name", "subset_name", "path", "resolution_status"]))
-    objects = cut(first_wins(objects, "object_id", ["object_class", "object_type"]))
+    # relationships ask for the types alone; an id has a row at most from each of the three, so ids are dealt once, without a grouping before
+    types = objects.select("object_id", "object_class", "object_type").repartition("object_id").groupBy("object_id").agg(F.min(F.struct("object_class", "object_type"))["object_type"].alias("object_type"))
+    objects = first_wins(objects, "object_id", ["object_class", "object_type"])
 
     def links(df: DataFrame, source: Column, rel: Column, target: Column, klass: Column, status: Column, graph_id: Column | None = None) -> DataFrame:
         return df.select(source.alias("source_object_id"), rel.alias("relationship_type"), target.alias("target_object_id"), klass.alias("relationship_class"),
@@ -121,20 +158,15 @@ def object_graph(nodes: DataFrame, edges: DataFrame, declarations: DataFrame, sh
               F.when(F.col("reference_kind") == "FILE", "REFERENCES_FILE").otherwise(F.concat(F.lit(f"REFERENCES_{prefix}"), "reference_kind")), F.col("reference_object_id"), F.lit("REFERENCE"), F.col("resolution_status")),
         links(resolved.where(F.col("resolved_target_object_id").isNotNull()), F.col("reference_object_id"), F.concat(F.lit("RESOLVES_TO_"), "reference_kind"), F.col("resolved_target_object_id"), F.lit("RESOLUTION"), F.col("resolution_status")),
     ]
-    every = cut(reduce(lambda a, b: a.unionByName(b), [from_graph, *generated]).withColumn(
-        "object_relationship_id", relationship_id("source_object_id", "relationship_type", "target_object_id", "relationship_class")))
-    types = objects.select("object_id", "object_type")
+    # digests do not compress, so they are made again from the written rows
+    every = cut(reduce(lambda a, b: a.unionByName(b), [from_graph, *generated])).withColumn("_id", F.unhex(relationship_digest("source_object_id", "relationship_type", "target_object_id", "relationship_class")))
     ends = lambda side: types.select(F.col("object_id").alias(f"{side}_object_id"), F.col("object_type").alias(f"{side}_object_type"))
     # group before the endpoint joins: a relationship seen a million times is looked up once
-    grouped = every.groupBy("object_relationship_id", "source_object_id", "relationship_type", "target_object_id", "relationship_class").agg(
-        F.min_by("validation_status", F.coalesce("graph_relationship_id", F.lit("￿"))).alias("validation_status"),
-        F.bool_and(F.col("graph_relationship_id").isNull()).alias("generated"),
-    )
-    looked = grouped.join(ends("source"), "source_object_id", "left").join(ends("target"), "target_object_id", "left")
+    looked = consolidated(every).join(ends("source"), "source_object_id", "left").join(ends("target"), "target_object_id", "left").withColumn("object_relationship_id", _relationship_id())
     present = F.col("source_object_type").isNotNull() & F.col("target_object_type").isNotNull()
-    contributing = every.where(F.col("graph_relationship_id").isNotNull()).select("object_relationship_id", "graph_relationship_id").distinct()
-    counted = evidence_counts(contributing)
-    relationships = looked.where(present).join(counted, "object_relationship_id", "left").withColumn("evidence_count", F.coalesce("evidence_count", F.lit(1)))
+    contributing = every.where(F.col("graph_relationship_id").isNotNull()).select("_id", "graph_relationship_id").distinct().select(_relationship_id().alias("object_relationship_id"), "graph_relationship_id")
+    columns = ["object_relationship_id", "target_object_id", "source_object_id", "relationship_type", "relationship_class", "validation_status", "generated", "source_object_type", "target_object_type", "evidence_count"]
+    relationships = looked.where(present).select(columns)
     errors = looked.where(~present).select("object_relationship_id", "source_object_id", "relationship_type", "target_object_id", F.lit("Relationship endpoint is missing").alias("error"))
     outcomes = contributing.join(relationships.select("object_relationship_id").withColumn("_ok", F.lit(True)), "object_relationship_id", "left").select(
         F.col("graph_relationship_id").alias("source_graph_relationship_id"), F.when(F.col("_ok"), F.col("object_relationship_id")).alias("object_relationship_id"),
