@@ -4,8 +4,10 @@ The trees are fitted on a bounded sample (SAMPLE rows in seeded order): each nod
 the median. Every row of the table is indexed in every tree. A query walks down all trees through one queue ordered by the smallest
 margin by which it had to cross a split, and takes leaves until they hold VISITS times the number of rows, repeats between trees
 counted. It never stops before they hold k + 1 rows of every tree, counted alike: among these are k rows besides its own, or all rows
-there are. Queries and rows meet leaf by leaf, in blocks of at most ROWS rows and QUERIES queries; each block computes Euclidean
-distances in double precision and hands on the k nearest.
+there are. Every vector is written once, with its leaf in each tree, and every query once, with one bit for each leaf it visits. Both are
+dealt into blocks of about ROWS rows and QUERIES queries, whatever their leaves, so a leaf full of copies fills no task. A block compares
+a query with the rows in its leaves: rough distances by a matrix product find the rows that can be among the k nearest, their Euclidean
+distances in double precision decide.
 
 The vectors given are close to random directions, where trees must look at about half of the rows for a recall of 0.9; VISITS is set
 for that. Clustered vectors need much less.
@@ -25,11 +27,16 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window as W, functions as F
 
-from catalog_lineage.llm.common import cut, runs, table
+from catalog_lineage.llm.common import cut, runs, slot_counts, table
 
 TREES, DEPTH, SAMPLE, SEED = 12, 8, 20_000, 5
 VISITS, K = 1.1, 10
-ROWS, QUERIES = 8192, 1024
+ROWS, QUERIES, AT_ONCE = 32_768, 16_384, 64
+#: Long vectors come in smaller blocks, of about so many bytes in double precision.
+BLOCK_BYTES = 64_000_000
+LEAF = np.min_scalar_type(2**DEPTH - 1)
+#: Blocks are dealt to at most so many tasks; a task takes one after the other.
+MOST_TASKS = 4096
 
 
 def _matrix(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -107,11 +114,12 @@ def fit(rows: DataFrame) -> Forest | None:
     return Forest(np.stack([v for v in vectors if len(v) == length]).astype(np.float64))
 
 
-_PLACED = "tree int, leaf int, id long, vector binary"
+_PLACED = "id long, at int, leaves binary, vector binary"
 
 
 def _placed(rows: DataFrame, forest, what) -> DataFrame:
-    """Rows as (tree, leaf, id, vector), by `what(forest, vectors)` giving the (tree, leaf) of each vector."""
+    """Rows as (id, at, leaves, vector): `what(forest, vectors)` gives the bytes that name the leaves of each vector; `at` tells rows with
+    equal ids and vectors from each other."""
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         f = forest.value
@@ -124,13 +132,34 @@ def _placed(rows: DataFrame, forest, what) -> DataFrame:
                     continue
                 keep, vectors = keep[fits], [vectors[i] for i in fits]
                 ids = part.column(0).to_numpy(zero_copy_only=False)[keep]
-                trees, leaves, of = what(f, np.stack(vectors).astype(np.float64))
-                raw = np.array([v.tobytes() for v in vectors], object)
-                yield pa.RecordBatch.from_arrays([pa.array(trees, pa.int32()), pa.array(leaves, pa.int32()), pa.array(ids[of], pa.int64()), pa.array(raw[of], pa.binary())], ["tree", "leaf", "id", "vector"])
+                leaves = what(f, np.stack(vectors).astype(np.float64))
+                yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(keep + at, pa.int32()), pa.array(leaves, pa.binary()), pa.array([v.tobytes() for v in vectors], pa.binary())], ["id", "at", "leaves", "vector"])
 
     return rows.where("id is not null and vector is not null").select("id", "vector").mapInArrow(place, _PLACED)
 
 
+def _numbers(column: pa.ChunkedArray, kind, rows: int) -> np.ndarray:
+    return np.frombuffer(b"".join(column.to_pylist()), kind).reshape(rows, -1)
+
+
+def _nearest_of(own: np.ndarray, points: np.ndarray, v: np.ndarray, rough: np.ndarray, slack: float, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """Ids and distances of the k nearest of the rows with finite rough distances, which are exact to `slack`; ties to the smaller id."""
+    take, there = k, int(np.isfinite(rough).sum())
+    while True:
+        # Equal ids may repeat, so the cut is by distance, with all that tie with the last, and is made anew if ids are short.
+        least = np.partition(rough, take - 1)[take - 1] if take < there else np.inf
+        near = np.flatnonzero((rough <= least + slack) & np.isfinite(rough))
+        d = np.sqrt(((points[near] - v) ** 2).sum(axis=1))
+        best = np.flatnonzero(d <= np.partition(d, take - 1)[take - 1]) if len(d) > take else np.arange(len(d))
+        best = best[np.isfinite(d[best])]
+        best = best[np.lexsort((own[near[best]], d[best]))]
+        _, first = np.unique(own[near[best]], return_index=True)
+        best = best[np.sort(first)][:k]
+        if len(best) == k or take >= there:
+            return own[near[best]], d[best]
+        take *= 8
+
+
 def nearest(rows: DataFrame, queries: DataFrame, k: int = K, visits: float = VISITS) -> DataFrame:
     """query_id, rank, vec_id, score for queries(id, vector) against rows(id, vector)."""
     spark = rows.sparkSession
@@ -140,53 +169,76 @@ def nearest(rows: DataFrame, queries: DataFrame, k: int = K, visits: float = VIS
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
     forest = spark.sparkContext.broadcast(fitted)
 
-    def every_tree(f: Forest, x: np.ndarray):
-        leaves = f.leaves(x)
-        return np.repeat(np.arange(f.trees), len(x)), leaves.reshape(-1), np.tile(np.arange(len(x)), f.trees)
+    def every_tree(f: Forest, x: np.ndarray) -> list[bytes]:
+        return [v.tobytes() for v in np.ascontiguousarray(f.leaves(x).T.astype(LEAF))]
 
     index = cut(_placed(rows, forest, every_tree))
-    # One row for each leaf of each tree: at most TREES * 2**DEPTH.
-    counted = index.groupBy("tree", "leaf").count().collect()
-    counts = np.zeros((fitted.trees, 2**DEPTH), np.int64)
-    for r in counted:
-        counts[r["tree"], r["leaf"]] = r["count"]
-    budget = max(visits * counts[0].sum(), (k + 1) * fitted.trees)
-
-    def by_queue(f: Forest, x: np.ndarray):
-        found = [(t, leaf, i) for i, q in enumerate(x) for t, leaf in f.visits(q, counts, budget)]
-        return tuple(np.array(c, np.int64) for c in zip(*found)) if found else (np.empty(0, np.int64),) * 3
+    trees, width = fitted.trees, 2**DEPTH
+
+    def slots(batch: pa.RecordBatch) -> np.ndarray:
+        leaves = _numbers(batch.column(0), LEAF, batch.num_rows).astype(np.int64)
+        return (leaves + np.arange(trees) * width).reshape(-1)
+
+    counts = slot_counts(index.select("leaves"), slots, trees * width).reshape(trees, width)
+    total = int(counts[0].sum())
+    budget = max(visits * total, (k + 1) * trees)
+
+    def by_queue(f: Forest, x: np.ndarray) -> list[bytes]:
+        found = []
+        for q in x:
+            visited = np.zeros((trees, width), bool)
+            for t, leaf in f.visits(q, counts, budget):
+                visited[t, leaf] = True
+            found.append(np.packbits(visited).tobytes())
+        return found
 
     asked = cut(_placed(queries, forest, by_queue))
-    per_leaf = asked.groupBy("tree", "leaf").agg(F.ceil(F.count("*") / QUERIES).cast("int").alias("query_parts"))
-    sizes = index.groupBy("tree", "leaf").agg(F.ceil(F.count("*") / ROWS).cast("int").alias("row_parts")).join(per_leaf, ["tree", "leaf"])
-    # The grid of blocks of a leaf is one by one unless the leaf is large.
-    part = lambda parts: F.pmod(F.xxhash64("id"), F.col(parts)).cast("int")
-    every = lambda parts: F.explode(F.sequence(F.lit(0), F.col(parts) - 1))
-    left = index.join(sizes, ["tree", "leaf"]).withColumn("row_part", part("row_parts")).withColumn("query_part", every("query_parts")).withColumn("asks", F.lit(0))
-    right = asked.join(sizes, ["tree", "leaf"]).withColumn("query_part", part("query_parts")).withColumn("row_part", every("row_parts")).withColumn("asks", F.lit(1))
-    keys = ["tree", "leaf", "row_part", "query_part"]
-    blocks = left.select(*keys, "asks", "id", "vector").unionByName(right.select(*keys, "asks", "id", "vector"))
+    fits = max(BLOCK_BYTES // (8 * fitted.dim), 1)
+    row_parts, query_parts = -(-total // min(ROWS, fits)), -(-asked.count() // min(QUERIES, fits))
+    if not total or not query_parts:
+        return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
+    part = lambda parts: F.pmod(F.xxhash64("id", "at", "vector"), F.lit(parts)).cast("int")
+    every = lambda parts: F.explode(F.sequence(F.lit(0), F.lit(parts - 1)))
+    left = index.withColumn("row_part", part(row_parts)).withColumn("query_part", every(query_parts)).withColumn("asks", F.lit(0))
+    right = asked.withColumn("query_part", part(query_parts)).withColumn("row_part", every(row_parts)).withColumn("asks", F.lit(1))
+    keys = ["row_part", "query_part"]
+    blocks = left.select(*keys, "asks", "id", "leaves", "vector").unionByName(right.select(*keys, "asks", "id", "leaves", "vector"))
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for block in runs(batches, keys):
             asks, ids = block.column("asks").to_numpy() == 1, block.column("id").to_numpy()
-            x = np.frombuffer(b"".join(block.column("vector").to_pylist()), kind).reshape(len(ids), -1).astype(np.float64)
-            own, points = ids[~asks], x[~asks]
+            if asks.all() or not asks.any():
+                continue
+            of = [block.filter(pa.array(m)) for m in (~asks, asks)]
+            own, asking = ids[~asks], ids[asks]
+            points, wanted = (_numbers(b.column("vector"), kind, b.num_rows).astype(np.float64) for b in of)
+            leaves = _numbers(of[0].column("leaves"), LEAF, len(own))
+            visited = _numbers(of[1].column("leaves"), np.uint8, len(asking))
+            with np.errstate(over="ignore"):
+                squares = (points**2).sum(axis=1)
             found = []
-            for q, v in zip(ids[asks], x[asks]):
-                d = np.sqrt(((points - v) ** 2).sum(axis=1))
-                d[own == q] = np.inf
-                # Equal ids may repeat, so the cut is by distance, with all that tie with the last.
-                best = np.flatnonzero(d <= np.partition(d, k - 1)[k - 1]) if len(d) > k else np.arange(len(d))
-                best = best[np.isfinite(d[best])]
-                best = best[np.lexsort((own[best], d[best]))]
-                _, first = np.unique(own[best], return_index=True)
-                best = best[np.sort(first)][:k]
-                found.append((np.full(len(best), q), own[best], d[best]))
-            if found:
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([f[i] for f in found])) for i in range(3)], ["query_id", "vec_id", "score"])
-
-    dealt = blocks.repartition(*keys).sortWithinPartitions(*keys)
+            for at in range(0, len(asking), AT_ONCE):
+                q, v = asking[at : at + AT_ONCE], wanted[at : at + AT_ONCE]
+                opened = np.unpackbits(visited[at : at + AT_ONCE], axis=1).astype(bool).reshape(len(q), trees, width)
+                opened = np.ascontiguousarray(opened.transpose(1, 2, 0))
+                met = np.zeros((len(own), len(q)), bool)
+                for t in range(trees):
+                    met |= opened[t][leaves[:, t]]
+                met &= own[:, None] != q
+                with np.errstate(over="ignore", invalid="ignore"):
+                    own_square = (v**2).sum(axis=1)
+                    rough = squares - 2 * (v @ points.T) + own_square[:, None]
+                    slack = 16 * (points.shape[1] + 8) * np.finfo(float).eps * (squares.max() + own_square) + np.finfo(float).tiny
+                if not np.isfinite(rough).all():  # squares that overflow tell nothing: all are compared
+                    rough, slack = np.zeros_like(rough), np.zeros(len(q))
+                np.copyto(rough, np.inf, where=~met.T)
+                for i in range(len(q)):
+                    near, d = _nearest_of(own, points, v[i], rough[i], slack[i], k)
+                    found.append((np.full(len(near), q[i]), near, d))
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([f[i] for f in found])) for i in range(3)], ["query_id", "vec_id", "score"])
+
+    # blocks are few, so they get several times as many places, lest two meet in one task
+    dealt = blocks.repartition(min(4 * row_parts * query_parts, MOST_TASKS), *keys).sortWithinPartitions(*keys)
     best = dealt.mapInArrow(search, "query_id long, vec_id long, score double").groupBy("query_id", "vec_id").agg(F.min("score").alias("score"))
     rank = F.row_number().over(W.partitionBy("query_id").orderBy("score", "vec_id"))
     return best.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
